@@ -1,20 +1,76 @@
-"""Corpus pipeline: quality rules, near duplicates, repeated passages, mixing, tokens."""
+"""Corpus pipeline: quality rules, near duplicates, repeated passages, mixing, tokens.
+
+Each stage works on all rows its predecessor kept. All but the last return the columns of
+documents. Between stages the rows are written as Parquet and read again.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from loomspan.llm import bpe, jaccard, mixing, quality, repeats
+from loomspan.session import materialize
+
+#: The mix keeps most tokens: near the natural shares, four fifths of the corpus.
+MIX = mixing.MixConfig(temper=(0.9, 0.9, 1.0), budget=0.8)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; lines above the limits leave those that stay."""
+    return quality.remove_rejected(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least id stays.
+
+    Rows without a doc_id stay; of rows that repeat a doc_id one stays.
+    """
+    found = materialize(jaccard.near_duplicates(docs), "pipeline-components")
+    losers = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
+    kept = docs.join(losers, F.col("doc_id") == F.col("gone"), "left_anti")
+    repeated = found.groupBy(F.col("doc_id").alias("again")).count().filter(F.col("again").isNotNull() & (F.col("count") > 1)).select("again")
+    if repeated.isEmpty():
+        return kept
+    first = F.row_number().over(Window.partitionBy("row.doc_id").orderBy("row.text")) == 1
+    several = kept.join(repeated, F.col("doc_id") == F.col("again"), "left_semi").select(F.struct("*").alias("row"))
+    one = several.withColumn("first", first).filter("first").select("row.*")
+    return kept.join(repeated, F.col("doc_id") == F.col("again"), "left_anti").union(one)
+
 
-STAGES: list = []
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has are cut."""
+    return repeats.remove_repeats(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are sampled towards the target weights."""
+    return mixing.sample(docs, MIX)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, lang, ids (binary, little-endian u32) and n_tokens."""
+    import public_tokenizers
+
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=("doc_id", "source", "lang"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("substring dedup", repeated_passages),
+    ("mixing sources", source_mixing),
+    ("byte-level BPE", tokens),
+]
 
 #: The last stage's ids come from a tokenizer library, which SQL cannot call.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from loomspan.session import materialize
-
+    """All stages over the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = materialize(docs, f"pipeline-{i}")
