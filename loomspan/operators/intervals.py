@@ -36,3 +36,173 @@ def merge(df: DataFrame, keys: Sequence[str], gap: int = 0) -> DataFrame:
         .agg(F.min("start").alias("start"), F.max("end").alias("end"))
         .drop("island")
     )
+
+
+def _sweep(df: DataFrame, keys: Sequence[str], weight: Column | None = None) -> DataFrame:
+    """(keys, pos, delta): +weight at each start and -weight at each end, summed by position."""
+    w = F.lit(1) if weight is None else weight
+    edge = F.explode(F.array(F.struct(F.col("start").alias("pos"), w.alias("delta")), F.struct(F.col("end").alias("pos"), (-w).alias("delta"))))
+    return valid(df).select(*keys, edge.alias("e")).groupBy(*keys, F.col("e.pos").alias("pos")).agg(F.sum("e.delta").alias("delta"))
+
+
+def depth(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, start, end, depth): pieces between consecutive endpoints with the ranges over them; depth 0 left out."""
+    w = Window.partitionBy(*keys).orderBy("pos")
+    swept = _sweep(df, keys).select(
+        *keys, F.col("pos").alias("start"), F.lead("pos").over(w).alias("end"), F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("depth")
+    )
+    return swept.filter(F.col("end").isNotNull() & (F.col("depth") > 0))
+
+
+def single_cover(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Pieces that exactly one range covers; a new piece begins at every endpoint."""
+    return depth(df, keys).filter(F.col("depth") == 1).drop("depth")
+
+
+def covered_at_least(df: DataFrame, keys: Sequence[str], least: int, min_length: int = 0) -> DataFrame:
+    """Merged runs that at least `least` ranges cover, longer than min_length."""
+    return merge(depth(df, keys).filter(F.col("depth") >= least), keys).filter(F.col("end") - F.col("start") > min_length)
+
+
+def _two_sided(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Pieces with the depth of a and of b: one sweep over both, no join."""
+    both = a.select(*keys, "start", "end", F.lit(1).alias("wa"), F.lit(0).alias("wb")).unionByName(b.select(*keys, "start", "end", F.lit(0).alias("wa"), F.lit(1).alias("wb")))
+    edge = F.explode(
+        F.array(
+            F.struct(F.col("start").alias("pos"), F.col("wa").alias("da"), F.col("wb").alias("db")), F.struct(F.col("end").alias("pos"), (-F.col("wa")).alias("da"), (-F.col("wb")).alias("db"))
+        )
+    )
+    summed = valid(both).select(*keys, edge.alias("e")).groupBy(*keys, F.col("e.pos").alias("pos")).agg(F.sum("e.da").alias("da"), F.sum("e.db").alias("db"))
+    w = Window.partitionBy(*keys).orderBy("pos")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    pieces = summed.select(*keys, F.col("pos").alias("start"), F.lead("pos").over(w).alias("end"), F.sum("da").over(run).alias("in_a"), F.sum("db").over(run).alias("in_b"))
+    return pieces.filter(F.col("end").isNotNull())
+
+
+def subtract(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Parts of a that no range of b covers, merged."""
+    return merge(_two_sided(a, b, keys).filter((F.col("in_a") > 0) & (F.col("in_b") == 0)), keys)
+
+
+def intersect(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Parts that both a and b cover, cut where a merged run of either begins or ends."""
+    return merge(_two_sided(merge(a, keys), merge(b, keys), keys).filter((F.col("in_a") > 0) & (F.col("in_b") > 0)), keys)
+
+
+def complement(df: DataFrame, lengths: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Uncovered parts of [0, length) of each key of `lengths` (keys, length)."""
+    whole = lengths.select(*keys, F.lit(0).cast("long").alias("start"), F.col("length").cast("long").alias("end"))
+    return subtract(whole, df, keys)
+
+
+def total_length(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, intervals, bp) of the ranges as they are."""
+    return valid(df).groupBy(*keys).agg(F.count("*").alias("intervals"), F.sum(F.col("end") - F.col("start")).alias("bp"))
+
+
+def clamp(df: DataFrame, lengths: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Ranges cut to [0, length), with `clamped`; keys without a length and emptied ranges go."""
+    known = lengths.select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.col("length").alias("_len"))
+    on = [F.col(k) == F.col(f"_k_{k}") for k in keys]
+    start, end = F.greatest("start", F.lit(0)), F.least("end", "_len")
+    cut = df.join(known, on).select(*keys, start.alias("start"), end.alias("end"), ((start != F.col("start")) | (end != F.col("end"))).alias("clamped"))
+    return valid(cut)
+
+
+def slice_spans(df: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """Each range in chunks of `size`; a tail shorter than half a chunk joins the chunk before it."""
+    length = F.col("end") - F.col("start")
+    n = F.greatest(F.lit(1), F.floor(length / F.lit(size) + 0.5)).cast("int")
+    each = valid(df).select(*keys, "start", "end", n.alias("n")).select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    a = F.col("start") + F.col("i") * size
+    return each.select(*keys, a.alias("start"), F.when(F.col("i") == F.col("n") - 1, F.col("end")).otherwise(a + size).alias("end"))
+
+
+def fragments(df: DataFrame, keys: Sequence[str], size: int, step: int) -> DataFrame:
+    """Overlapping windows of `size` every `step` positions, with short ones at the tail."""
+    a = F.explode(F.sequence(F.col("start"), F.col("end") - 1, F.lit(step).cast("long")))
+    return valid(df).select(*keys, "end", a.alias("at")).select(*keys, F.col("at").alias("start"), F.least(F.col("at") + size, F.col("end")).alias("end"))
+
+
+def widen(df: DataFrame, keys: Sequence[str], flank: int, lengths: DataFrame, min_length: int = 0) -> DataFrame:
+    """Ranges longer than min_length, with a flank on both sides, cut to their key's length and merged."""
+    wide = df.filter(F.col("end") - F.col("start") > min_length).withColumn("start", F.col("start") - flank).withColumn("end", F.col("end") + flank)
+    return merge(clamp(wide, lengths, keys), keys)
+
+
+def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str], bin_width: int, how: str = "inner") -> DataFrame:
+    """Pairs of overlapping ranges: columns of a, those of b with prefix `b_`, and `overlap`.
+
+    Both sides are dealt into bins of the axis and joined on (keys, bin), so a key with very
+    many ranges spreads over its bins; a pair is kept in the first bin it shares.
+    `how` is `inner`, `left`, `left_semi` or `left_anti`. Null-bounded ranges match nothing.
+    """
+
+    def bins(start: str, end: str) -> Column:
+        return F.explode(F.sequence(F.floor(F.col(start) / bin_width), F.floor((F.col(end) - 1) / bin_width)))
+
+    marked = a.withColumn("_row", F.monotonically_increasing_id())
+    right = valid(b).select(*(F.col(c).alias(f"b_{c}") for c in b.columns))
+    left = valid(marked).withColumn("_bin", bins("start", "end"))
+    other = right.withColumn("_b_bin", bins("b_start", "b_end"))
+    on = [F.col(k).eqNullSafe(F.col(f"b_{k}")) for k in keys] + [F.col("_bin") == F.col("_b_bin")]
+    hit = left.join(other, on).filter((F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")))
+    hit = hit.filter(F.col("_bin") == F.floor(F.greatest("start", "b_start") / bin_width))
+    overlap = F.least("end", "b_end") - F.greatest("start", "b_start")
+    if how == "inner":
+        return hit.select(*a.columns, *right.columns, overlap.alias("overlap"))
+    touched = hit.select(F.col("_row").alias("_hit")).distinct()
+    if how in ("left_semi", "left_anti"):
+        return marked.join(touched, F.col("_row") == F.col("_hit"), how).select(*a.columns)
+    if how == "left":
+        pairs = hit.select(*a.columns, *right.columns, overlap.alias("overlap"))
+        alone = marked.join(touched, F.col("_row") == F.col("_hit"), "left_anti").select(*a.columns)
+        return pairs.unionByName(alone, allowMissingColumns=True)
+    raise ValueError(f"unknown join kind {how!r}")
+
+
+def as_of(points: DataFrame, ranges: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """points (keys, pos, ...) with the `value` of the last range that starts at or before pos, and
+    null where that range has ended: one union and one window, no range join."""
+    p = points.withColumn("_kind", F.lit(1)).withColumn("_end", F.lit(None).cast("long")).withColumn("_value", F.lit(None).cast(ranges.schema[value].dataType))
+    r = ranges.select(*keys, F.col("start").alias("pos"), F.lit(0).alias("_kind"), F.col("end").cast("long").alias("_end"), F.col(value).alias("_value"))
+    w = Window.partitionBy(*keys).orderBy("pos", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.last(F.when(F.col("_kind") == 0, F.struct("_end", "_value")), ignorenulls=True).over(w)
+    both = p.unionByName(r, allowMissingColumns=True).withColumn("_last", last)
+    return both.filter(F.col("_kind") == 1).withColumn(value, F.when(F.col("pos") < F.col("_last._end"), F.col("_last._value"))).drop("_kind", "_end", "_value", "_last")
+
+
+def reciprocal_pairs(a: DataFrame, keys: Sequence[str], least: float, bin_width: int, id_col: str = "id") -> DataFrame:
+    """(left_id, right_id, overlap) of ranges of one frame that cover each other by at least the share."""
+    hit = overlap_join(a.select(id_col, *keys, "start", "end"), a.select(id_col, *keys, "start", "end"), keys, bin_width)
+    longer = F.greatest(F.col("end") - F.col("start"), F.col("b_end") - F.col("b_start"))
+    return hit.filter((F.col(id_col) < F.col(f"b_{id_col}")) & (F.col("overlap") >= F.lit(least) * longer)).select(
+        F.col(id_col).alias("left_id"), F.col(f"b_{id_col}").alias("right_id"), "overlap"
+    )
+
+
+def exclusions(baseline: DataFrame, phases: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:
+    """(keys, phase, start, end): what each phase lost of what the phase before it still had.
+
+    `baseline` is what went in; `phases` are (name, covered ranges) in order. Every lost base
+    is charged to the first phase that lacks it, so losses and what the last phase kept
+    add up to the input. A phase's ranges outside those of the phase before count for nothing.
+    """
+    layers = [("", baseline), *phases]
+    sides = [
+        valid(df).select(*keys, F.explode(F.array(F.struct(F.col("start").alias("pos"), F.lit(1).alias("w")), F.struct(F.col("end").alias("pos"), F.lit(-1).alias("w")))).alias("e"), F.lit(i).alias("layer"))
+        for i, (_, df) in enumerate(layers)
+    ]
+    edges = sides[0]
+    for side in sides[1:]:
+        edges = edges.unionByName(side)
+    names = [f"d{i}" for i in range(len(layers))]
+    summed = edges.groupBy(*keys, F.col("e.pos").alias("pos")).agg(*(F.sum(F.when(F.col("layer") == i, F.col("e.w")).otherwise(0)).alias(n) for i, n in enumerate(names)))
+    w = Window.partitionBy(*keys).orderBy("pos")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    pieces = summed.select(*keys, F.col("pos").alias("start"), F.lead("pos").over(w).alias("end"), *(F.sum(n).over(run).alias(n) for n in names))
+    phase = F.lit(None).cast("string")
+    for (name, _), n in reversed(list(zip(phases, names[1:], strict=True))):
+        phase = F.when(F.col(n) == 0, F.lit(name)).otherwise(phase)
+    lost = pieces.filter(F.col("end").isNotNull() & (F.col("d0") > 0)).withColumn("phase", phase).filter(F.col("phase").isNotNull())
+    return merge(lost, [*keys, "phase"])
