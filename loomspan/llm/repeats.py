@@ -38,7 +38,7 @@ class RepeatConfig:
     window: int = 13
     anchor: int = 7
     range_docs: int = 4000
-    shard_docs: int = 4000
+    shard_docs: int = 400
 
 
 def anchors(tokens: list[bytes], config: RepeatConfig) -> tuple[np.ndarray, np.ndarray]:
@@ -173,28 +173,41 @@ def passages(docs: DataFrame, hits: DataFrame, shards: int, config: RepeatConfig
     return joined.mapInArrow(run, "shard int, doc_id long, start int, words binary")
 
 
-def confirm(ids: list[int], texts: list[tuple[int, ...]], window: int) -> dict[tuple[int, ...], int]:
-    """Windows that start in several documents, with the least of their ids."""
-    least: dict[tuple[int, ...], int] = {}
-    again: set[tuple[int, ...]] = set()
-    for doc_id, seq in zip(ids, texts, strict=True):
-        for i in range(len(seq) - window + 1):
-            w = seq[i : i + window]
-            first = least.setdefault(w, doc_id)
-            if first != doc_id:
-                again.add(w)
-                if doc_id < first:
-                    least[w] = doc_id
-    return {w: least[w] for w in again}
+def confirm(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, least: np.ndarray, most: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(windows, first): distinct windows, as rows of word numbers, that start in several
+    documents, and the least of their ids.
 
-
-def compile_automaton(confirmed: dict[tuple[int, ...], int]):
+    Text k is words[starts[k] : starts[k] + sizes[k]]; the least and greatest id of the
+    documents that have it are least[k] and most[k].
+    """
+    per = sizes - window + 1
+    at = np.arange(int(per.sum())) + np.repeat(starts - (np.cumsum(per) - per), per)
+    rows = words[at[:, None] + np.arange(window)]
+    key = window_hashes(word_numbers(words), window)[at]
+    _, place, group = np.unique(key, return_index=True, return_inverse=True)
+    if (rows != rows[place[group]]).any():  # two windows of one hash: compare the words
+        _, place, group = np.unique(rows, axis=0, return_index=True, return_inverse=True)
+        group = group.reshape(-1)
+    first, last = np.full(len(place), np.iinfo(np.int64).max), np.full(len(place), np.iinfo(np.int64).min)
+    np.minimum.at(first, group, np.repeat(least, per))
+    np.maximum.at(last, group, np.repeat(most, per))
+    again = first < last
+    return rows[place[again]], first[again]
+
+
+def word_numbers(words: np.ndarray) -> np.ndarray:
+    """Spread small word numbers over 64 bits for hashing."""
+    x = words.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(32))
+
+
+def compile_automaton(windows: np.ndarray, first: np.ndarray):
     """An Aho-Corasick automaton over word numbers; each passage carries its first document."""
     import ahocorasick
 
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for passage, first in confirmed.items():
-        automaton.add_word(passage, first)
+    for passage, doc_id in zip(map(tuple, windows.tolist()), first.tolist(), strict=True):
+        automaton.add_word(passage, doc_id)
     automaton.make_automaton()
     return automaton
 
@@ -203,18 +216,32 @@ def locate(found: DataFrame, config: RepeatConfig) -> DataFrame:
     """(doc_id, spans): packed (start, end) word ranges of each document that an earlier one has too."""
 
     def shard(group: pa.Table) -> pa.Table:
-        ids, starts = group["doc_id"].to_pylist(), group["start"].to_pylist()
+        owners: dict[bytes, list[int]] = {}  # rows by text: a text is read once, whoever has it
+        for i, x in enumerate(group["words"].to_pylist()):
+            owners.setdefault(x, []).append(i)
+        ids, places = group["doc_id"].to_numpy(), group["start"].to_numpy()
         number: dict[bytes, int] = {}
-        texts = [tuple([number.setdefault(w, len(number)) for w in x.split(b" ")]) for x in group["words"].to_pylist()]
-        confirmed = confirm(ids, texts, config.window)
-        spans: dict[int, list[int]] = {}
-        if confirmed:
-            automaton = compile_automaton(confirmed)
-            for doc_id, at, text in zip(ids, starts, texts, strict=True):
-                for end, first in automaton.iter(text):
-                    if first < doc_id:
-                        spans.setdefault(doc_id, []).extend((at + end + 1 - config.window, at + end + 1))
-        return pa.table({"doc_id": pa.array(list(spans), pa.int64()), "spans": pa.array([np.array(x, np.int32).tobytes() for x in spans.values()], pa.binary())})
+        texts = [tuple([number.setdefault(w, len(number)) for w in x.split(b" ")]) for x in owners]
+        sizes = np.array([len(t) for t in texts])
+        words = np.fromiter((w for t in texts for w in t), np.int32, int(sizes.sum()))
+        rows = [ids[r] for r in owners.values()]
+        windows, first = confirm(words, np.cumsum(sizes) - sizes, sizes, np.array([r.min() for r in rows]), np.array([r.max() for r in rows]), config.window)
+        out_doc, out_span = [], []
+        if len(windows):
+            automaton = compile_automaton(windows, first)
+            for text, mine, docs in zip(texts, owners.values(), rows, strict=True):
+                hits = list(automaton.iter(text))
+                if not hits:
+                    continue
+                end, earliest = np.array(hits).T
+                for i, doc_id in zip(mine, docs.tolist(), strict=True):
+                    ends = end[earliest < doc_id] + 1 + int(places[i])
+                    if len(ends):
+                        cut = np.flatnonzero(np.diff(ends) > config.window)  # ranges that overlap or touch join
+                        lows, highs = ends[np.r_[0, cut + 1]] - config.window, ends[np.r_[cut, -1]]
+                        out_doc.append(doc_id)
+                        out_span.append(np.stack((lows, highs), axis=1).astype(np.int32).tobytes())
+        return pa.table({"doc_id": pa.array(out_doc, pa.int64()), "spans": pa.array(out_span, pa.binary())})
 
     return found.groupBy("shard").applyInArrow(shard, "doc_id long, spans binary")
 
