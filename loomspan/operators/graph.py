@@ -41,3 +41,51 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     labels = state.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
     return nodes.join(labels, F.col("id") == F.col("w"), "left").select("id", F.coalesce("m", "id").alias("component"))
+
+
+def break_up_greedily(edges: DataFrame, components: DataFrame, cap: int) -> DataFrame:
+    """Edges (a, b, score) with `kept`: within each component, best edges first, one is kept
+    unless it would join parts to more than `cap` nodes.
+
+    Edges of a component are taken by score, then a, then b. Components are independent,
+    so each is one group; a component's edges are bounded by what one group holds.
+    """
+    import pandas as pd
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["score", "a", "b"], ascending=[False, True, True], kind="stable")
+        parent: dict[int, int] = {}
+        size: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        kept = []
+        for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist(), strict=True):
+            x, y = root(a), root(b)
+            joined = size.get(x, 1) + (size.get(y, 1) if x != y else 0)
+            kept.append(joined <= cap)
+            if x != y and joined <= cap:
+                parent[y], size[x] = x, joined
+        return pdf.assign(kept=kept)[["a", "b", "score", "kept"]]
+
+    placed = edges.join(components.withColumnRenamed("id", "a"), "a")
+    return placed.groupBy("component").applyInPandas(run, "a long, b long, score double, kept boolean")
+
+
+def degrees(edges: DataFrame) -> DataFrame:
+    """(id, degree) over both endpoints of distinct edges."""
+    both = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return both.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
+
+
+def drop_stubs(edges: DataFrame, rounds: int) -> DataFrame:
+    """Edges left after removing, for some rounds, all edges of nodes with one neighbour."""
+    left = edges
+    for _ in range(rounds):
+        stub = degrees(left).filter("degree = 1").select("id")
+        left = materialize(left.join(stub, F.col("a") == F.col("id"), "left_anti").join(stub, F.col("b") == F.col("id"), "left_anti"), "stubs")
+    return left

@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from loomspan.plans import intervals, relational, scalar  # noqa: F401
+    from loomspan.plans import intervals, relational, scalar, structure  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
