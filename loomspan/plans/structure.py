@@ -14,7 +14,7 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as alignments: the order is the query, the part the target."""
     n = F.col("l_quantity").cast("long")
     return table(spark, sf_dir, "lineitem").select(
-        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey") * 10 + F.col("l_suppkey") % 10).alias("id"),
+        (((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")) * 1000 + F.floor("l_extendedprice") % 1000).alias("id"),
         (F.col("l_orderkey") % 500).cast("string").alias("query"),
         F.lit(1000).cast("long").alias("qlen"),
         (F.col("l_suppkey") * 7 % 900).alias("qstart"),
@@ -31,7 +31,7 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ALN = """WITH aln AS (SELECT (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey * 10 + l_suppkey % 10 AS id, CAST(l_orderkey % 500 AS VARCHAR) AS query, 1000 AS qlen, l_suppkey * 7 % 900 AS qstart, l_suppkey * 7 % 900 + CAST(l_quantity AS BIGINT) AS qend,
+ALN = """WITH aln AS (SELECT ((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 1000 + CAST(floor(l_extendedprice) AS BIGINT) % 1000 AS id, CAST(l_orderkey % 500 AS VARCHAR) AS query, 1000 AS qlen, l_suppkey * 7 % 900 AS qstart, l_suppkey * 7 % 900 + CAST(l_quantity AS BIGINT) AS qend,
  CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, CAST(l_partkey % 4 AS VARCHAR) AS target, l_partkey * 3 % 4900 AS tstart, l_partkey * 3 % 4900 + CAST(l_quantity AS BIGINT) AS tend,
  CAST(l_quantity AS BIGINT) - l_linenumber AS matches, CAST(l_quantity AS BIGINT) AS block, l_orderkey % 61 AS mapq, CASE WHEN l_linenumber % 3 > 0 THEN l_extendedprice END AS score FROM lineitem)"""
 
