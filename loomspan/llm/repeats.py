@@ -59,7 +59,7 @@ def text_words(text: str | None) -> list[bytes]:
 
 def packed_anchors(docs: DataFrame, ranges: int, config: RepeatConfig) -> DataFrame:
     """Rows of two kinds: (range, hashes, docs) blocks with each batch's distinct anchors and one
-    document for each, and (doc_id, hits): anchors already known to recur in the batch."""
+    document for each, and (doc_id, hits): anchors already known to recur, within the batch."""
 
     def run(batches):
         for batch in batches:
@@ -82,7 +82,7 @@ def packed_anchors(docs: DataFrame, ranges: int, config: RepeatConfig) -> DataFr
             changes = ~fresh & np.r_[False, d[1:] != d[:-1]]
             several[np.isin(group, group[changes])] = True
             first_h, first_d = h[fresh], d[fresh]
-            # The first document stands for the batch's; it is told too, unless it is settled.
+            # One document stands for the batch: if other batches have the anchor, it alone need be told.
             part = (first_h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
             cuts = np.searchsorted(part, np.arange(ranges + 1, dtype=np.uint64))
             blocks = [(r, first_h[a:b], first_d[a:b]) for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
@@ -97,12 +97,12 @@ def packed_anchors(docs: DataFrame, ranges: int, config: RepeatConfig) -> DataFr
                     pa.array([delta(b[1]) for b in blocks] + [None] * m, pa.binary()),
                     pa.array([b[2].tobytes() for b in blocks] + [None] * m, pa.binary()),
                     pa.array([None] * n + [x[0] for x in hits], pa.int64()),
-                    pa.array([None] * n + [x[1].tobytes() for x in hits], pa.binary()),
+                    pa.array([None] * n + [x[1].view(np.int64) for x in hits], pa.list_(pa.int64())),
                 ],
                 names=["range", "hashes", "docs", "doc_id", "hits"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "range int, hashes binary, docs binary, doc_id long, hits binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "range int, hashes binary, docs binary, doc_id long, hits array<long>")
 
 
 def delta(sorted_hashes: np.ndarray) -> bytes:
@@ -117,23 +117,19 @@ def undelta(block: bytes) -> np.ndarray:
 
 
 def recurring(packed: DataFrame) -> DataFrame:
-    """(doc_id, hits): for each document, packed hashes of its anchors that other documents hold too."""
+    """(doc_id, hit): each document's anchors that other documents hold too."""
 
     def merge(group: pa.Table) -> pa.Table:
         h = np.concatenate([undelta(x) for x in group["hashes"].to_pylist()])
         d = np.concatenate([np.frombuffer(x, np.int64) for x in group["docs"].to_pylist()])
-        order = np.lexsort((d, h))
+        order = np.argsort(h, kind="stable")
         h, d = h[order], d[order]
         same = h[1:] == h[:-1]
         again = np.r_[same, False] | np.r_[False, same]
-        h, d = h[again], d[again]
-        order = np.lexsort((h, d))
-        h, d = h[order], d[order]
-        starts = np.flatnonzero(np.r_[True, d[1:] != d[:-1]]) if len(d) else []
-        return pa.table({"doc_id": pa.array(d[starts] if len(d) else [], pa.int64()), "hits": pa.array([x.tobytes() for x in np.split(h, starts[1:])] if len(d) else [], pa.binary())})
+        return pa.table({"doc_id": pa.array(d[again]), "hit": pa.array(h[again].view(np.int64))})
 
-    across = packed.filter(F.col("range").isNotNull()).select("range", "hashes", "docs").groupBy("range").applyInArrow(merge, "doc_id long, hits binary")
-    return across.union(packed.filter(F.col("range").isNull()).select("doc_id", "hits"))
+    across = packed.filter(F.col("range").isNotNull()).select("range", "hashes", "docs").groupBy("range").applyInArrow(merge, "doc_id long, hit long")
+    return across.union(packed.filter(F.col("range").isNull()).select("doc_id", F.explode("hits").alias("hit")))
 
 
 def stretches(tokens: list[bytes], hits: np.ndarray, config: RepeatConfig) -> list[tuple[int, int, int]]:
@@ -149,17 +145,21 @@ def stretches(tokens: list[bytes], hits: np.ndarray, config: RepeatConfig) -> li
     return [(int(h[at[a]]), int(a), int(b - a + config.window - 1)) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True) if known[a]]
 
 
-def passages(docs: DataFrame, hits: DataFrame, shards: int, config: RepeatConfig) -> DataFrame:
-    """(shard, doc_id, start, words) of every stretch around a recurring anchor; words joined by one space."""
+def passages(docs: DataFrame, hits: DataFrame, whole: DataFrame, shards: int, config: RepeatConfig) -> DataFrame:
+    """(shard, doc_id, start, words) of every stretch around a recurring anchor; words joined by one space.
+
+    Documents of `whole` need no search: all their windows are an earlier document's."""
 
     def run(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 some = batch.slice(i, 500)
                 shard, doc, start, words = [], [], [], []
-                for doc_id, text, found in zip(*(some.column(c).to_pylist() for c in range(3)), strict=True):
+                hits = some.column(2)
+                at, flat = hits.offsets.to_numpy(), hits.values.to_numpy().view(np.uint64)
+                for k, (doc_id, text) in enumerate(zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True)):
                     tokens = text_words(text)
-                    for h, a, n in stretches(tokens, np.frombuffer(b"".join(found), np.uint64), config):
+                    for h, a, n in stretches(tokens, flat[at[k] : at[k + 1]], config):
                         shard.append(h * shards >> 64)
                         doc.append(doc_id)
                         start.append(a)
@@ -168,8 +168,10 @@ def passages(docs: DataFrame, hits: DataFrame, shards: int, config: RepeatConfig
                     [pa.array(shard, pa.int32()), pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(words, pa.binary())], names=["shard", "doc_id", "start", "words"]
                 )
 
-    by_doc = hits.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list("hits").alias("hits"))
-    joined = docs.select("doc_id", "text").join(by_doc, F.col("doc_id") == F.col("d")).select("doc_id", "text", "hits")
+    by_doc = hits.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list("hit").alias("hits"))
+    wanted = by_doc.join(whole.select(F.col("doc_id").alias("w")), F.col("d") == F.col("w"), "left_anti").hint("merge")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]  # read here too, so that one exchange serves both uses
+    joined = docs.join(wanted, F.col("doc_id") == F.col("d")).select("doc_id", "text", "hits", *others)
     return joined.mapInArrow(run, "shard int, doc_id long, start int, words binary")
 
 
@@ -201,66 +203,122 @@ def word_numbers(words: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def compile_automaton(windows: np.ndarray, first: np.ndarray):
-    """An Aho-Corasick automaton over word numbers; each passage carries its first document."""
+class WordCodes:
+    """Words as strings of a fixed number of symbols, each place with an alphabet of its own.
+
+    An automaton searches a node's branches one by one, so few symbols keep it fast, and as
+    the places' alphabets differ, matches begin at words only.
+    """
+
+    BASE = 64
+
+    def __init__(self, words: int):
+        self.places = 1
+        while self.BASE**self.places < words:
+            self.places += 1
+        self.codes = ["".join(chr(0x100 + self.BASE * p + w // self.BASE**p % self.BASE) for p in range(self.places)) for w in range(words)]
+
+    def spell(self, numbers: list[int]) -> str:
+        return "".join([self.codes[w] for w in numbers])
+
+
+def compile_automaton(windows: np.ndarray, first: np.ndarray, codes: WordCodes):
+    """An Aho-Corasick automaton over spelled windows; each passage carries its first document."""
     import ahocorasick
 
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for passage, doc_id in zip(map(tuple, windows.tolist()), first.tolist(), strict=True):
-        automaton.add_word(passage, doc_id)
+    automaton = ahocorasick.Automaton()
+    for passage, doc_id in zip(windows.tolist(), first.tolist(), strict=True):
+        automaton.add_word(codes.spell(passage), doc_id)
     automaton.make_automaton()
     return automaton
 
 
 def locate(found: DataFrame, config: RepeatConfig) -> DataFrame:
-    """(doc_id, spans): packed (start, end) word ranges of each document that an earlier one has too."""
+    """(doc_id, start, end): word ranges of documents that an earlier document has too."""
 
     def shard(group: pa.Table) -> pa.Table:
-        owners: dict[bytes, list[int]] = {}  # rows by text: a text is read once, whoever has it
-        for i, x in enumerate(group["words"].to_pylist()):
-            owners.setdefault(x, []).append(i)
-        ids, places = group["doc_id"].to_numpy(), group["start"].to_numpy()
+        code = group["words"].combine_chunks().dictionary_encode()  # a text is read once, whoever has it
+        text_of, distinct = code.indices.to_numpy(), code.dictionary.to_pylist()
+        ids, places = group["doc_id"].to_numpy(), group["start"].to_numpy().astype(np.int64)
         number: dict[bytes, int] = {}
-        texts = [tuple([number.setdefault(w, len(number)) for w in x.split(b" ")]) for x in owners]
+        texts = [[number.setdefault(w, len(number)) for w in x.split(b" ")] for x in distinct]
         sizes = np.array([len(t) for t in texts])
         words = np.fromiter((w for t in texts for w in t), np.int32, int(sizes.sum()))
-        rows = [ids[r] for r in owners.values()]
-        windows, first = confirm(words, np.cumsum(sizes) - sizes, sizes, np.array([r.min() for r in rows]), np.array([r.max() for r in rows]), config.window)
-        out_doc, out_span = [], []
+        least, most = np.full(len(texts), np.iinfo(np.int64).max), np.full(len(texts), np.iinfo(np.int64).min)
+        np.minimum.at(least, text_of, ids)
+        np.maximum.at(most, text_of, ids)
+        windows, first = confirm(words, np.cumsum(sizes) - sizes, sizes, least, most, config.window)
+        ends, earliest, hits = [], [], np.zeros(len(texts), np.int64)
         if len(windows):
-            automaton = compile_automaton(windows, first)
-            for text, mine, docs in zip(texts, owners.values(), rows, strict=True):
-                hits = list(automaton.iter(text))
-                if not hits:
-                    continue
-                end, earliest = np.array(hits).T
-                for i, doc_id in zip(mine, docs.tolist(), strict=True):
-                    ends = end[earliest < doc_id] + 1 + int(places[i])
-                    if len(ends):
-                        cut = np.flatnonzero(np.diff(ends) > config.window)  # ranges that overlap or touch join
-                        lows, highs = ends[np.r_[0, cut + 1]] - config.window, ends[np.r_[cut, -1]]
-                        out_doc.append(doc_id)
-                        out_span.append(np.stack((lows, highs), axis=1).astype(np.int32).tobytes())
-        return pa.table({"doc_id": pa.array(out_doc, pa.int64()), "spans": pa.array(out_span, pa.binary())})
-
-    return found.groupBy("shard").applyInArrow(shard, "doc_id long, spans binary")
-
-
-def covered(n: int, spans: list[bytes]) -> np.ndarray:
-    """Which of n words the spans cover."""
-    edges = np.frombuffer(b"".join(spans), np.int32).reshape(-1, 2)
-    depth = np.bincount(edges[:, 0], minlength=n + 1)[: n + 1] - np.bincount(edges[:, 1], minlength=n + 1)[: n + 1]
+            codes = WordCodes(len(number))
+            automaton = compile_automaton(windows, first, codes)
+            for k, text in enumerate(texts):
+                before = len(ends)
+                for end, doc_id in automaton.iter(codes.spell(text)):
+                    ends.append((end + 1) // codes.places)
+                    earliest.append(doc_id)
+                hits[k] = len(ends) - before
+        # Every row gets its text's occurrences; those that begin in an earlier document stay.
+        n = hits[text_of]
+        row = np.repeat(np.arange(len(ids)), n)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat((np.cumsum(hits) - hits)[text_of], n)
+        end, doc = np.array(ends, np.int64)[at], ids[row]
+        keep = np.array(earliest, np.int64)[at] < doc
+        row, doc, end = row[keep], doc[keep], end[keep]
+        fresh = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (np.diff(end) > config.window)]) if len(row) else np.empty(0, np.int64)
+        last = np.r_[fresh[1:], len(row)][: len(fresh)] - 1
+        base = places[row[fresh]]
+        return pa.table({"doc_id": pa.array(doc[fresh]), "start": pa.array((base + end[fresh] - config.window).astype(np.int32)), "end": pa.array((base + end[last]).astype(np.int32))})
+
+    return found.groupBy("shard").applyInArrow(shard, "doc_id long, start int, end int")
+
+
+#: The end of a range that stands for the whole text.
+WHOLE = -1
+
+
+def copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, start, end): whole texts that an earlier document has, by SHA-256."""
+    keyed = docs.filter(F.col("text").isNotNull()).select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha"))
+    firsts = keyed.groupBy(F.col("text_sha").alias("sha")).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    later = keyed.join(firsts, F.col("text_sha") == F.col("sha")).filter(F.col("doc_id") > F.col("first"))
+    return later.select("doc_id", F.lit(0).alias("start"), F.lit(WHOLE).alias("end")).distinct()
+
+
+def covered(n: int, start: np.ndarray, end: np.ndarray, window: int) -> np.ndarray:
+    """Which of n words the ranges cover. A whole text goes only if it holds a window."""
+    if (end == WHOLE).any():
+        return np.full(n, n >= window)
+    start, end = np.minimum(start, n), np.minimum(end, n)
+    depth = np.bincount(start, minlength=n + 1) - np.bincount(end, minlength=n + 1)
     return np.cumsum(depth)[:n] > 0
 
 
-def repeated_spans(docs: DataFrame, config: RepeatConfig = RepeatConfig()) -> DataFrame:
-    """(doc_id, spans) for documents with words to remove: lists of packed (start, end) word ranges."""
+def ranges_by_row(starts: pa.Array, ends: pa.Array):
+    """(start, end) arrays of each row of two list columns; None where there are none."""
+    a, b, offsets = starts.values.to_numpy(), ends.values.to_numpy(), starts.offsets.to_numpy()
+    for i, valid in enumerate(starts.is_valid().to_pylist()):
+        yield (a[offsets[i] : offsets[i + 1]], b[offsets[i] : offsets[i + 1]]) if valid else None
+
+
+def with_ranges(docs: DataFrame, config: RepeatConfig) -> DataFrame:
+    """The rows of docs with two more columns: the starts and ends of the word ranges to remove, or null.
+
+    Columns keep their places, but only doc_id and text their names. The texts are dealt by
+    doc_id once: looking for passages and removing them read the same exchange.
+    """
+    docs = docs.toDF(*(c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)))
+    known = docs.filter(F.col("doc_id").isNotNull())
     total = docs.count()
     ranges, shards = 1 + total // config.range_docs, 1 + total // config.shard_docs
-    packed = materialize(packed_anchors(docs, ranges, config), "repeat-anchors")
-    found = passages(docs, recurring(packed), shards, config)
-    located = materialize(locate(found, config), "repeat-spans")
-    return located.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list("spans").alias("spans"))
+    packed = materialize(packed_anchors(known, ranges, config), "repeat-anchors")
+    whole = materialize(copies(known), "repeat-copies")
+    dealt = known.repartition("doc_id")
+    found = passages(dealt, recurring(packed), whole, shards, config)
+    by_doc = locate(found, config).unionByName(whole).groupBy(F.col("doc_id").alias("d")).agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+    marked = dealt.join(by_doc, F.col("doc_id") == F.col("d"), "left").select(*docs.columns, "starts", "ends")
+    none = F.lit(None).cast("array<int>")
+    return marked.unionByName(docs.filter(F.col("doc_id").isNull()).withColumns({"starts": none, "ends": none}))
 
 
 def removal_digests(docs: DataFrame, config: RepeatConfig = RepeatConfig()) -> DataFrame:
@@ -275,17 +333,16 @@ def removal_digests(docs: DataFrame, config: RepeatConfig = RepeatConfig()) -> D
     def run(batches):
         for batch in batches:
             n, removed, sha = [], [], []
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, spans in zip(batch.column(1).to_pylist(), ranges_by_row(batch.column(2), batch.column(3)), strict=True):
                 tokens = text_words(text)
-                gone = covered(len(tokens), spans) if spans else np.zeros(len(tokens), bool)
+                gone = covered(len(tokens), *spans, config.window) if spans else np.zeros(len(tokens), bool)
                 kept = [w for w, g in zip(tokens, gone.tolist(), strict=True) if not g] if gone.any() else tokens
                 n.append(len(tokens))
                 removed.append(int(gone.sum()))
                 sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    joined = docs.select("doc_id", "text").join(repeated_spans(docs, config), F.col("doc_id") == F.col("d"), "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return with_ranges(docs.select("doc_id", "text"), config).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, config: RepeatConfig = RepeatConfig()) -> DataFrame:
@@ -303,11 +360,12 @@ def remove_repeats(docs: DataFrame, config: RepeatConfig = RepeatConfig()) -> Da
     def run(batches):
         for batch in batches:
             texts, keep = [], []
-            for text, spans in zip(batch.column(text_at).to_pylist(), batch.column(len(fields)).to_pylist(), strict=True):
+            for text, spans in zip(batch.column(text_at).to_pylist(), ranges_by_row(batch.column(len(fields)), batch.column(len(fields) + 1)), strict=True):
+                stays = True
                 if spans:
                     raw = text.encode("utf-8", "surrogatepass")
                     places = [m.span() for m in word.finditer(raw)]
-                    gone = covered(len(places), spans)
+                    gone = covered(len(places), *spans, config.window)
                     out, at = [], 0
                     for (a, b), g in zip(places, gone.tolist(), strict=True):
                         if g:
@@ -315,13 +373,11 @@ def remove_repeats(docs: DataFrame, config: RepeatConfig = RepeatConfig()) -> Da
                             at = b
                     out.append(raw[at:])
                     text = b"".join(out).decode("utf-8", "surrogatepass")
-                    keep.append(not gone.all())
-                else:
-                    keep.append(True)
+                    stays = not gone.all() or not len(gone)
+                keep.append(stays)
                 texts.append(text)
-            columns = list(batch.columns[:-1])
+            columns = list(batch.columns[:-2])
             columns[text_at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=fields).filter(pa.array(keep, pa.bool_()))
 
-    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("row_id")).join(repeated_spans(docs, config), F.col("row_id") == F.col("d"), "left")
-    return marked.select(*(F.col(f"row.`{c}`").alias(f"c{i}") for i, c in enumerate(fields)), "spans").mapInArrow(run, docs.schema)
+    return with_ranges(docs, config).mapInArrow(run, docs.schema)
