@@ -6,15 +6,16 @@ from loomspan.llm import mixing
 CONFIG = mixing.MixConfig(budget=0.4, rounds=40)
 
 
-def test_margins_and_budget(docs):
-    got = mixing.mix(docs, CONFIG).toPandas()
+def test_margins_and_budget(spark):
+    kinds = {"list": "a b c\n" * 5, "brief": "word " * 30, "prose": "words " * 400}
+    rows = [(i, text, lang, source) for i, (lang, source, text) in enumerate((x, y, z * (1 + k % 3)) for k, x in enumerate(("en", "de", None)) for y in ("a", "a", "b", "c") for z in kinds.values())]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), CONFIG).toPandas().fillna("null")
     assert got["weight"].sum() == pytest.approx(1, abs=1e-9)
     assert (got["tokens"] * got["probability"]).sum() == pytest.approx(0.4 * got["tokens"].sum(), rel=1e-9)
     for margin, power in zip(mixing.MARGINS, CONFIG.temper, strict=True):
-        natural = (got.fillna("null").groupby(margin)["tokens"].sum() / got["tokens"].sum()) ** power
-        natural[got.fillna("null").groupby(margin)["tokens"].sum() == 0] = 0
-        have = got.fillna("null").groupby(margin)["weight"].sum()
-        assert (have - natural / natural.sum()).abs().max() < 0.02
+        natural = (got.groupby(margin)["tokens"].sum() / got["tokens"].sum()) ** power
+        have = got.groupby(margin)["weight"].sum()
+        assert (have - natural / natural.sum()).abs().max() < 1e-6
 
 
 def test_rows_and_decisions(docs, repeated, empty):
