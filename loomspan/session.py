@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +32,23 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or os.path.join(tempfile.gettempdir(), f"loomspan-{os.getuid()}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+_scratch: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Within it, tables that materialize() writes are temporary: they are deleted at its end,
+    but for those written with keep=True. Nothing lazy that reads the others may leave it."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs a re-read, not a recomputation
@@ -38,5 +56,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scratch and not keep:
+        _scratch[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
