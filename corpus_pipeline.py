@@ -26,7 +26,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows without a doc_id stay; of rows that repeat a doc_id one stays.
     """
-    found = materialize(jaccard.near_duplicates(docs), "pipeline-components")
+    found = jaccard.near_duplicates(docs)
     losers = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
     kept = docs.join(losers, F.col("doc_id") == F.col("gone"), "left_anti")
     repeated = found.groupBy(F.col("doc_id").alias("again")).count().filter(F.col("again").isNotNull() & (F.col("count") > 1)).select("again")

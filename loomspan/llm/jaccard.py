@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspan.llm.text import shingle_set
-from loomspan.session import materialize
+from loomspan.session import materialize, scratch
 
 
 @dataclass(frozen=True)
@@ -324,8 +324,14 @@ def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) ->
     without words, have no shingles, and are linked with nothing. Rows that share a doc_id
     are one document: they share a component, and each row has its own n_shingles. A row with
     a null doc_id takes part in nothing and has a null component. Only doc_id and text are
-    read. An empty table gives an empty result.
+    read. An empty table gives an empty result. The result is stored; all tables on the way
+    to it are deleted.
     """
+    with scratch(docs.sparkSession):
+        return materialize(_near_duplicates(docs, config), "jaccard-components", keep=True)
+
+
+def _near_duplicates(docs: DataFrame, config: JaccardConfig) -> DataFrame:
     from loomspan.operators.graph import connected_components
 
     signed = materialize(signatures(docs, bin_counts(docs, config), config), "jaccard-signatures")
@@ -335,7 +341,9 @@ def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) ->
     same = copies.filter(F.col("first") < F.col("doc_id")).select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     owners = copies.filter(F.col("first") == F.col("doc_id")).select("doc_id", "n", "prefix").dropDuplicates(["doc_id", "n", "prefix"])
     regions = materialize(connected_components(candidate_edges(owners, config)), "jaccard-regions")
-    members = docs.select("doc_id", "text").join(regions.select("id", F.col("component").alias("region")), F.col("doc_id") == F.col("id")).select("region", "doc_id", "text")
+    # One plan at every size: the texts are dealt by doc_id, and no size of regions changes that.
+    placed = regions.select("id", F.col("component").alias("region")).hint("merge")
+    members = docs.select("doc_id", "text").join(placed, F.col("doc_id") == F.col("id")).select("region", "doc_id", "text")
 
     def shingle(batches):
         for batch in batches:

@@ -41,6 +41,10 @@ class RepeatConfig:
     shard_docs: int = 400
 
 
+#: Anchors are least hashes, so small ones prevail; times an odd number they are even again.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
 def anchors(tokens: list[bytes], config: RepeatConfig) -> tuple[np.ndarray, np.ndarray]:
     """(hash, place) of the anchors of a text: the least hash among the short runs of each
     window, the leftmost of equal ones. A text shorter than a window has none."""
@@ -50,7 +54,7 @@ def anchors(tokens: list[bytes], config: RepeatConfig) -> tuple[np.ndarray, np.n
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     rows = np.lib.stride_tricks.sliding_window_view(h, span)
     at = np.unique(rows.argmin(axis=1) + np.arange(len(rows)))
-    return h[at], at
+    return h[at] * SPREAD, at
 
 
 def text_words(text: str | None) -> list[bytes]:
@@ -140,6 +144,7 @@ def stretches(tokens: list[bytes], hits: np.ndarray, config: RepeatConfig) -> li
         return []
     rows = np.lib.stride_tricks.sliding_window_view(h, span)
     at = rows.argmin(axis=1) + np.arange(len(rows))  # anchor of each window
+    h = h * SPREAD
     known = np.isin(h[at], hits)
     edge = np.flatnonzero(np.r_[True, at[1:] != at[:-1], True])
     return [(int(h[at[a]]), int(a), int(b - a + config.window - 1)) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True) if known[a]]

@@ -20,17 +20,30 @@ BLOCK = 1024
 def _choices(values: np.ndarray, block: int) -> np.ndarray:
     """For each place, the selector that packs most ids from there on within its block."""
     n = len(values)
+    if n and values.max() < 1 << 32:
+        values = values.astype(np.uint32)
     chosen = np.full(n, ESCAPE, np.uint8)
-    left = block - np.arange(n) % block
+    left = block - np.arange(n, dtype=np.int32) % block
     for selector in range(len(PACKINGS) - 1, -1, -1):
         count, bits = PACKINGS[selector]
-        fits = values < np.uint64(1 << bits)
-        if count > n or not fits.any():
+        fits = values < values.dtype.type(1 << bits) if bits < 8 * values.dtype.itemsize else np.ones(n, bool)
+        if count == 1:
+            chosen[fits] = selector
+            continue
+        # Places from which `count` ids in a row fit.
+        if np.count_nonzero(fits) > n // 4:
+            if count > n:
+                break
+            row = fits[: n - count + 1] & (left[: n - count + 1] >= count)
+            for i in range(1, count):
+                row &= fits[i : n - count + 1 + i]
+            chosen[: len(row)][row] = selector
+            continue
+        at = np.flatnonzero(fits)  # few: they are looked at alone
+        if len(at) < count:
             break
-        if count > 1:  # places from which `count` ids in a row fit
-            misses = np.concatenate(([0], np.cumsum(~fits, dtype=np.int32)))
-            fits = (misses[count:] == misses[:-count]) & (left[: n - count + 1] >= count)
-        chosen[: len(fits)][fits] = selector
+        first = at[: len(at) - count + 1]
+        chosen[first[(at[count - 1 :] - first == count - 1) & (left[first] >= count)]] = selector
     return chosen
 
 

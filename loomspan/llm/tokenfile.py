@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +25,8 @@ from loomspan.session import materialize
 MAGIC = b"S8BTOK1\0"
 #: Ids in a file image at most, unless a single document has more.
 CHUNK_IDS = 1 << 20
-#: Distinct text parts whose ids a task remembers.
+SPACE_AFTER_SPACE = regex.compile(r"\s ")
+#: Distinct text parts whose ids a task remembers, about.
 MEMORY = 300_000
 
 
@@ -55,51 +58,45 @@ class PartEncoder:
             self.opens[i] = token.startswith("\u0120")  # how byte-level vocabularies write a space
 
     def parts(self, text: str) -> list[str]:
-        """Parts of a text; empty ones of a split at spaces go back to their neighbours."""
+        """Parts of a text. Where a space follows other white space, there is no cut."""
         raw = text.split(" ")
+        if SPACE_AFTER_SPACE.search(text) is None:
+            return ([raw[0]] if raw[0] else []) + [" " + x for x in raw[1:]]
         out = [raw[0]]
-        joined = False
         for x in raw[1:]:
-            if joined or not out[-1] or out[-1][-1].isspace():
+            if not out[-1] or out[-1][-1].isspace():
                 out[-1] += " " + x
             else:
                 out.append(" " + x)
-            joined = False
         return out
 
     def learn(self, missing: list[str]) -> None:
         """Remember the ids of parts. Parts with one space, at their begin, are encoded
         together: each id that begins with a space opens the next part."""
-        if len(self.known) + len(missing) > self.memory:
-            self.known.clear()
-        plain = [p for p in missing if p[0] == " " and len(p) > 1 and p.count(" ") == 1 and not p[-1].isspace()]
+        plain = [p for p in missing if p.rfind(" ") == 0 and not p[-1].isspace()]
         for i in range(0, len(plain), 512):
             some = plain[i : i + 512]
             got = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = [*np.flatnonzero(self.opens[got]).tolist(), len(got)]
+            cuts = (4 * np.append(np.flatnonzero(self.opens[got]), len(got))).tolist()
             if len(cuts) != len(some) + 1:
                 raise AssertionError("the vocabulary does not mark spaces as expected")
-            raw = got.tobytes()
-            for part, a, b in zip(some, cuts, cuts[1:]):
-                self.known[part] = raw[4 * a : 4 * b]
-        done = set(plain)
-        rest = [p for p in missing if p not in done]
-        for part, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.known[part] = np.array(got.ids, "<u4").tobytes()
+            self.known.update(zip(some, map(got.tobytes().__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
+        if len(plain) < len(missing):
+            rest = list(set(missing).difference(plain))
+            for part, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+                self.known[part] = np.array(got.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; a null text has none."""
-        split = [self.parts(t) if t else [] for t in texts]
-        known, out = self.known, []
-        for i in range(0, len(split), 64):
-            some = split[i : i + 64]
-            missing = list({p for parts in some for p in parts if p not in known})
+        out = []
+        for i in range(0, len(texts), 64):
+            split = [self.parts(t) if t else [] for t in texts[i : i + 64]]
+            if len(self.known) > self.memory:
+                self.known.clear()
+            missing = set(chain.from_iterable(split)).difference(self.known)
             if missing:
-                self.learn(missing)
-                known = self.known
-                if any(p not in known for parts in some for p in parts):  # just forgotten
-                    self.learn(list({p for parts in some for p in parts if p not in known}))
-            out += [np.frombuffer(b"".join([known[p] for p in parts]), "<u4") for parts in some]
+                self.learn(list(missing))
+            out += [np.frombuffer(b"".join(map(self.known.__getitem__, parts)), "<u4") for parts in split]
         return out
 
 
