@@ -33,6 +33,13 @@ def p2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").filter("doc_id < 100").select("doc_id", bases.plain_bases(letters).alias("seq"))
 
 
+@query("p2_plain_bases_whole", "SELECT doc_id, translate(regexp_replace(text, '[^ACGTNacgtnuwsmkrybdhvUWSMKRYBDHV]', '', 'g'), 'uwsmkrybdhvUWSMKRYBDHV', 'nnnnnnnnnnnNNNNNNNNNNN') AS seq FROM documents")
+def p2_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p2 over every document; the SQL of p2 itself keeps doc_id < 100."""
+    letters = F.regexp_replace("text", "[^ACGTNacgtnuwsmkrybdhvUWSMKRYBDHV]", "")
+    return table(spark, sf_dir, "documents").select("doc_id", bases.plain_bases(letters).alias("seq"))
+
+
 SEQ = "translate(text, translate(text, 'ACGTacgt', ''), '')"
 
 
