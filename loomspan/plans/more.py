@@ -127,8 +127,18 @@ def w17(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("o7_order_by_distance", "SELECT p_partkey, row_number() OVER (ORDER BY p_size = 1 DESC, abs(p_retailprice - 1500), -p_size, p_partkey) AS place FROM part WHERE p_partkey <= 500")
 def o7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.orderBy((F.col("p_size") == 1).desc(), F.abs(F.col("p_retailprice") - 1500), -F.col("p_size"), "p_partkey")
-    return table(spark, sf_dir, "part").filter("p_partkey <= 500").select("p_partkey", F.row_number().over(w).cast("long").alias("place"))
+    return placed_by_distance(table(spark, sf_dir, "part").filter("p_partkey <= 500"))
+
+
+@query("o7_order_by_distance_whole", "SELECT p_partkey, row_number() OVER (ORDER BY p_size = 1 DESC, abs(p_retailprice - 1500), -p_size, p_partkey) AS place FROM part")
+def o7_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """o7 over every part; the SQL of o7 itself keeps p_partkey <= 500."""
+    return placed_by_distance(table(spark, sf_dir, "part"))
+
+
+def placed_by_distance(parts: DataFrame) -> DataFrame:
+    order = [(F.col("p_size") == 1).desc(), F.abs(F.col("p_retailprice") - 1500), -F.col("p_size"), F.col("p_partkey")]
+    return rel.numbered(parts.select("p_partkey", "p_size", "p_retailprice"), order, "place").select("p_partkey", "place")
 
 
 @query("o10_nearest_k", "SELECT a, b, d AS dist FROM (SELECT x.s_suppkey AS a, y.s_suppkey AS b, abs(x.s_suppkey * 37 % 101 - y.s_suppkey * 37 % 101) AS d, row_number() OVER (PARTITION BY x.s_suppkey ORDER BY abs(x.s_suppkey * 37 % 101 - y.s_suppkey * 37 % 101), y.s_suppkey) AS k FROM supplier x JOIN supplier y ON x.s_nationkey = y.s_nationkey AND x.s_suppkey <> y.s_suppkey) WHERE k <= 2")

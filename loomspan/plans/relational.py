@@ -310,6 +310,12 @@ def o6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.length("html").cast("long").alias("size")).orderBy(F.col("size").desc(), "page_id").limit(50)
 
 
+@query("o6_longest_first_whole", "SELECT page_id, length(html) AS size FROM pages ORDER BY size DESC, page_id")
+def o6_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """o6 over every page; the SQL of o6 itself ends at 50 rows."""
+    return table(spark, sf_dir, "pages").select("page_id", F.length("html").cast("long").alias("size")).orderBy(F.col("size").desc(), "page_id")
+
+
 @query("u1_union_all", "SELECT c_custkey AS k, 'customer' AS kind FROM customer UNION ALL SELECT s_suppkey, 'supplier' FROM supplier")
 def u1(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.lit("customer").alias("kind"))
