@@ -5,21 +5,25 @@ also starts in a document with a smaller doc_id.
 
 1. Anchors. In every window at least one short word run is picked by its hash alone, so a
    recurring window recurs with its anchor. Anchors travel packed, a block for each batch
-   and hash range; an anchor of several documents of one batch is settled there, so a
-   very frequent one reaches its range once for each batch.
-2. Passages. Around recurring anchors, the stretches of words whose windows hold them are
-   sent to the shard of the anchor. Each shard finds its windows that start in
-   several documents: those are its confirmed passages.
-3. Automata. Each shard compiles its passages into an Aho-Corasick automaton over words and
-   streams its stretches of all documents through it, to locate every occurrence.
+   and hash range, and each range tells the documents whose anchors recur.
+2. Confirmation. Documents are dealt into parts. A part sends the hashes of its windows with
+   recurring anchors, each distinct window once; the range of a hash finds the first document
+   and tells every part with a later one which of its own windows is a recurring passage. No
+   words travel, and a passage of any number of documents comes once from each part.
+3. Automata. Each part compiles the passages confirmed there into Aho-Corasick automata of
+   their word blocks, streams all its documents through, and widens each hit to the whole
+   words in common: that locates every occurrence.
 4. Each document drops the located words.
 
-Windows are compared word for word; hashes only decide which ones are looked at.
+Passages are confirmed by 128-bit hashes; occurrences are compared word for word.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,192 +31,259 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspan.llm.text import window_hashes, word_hashes
-from loomspan.session import materialize
 
 
 @dataclass(frozen=True)
 class RepeatConfig:
-    """`window` words must repeat; anchors have `anchor` words. A hash range holds the anchors
-    of about `range_docs` documents, a shard's stretches those of about `shard_docs`."""
+    """`window` words must repeat; anchors have `anchor` words. A part holds about `part_bytes` of
+    text, and a hash range the hashes of about as much. An automaton has at most
+    `automaton_blocks` blocks; a part with more passages streams its texts once for each."""
 
     window: int = 13
     anchor: int = 7
-    range_docs: int = 4000
-    shard_docs: int = 400
+    part_bytes: int = 8 << 20
+    automaton_blocks: int = 200_000
+
+    @property
+    def block(self) -> int:
+        """Words of a block: every window of a passage holds a whole block that begins at a
+        multiple of this from the passage's first word."""
+        return (self.window + 1) // 2
 
 
 #: Anchors are least hashes, so small ones prevail; times an odd number they are even again.
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
+#: The second half of a window's hash is that of its words' hashes changed by this.
+SECOND = np.uint64(0xD6E8FEB86659FD93)
+
+
+def text_words(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def anchors(tokens: list[bytes], config: RepeatConfig) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of the anchors of a text: the least hash among the short runs of each
-    window, the leftmost of equal ones. A text shorter than a window has none."""
-    h = window_hashes(word_hashes(tokens), config.anchor)
+def window_anchors(hashes: np.ndarray, config: RepeatConfig) -> tuple[np.ndarray, np.ndarray]:
+    """(run hashes, place of each window's anchor) of a text's word hashes: the least hash among
+    the short runs of the window, the leftmost of equal ones. Too short a text has no windows."""
+    h = window_hashes(hashes, config.anchor)
     span = config.window - config.anchor + 1
     if len(h) < span:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return h, np.empty(0, np.int64)
     rows = np.lib.stride_tricks.sliding_window_view(h, span)
-    at = np.unique(rows.argmin(axis=1) + np.arange(len(rows)))
-    return h[at] * SPREAD, at
+    return h * SPREAD, rows.argmin(axis=1) + np.arange(len(rows))
 
 
-def text_words(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+def pack(columns: list[np.ndarray], steps: list[bool]) -> bytes:
+    """64-bit columns by byte planes, those of `steps` as differences: planes of zeros compress."""
+    out = []
+    for x, step in zip(columns, steps, strict=True):
+        x = np.ascontiguousarray(x).view(np.uint64)
+        out.append((np.diff(x, prepend=np.uint64(0)) if step else x).view(np.uint8).reshape(-1, 8).T.tobytes())
+    return b"".join(out)
+
+
+def unpack(block: bytes, steps: list[bool]) -> list[np.ndarray]:
+    planes = np.frombuffer(block, np.uint8).reshape(len(steps), 8, -1)
+    columns = [np.ascontiguousarray(p.T).view(np.uint64).reshape(-1) for p in planes]
+    return [np.cumsum(x, dtype=np.uint64) if step else x for x, step in zip(columns, steps, strict=True)]
+
+
+def hash_range(h: np.ndarray, ranges: int) -> np.ndarray:
+    return ((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+
+
+def slices(keys: np.ndarray):
+    """(key, first, end) of each run of equal keys."""
+    edge = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True]) if len(keys) else np.zeros(1, np.int64)
+    return [(int(keys[a]), a, b) for a, b in pairwise(edge.tolist())]
+
+
+# -- anchors
+
+
+ANCHOR_STEPS = [True, False]
 
 
 def packed_anchors(docs: DataFrame, ranges: int, config: RepeatConfig) -> DataFrame:
-    """Rows of two kinds: (range, hashes, docs) blocks with each batch's distinct anchors and one
-    document for each, and (doc_id, hits): anchors already known to recur, within the batch."""
+    """(range, anchors, doc_id, hits): blocks with each batch's distinct anchors and one document
+    for each, and anchors already known to recur, of documents within the batch."""
 
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             held, owner = [], []
-            for doc_id, text in zip(ids, texts, strict=True):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if doc_id is None:
                     continue
-                h = np.unique(anchors(text_words(text), config)[0])
+                h, at = window_anchors(word_hashes(text_words(text.as_py())), config)
+                h = np.unique(h[np.unique(at)])
                 held.append(h)
                 owner.append(np.full(len(h), doc_id, np.int64))
-            if not held or not sum(map(len, held)):
+            if not sum(map(len, held)):
                 continue
             h, d = np.concatenate(held), np.concatenate(owner)
             order = np.lexsort((d, h))
             h, d = h[order], d[order]
             fresh = np.r_[True, h[1:] != h[:-1]]
             group = np.cumsum(fresh) - 1
-            several = np.zeros(len(h), bool)
-            changes = ~fresh & np.r_[False, d[1:] != d[:-1]]
-            several[np.isin(group, group[changes])] = True
+            several = np.isin(group, group[~fresh & np.r_[False, d[1:] != d[:-1]]])
             first_h, first_d = h[fresh], d[fresh]
             # One document stands for the batch: if other batches have the anchor, it alone need be told.
-            part = (first_h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-            cuts = np.searchsorted(part, np.arange(ranges + 1, dtype=np.uint64))
-            blocks = [(r, first_h[a:b], first_d[a:b]) for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
+            blocks = [(r, pack([first_h[a:b], first_d[a:b]], ANCHOR_STEPS)) for r, a, b in slices(hash_range(first_h, ranges))]
             by_doc = np.argsort(d[several], kind="stable")
-            hit_d, hit_h = d[several][by_doc], h[several][by_doc]
-            starts = np.flatnonzero(np.r_[True, hit_d[1:] != hit_d[:-1]]) if len(hit_d) else []
-            hits = [(int(hit_d[s]), x) for s, x in zip(starts, np.split(hit_h, starts[1:]) if len(hit_d) else [], strict=True)]
+            hit_d, hit_h = d[several][by_doc], h[several][by_doc].view(np.int64)
+            hits = [(k, hit_h[a:b]) for k, a, b in slices(hit_d)]
             n, m = len(blocks), len(hits)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([b[0] for b in blocks] + [None] * m, pa.int32()),
-                    pa.array([delta(b[1]) for b in blocks] + [None] * m, pa.binary()),
-                    pa.array([b[2].tobytes() for b in blocks] + [None] * m, pa.binary()),
-                    pa.array([None] * n + [x[0] for x in hits], pa.int64()),
-                    pa.array([None] * n + [x[1].view(np.int64) for x in hits], pa.list_(pa.int64())),
+                    pa.array([b[0] for b in blocks] + [hash(k) % ranges for k, _ in hits], pa.int32()),
+                    pa.array([b[1] for b in blocks] + [None] * m, pa.binary()),
+                    pa.array([None] * n + [k for k, _ in hits], pa.int64()),
+                    pa.array([None] * n + [x for _, x in hits], pa.list_(pa.int64())),
                 ],
-                names=["range", "hashes", "docs", "doc_id", "hits"],
+                names=["range", "anchors", "doc_id", "hits"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "range int, hashes binary, docs binary, doc_id long, hits array<long>")
-
-
-def delta(sorted_hashes: np.ndarray) -> bytes:
-    """Sorted hashes as differences, by byte planes: high planes are zeros, and compress."""
-    d = np.diff(sorted_hashes, prepend=np.uint64(0))
-    return d.view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def undelta(block: bytes) -> np.ndarray:
-    planes = np.frombuffer(block, np.uint8).reshape(8, -1).T
-    return np.cumsum(np.ascontiguousarray(planes).view(np.uint64).reshape(-1), dtype=np.uint64)
+    return docs.select("doc_id", "text").mapInArrow(run, "range int, anchors binary, doc_id long, hits array<long>")
 
 
 def recurring(packed: DataFrame) -> DataFrame:
-    """(doc_id, hit): each document's anchors that other documents hold too."""
+    """(doc_id, hits): documents' anchors that other documents hold too, in several rows."""
 
     def merge(group: pa.Table) -> pa.Table:
-        h = np.concatenate([undelta(x) for x in group["hashes"].to_pylist()])
-        d = np.concatenate([np.frombuffer(x, np.int64) for x in group["docs"].to_pylist()])
+        known = group.filter(pa.compute.is_valid(group["hits"])).select(["doc_id", "hits"])
+        blocks = [unpack(x, ANCHOR_STEPS) for x in group["anchors"].to_pylist() if x is not None]
+        if not blocks:
+            return known
+        h, d = (np.concatenate([b[i] for b in blocks]) for i in (0, 1))
         order = np.argsort(h, kind="stable")
         h, d = h[order], d[order]
         same = h[1:] == h[:-1]
         again = np.r_[same, False] | np.r_[False, same]
-        return pa.table({"doc_id": pa.array(d[again]), "hit": pa.array(h[again].view(np.int64))})
+        h, d = h[again].view(np.int64), d[again].view(np.int64)
+        order = np.argsort(d, kind="stable")
+        h, d = h[order], d[order]
+        rows = slices(d)
+        found = pa.table({"doc_id": pa.array([k for k, _, _ in rows], pa.int64()), "hits": pa.array([h[a:b] for _, a, b in rows], pa.list_(pa.int64()))})
+        return pa.concat_tables([known.cast(found.schema), found])
 
-    across = packed.filter(F.col("range").isNotNull()).select("range", "hashes", "docs").groupBy("range").applyInArrow(merge, "doc_id long, hit long")
-    return across.union(packed.filter(F.col("range").isNull()).select("doc_id", F.explode("hits").alias("hit")))
+    return packed.groupBy("range").applyInArrow(merge, "doc_id long, hits array<long>")
 
 
-def stretches(tokens: list[bytes], hits: np.ndarray, config: RepeatConfig) -> list[tuple[int, int, int]]:
-    """(anchor hash, first word, words) of each run of windows that has a recurring anchor."""
-    h = window_hashes(word_hashes(tokens), config.anchor)
-    span = config.window - config.anchor + 1
-    if len(h) < span:
-        return []
-    rows = np.lib.stride_tricks.sliding_window_view(h, span)
-    at = rows.argmin(axis=1) + np.arange(len(rows))  # anchor of each window
-    h = h * SPREAD
-    known = np.isin(h[at], hits)
-    edge = np.flatnonzero(np.r_[True, at[1:] != at[:-1], True])
-    return [(int(h[at[a]]), int(a), int(b - a + config.window - 1)) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True) if known[a]]
+def copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, sha): whole texts that an earlier document has, by SHA-256."""
+    keyed = docs.filter(F.col("text").isNotNull()).select("doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"))
+    firsts = keyed.groupBy(F.col("sha").alias("of")).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    return keyed.join(firsts, F.col("sha") == F.col("of")).filter(F.col("doc_id") > F.col("first")).select("doc_id", "sha")
+
+
+# -- confirmation
+
+
+def digest(text: str) -> bytes:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
+
+
+class Part:
+    """The texts of a part: rows by doc_id and text, so that a word's place in its document is
+    the same whenever the part is read, also where rows share a doc_id."""
+
+    def __init__(self, table: pa.Table, whole: dict[int, set[bytes]]):
+        ids, texts = table["doc_id"].to_pylist(), table["text"].to_pylist()
+        #: Row numbers of each document.
+        self.rows: dict[int, list[int]] = {}
+        for i in sorted((i for i, k in enumerate(ids) if k is not None), key=lambda i: (ids[i], texts[i] or "")):
+            self.rows.setdefault(ids[i], []).append(i)
+        #: Whether a row's whole text is an earlier document's: all its windows are known to repeat.
+        self.whole = [k in whole and t is not None and digest(t) in whole[k] for k, t in zip(ids, texts, strict=True)]
+        self.ids, self.texts = ids, texts
+
+    def words(self, row: int) -> list[bytes]:
+        return text_words(self.texts[row])
+
+
+def wholes(table: pa.Table) -> dict[int, set[bytes]]:
+    out: dict[int, set[bytes]] = {}
+    for k, sha in zip(table["doc_id"].to_pylist(), table["sha"].to_pylist(), strict=True):
+        if sha is not None:
+            out.setdefault(k, set()).add(sha)
+    return out
+
+
+#: Of a part's windows: two halves of the hash, document, place, whether several documents of the part have it.
+WINDOW_STEPS = [False, False, True, True, False]
+#: Of confirmed windows: document and place in the part, and the first document of all.
+PASSAGE_STEPS = [True, True, True]
+
+
+def part_windows(docs: DataFrame, asked: DataFrame, ranges: int, config: RepeatConfig) -> DataFrame:
+    """(range, of, windows): blocks of each part's distinct windows that hold a recurring anchor."""
+
+    def run(key, table: pa.Table, asks: pa.Table) -> pa.Table:
+        hits: dict[int, list] = {}
+        for k, x in zip(asks["doc_id"].to_pylist(), asks["hits"], strict=True):
+            if x.is_valid:
+                hits.setdefault(k, []).append(x.values.to_numpy().view(np.uint64))
+        part = Part(table, wholes(asks))
+        found = []
+        for doc_id, own in hits.items():
+            base, own = 0, np.concatenate(own)
+            for row in part.rows.get(doc_id, ()):
+                hashes = word_hashes(part.words(row))
+                if not part.whole[row]:
+                    h, at = window_anchors(hashes, config)
+                    places = np.flatnonzero(np.isin(h[at], own)) if len(at) else at
+                    if len(places):
+                        second = hashes * SECOND
+                        second ^= second >> np.uint64(29)
+                        found.append((window_hashes(hashes, config.window)[places], window_hashes(second, config.window)[places], np.full(len(places), doc_id, np.int64), places + base))
+                base += len(hashes)
+        out = []
+        if found:
+            h, g, d, p = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((p, d, g, h))
+            h, g, d, p = h[order], g[order], d[order], p[order]
+            first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])])
+            last = np.r_[first[1:], len(h)] - 1
+            several = (d[first] != d[last]).astype(np.uint64)
+            h, g, d, p = h[first], g[first], d[first], p[first]
+            r = hash_range(h, ranges)
+            order = np.lexsort((p, d, r))
+            columns = [x[order] for x in (h, g, d, p, several)]
+            out = [(k, pack([x[a:b] for x in columns], WINDOW_STEPS)) for k, a, b in slices(r[order])]
+        return pa.table({"range": pa.array([k for k, _ in out], pa.int32()), "of": pa.array([key[0].as_py()] * len(out), pa.int32()), "windows": pa.array([x for _, x in out], pa.binary())})
+
+    return docs.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(run, "range int, of int, windows binary")
+
+
+def confirmed(windows: DataFrame) -> DataFrame:
+    """(part, passages): blocks of each part's windows that a document before another one has."""
 
+    def merge(group: pa.Table) -> pa.Table:
+        blocks = [unpack(x, WINDOW_STEPS) for x in group["windows"].to_pylist()]
+        h, g, d, p, several = (np.concatenate([b[i] for b in blocks]) for i in range(5))
+        part = np.repeat(group["of"].to_numpy(), [len(b[0]) for b in blocks])
+        d = d.view(np.int64)
+        order = np.lexsort((d, g, h))
+        h, g, d, p, several, part = h[order], g[order], d[order], p[order], several[order], part[order]
+        fresh = np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])]
+        owner = d[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+        keep = ~fresh | (several > 0)
+        d, p, owner, part = d[keep], p[keep], owner[keep], part[keep]
+        order = np.lexsort((p, d, part))
+        columns = [x[order] for x in (d, p, owner)]
+        out = [(k, pack([x[a:b] for x in columns], PASSAGE_STEPS)) for k, a, b in slices(part[order])]
+        return pa.table({"part": pa.array([k for k, _ in out], pa.int32()), "passages": pa.array([x for _, x in out], pa.binary())})
 
-def passages(docs: DataFrame, hits: DataFrame, whole: DataFrame, shards: int, config: RepeatConfig) -> DataFrame:
-    """(shard, doc_id, start, words) of every stretch around a recurring anchor; words joined by one space.
+    return windows.groupBy("range").applyInArrow(merge, "part int, passages binary")
 
-    Documents of `whole` need no search: all their windows are an earlier document's."""
 
-    def run(batches):
-        for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                some = batch.slice(i, 500)
-                shard, doc, start, words = [], [], [], []
-                hits = some.column(2)
-                at, flat = hits.offsets.to_numpy(), hits.values.to_numpy().view(np.uint64)
-                for k, (doc_id, text) in enumerate(zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True)):
-                    tokens = text_words(text)
-                    for h, a, n in stretches(tokens, flat[at[k] : at[k + 1]], config):
-                        shard.append(h * shards >> 64)
-                        doc.append(doc_id)
-                        start.append(a)
-                        words.append(b" ".join(tokens[a : a + n]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard, pa.int32()), pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(words, pa.binary())], names=["shard", "doc_id", "start", "words"]
-                )
-
-    by_doc = hits.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list("hit").alias("hits"))
-    wanted = by_doc.join(whole.select(F.col("doc_id").alias("w")), F.col("d") == F.col("w"), "left_anti").hint("merge")
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]  # read here too, so that one exchange serves both uses
-    joined = docs.join(wanted, F.col("doc_id") == F.col("d")).select("doc_id", "text", "hits", *others)
-    return joined.mapInArrow(run, "shard int, doc_id long, start int, words binary")
-
-
-def confirm(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, least: np.ndarray, most: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(windows, first): distinct windows, as rows of word numbers, that start in several
-    documents, and the least of their ids.
-
-    Text k is words[starts[k] : starts[k] + sizes[k]]; the least and greatest id of the
-    documents that have it are least[k] and most[k].
-    """
-    per = sizes - window + 1
-    at = np.arange(int(per.sum())) + np.repeat(starts - (np.cumsum(per) - per), per)
-    rows = words[at[:, None] + np.arange(window)]
-    key = window_hashes(word_numbers(words), window)[at]
-    _, place, group = np.unique(key, return_index=True, return_inverse=True)
-    if (rows != rows[place[group]]).any():  # two windows of one hash: compare the words
-        _, place, group = np.unique(rows, axis=0, return_index=True, return_inverse=True)
-        group = group.reshape(-1)
-    first, last = np.full(len(place), np.iinfo(np.int64).max), np.full(len(place), np.iinfo(np.int64).min)
-    np.minimum.at(first, group, np.repeat(least, per))
-    np.maximum.at(last, group, np.repeat(most, per))
-    again = first < last
-    return rows[place[again]], first[again]
-
-
-def word_numbers(words: np.ndarray) -> np.ndarray:
-    """Spread small word numbers over 64 bits for hashing."""
-    x = words.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(32))
+# -- automata
 
 
 class WordCodes:
     """Words as strings of a fixed number of symbols, each place with an alphabet of its own.
 
     An automaton searches a node's branches one by one, so few symbols keep it fast, and as
-    the places' alphabets differ, matches begin at words only.
+    the places' alphabets differ, matches begin at words only. Word 0 is any unknown one.
     """
 
     BASE = 64
@@ -227,134 +298,156 @@ class WordCodes:
         return "".join([self.codes[w] for w in numbers])
 
 
-def compile_automaton(windows: np.ndarray, first: np.ndarray, codes: WordCodes):
-    """An Aho-Corasick automaton over spelled windows; each passage carries its first document."""
-    import ahocorasick
-
-    automaton = ahocorasick.Automaton()
-    for passage, doc_id in zip(windows.tolist(), first.tolist(), strict=True):
-        automaton.add_word(codes.spell(passage), doc_id)
-    automaton.make_automaton()
-    return automaton
-
-
-def locate(found: DataFrame, config: RepeatConfig) -> DataFrame:
-    """(doc_id, start, end): word ranges of documents that an earlier document has too."""
-
-    def shard(group: pa.Table) -> pa.Table:
-        code = group["words"].combine_chunks().dictionary_encode()  # a text is read once, whoever has it
-        text_of, distinct = code.indices.to_numpy(), code.dictionary.to_pylist()
-        ids, places = group["doc_id"].to_numpy(), group["start"].to_numpy().astype(np.int64)
-        number: dict[bytes, int] = {}
-        texts = [[number.setdefault(w, len(number)) for w in x.split(b" ")] for x in distinct]
-        sizes = np.array([len(t) for t in texts])
-        words = np.fromiter((w for t in texts for w in t), np.int32, int(sizes.sum()))
-        least, most = np.full(len(texts), np.iinfo(np.int64).max), np.full(len(texts), np.iinfo(np.int64).min)
-        np.minimum.at(least, text_of, ids)
-        np.maximum.at(most, text_of, ids)
-        windows, first = confirm(words, np.cumsum(sizes) - sizes, sizes, least, most, config.window)
-        ends, earliest, hits = [], [], np.zeros(len(texts), np.int64)
-        if len(windows):
-            codes = WordCodes(len(number))
-            automaton = compile_automaton(windows, first, codes)
-            for k, text in enumerate(texts):
-                before = len(ends)
-                for end, doc_id in automaton.iter(codes.spell(text)):
-                    ends.append((end + 1) // codes.places)
-                    earliest.append(doc_id)
-                hits[k] = len(ends) - before
-        # Every row gets its text's occurrences; those that begin in an earlier document stay.
-        n = hits[text_of]
-        row = np.repeat(np.arange(len(ids)), n)
-        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat((np.cumsum(hits) - hits)[text_of], n)
-        end, doc = np.array(ends, np.int64)[at], ids[row]
-        keep = np.array(earliest, np.int64)[at] < doc
-        row, doc, end = row[keep], doc[keep], end[keep]
-        fresh = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (np.diff(end) > config.window)]) if len(row) else np.empty(0, np.int64)
-        last = np.r_[fresh[1:], len(row)][: len(fresh)] - 1
-        base = places[row[fresh]]
-        return pa.table({"doc_id": pa.array(doc[fresh]), "start": pa.array((base + end[fresh] - config.window).astype(np.int32)), "end": pa.array((base + end[last]).astype(np.int32))})
-
-    return found.groupBy("shard").applyInArrow(shard, "doc_id long, start int, end int")
-
-
-#: The end of a range that stands for the whole text.
-WHOLE = -1
-
-
-def copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, end): whole texts that an earlier document has, by SHA-256."""
-    keyed = docs.filter(F.col("text").isNotNull()).select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha"))
-    firsts = keyed.groupBy(F.col("text_sha").alias("sha")).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    later = keyed.join(firsts, F.col("text_sha") == F.col("sha")).filter(F.col("doc_id") > F.col("first"))
-    return later.select("doc_id", F.lit(0).alias("start"), F.lit(WHOLE).alias("end")).distinct()
-
-
-def covered(n: int, start: np.ndarray, end: np.ndarray, window: int) -> np.ndarray:
-    """Which of n words the ranges cover. A whole text goes only if it holds a window."""
-    if (end == WHOLE).any():
-        return np.full(n, n >= window)
-    start, end = np.minimum(start, n), np.minimum(end, n)
-    depth = np.bincount(start, minlength=n + 1) - np.bincount(end, minlength=n + 1)
-    return np.cumsum(depth)[:n] > 0
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values in a row a and b have in common from their begin."""
+    n, at, step = min(len(a), len(b)), 0, 64
+    while at < n:
+        differ = np.flatnonzero(a[at : min(at + step, n)] != b[at : min(at + step, n)])
+        if len(differ):
+            return at + int(differ[0])
+        at, step = at + step, 2 * step
+    return n
+
+
+class Automaton:
+    """Some passages' blocks, compiled. A passage is a run of words, all windows of which recur,
+    and has one first document."""
+
+    def __init__(self, passages: list[tuple[np.ndarray, int]], codes: WordCodes, config: RepeatConfig):
+        import ahocorasick
+
+        self.passages, self.codes, self.config = passages, codes, config
+        self.spelled = [codes.spell(words.tolist()) for words, _ in passages]
+        self.uses: list[list[tuple[int, int]]] = []
+        width = config.block * codes.places
+        self.automaton = ahocorasick.Automaton()
+        number: dict[str, int] = {}
+        for k, text in enumerate(self.spelled):
+            for at in range(0, len(text) - width + 1, width):
+                block = text[at : at + width]
+                i = number.setdefault(block, len(number))
+                if i == len(self.uses):
+                    self.uses.append([])
+                    self.automaton.add_word(block, i)
+                self.uses[i].append((k, at // codes.places))
+        self.automaton.make_automaton()
+
+    def locate(self, doc_id: int, words: np.ndarray, spelled: str) -> list[tuple[int, int]]:
+        """Word ranges of a document that passages of earlier documents cover."""
+        places, block = self.codes.places, self.config.block
+        found, done = [], {}
+        for end, i in self.automaton.iter(spelled):
+            j = (end + 1) // places - block
+            for k, at in self.uses[i]:
+                passage, first = self.passages[k]
+                if first >= doc_id or done.get((k, j - at), -1) >= j + block:
+                    continue
+                if j >= at and spelled.startswith(self.spelled[k], (j - at) * places):
+                    a, b = j - at, j - at + len(passage)
+                else:
+                    a = j - _common(words[:j][::-1], passage[:at][::-1])
+                    b = j + _common(words[j:], passage[at:])
+                done[k, j - at] = b
+                if b - a >= self.config.window:
+                    found.append((a, b))
+        return found
+
+
+def runs(blocks: list[bytes], window: int):
+    """(document, first, end, first document) of each run of confirmed windows with one first document."""
+    if not blocks:
+        return
+    d, p, f = (np.concatenate(x).view(np.int64) for x in zip(*(unpack(b, PASSAGE_STEPS) for b in blocks), strict=True))
+    order = np.lexsort((p, d))
+    d, p, f = d[order], p[order], f[order]
+    edge = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1) | (f[1:] != f[:-1]), True])
+    for a, b in pairwise(edge.tolist()):
+        yield int(d[a]), int(p[a]), int(p[b - 1]) + window, int(f[a])
+
+
+def located(part: Part, blocks: list[bytes], config: RepeatConfig) -> dict[int, np.ndarray]:
+    """Which words of each row passages of earlier documents cover; rows that lose none are left out."""
+    number: dict[bytes, int] = {}
+    passages, held, words = [], None, []
+    for doc_id, a, b, first in runs(blocks, config.window):
+        if held != doc_id:
+            held, words = doc_id, [w for row in part.rows[doc_id] for w in part.words(row)]
+        passages.append((np.array([number.setdefault(w, len(number) + 1) for w in words[a:b]], np.int32), first))
+    gone: dict[int, np.ndarray] = {}
+    for row, whole in enumerate(part.whole):
+        if whole and len(words := part.words(row)) >= config.window:
+            gone[row] = np.ones(len(words), bool)
+    if not passages:
+        return gone
+    codes = WordCodes(len(number) + 1)
+    weight = np.cumsum([len(p) // config.block for p, _ in passages]) // config.automaton_blocks
+    for _, a, b in slices(weight):
+        automaton = Automaton(passages[a:b], codes, config)
+        for row, (doc_id, text) in enumerate(zip(part.ids, part.texts, strict=True)):
+            if doc_id is None or not text or part.whole[row]:
+                continue
+            numbers = [number.get(w, 0) for w in part.words(row)]
+            for x, y in automaton.locate(doc_id, np.array(numbers, np.int32), codes.spell(numbers)):
+                gone.setdefault(row, np.zeros(len(numbers), bool))[x:y] = True
+    return gone
 
 
-def ranges_by_row(starts: pa.Array, ends: pa.Array):
-    """(start, end) arrays of each row of two list columns; None where there are none."""
-    a, b, offsets = starts.values.to_numpy(), ends.values.to_numpy(), starts.offsets.to_numpy()
-    for i, valid in enumerate(starts.is_valid().to_pylist()):
-        yield (a[offsets[i] : offsets[i + 1]], b[offsets[i] : offsets[i + 1]]) if valid else None
+Finish = Callable[[pa.Table, dict[int, np.ndarray]], pa.Table]
 
 
-def with_ranges(docs: DataFrame, config: RepeatConfig) -> DataFrame:
-    """The rows of docs with two more columns: the starts and ends of the word ranges to remove, or null.
+def cut(docs: DataFrame, config: RepeatConfig, finish: Finish, schema: str) -> DataFrame:
+    """`finish` of each part's rows and of the words that they lose, by row.
 
-    Columns keep their places, but only doc_id and text their names. The texts are dealt by
-    doc_id once: looking for passages and removing them read the same exchange.
+    Columns keep their places, but only doc_id and text their names; the last one is the part.
+    The texts are dealt once: looking for windows and removing words read the same exchange.
     """
     docs = docs.toDF(*(c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = 1 + total // config.part_bytes
     known = docs.filter(F.col("doc_id").isNotNull())
-    total = docs.count()
-    ranges, shards = 1 + total // config.range_docs, 1 + total // config.shard_docs
-    packed = materialize(packed_anchors(known, ranges, config), "repeat-anchors")
-    whole = materialize(copies(known), "repeat-copies")
-    dealt = known.repartition("doc_id")
-    found = passages(dealt, recurring(packed), whole, shards, config)
-    by_doc = locate(found, config).unionByName(whole).groupBy(F.col("doc_id").alias("d")).agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
-    marked = dealt.join(by_doc, F.col("doc_id") == F.col("d"), "left").select(*docs.columns, "starts", "ends")
-    none = F.lit(None).cast("array<int>")
-    return marked.unionByName(docs.filter(F.col("doc_id").isNull()).withColumns({"starts": none, "ends": none}))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")
+    dealt = docs.withColumn("part", F.when(F.col("doc_id").isNotNull(), place).otherwise(F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int")))
+    none = F.lit(None)
+    whole = copies(known).select(place.alias("part"), "doc_id", none.cast("array<long>").alias("hits"), "sha", none.cast("binary").alias("passages"))
+    hits = recurring(packed_anchors(known, parts, config)).select(place.alias("part"), "doc_id", "hits", none.cast("binary").alias("sha"), none.cast("binary").alias("passages"))
+    windows = part_windows(dealt, hits.unionByName(whole).drop("passages"), parts, config)
+    found = confirmed(windows).select("part", none.cast("long").alias("doc_id"), none.cast("array<long>").alias("hits"), none.cast("binary").alias("sha"), "passages")
+
+    def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        part = Part(table, wholes(told))
+        return finish(table, located(part, [x for x in told["passages"].to_pylist() if x is not None], config))
+
+    return dealt.groupBy("part").cogroup(found.unionByName(whole).drop("hits").groupBy("part")).applyInArrow(run, schema)
 
 
 def removal_digests(docs: DataFrame, config: RepeatConfig = RepeatConfig()) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for each row of docs.
 
     A null text has no words. Rows that share a doc_id are one document: a window they share
-    is not repeated by that, and a row loses what any of them would. A row with a null doc_id
-    keeps all and repeats nothing. Only doc_id and text are read.
+    is not repeated by that. A row with a null doc_id keeps all and repeats nothing. Only
+    doc_id and text are read.
     """
-    import hashlib
 
-    def run(batches):
-        for batch in batches:
-            n, removed, sha = [], [], []
-            for text, spans in zip(batch.column(1).to_pylist(), ranges_by_row(batch.column(2), batch.column(3)), strict=True):
-                tokens = text_words(text)
-                gone = covered(len(tokens), *spans, config.window) if spans else np.zeros(len(tokens), bool)
-                kept = [w for w, g in zip(tokens, gone.tolist(), strict=True) if not g] if gone.any() else tokens
-                n.append(len(tokens))
-                removed.append(int(gone.sum()))
-                sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+    def finish(table: pa.Table, gone: dict[int, np.ndarray]) -> pa.Table:
+        n, removed, sha = [], [], []
+        for row, text in enumerate(table["text"].to_pylist()):
+            kept = tokens = text_words(text)
+            if row in gone:
+                kept = [w for w, g in zip(tokens, gone[row].tolist(), strict=True) if not g]
+            n.append(len(tokens))
+            removed.append(len(tokens) - len(kept))
+            sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
+        return pa.table({"doc_id": table["doc_id"], "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(sha, pa.string())})
 
-    return with_ranges(docs.select("doc_id", "text"), config).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return cut(docs.select("doc_id", "text"), config, finish, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, config: RepeatConfig = RepeatConfig()) -> DataFrame:
     """docs with repeated passages cut from `text`; a document left without words goes.
 
     Columns stay as they are. A text that loses nothing is unchanged; white space around
-    the kept words of others stays. Rows that had no words before stay.
+    the kept words of others stays. Null texts and rows that had no words before stay, as do
+    rows without a doc_id. Repeated rows of one doc_id stay repeated.
     """
     import regex
 
@@ -362,27 +455,20 @@ def remove_repeats(docs: DataFrame, config: RepeatConfig = RepeatConfig()) -> Da
     fields = docs.columns
     text_at = fields.index("text")
 
-    def run(batches):
-        for batch in batches:
-            texts, keep = [], []
-            for text, spans in zip(batch.column(text_at).to_pylist(), ranges_by_row(batch.column(len(fields)), batch.column(len(fields) + 1)), strict=True):
-                stays = True
-                if spans:
-                    raw = text.encode("utf-8", "surrogatepass")
-                    places = [m.span() for m in word.finditer(raw)]
-                    gone = covered(len(places), *spans, config.window)
-                    out, at = [], 0
-                    for (a, b), g in zip(places, gone.tolist(), strict=True):
-                        if g:
-                            out.append(raw[at:a])
-                            at = b
-                    out.append(raw[at:])
-                    text = b"".join(out).decode("utf-8", "surrogatepass")
-                    stays = not gone.all() or not len(gone)
-                keep.append(stays)
-                texts.append(text)
-            columns = list(batch.columns[:-2])
-            columns[text_at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=fields).filter(pa.array(keep, pa.bool_()))
-
-    return with_ranges(docs, config).mapInArrow(run, docs.schema)
+    def finish(table: pa.Table, gone: dict[int, np.ndarray]) -> pa.Table:
+        texts, keep = table["text"].to_pylist(), np.ones(table.num_rows, bool)
+        for row, lost in gone.items():
+            raw = texts[row].encode("utf-8", "surrogatepass")
+            out, at = [], 0
+            for m, g in zip(word.finditer(raw), lost.tolist(), strict=True):
+                if g:
+                    out.append(raw[at : m.start()])
+                    at = m.end()
+            out.append(raw[at:])
+            texts[row] = b"".join(out).decode("utf-8", "surrogatepass")
+            keep[row] = not lost.all()
+        columns = list(table.columns[: len(fields)])
+        columns[text_at] = pa.array(texts, pa.string())
+        return pa.Table.from_arrays(columns, names=fields).filter(pa.array(keep))
+
+    return cut(docs, config, finish, docs.schema)

@@ -1,8 +1,9 @@
 import hashlib
+import random
 
 import pytest
 
-from loomspan.llm.repeats import RepeatConfig, remove_repeats, removal_digests
+from loomspan.llm.repeats import WINDOW_STEPS, RepeatConfig, packed_anchors, part_windows, recurring, remove_repeats, removal_digests, unpack
 
 
 def brute(rows, window=13):
@@ -26,7 +27,7 @@ def brute(rows, window=13):
     return sorted(out)
 
 
-@pytest.mark.parametrize("config", [RepeatConfig(), RepeatConfig(anchor=3, range_docs=5, shard_docs=4), RepeatConfig(anchor=13, range_docs=20, shard_docs=9)])
+@pytest.mark.parametrize("config", [RepeatConfig(), RepeatConfig(anchor=3, part_bytes=900, automaton_blocks=5), RepeatConfig(anchor=13, part_bytes=4000, automaton_blocks=40)])
 def test_matches_brute_force(docs, rows, config):
     got = sorted((str(r[0]), *r[1:]) for r in removal_digests(docs, config).collect())
     assert got == brute(rows)
@@ -46,3 +47,31 @@ def test_texts_are_cut(docs, rows):
     for r in out.collect():
         kept = b" ".join((r["text"] or "").encode().split())
         assert hashlib.sha256(kept).hexdigest() == want[str(r["doc_id"])][3]
+
+
+def test_a_passage_in_every_document(spark):
+    """One passage in all documents reaches its range once for each part, not for each document."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, f"a{i} b{i} {passage} c{i} d{i}") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    config = RepeatConfig(part_bytes=20_000)
+    got = sorted((str(r[0]), *r[1:]) for r in removal_digests(frame, config).collect())
+    assert got == brute(rows) and sum(r[2] for r in got) == 399 * 40
+    parts = 1 + sum(len(t.encode()) for _, t in rows) // config.part_bytes
+    dealt = frame.selectExpr("*", f"cast(pmod(xxhash64(doc_id), {parts}) as int) AS part")
+    hits = recurring(packed_anchors(frame, parts, config))
+    asked = hits.selectExpr(f"cast(pmod(xxhash64(doc_id), {parts}) as int) AS part", "doc_id", "hits", "cast(null as binary) AS sha")
+    blocks = part_windows(dealt, asked, parts, config).collect()
+    h = [x for r in blocks for x in unpack(r["windows"], WINDOW_STEPS)[0].tolist()]
+    assert parts > 3 and max(h.count(x) for x in set(h)) == parts
+
+
+def test_a_very_long_text(spark):
+    """A text of some MB, half of it an earlier one's, in one part with short ones."""
+    rng = random.Random(5)
+    half = [f"w{rng.randrange(50_000)}" for _ in range(150_000)]
+    other = [f"w{rng.randrange(50_000)}" for _ in range(150_000)]
+    rows = [(2, " ".join(half + other)), (1, " ".join(half)), (3, " ".join(other[:20])), (4, "short")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in removal_digests(frame).collect()}
+    assert got == {1: 0, 2: 150_000, 3: 20, 4: 0}
