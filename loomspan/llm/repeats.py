@@ -21,13 +21,15 @@ Passages are confirmed by 128-bit hashes; occurrences are compared word for word
 from __future__ import annotations
 
 import hashlib
+import struct
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspan.llm.text import window_hashes, word_hashes
@@ -97,96 +99,138 @@ def slices(keys: np.ndarray):
     return [(int(keys[a]), a, b) for a, b in pairwise(edge.tolist())]
 
 
-# -- anchors
+# -- what travels
+
+
+#: Kinds of packed blocks, with the columns that hold differences. Of a batch: its distinct anchors
+#: and texts (a digest in two halves), each with one document that has it.
+ANCHORS, TEXTS = 0, 1
+#: Documents with an anchor, or a whole text, that they share with others.
+HITS, COPIES = 2, 3
+#: A part's windows (a hash in two halves), document, place, and whether several of its documents have it.
+WINDOWS = 4
+#: Windows that recur: document and place in the part, and the first document of all.
+PASSAGES = 5
+STEPS = {ANCHORS: [True, False], TEXTS: [True, False, False], HITS: [True, False], COPIES: [True, False, False], WINDOWS: [False, False, True, True, False], PASSAGES: [True, True, True]}
+
+
+def part_of(ids: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each document, as part_column() has it."""
+    distinct, at = np.unique(ids, return_inverse=True)
+    return np.array([zlib.crc32(b"%d" % i) % parts for i in distinct.tolist()], np.int64)[at]
+
+
+def part_column(parts: int) -> Column:
+    key = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
+    return F.pmod(F.crc32(key.cast("binary")), F.lit(parts)).cast("int")
+
+
+def table_of(keys: tuple[str, ...], rows: list[tuple]) -> pa.Table:
+    """Rows of int keys and a block."""
+    return pa.table({**{k: pa.array([r[i] for r in rows], pa.int32()) for i, k in enumerate(keys)}, "block": pa.array([r[-1] for r in rows], pa.binary())})
+
+
+def dealt_blocks(kind: int, key: np.ndarray, columns: list[np.ndarray], by: list[np.ndarray]):
+    """(key, kind, block) for each value of `key`, sorted by `by`."""
+    order = np.lexsort((*reversed(by), key))
+    columns = [x[order] for x in columns]
+    for k, a, b in slices(key[order]):
+        yield k, kind, pack([x[a:b] for x in columns], STEPS[kind])
+
+
+def collected(table: pa.Table, kind: int) -> list[np.ndarray] | None:
+    """The columns of all blocks of a kind."""
+    blocks = [unpack(x, STEPS[kind]) for k, x in zip(table["kind"].to_pylist(), table["block"].to_pylist(), strict=True) if k == kind]
+    return [np.concatenate(x) for x in zip(*blocks, strict=True)] if blocks else None
+
 
+def digest(text: str) -> tuple[int, int]:
+    """Half of a text's SHA-256."""
+    return struct.unpack("<QQ", hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()[:16])
 
-ANCHOR_STEPS = [True, False]
+
+# -- anchors
 
 
 def packed_anchors(docs: DataFrame, ranges: int, config: RepeatConfig) -> DataFrame:
-    """(range, anchors, doc_id, hits): blocks with each batch's distinct anchors and one document
-    for each, and anchors already known to recur, of documents within the batch."""
+    """(range, kind, block): each batch's distinct anchors and texts, and those of its documents
+    that are known to recur within it."""
 
     def run(batches):
         for batch in batches:
-            held, owner = [], []
+            held, owner, texts = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if doc_id is None:
+                text = text.as_py()
+                if doc_id is None or not text:
                     continue
-                h, at = window_anchors(word_hashes(text_words(text.as_py())), config)
+                texts.append((*digest(text), doc_id))
+                h, at = window_anchors(word_hashes(text_words(text)), config)
                 h = np.unique(h[np.unique(at)])
                 held.append(h)
                 owner.append(np.full(len(h), doc_id, np.int64))
-            if not sum(map(len, held)):
+            if not texts:
                 continue
+            out = []
             h, d = np.concatenate(held), np.concatenate(owner)
             order = np.lexsort((d, h))
             h, d = h[order], d[order]
-            fresh = np.r_[True, h[1:] != h[:-1]]
+            fresh = np.r_[True, h[1:] != h[:-1]][: len(h)]
             group = np.cumsum(fresh) - 1
-            several = np.isin(group, group[~fresh & np.r_[False, d[1:] != d[:-1]]])
-            first_h, first_d = h[fresh], d[fresh]
+            several = np.isin(group, group[~fresh & np.r_[False, d[1:] != d[:-1]][: len(d)]])
             # One document stands for the batch: if other batches have the anchor, it alone need be told.
-            blocks = [(r, pack([first_h[a:b], first_d[a:b]], ANCHOR_STEPS)) for r, a, b in slices(hash_range(first_h, ranges))]
-            by_doc = np.argsort(d[several], kind="stable")
-            hit_d, hit_h = d[several][by_doc], h[several][by_doc].view(np.int64)
-            hits = [(k, hit_h[a:b]) for k, a, b in slices(hit_d)]
-            n, m = len(blocks), len(hits)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([b[0] for b in blocks] + [hash(k) % ranges for k, _ in hits], pa.int32()),
-                    pa.array([b[1] for b in blocks] + [None] * m, pa.binary()),
-                    pa.array([None] * n + [k for k, _ in hits], pa.int64()),
-                    pa.array([None] * n + [x for _, x in hits], pa.list_(pa.int64())),
-                ],
-                names=["range", "anchors", "doc_id", "hits"],
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "range int, anchors binary, doc_id long, hits array<long>")
-
-
-def recurring(packed: DataFrame) -> DataFrame:
-    """(doc_id, hits): documents' anchors that other documents hold too, in several rows."""
+            out += dealt_blocks(ANCHORS, hash_range(h[fresh], ranges), [h[fresh], d[fresh]], [h[fresh]])
+            out += dealt_blocks(HITS, hash_range(h[several], ranges), [d[several], h[several]], [d[several]])
+            x, y, d = np.array([t[0] for t in texts], np.uint64), np.array([t[1] for t in texts], np.uint64), np.array([t[2] for t in texts], np.int64)
+            order = np.lexsort((d, y, x))
+            x, y, d = x[order], y[order], d[order]
+            fresh = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]
+            later = d > d[fresh][np.cumsum(fresh) - 1]
+            out += dealt_blocks(TEXTS, hash_range(x[fresh], ranges), [x[fresh], y[fresh], d[fresh]], [x[fresh]])
+            out += dealt_blocks(COPIES, hash_range(x[later], ranges), [d[later], x[later], y[later]], [d[later]])
+            yield table_of(("range", "kind"), out).combine_chunks().to_batches()[0]
 
-    def merge(group: pa.Table) -> pa.Table:
-        known = group.filter(pa.compute.is_valid(group["hits"])).select(["doc_id", "hits"])
-        blocks = [unpack(x, ANCHOR_STEPS) for x in group["anchors"].to_pylist() if x is not None]
-        if not blocks:
-            return known
-        h, d = (np.concatenate([b[i] for b in blocks]) for i in (0, 1))
-        order = np.argsort(h, kind="stable")
-        h, d = h[order], d[order]
-        same = h[1:] == h[:-1]
-        again = np.r_[same, False] | np.r_[False, same]
-        h, d = h[again].view(np.int64), d[again].view(np.int64)
-        order = np.argsort(d, kind="stable")
-        h, d = h[order], d[order]
-        rows = slices(d)
-        found = pa.table({"doc_id": pa.array([k for k, _, _ in rows], pa.int64()), "hits": pa.array([h[a:b] for _, a, b in rows], pa.list_(pa.int64()))})
-        return pa.concat_tables([known.cast(found.schema), found])
-
-    return packed.groupBy("range").applyInArrow(merge, "doc_id long, hits array<long>")
-
-
-def copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, sha): whole texts that an earlier document has, by SHA-256."""
-    keyed = docs.filter(F.col("text").isNotNull()).select("doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"))
-    firsts = keyed.groupBy(F.col("sha").alias("of")).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    return keyed.join(firsts, F.col("sha") == F.col("of")).filter(F.col("doc_id") > F.col("first")).select("doc_id", "sha")
+    return docs.select("doc_id", "text").mapInArrow(run, "range int, kind int, block binary")
 
 
-# -- confirmation
+def recurring(packed: DataFrame, parts: int) -> DataFrame:
+    """(part, kind, block): documents' anchors that others hold too, and whole texts that an earlier document has."""
+
+    def merge(group: pa.Table) -> pa.Table:
+        hits, copied = collected(group, HITS), collected(group, COPIES)
+        if (got := collected(group, ANCHORS)) is not None:
+            order = np.argsort(got[0], kind="stable")
+            h, d = got[0][order], got[1][order]
+            same = h[1:] == h[:-1]
+            again = np.r_[same, False] | np.r_[False, same]
+            hits = [np.concatenate(x) for x in zip(hits or [d[:0], h[:0]], [d[again], h[again]], strict=True)]
+        if (got := collected(group, TEXTS)) is not None:
+            x, y, d = got[0], got[1], got[2].view(np.int64)
+            order = np.lexsort((d, y, x))
+            x, y, d = x[order], y[order], d[order]
+            fresh = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]
+            later = d > d[fresh][np.cumsum(fresh) - 1]
+            copied = [np.concatenate(z) for z in zip(copied or [d[:0].view(np.uint64), x[:0], y[:0]], [d[later].view(np.uint64), x[later], y[later]], strict=True)]
+        out = []
+        for kind, columns in ((HITS, hits), (COPIES, copied)):
+            if columns is not None:
+                out += dealt_blocks(kind, part_of(columns[0].view(np.int64), parts), columns, [columns[0]])
+        return table_of(("part", "kind"), out)
 
+    return packed.groupBy("range").applyInArrow(merge, "part int, kind int, block binary")
 
-def digest(text: str) -> bytes:
-    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
+
+# -- confirmation
 
 
 class Part:
     """The texts of a part: rows by doc_id and text, so that a word's place in its document is
     the same whenever the part is read, also where rows share a doc_id."""
 
-    def __init__(self, table: pa.Table, whole: dict[int, set[bytes]]):
+    def __init__(self, table: pa.Table, told: pa.Table):
+        whole: dict[int, set[tuple[int, int]]] = {}
+        if (got := collected(told, COPIES)) is not None:
+            for k, x, y in zip(got[0].view(np.int64).tolist(), got[1].tolist(), got[2].tolist(), strict=True):
+                whole.setdefault(k, set()).add((x, y))
         ids, texts = table["doc_id"].to_pylist(), table["text"].to_pylist()
         #: Row numbers of each document.
         self.rows: dict[int, list[int]] = {}
@@ -200,43 +244,28 @@ class Part:
         return text_words(self.texts[row])
 
 
-def wholes(table: pa.Table) -> dict[int, set[bytes]]:
-    out: dict[int, set[bytes]] = {}
-    for k, sha in zip(table["doc_id"].to_pylist(), table["sha"].to_pylist(), strict=True):
-        if sha is not None:
-            out.setdefault(k, set()).add(sha)
-    return out
-
-
-#: Of a part's windows: two halves of the hash, document, place, whether several documents of the part have it.
-WINDOW_STEPS = [False, False, True, True, False]
-#: Of confirmed windows: document and place in the part, and the first document of all.
-PASSAGE_STEPS = [True, True, True]
+def part_windows(docs: DataFrame, told: DataFrame, ranges: int, config: RepeatConfig) -> DataFrame:
+    """(range, of, kind, block): each part's distinct windows that hold a recurring anchor; whole
+    texts that recur pass through."""
 
-
-def part_windows(docs: DataFrame, asked: DataFrame, ranges: int, config: RepeatConfig) -> DataFrame:
-    """(range, of, windows): blocks of each part's distinct windows that hold a recurring anchor."""
-
-    def run(key, table: pa.Table, asks: pa.Table) -> pa.Table:
-        hits: dict[int, list] = {}
-        for k, x in zip(asks["doc_id"].to_pylist(), asks["hits"], strict=True):
-            if x.is_valid:
-                hits.setdefault(k, []).append(x.values.to_numpy().view(np.uint64))
-        part = Part(table, wholes(asks))
+    def run(key, table: pa.Table, told: pa.Table) -> pa.Table:
+        part, of, out = Part(table, told), key[0].as_py(), []
         found = []
-        for doc_id, own in hits.items():
-            base, own = 0, np.concatenate(own)
-            for row in part.rows.get(doc_id, ()):
-                hashes = word_hashes(part.words(row))
-                if not part.whole[row]:
-                    h, at = window_anchors(hashes, config)
-                    places = np.flatnonzero(np.isin(h[at], own)) if len(at) else at
-                    if len(places):
-                        second = hashes * SECOND
-                        second ^= second >> np.uint64(29)
-                        found.append((window_hashes(hashes, config.window)[places], window_hashes(second, config.window)[places], np.full(len(places), doc_id, np.int64), places + base))
-                base += len(hashes)
-        out = []
+        if (got := collected(told, HITS)) is not None:
+            order = np.argsort(got[0].view(np.int64), kind="stable")
+            ids, hits = got[0].view(np.int64)[order], got[1][order]
+            for doc_id, a, b in slices(ids):
+                base = 0
+                for row in part.rows.get(doc_id, ()):
+                    hashes = word_hashes(part.words(row))
+                    if not part.whole[row]:
+                        h, at = window_anchors(hashes, config)
+                        places = np.flatnonzero(np.isin(h[at], hits[a:b])) if len(at) else at
+                        if len(places):
+                            second = hashes * SECOND
+                            second ^= second >> np.uint64(29)
+                            found.append((window_hashes(hashes, config.window)[places], window_hashes(second, config.window)[places], np.full(len(places), doc_id, np.int64), places + base))
+                    base += len(hashes)
         if found:
             h, g, d, p = (np.concatenate(x) for x in zip(*found, strict=True))
             order = np.lexsort((p, d, g, h))
@@ -245,35 +274,33 @@ def part_windows(docs: DataFrame, asked: DataFrame, ranges: int, config: RepeatC
             last = np.r_[first[1:], len(h)] - 1
             several = (d[first] != d[last]).astype(np.uint64)
             h, g, d, p = h[first], g[first], d[first], p[first]
-            r = hash_range(h, ranges)
-            order = np.lexsort((p, d, r))
-            columns = [x[order] for x in (h, g, d, p, several)]
-            out = [(k, pack([x[a:b] for x in columns], WINDOW_STEPS)) for k, a, b in slices(r[order])]
-        return pa.table({"range": pa.array([k for k, _ in out], pa.int32()), "of": pa.array([key[0].as_py()] * len(out), pa.int32()), "windows": pa.array([x for _, x in out], pa.binary())})
+            out += dealt_blocks(WINDOWS, hash_range(h, ranges), [h, g, d, p, several], [d, p])
+        out += [(of % ranges, COPIES, x) for k, x in zip(told["kind"].to_pylist(), told["block"].to_pylist(), strict=True) if k == COPIES]
+        return table_of(("range", "of", "kind"), [(r, of, kind, x) for r, kind, x in out])
 
-    return docs.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(run, "range int, of int, windows binary")
+    return docs.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(run, "range int, of int, kind int, block binary")
 
 
 def confirmed(windows: DataFrame) -> DataFrame:
-    """(part, passages): blocks of each part's windows that a document before another one has."""
+    """(part, kind, block): each part's windows that a document before another one has; whole texts pass through."""
 
     def merge(group: pa.Table) -> pa.Table:
-        blocks = [unpack(x, WINDOW_STEPS) for x in group["windows"].to_pylist()]
-        h, g, d, p, several = (np.concatenate([b[i] for b in blocks]) for i in range(5))
-        part = np.repeat(group["of"].to_numpy(), [len(b[0]) for b in blocks])
-        d = d.view(np.int64)
-        order = np.lexsort((d, g, h))
-        h, g, d, p, several, part = h[order], g[order], d[order], p[order], several[order], part[order]
-        fresh = np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])]
-        owner = d[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
-        keep = ~fresh | (several > 0)
-        d, p, owner, part = d[keep], p[keep], owner[keep], part[keep]
-        order = np.lexsort((p, d, part))
-        columns = [x[order] for x in (d, p, owner)]
-        out = [(k, pack([x[a:b] for x in columns], PASSAGE_STEPS)) for k, a, b in slices(part[order])]
-        return pa.table({"part": pa.array([k for k, _ in out], pa.int32()), "passages": pa.array([x for _, x in out], pa.binary())})
-
-    return windows.groupBy("range").applyInArrow(merge, "part int, passages binary")
+        kinds, of, held = group["kind"].to_pylist(), group["of"].to_pylist(), group["block"].to_pylist()
+        out = [(p, k, x) for p, k, x in zip(of, kinds, held, strict=True) if k == COPIES]
+        if (got := collected(group, WINDOWS)) is not None:
+            h, g, d, p, several = got
+            part = np.repeat([p for p, k in zip(of, kinds, strict=True) if k == WINDOWS], [len(x) // (8 * len(STEPS[WINDOWS])) for x, k in zip(held, kinds, strict=True) if k == WINDOWS])
+            d = d.view(np.int64)
+            order = np.lexsort((d, g, h))
+            h, g, d, p, several, part = h[order], g[order], d[order], p[order], several[order], part[order]
+            fresh = np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])]
+            owner = d[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+            keep = ~fresh | (several > 0)
+            d, p, owner, part = d[keep], p[keep], owner[keep], part[keep]
+            out += dealt_blocks(PASSAGES, part, [d, p, owner], [d, p])
+        return table_of(("part", "kind"), out)
+
+    return windows.groupBy("range").applyInArrow(merge, "part int, kind int, block binary")
 
 
 # -- automata
@@ -353,11 +380,11 @@ class Automaton:
         return found
 
 
-def runs(blocks: list[bytes], window: int):
+def runs(told: pa.Table, window: int):
     """(document, first, end, first document) of each run of confirmed windows with one first document."""
-    if not blocks:
+    if (got := collected(told, PASSAGES)) is None:
         return
-    d, p, f = (np.concatenate(x).view(np.int64) for x in zip(*(unpack(b, PASSAGE_STEPS) for b in blocks), strict=True))
+    d, p, f = (x.view(np.int64) for x in got)
     order = np.lexsort((p, d))
     d, p, f = d[order], p[order], f[order]
     edge = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1) | (f[1:] != f[:-1]), True])
@@ -365,11 +392,11 @@ def runs(blocks: list[bytes], window: int):
         yield int(d[a]), int(p[a]), int(p[b - 1]) + window, int(f[a])
 
 
-def located(part: Part, blocks: list[bytes], config: RepeatConfig) -> dict[int, np.ndarray]:
+def located(part: Part, told: pa.Table, config: RepeatConfig) -> dict[int, np.ndarray]:
     """Which words of each row passages of earlier documents cover; rows that lose none are left out."""
     number: dict[bytes, int] = {}
     passages, held, words = [], None, []
-    for doc_id, a, b, first in runs(blocks, config.window):
+    for doc_id, a, b, first in runs(told, config.window):
         if held != doc_id:
             held, words = doc_id, [w for row in part.rows[doc_id] for w in part.words(row)]
         passages.append((np.array([number.setdefault(w, len(number) + 1) for w in words[a:b]], np.int32), first))
@@ -404,20 +431,14 @@ def cut(docs: DataFrame, config: RepeatConfig, finish: Finish, schema: str) -> D
     docs = docs.toDF(*(c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 + total // config.part_bytes
-    known = docs.filter(F.col("doc_id").isNotNull())
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")
-    dealt = docs.withColumn("part", F.when(F.col("doc_id").isNotNull(), place).otherwise(F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int")))
-    none = F.lit(None)
-    whole = copies(known).select(place.alias("part"), "doc_id", none.cast("array<long>").alias("hits"), "sha", none.cast("binary").alias("passages"))
-    hits = recurring(packed_anchors(known, parts, config)).select(place.alias("part"), "doc_id", "hits", none.cast("binary").alias("sha"), none.cast("binary").alias("passages"))
-    windows = part_windows(dealt, hits.unionByName(whole).drop("passages"), parts, config)
-    found = confirmed(windows).select("part", none.cast("long").alias("doc_id"), none.cast("array<long>").alias("hits"), none.cast("binary").alias("sha"), "passages")
+    dealt = docs.withColumn("part", part_column(parts))
+    told = recurring(packed_anchors(docs, parts, config), parts)
+    found = confirmed(part_windows(dealt, told, parts, config))
 
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
-        part = Part(table, wholes(told))
-        return finish(table, located(part, [x for x in told["passages"].to_pylist() if x is not None], config))
+        return finish(table, located(Part(table, told), told, config))
 
-    return dealt.groupBy("part").cogroup(found.unionByName(whole).drop("hits").groupBy("part")).applyInArrow(run, schema)
+    return dealt.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(run, schema)
 
 
 def removal_digests(docs: DataFrame, config: RepeatConfig = RepeatConfig()) -> DataFrame:

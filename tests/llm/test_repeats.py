@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from loomspan.llm.repeats import WINDOW_STEPS, RepeatConfig, packed_anchors, part_windows, recurring, remove_repeats, removal_digests, unpack
+from loomspan.llm.repeats import STEPS, WINDOWS, RepeatConfig, packed_anchors, part_column, part_windows, recurring, remove_repeats, removal_digests, unpack
 
 
 def brute(rows, window=13):
@@ -58,11 +58,9 @@ def test_a_passage_in_every_document(spark):
     got = sorted((str(r[0]), *r[1:]) for r in removal_digests(frame, config).collect())
     assert got == brute(rows) and sum(r[2] for r in got) == 399 * 40
     parts = 1 + sum(len(t.encode()) for _, t in rows) // config.part_bytes
-    dealt = frame.selectExpr("*", f"cast(pmod(xxhash64(doc_id), {parts}) as int) AS part")
-    hits = recurring(packed_anchors(frame, parts, config))
-    asked = hits.selectExpr(f"cast(pmod(xxhash64(doc_id), {parts}) as int) AS part", "doc_id", "hits", "cast(null as binary) AS sha")
-    blocks = part_windows(dealt, asked, parts, config).collect()
-    h = [x for r in blocks for x in unpack(r["windows"], WINDOW_STEPS)[0].tolist()]
+    told = recurring(packed_anchors(frame, parts, config), parts)
+    blocks = part_windows(frame.withColumn("part", part_column(parts)), told, parts, config).collect()
+    h = [x for r in blocks if r["kind"] == WINDOWS for x in unpack(r["block"], STEPS[WINDOWS])[0].tolist()]
     assert parts > 3 and max(h.count(x) for x in set(h)) == parts
 
 
