@@ -359,10 +359,11 @@ class Automaton:
                 self.uses[i].append((k, at // codes.places))
         self.automaton.make_automaton()
 
-    def locate(self, doc_id: int, words: np.ndarray, spelled: str) -> list[tuple[int, int]]:
-        """Word ranges of a document that passages of earlier documents cover."""
+    def locate(self, doc_id: int, numbers: Callable[[], np.ndarray], spelled: str) -> list[tuple[int, int]]:
+        """Word ranges of a document that passages of earlier documents cover; its words'
+        numbers are asked for only where a passage is not there as a whole."""
         places, block = self.codes.places, self.config.block
-        found, done = [], {}
+        found, done, words = [], {}, None
         for end, i in self.automaton.iter(spelled):
             j = (end + 1) // places - block
             for k, at in self.uses[i]:
@@ -372,6 +373,7 @@ class Automaton:
                 if j >= at and spelled.startswith(self.spelled[k], (j - at) * places):
                     a, b = j - at, j - at + len(passage)
                 else:
+                    words = numbers() if words is None else words
                     a = j - _common(words[:j][::-1], passage[:at][::-1])
                     b = j + _common(words[j:], passage[at:])
                 done[k, j - at] = b
@@ -407,15 +409,17 @@ def located(part: Part, told: pa.Table, config: RepeatConfig) -> dict[int, np.nd
     if not passages:
         return gone
     codes = WordCodes(len(number) + 1)
+    code, unknown = {w: codes.codes[i] for w, i in number.items()}, codes.codes[0]
     weight = np.cumsum([len(p) // config.block for p, _ in passages]) // config.automaton_blocks
     for _, a, b in slices(weight):
         automaton = Automaton(passages[a:b], codes, config)
         for row, (doc_id, text) in enumerate(zip(part.ids, part.texts, strict=True)):
             if doc_id is None or not text or part.whole[row]:
                 continue
-            numbers = [number.get(w, 0) for w in part.words(row)]
-            for x, y in automaton.locate(doc_id, np.array(numbers, np.int32), codes.spell(numbers)):
-                gone.setdefault(row, np.zeros(len(numbers), bool))[x:y] = True
+            words = part.words(row)
+            spelled = "".join([code.get(w, unknown) for w in words])
+            for x, y in automaton.locate(doc_id, lambda words=words: np.array([number.get(w, 0) for w in words], np.int32), spelled):
+                gone.setdefault(row, np.zeros(len(words), bool))[x:y] = True
     return gone
 
 
