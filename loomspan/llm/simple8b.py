@@ -54,12 +54,17 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
     if not n:
         return np.empty(0, np.uint64), np.zeros(1, np.int64)
     chosen = _choices(values, block)
-    step = np.array([c for c, _ in PACKINGS] + [0, 1], np.int64)[chosen].tolist()
-    heads, at = [], 0
-    while at < n:
-        heads.append(at)
-        at += step[at]
-    starts = np.array(heads)
+    # All blocks go forward together, word by word: no word reaches over a block's end.
+    step = np.array([c for c, _ in PACKINGS] + [0, 1], np.int64)[chosen]
+    at = np.arange(0, n, block)
+    end = np.minimum(at + block, n)
+    head = np.zeros(n, bool)
+    while len(at):
+        head[at] = True
+        at = at + step[at]
+        more = at < end
+        at, end = at[more], end[more]
+    starts = np.flatnonzero(head)
     selectors = chosen[starts]
     escaped = selectors == ESCAPE
     place = np.arange(len(starts)) + np.cumsum(escaped) - escaped

@@ -11,11 +11,10 @@ from __future__ import annotations
 
 import struct
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,88 +24,130 @@ from loomspan.session import materialize
 MAGIC = b"S8BTOK1\0"
 #: Ids in a file image at most, unless a single document has more.
 CHUNK_IDS = 1 << 20
-SPACE_AFTER_SPACE = regex.compile(r"\s ")
-#: Distinct text parts whose ids a task remembers, about.
-MEMORY = 300_000
+#: Text that a range of documents holds, about, and that a task encodes at once.
+RANGE_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
+#: Bytes of distinct text parts and their ids that a Python worker remembers, about.
+MEMORY = 64 << 20
+#: Where texts are cut: before a space after a character that is neither white space nor a control
+#: or unassigned one; and before punctuation after a letter or digit, of blocks that every
+#: version of Unicode has alike. An apostrophe may open a contraction, so it is none.
+SPACES = r"([^\s\x0b\pZ\pC]) "
+PUNCTUATION = r"([A-Za-z0-9\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}])([!-&(-/:-@\[-`{-~])"
+MARK = "\0"
 
 
 def load_tokenizer(path: str):
-    """The tokenizers library's tokenizer, with special tokens' strings as ordinary text."""
+    """The tokenizers library's tokenizer, as its file has it."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 class PartEncoder:
     """Encodes whole texts part by part, and remembers the ids of frequent parts.
 
-    A part starts at a space after a character that is no white space. Byte-level
-    pre-tokenizing never joins characters over such a place, so a text's ids are its
-    parts' ids in order. Forgetting a part only costs encoding it again.
+    A part starts at a space after a character that is no white space, or at punctuation after
+    a letter or digit. Byte-level pre-tokenizing never joins characters over such a place, so
+    the ids of a text without added tokens' strings are its parts' ids in order. Texts are split, and their distinct
+    parts found, in Arrow; only parts not yet known are encoded. Forgetting a part only costs
+    encoding it again.
     """
 
     def __init__(self, tokenizer, memory: int = MEMORY):
-        self.tokenizer, self.memory, self.known = tokenizer, memory, {}
+        self.tokenizer, self.memory = tokenizer, memory
         #: Whether an id's bytes begin with a space.
         self.opens = np.zeros(tokenizer.get_vocab_size(), bool)
         for token, i in tokenizer.get_vocab().items():
             self.opens[i] = token.startswith("\u0120")  # how byte-level vocabularies write a space
-
-    def parts(self, text: str) -> list[str]:
-        """Parts of a text. Where a space follows other white space, there is no cut."""
-        raw = text.split(" ")
-        if SPACE_AFTER_SPACE.search(text) is None:
-            return ([raw[0]] if raw[0] else []) + [" " + x for x in raw[1:]]
-        out = [raw[0]]
-        for x in raw[1:]:
-            if not out[-1] or out[-1][-1].isspace():
-                out[-1] += " " + x
-            else:
-                out.append(" " + x)
-        return out
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.held = 0
+        self.size, self.count = 0, 0
+        self.starts, self.ids = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, "<u4")
+
+    def _remember(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Parts with their ids, one after another."""
+        n = self.size + len(ids)
+        if n > len(self.ids):
+            self.ids = np.concatenate((self.ids[: self.size], np.zeros(max(n, len(self.ids)), "<u4")))
+        self.ids[self.size : n] = ids
+        at = self.count + len(parts)
+        if at + 1 > len(self.starts):
+            self.starts = np.concatenate((self.starts[: self.count + 1], np.zeros(max(at + 1, len(self.starts)), np.int64)))
+        self.starts[self.count + 1 : at + 1] = self.size + np.cumsum(sizes)
+        self.known.update(zip(parts, range(self.count, at), strict=True))
+        self.size, self.count = n, at
 
     def learn(self, missing: list[str]) -> None:
-        """Remember the ids of parts. Parts with one space, at their begin, are encoded
-        together: each id that begins with a space opens the next part."""
-        plain = [p for p in missing if p.rfind(" ") == 0 and not p[-1].isspace()]
+        """Parts with one space, at their begin, are encoded together: each id that begins with
+        a space opens the next part."""
+        plain = [p for p in missing if p.rfind(" ") == 0 and not p[-1].isspace() and p.isprintable()]
         for i in range(0, len(plain), 512):
             some = plain[i : i + 512]
             got = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = (4 * np.append(np.flatnonzero(self.opens[got]), len(got))).tolist()
+            cuts = np.append(np.flatnonzero(self.opens[got]), len(got))
             if len(cuts) != len(some) + 1:
                 raise AssertionError("the vocabulary does not mark spaces as expected")
-            self.known.update(zip(some, map(got.tobytes().__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
+            self._remember(some, got, np.diff(cuts))
         if len(plain) < len(missing):
             rest = list(set(missing).difference(plain))
-            for part, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-                self.known[part] = np.array(got.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text; a null text has none."""
-        out = []
-        for i in range(0, len(texts), 64):
-            split = [self.parts(t) if t else [] for t in texts[i : i + 64]]
-            if len(self.known) > self.memory:
-                self.known.clear()
-            missing = set(chain.from_iterable(split)).difference(self.known)
-            if missing:
-                self.learn(list(missing))
-            out += [np.frombuffer(b"".join(map(self.known.__getitem__, parts)), "<u4") for parts in split]
-        return out
-
-
-def write_image(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            self._remember(rest, np.array([x for ids in found for x in ids], "<u4"), np.array([len(x) for x in found]))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids of each text); a null text has none. A text that holds the mark,
+        or an added token, which is found in the raw text before all else, is encoded whole."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        marked = pc.match_substring(texts, MARK)
+        for token in self.added:
+            marked = pc.or_(marked, pc.match_substring(texts, token))
+        cut = pc.replace_substring_regex(pc.if_else(marked, "", texts), SPACES, "\\1" + MARK + " ")
+        lists = pc.split_pattern(pc.replace_substring_regex(cut, PUNCTUATION, "\\1" + MARK + "\\2"), MARK)
+        parts = lists.values.dictionary_encode()
+        bounds, code = lists.offsets.to_numpy(), parts.indices.to_numpy()
+        distinct = parts.dictionary.to_pylist()
+        if self.held > self.memory:
+            self.forget()
+        missing = [p for p in distinct if p not in self.known]
+        if missing:
+            self.held += sum(map(len, missing)) * 2
+            self.learn(missing)
+        row = np.array([self.known[p] for p in distinct], np.int64)[code]
+        sizes = self.starts[row + 1] - self.starts[row]
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.arange(int(sizes.sum())) + np.repeat(self.starts[row] - (ends - sizes), sizes)]
+        per = np.diff(np.concatenate(([0], ends))[bounds])
+        if not pc.any(marked).as_py():
+            return ids, per
+        whole = {i: np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4") for i in np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist()}
+        each = [whole.get(i, x) for i, x in enumerate(np.split(ids, np.cumsum(per)[:-1]))]
+        return np.concatenate(each), np.array([len(x) for x in each])
+
+
+_encoders: dict[str, PartEncoder] = {}
+
+
+def worker_encoder(path: str) -> PartEncoder:
+    """The encoder of this Python worker; later tasks find what earlier ones have learned."""
+    if path not in _encoders:
+        _encoders[path] = PartEncoder(load_tokenizer(path))
+    return _encoders[path]
+
+
+def write_image(doc_ids: list[int | None], sizes: list[int], ids: np.ndarray) -> bytes:
     """A file image: header, document table (doc_id, null flag, ids), block offsets, words."""
-    words, before = simple8b.encode(np.concatenate(ids) if ids else np.empty(0, "<u4"))
-    table = np.zeros(len(ids), np.dtype([("doc_id", "<i8"), ("null", "<u1"), ("ids", "<i8")]))
+    words, before = simple8b.encode(ids)
+    table = np.zeros(len(sizes), np.dtype([("doc_id", "<i8"), ("null", "<u1"), ("ids", "<i8")]))
     table["doc_id"] = [x or 0 for x in doc_ids]
     table["null"] = [x is None for x in doc_ids]
-    table["ids"] = [len(x) for x in ids]
+    table["ids"] = sizes
     return MAGIC + struct.pack("<qqq", len(table), len(before), len(words)) + table.tobytes() + before.astype("<i8").tobytes() + words.astype("<u8").tobytes()
 
 
@@ -132,6 +173,15 @@ def read_block(image: bytes, block: int) -> np.ndarray:
     return simple8b.decode(np.frombuffer(image, "<u8", end - start, at + blocks * 8 + 8 * start)).astype("<u4")
 
 
+def groups(texts: pa.Array):
+    """(first, rows) of consecutive rows of about GROUP_BYTES."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    group = (np.cumsum(sizes) - sizes) // GROUP_BYTES
+    edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True]) if len(group) else np.zeros(1, np.int64)
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        yield a, b - a
+
+
 def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, chunk_ids: int = CHUNK_IDS) -> DataFrame:
     """(shard, chunk, n_docs, n_ids, image): token files of all documents in doc_id order.
 
@@ -141,61 +191,71 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, chunk_ids: i
     """
 
     def run(batches):
-        encoder = PartEncoder(load_tokenizer(tokenizer_path))
-        end = np.array([end_id], "<u4")
-        shard, chunk, held, ids, total = None, 0, [], [], 0
+        encoder = worker_encoder(tokenizer_path)
+        shard, chunk, held, sizes, ids, total = None, 0, [], [], [], 0
 
         def image():
             return pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([chunk], pa.int32()), pa.array([len(held)], pa.int64()), pa.array([total], pa.int64()), pa.array([write_image(held, ids)], pa.binary())],
+                [pa.array([shard], pa.int32()), pa.array([chunk], pa.int32()), pa.array([len(held)], pa.int64()), pa.array([total], pa.int64()), pa.array([write_image(held, sizes, np.concatenate(ids))], pa.binary())],
                 names=["shard", "chunk", "n_docs", "n_ids", "image"],
             )
 
         for batch in batches:
             shard = batch.column(2)[0].as_py() if shard is None and batch.num_rows else shard
-            for i in range(0, batch.num_rows, 64):
-                some = batch.slice(i, 64)
-                for doc_id, got in zip(some.column(0).to_pylist(), encoder.encode(some.column(1).to_pylist()), strict=True):
-                    held.append(doc_id)
-                    ids.append(np.concatenate((got, end)))
-                    total += len(got) + 1
+            for first, rows in groups(batch.column(1)):
+                got, per = encoder.encode(batch.column(1).slice(first, rows))
+                ends = np.cumsum(per)
+                got = np.insert(got, ends, end_id)  # one end after each document
+                ends, doc_ids, a = ends + np.arange(1, rows + 1), batch.column(0).slice(first, rows).to_pylist(), 0
+                while a < rows:
+                    begin = int(ends[a - 1]) if a else 0
+                    b = min(rows, 1 + int(np.searchsorted(ends, begin + chunk_ids - total)))  # the document that fills the chunk is its last
+                    held += doc_ids[a:b]
+                    sizes += (per[a:b] + 1).tolist()
+                    ids.append(got[begin : ends[b - 1]])
+                    total += int(ends[b - 1]) - begin
+                    a = b
                     if total >= chunk_ids:
                         yield image()
-                        chunk, held, ids, total = chunk + 1, [], [], 0
+                        chunk, held, sizes, ids, total = chunk + 1, [], [], [], 0
         if held:
             yield image()
 
-    ranges = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = docs.select("doc_id", "text").repartitionByRange(1 + total // RANGE_BYTES, "doc_id").sortWithinPartitions("doc_id", "text")
     return ranges.withColumn("shard", F.spark_partition_id()).mapInArrow(run, "shard int, chunk int, n_docs long, n_ids long, image binary")
 
 
 def read_tokens(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document, from the files alone.
 
-    `start` is the number of ids of all documents before it. `files` must be stored: its
-    sizes are summed over files first, then each file is decoded where it lies.
+    `start` is the number of ids of all documents before it. `files` must be stored. Each file
+    is decoded where it lies; the ids in the files before it are added to its documents'
+    places afterwards, from the files' sizes.
     """
 
     def run(batches):
         for batch in batches:
-            for before, image in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for shard, chunk, image in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 table, ids, _ = read_image(image)
                 ends = np.cumsum(table["ids"])
                 starts = ends - table["ids"]
-                crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                raw = memoryview(ids).cast("B")
+                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(table["doc_id"], mask=table["null"].astype(bool)), pa.array(starts + before), pa.array(table["ids"].astype(np.int64)), pa.array(crc, pa.int64())],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                    [pa.array([shard] * len(crc), pa.int32()), pa.array([chunk] * len(crc), pa.int32()), pa.array(table["doc_id"], mask=table["null"].astype(bool)), pa.array(starts), pa.array(table["ids"].astype(np.int64)), pa.array(crc, pa.int64())],
+                    names=["shard", "chunk", "doc_id", "inside", "n_tokens", "ids_crc32"],
                 )
 
     shards = files.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
     earlier = F.coalesce(F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     base = shards.select(F.col("shard").alias("s"), earlier.alias("base"))
     chunks = files.select("shard", "chunk", "n_ids")
-    inside = F.coalesce(F.sum("n_ids").over(Window.partitionBy("shard").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = chunks.withColumn("inside", inside).join(base, F.col("shard") == F.col("s")).select(F.col("shard").alias("s"), F.col("chunk").alias("c"), (F.col("base") + F.col("inside")).alias("before"))
-    joined = files.join(offsets, (F.col("shard") == F.col("s")) & (F.col("chunk") == F.col("c")))
-    return joined.select("before", "image").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    within = F.coalesce(F.sum("n_ids").over(Window.partitionBy("shard").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = chunks.withColumn("within", within).join(base, F.col("shard") == F.col("s")).select(F.col("shard").alias("s"), F.col("chunk").alias("c"), (F.col("base") + F.col("within")).alias("before"))
+    decoded = files.select("shard", "chunk", "image").mapInArrow(run, "shard int, chunk int, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    placed = decoded.join(offsets, (F.col("shard") == F.col("s")) & (F.col("chunk") == F.col("c")))
+    return placed.select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def token_digests(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:

@@ -3,8 +3,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from loomspan.llm import simple8b, tokenfile
 from loomspan.session import materialize
@@ -23,17 +25,31 @@ def test_simple8b_round_trip(values, block):
 
 
 def test_parts_encode_alike():
-    tokenizer = tokenfile.load_tokenizer(PATH)
+    tokenizer = Tokenizer.from_file(PATH)
     rng = random.Random(2)
-    parts = ["a", " ", "  ", "\n", "'s", "1", "é", " ", "<|endoftext|>", "\x1d", "!", "?? ", "\t", "Ġ"]
+    parts = ["a", " ", "  ", "\n", "'s", "1", "é", " ", "<|endoftext|>", "\x1d", "!", "?? ", "\t", "Ġ", "<|endof", "text|>", "Zz", "ñ", ",", "a.b", "x%", "\u00a0", "\u3000", "\x00", "\x85", "\u200b", "\U000e0001"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(1500)]
     encoder = tokenfile.PartEncoder(tokenizer, memory=200)
-    for text, ids in zip(texts, encoder.encode(texts), strict=True):
-        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    for some in (texts[:700], texts[700:], texts):
+        ids, per = encoder.encode(pa.array(some))
+        for text, got in zip(some, np.split(ids, np.cumsum(per)[:-1]), strict=True):
+            assert got.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert any(50256 in tokenizer.encode(t, add_special_tokens=False).ids for t in texts)
+
+
+def test_long_and_special_texts(spark):
+    """The library's own ids, also of an added token's string and of texts of many MB."""
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "x" * 300_000, "日本語" * 100_000, " ".join(f"w{i}" for i in range(400_000)), None, ""]
+    got = tokenfile.token_digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH, 2).collect()
+    for r in got:
+        ids = np.array([*tokenizer.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids, 2], "<u4")
+        assert (r["n_tokens"], r["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
+    assert len(got) == len(texts)
 
 
 def test_files_read_back(docs, rows, empty, repeated):
-    tokenizer = tokenfile.load_tokenizer(PATH)
+    tokenizer = Tokenizer.from_file(PATH)
     start, want = 0, []
     for r in sorted(rows):
         ids = np.array([*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 2], "<u4")
