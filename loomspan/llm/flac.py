@@ -17,6 +17,8 @@ import numpy as np
 #: Samples in a frame, but for a stream's last.
 FRAME = 1152
 PARTITIONS = 4
+#: A metadata block's length has 24 bits, and a seek point 18 bytes.
+SEEK_POINTS = ((1 << 24) - 1) // 18
 SHIFT = 8
 PRECISION = 10
 
@@ -24,6 +26,11 @@ PRECISION = 10
 FIXED = [[], [1], [2, -1], [3, -3, 1], [4, -6, 4, -1]]
 
 
+def frame_size(n: int) -> int:
+    """Samples of a frame, of a stream of n: as many as keep all frames in one seek table."""
+    return FRAME * max(1, -(-n // (FRAME * SEEK_POINTS)))
+
+
 class FlacError(ValueError):
     """The stream is damaged or uses what this decoder does not read."""
 
@@ -80,11 +87,13 @@ class Codec:
         """A complete stream for each payload; unsigned bytes become samples less 128."""
         sizes = [len(p) for p in payloads]
         data = np.frombuffer(b"".join(payloads), np.uint8).astype(np.int16) - 128
-        frames = [-(-n // FRAME) for n in sizes]
+        steps = [frame_size(n) for n in sizes]
+        frames = [-(-n // f) for n, f in zip(sizes, steps, strict=True)]
+        step = np.repeat(steps, frames)
         base = np.repeat(np.cumsum([0, *sizes[:-1]]), frames)
         number = np.arange(sum(frames)) - np.repeat(np.cumsum([0, *frames[:-1]]), frames)
-        first = base + number * FRAME
-        length = np.minimum(FRAME, np.repeat(sizes, frames) - number * FRAME)
+        first = base + number * step
+        length = np.minimum(step, np.repeat(sizes, frames) - number * step)
         coded: list[bytes] = [b""] * len(first)
         for n in np.unique(length):
             mine = np.flatnonzero(length == n)
@@ -100,14 +109,15 @@ class Codec:
 
     def _stream(self, payload: bytes, frames: list[bytes]) -> bytes:
         n = len(payload)
-        size = min(FRAME, n)
+        step = frame_size(n)
+        size = min(step, n)
         lengths = [len(f) for f in frames]
         md5 = hashlib.md5((np.frombuffer(payload, np.uint8) ^ 128).tobytes()).digest()
         info = struct.pack(">HH", size, size) + min(lengths).to_bytes(3, "big") + max(lengths).to_bytes(3, "big")
         info += (44100 << 44 | 0 << 41 | 7 << 36 | n).to_bytes(8, "big") + md5
         seek, at = b"", 0
         for i, m in enumerate(lengths):
-            seek += struct.pack(">QQH", i * FRAME, at, min(FRAME, n - i * FRAME))
+            seek += struct.pack(">QQH", i * step, at, min(step, n - i * step))
             at += m
         return b"fLaC" + bytes([0]) + len(info).to_bytes(3, "big") + info + bytes([0x80 | 3]) + len(seek).to_bytes(3, "big") + seek + b"".join(frames)
 

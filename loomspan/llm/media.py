@@ -55,12 +55,6 @@ def store_media(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-def feature(samples: np.ndarray) -> str:
-    """Peak, sum, energy and sign changes of int8 samples, as text."""
-    x = samples.astype(np.int64)
-    return f"peak={int(np.abs(x).max())};sum={int(x.sum())};energy={int((x * x).sum())};crossings={int((np.diff(np.signbit(samples)) != 0).sum())}"
-
-
 def _decoded(batches, columns: int):
     """(rows, media, payloads) of stored streams, some at a time."""
     codec = flac.Codec()
@@ -75,25 +69,58 @@ def _decoded(batches, columns: int):
                 first, total = i + 1, 0
 
 
+def blocks_of(stream: bytes, pcm: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(first sample, samples, PCM bytes) of each frame of a decoded stream, by its seek table,
+    which must leave no gap."""
+    at = 0
+    for sample, _, n in flac.parse_stream(stream)[1].tolist():
+        if sample != at:
+            raise flac.FlacError("the seek table leaves a gap")
+        yield sample, n, pcm[sample : sample + n]
+        at += n
+    if at != len(pcm):
+        raise flac.FlacError("the seek table does not reach the end")
+
+
+def pcm_digests(stream: bytes, pcm: bytes) -> tuple[int, str, int, str]:
+    """payload_bytes, payload_sha256, tail_crc32 and feature, gathered from the stream's PCM blocks."""
+    sha, size, tail, last = hashlib.sha256(), 0, b"", None
+    peak = total = energy = crossings = 0
+    for _, n, block in blocks_of(stream, pcm):
+        sha.update(block)
+        size += n
+        tail = (tail + block)[-16:]
+        x = (np.frombuffer(block, np.uint8) ^ 128).view(np.int8)
+        wide = x.astype(np.int64)
+        peak = max(peak, int(np.abs(wide).max()))
+        total, energy = total + int(wide.sum()), energy + int((wide * wide).sum())
+        negative = np.signbit(x)
+        crossings += int(np.count_nonzero(negative[1:] != negative[:-1])) + (last is not None and last != negative[0])
+        last = negative[-1]
+    return size, sha.hexdigest(), zlib.crc32(tail), f"peak={peak};sum={total};energy={energy};crossings={crossings}"
+
+
 def media_digests(stored: DataFrame) -> DataFrame:
-    """Digests of stored streams and of what they decode to, with features.
+    """Digests of stored streams and of the PCM blocks that they decode to, with features.
 
     Columns: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes,
-    media_sha256, feature. A damaged stream fails its task with what is wrong.
+    media_sha256, feature (peak, sum, energy and sign changes of the samples). A damaged
+    stream fails its task with what is wrong.
     """
 
     def run(batches):
         for rows, media, pcm in _decoded(batches, 2):
+            size, sha, tail, feature = zip(*map(pcm_digests, media, pcm), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column(0),
                     rows.column(1),
-                    pa.array([len(x) for x in pcm], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in pcm], pa.string()),
-                    pa.array([zlib.crc32(x[-16:]) for x in pcm], pa.int64()),
+                    pa.array(size, pa.int64()),
+                    pa.array(sha, pa.string()),
+                    pa.array(tail, pa.int64()),
                     pa.array([len(m) for m in media], pa.int64()),
                     pa.array([hashlib.sha256(m).hexdigest() for m in media], pa.string()),
-                    pa.array([feature((np.frombuffer(x, np.uint8) ^ 128).view(np.int8)) for x in pcm], pa.string()),
+                    pa.array(feature, pa.string()),
                 ],
                 names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
             )
@@ -105,15 +132,16 @@ def media_digests(stored: DataFrame) -> DataFrame:
 
 def pcm_blocks(stored: DataFrame) -> DataFrame:
     """(doc_id, block, first_sample, n_samples, pcm): a row for each frame of each stream, by
-    the seek table's offsets; pcm is unsigned 8-bit."""
+    the seek table's offsets; pcm is unsigned 8-bit. A null doc_id stays null, repeated rows
+    give repeated blocks, and an empty table none. Only doc_id and media are read."""
 
     def run(batches):
-        for rows, media, pcm in _decoded(batches, 2):
-            out: dict[str, list] = {n: [] for n in ("doc_id", "block", "first_sample", "n_samples", "pcm")}
+        for rows, media, pcm in _decoded(batches, 1):
             for doc_id, m, x in zip(rows.column(0).to_pylist(), media, pcm, strict=True):
-                for i, (sample, _, n) in enumerate(flac.parse_stream(m)[1].tolist()):
-                    for key, v in zip(out, (doc_id, i, sample, n, x[sample : sample + n]), strict=True):
-                        out[key].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=list(out))
+                sample, n, block = zip(*blocks_of(m, x), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([doc_id] * len(n), pa.int64()), pa.array(range(len(n)), pa.int32()), pa.array(sample, pa.int64()), pa.array(n, pa.int32()), pa.array(block, pa.binary())],
+                    names=["doc_id", "block", "first_sample", "n_samples", "pcm"],
+                )
 
-    return stored.mapInArrow(run, "doc_id long, block int, first_sample long, n_samples int, pcm binary")
+    return stored.select("doc_id", "media").mapInArrow(run, "doc_id long, block int, first_sample long, n_samples int, pcm binary")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loomspan.llm.media import media_digests, store_media
+from loomspan.session import materialize
 
 NAME = "op9_flac_media"
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streams go from the coding to the decoding task step as a binary column: nothing else
-    of a document reaches the decoder, and no disk is needed."""
-    return media_digests(store_media(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    """Streams are stored in the shared folder; the digests are of what is read back from there."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return media_digests(materialize(store_media(docs), "media"))
