@@ -6,23 +6,27 @@
    hash bins). Texts without such a link are at distance 1 from each other and from any
    pivot, so triangle inequalities cannot part them; this step does, and leaves regions
    of documents that may link.
-3. Each region is joined by pivots. A pivot's ball is one component. Documents are
-   compared only if their distances to every pivot differ by at most the radius. A region
-   too large for one task is split: Voronoi cells around pivots, documents near a
-   boundary repeated in the neighbours' cells by the triangle inequality, documents deep
-   inside a pivot's ball left out, and each cell joined in turn, recursively.
-
-Nothing is approximate: any pair within the threshold ends up in one component.
+3. Each region is split by pivots that lie far apart. A document within the radius of a
+   pivot is linked to it. Documents go to the Voronoi cell of the nearest pivot and, if they
+   lie near a boundary by the triangle inequality, to the neighbours' cells; those far from
+   all pivots form one more cell; those deep inside a pivot's ball are left out. Cells
+   are split again until they are small. A split that does not shrink its region is not
+   made: its documents are compared in windows of their sizes.
+
+A region within the task bound is split in memory, in one task; a larger one is split by
+Spark, with the same windows. Nothing is approximate, but for collisions of 64-bit hashes:
+any pair within the threshold ends up in one component.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspan.llm.text import shingle_set
@@ -34,16 +38,22 @@ class JaccardConfig:
     """Documents link when 100 * |A & B| >= `percent` * |A | B|. `bins` fixes the size of the
     shingle counts that order shingles. Cells of up to `small_cell` documents give
     candidate pairs, which need as many shared prefix shingles as `slack` forces.
-    Regions of up to `region_shingles` shingles are joined in one task."""
+    Regions of up to `region_weight` are joined in one task; a document weighs as many as its
+    shingles, and `least_weight` at least. A split has at most `pivots` pivots, or in memory the
+    square root of its members if that is more. It is made only if comparing all pairs in the
+    cells, and all members with the pivots, takes at most `shrink` times as many comparisons as
+    all pairs of the region, and the cells hold at most `growth` times its documents."""
 
     size: int = 5
     percent: int = 80
     bins: int = 1 << 20
     slack: float = 0.05
     small_cell: int = 16
-    region_shingles: int = 3_000_000
-    pivots: int = 16
-    depth: int = 6
+    region_weight: int = 500_000
+    least_weight: int = 100
+    pivots: int = 64
+    shrink: float = 0.7
+    growth: float = 2.0
 
 
 BIN_BLOCK = 1 << 14
@@ -133,6 +143,43 @@ def signatures(docs: DataFrame, order: np.ndarray, config: JaccardConfig) -> Dat
 # -- candidate regions
 
 
+def prefix_cells(firsts: DataFrame, config: JaccardConfig) -> DataFrame:
+    """(shingle, doc_id, n, tied): each prefix shingle's documents, and edges of one cell.
+
+    A batch with more than `small_cell` documents of a shingle ties them to the least of
+    them at once (`tied`), and sends that one alone, with a null n: so a very frequent
+    shingle comes to its cell once for each batch.
+    """
+
+    def run(batches):
+        for batch in batches:
+            ids, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            prefix = batch.column(2)
+            per = np.diff(prefix.offsets.to_numpy())
+            sig, doc = prefix.values.to_numpy()[prefix.offsets.to_numpy()[0] : prefix.offsets.to_numpy()[-1]], np.repeat(ids, per)
+            order = np.lexsort((doc, sig))
+            sig, doc, n = sig[order], doc[order], np.repeat(sizes, per)[order]
+            first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]][: len(sig)])
+            count = np.diff(np.append(first, len(sig)))
+            many = np.repeat(count > config.small_cell, count)
+            least = np.repeat(doc[first], count)
+            head = np.zeros(len(sig), bool)
+            head[first] = True
+            sent = ~many | head
+            tied = many & (doc > least)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.r_[sig[sent], sig[tied]], mask=np.r_[np.zeros(sent.sum(), bool), np.ones(tied.sum(), bool)]),
+                    pa.array(np.r_[doc[sent], doc[tied]]),
+                    pa.array(np.r_[n[sent], n[tied]], mask=np.r_[many[sent], np.ones(tied.sum(), bool)]),
+                    pa.array(np.r_[doc[sent], least[tied]], mask=np.r_[np.ones(sent.sum(), bool), np.zeros(tied.sum(), bool)]),
+                ],
+                names=["shingle", "doc_id", "n", "tied"],
+            )
+
+    return firsts.select("doc_id", "n", "prefix").mapInArrow(run, "shingle long, doc_id long, n long, tied long")
+
+
 def candidate_edges(firsts: DataFrame, config: JaccardConfig) -> DataFrame:
     """(a, b) with a < b: documents of one region. Every linked pair is joined by such edges.
 
@@ -140,13 +187,14 @@ def candidate_edges(firsts: DataFrame, config: JaccardConfig) -> DataFrame:
     prefix shingles all lie in small cells, enough are counted there; all documents of a
     larger cell are tied to its smallest.
     """
-    rows = firsts.select("doc_id", "n", F.explode("prefix").alias("shingle"))
-    cell = Window.partitionBy("shingle")
-    cells = rows.select("doc_id", "n", "shingle", F.count("*").over(cell).alias("docs"), F.min("doc_id").over(cell).alias("least")).filter(F.col("docs") > 1)
-    cells = materialize(cells, "jaccard-cells")
-    large = cells.filter((F.col("docs") > config.small_cell) & (F.col("doc_id") > F.col("least"))).select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    cell = Window.partitionBy("shingle", "tied")  # a row without a shingle is an edge already, and passes
+    rows = prefix_cells(firsts, config).select("*", F.count("*").over(cell).alias("docs"), F.min("doc_id").over(cell).alias("least"), F.max(F.col("n").isNull()).over(cell).alias("large"))
+    cells = materialize(rows.filter(F.col("tied").isNotNull() | (F.col("docs") > 1)), "jaccard-cells")
+    is_large = F.col("large") | (F.col("docs") > config.small_cell)
+    large = cells.filter(F.col("tied").isNull() & is_large & (F.col("doc_id") > F.col("least"))).select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    tied = cells.filter(F.col("tied").isNotNull()).select(F.col("tied").alias("a"), F.col("doc_id").alias("b"))
     small = (
-        cells.filter(F.col("docs") <= config.small_cell)
+        cells.filter(F.col("tied").isNull() & ~is_large)
         .groupBy("shingle")
         .agg(F.sort_array(F.collect_list(F.struct("doc_id", "n"))).alias("m"))
         .select(F.explode(F.flatten(F.transform("m", lambda x: F.transform(F.filter("m", lambda y: (y["doc_id"] > x["doc_id"]) & (100 * F.least(x["n"], y["n"]) >= config.percent * F.greatest(x["n"], y["n"]))), lambda y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b"), F.least(x["n"], y["n"]).alias("n")))))).alias("p"))
@@ -156,81 +204,168 @@ def candidate_edges(firsts: DataFrame, config: JaccardConfig) -> DataFrame:
     )
     # Both prefixes hold the first forced(n) shared shingles, n the smaller set's size.
     enough = small.filter(F.col("common") >= 1 + F.floor(F.col("n") * F.lit(config.slack)))
-    return enough.select("a", "b").union(large).distinct()
+    return enough.select("a", "b").union(large).union(tied).distinct()
 
 
-# -- joining a region in memory
+# -- pivots and cells
 
 
-def _find(parent: list[int], i: int) -> int:
-    while parent[i] != i:
-        parent[i] = parent[parent[i]]
-        i = parent[i]
-    return i
+def radius_of(config: JaccardConfig) -> float:
+    return 1 - config.percent / 100 + 1e-6  # a little wide: distances only rule pairs out
 
 
-def _union(parent: list[int], i: int, others) -> None:
-    for j in others:
-        a, b = _find(parent, i), _find(parent, int(j))
-        if a != b:
-            parent[max(a, b)] = min(a, b)
+def distances(common: np.ndarray, size: int, sizes: np.ndarray) -> np.ndarray:
+    return 1 - common / (size + sizes - common)
 
 
-def join_region(ids: list[int], sets: list[np.ndarray], percent: int) -> list[int]:
-    """The least id that each member reaches by links within the region; exact.
+def cell_windows(far: np.ndarray, radius: float) -> np.ndarray:
+    """Which cells each member goes to, from its distances to the pivots (members x pivots): a
+    column for each pivot and a last one for the members far from all pivots.
 
-    Members that no pivot's ball holds become pivots themselves, so every pivot is compared
-    with all members. Of the others only pairs in different components are left, and of
-    these only the ones that all pivots' distances allow are compared.
+    Let x and y link, so their distances to any pivot differ by the radius at most, and let
+    `bound` part near from far members. If both are near, each is in the cell of the other's
+    nearest pivot: its distance there is at most its least one and twice the radius, and at
+    most bound and radius. If one is far, the other's least distance is at least the bound
+    less the radius, and both are in the last cell.
     """
-    order = np.lexsort((np.array([len(s) for s in sets]), np.array(ids)))
-    ids, sets = [ids[i] for i in order], [sets[i] for i in order]
-    m = len(ids)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    starts = np.cumsum(sizes) - sizes
-    mark = np.zeros(int(codes.max()) + 1, bool)
-    parent = list(range(m))
+    bound = 1 - 2 * radius
+    nearest = far.min(axis=1, keepdims=True)
+    cells = (nearest < bound) & (far <= np.minimum(nearest + 2 * radius, bound + radius))
+    return np.append(cells, nearest >= bound - radius, axis=1)
+
+
+def may_leave(far: np.ndarray, near: np.ndarray, edge, radius: float) -> np.ndarray:
+    """Members of a pivot's cell that have to stay: those outside its ball, and those inside from
+    which a link may reach outside; `edge` is the least distance of those outside."""
+    return ~near | (far >= edge - radius)
+
+
+def spread_pivots(count: int, most: int, apart: float, measure) -> list[int]:
+    """Farthest-first choice among `count` members: measure(i) gives member i's distances to all.
+    Pivots are more than `apart` from each other, so that few members lie between two."""
+    chosen, nearest = [0], measure(0)
+    while len(chosen) < most:
+        i = int(nearest.argmax())
+        if nearest[i] <= apart:
+            break
+        chosen.append(i)
+        nearest = np.minimum(nearest, measure(i))
+    return chosen
+
+
+# -- joining a region in memory
+
+
+class Links:
+    """Components under construction; `roots` are read at once, and made anew only after a change."""
+
+    def __init__(self, count: int):
+        self.parent = np.arange(count)
+        self.stale = False
+
+    def roots(self) -> np.ndarray:
+        if self.stale:
+            while (up := self.parent[self.parent] != self.parent).any():
+                self.parent[up] = self.parent[self.parent[up]]
+            self.stale = False
+        return self.parent
 
-    def common(i: int) -> np.ndarray:
-        own = codes[starts[i] : starts[i] + sizes[i]]
+    def join(self, i: int, others: np.ndarray) -> None:
+        """Put all into one component, whose root is the least."""
+        roots = self.roots()
+        mine = np.unique(np.append(roots[others], roots[i]))
+        if len(mine) > 1:
+            self.parent[mine] = mine[0]
+            self.stale = True
+
+
+class Cell:
+    """Some members' sets, one after another, by size."""
+
+    def __init__(self, members: np.ndarray, sizes: np.ndarray, codes: list[np.ndarray]):
+        self.members = members[np.argsort(sizes[members], kind="stable")]
+        self.sizes = sizes[self.members]
+        self.codes = np.concatenate([codes[i] for i in self.members.tolist()])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def common(self, i: int, mark: np.ndarray, a: int, b: int) -> np.ndarray:
+        """Shingles that set i shares with each of sets a to b."""
+        own = self.codes[self.starts[i] : self.starts[i] + self.sizes[i]]
         mark[own] = True
-        found = np.add.reduceat(mark[codes].astype(np.int32), starts)
+        first = self.starts[a]
+        last = self.starts[b - 1] + self.sizes[b - 1]
+        found = np.add.reduceat(mark[self.codes[first:last]].astype(np.int32), self.starts[a:b] - first)
         mark[own] = False
         return found
 
-    for i in range(1, m):  # rows of one id are one document
-        if ids[i] == ids[i - 1]:
-            _union(parent, i - 1, [i])
-    attached, pivot, far = np.zeros(m, bool), np.zeros(m, bool), []
-    for i in range(m):
-        if attached[i]:
+
+def join_region(ids: list[int], sets: list[np.ndarray], config: JaccardConfig, sizes_of_splits: list | None = None) -> list[int]:
+    """The least id that each member reaches by links within the region; exact.
+
+    Rows of one id are one document. `sizes_of_splits` collects (members, members of all cells,
+    of the largest) of each split that is made.
+    """
+    percent, radius = config.percent, radius_of(config)
+    order = np.lexsort((np.array([len(s) for s in sets]), np.array(ids)))
+    ids, sets = np.array(ids, np.int64)[order], [sets[i] for i in order]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    codes = np.split(flat, np.cumsum(sizes)[:-1])
+    mark = np.zeros(int(flat.max()) + 1, bool)
+    links = Links(len(ids))
+    for i in np.flatnonzero(ids[1:] == ids[:-1]).tolist():
+        links.join(i, np.array([i + 1]))
+
+    def compare(cell: Cell) -> None:
+        """All pairs of different components in windows of sizes."""
+        last = np.searchsorted(100 * cell.sizes, percent * cell.sizes, side="left")  # the least size that each may link with
+        high = np.searchsorted(last, np.arange(len(cell.members)), side="right")
+        for i, b in enumerate(high.tolist()):
+            if b <= i + 1:
+                continue
+            roots = links.roots()[cell.members[i:b]]
+            if (roots[1:] == roots[0]).all():
+                continue
+            c = cell.common(i, mark, i + 1, b)
+            links.join(int(cell.members[i]), cell.members[i + 1 : b][linked(c, cell.sizes[i], cell.sizes[i + 1 : b], percent)])
+
+    todo = [np.arange(len(ids))]
+    while todo:
+        cell = Cell(todo.pop(), sizes, codes)
+        m = len(cell.members)
+        if m <= config.small_cell:
+            compare(cell)
+            continue
+        shared: dict[int, np.ndarray] = {}
+
+        def measure(i: int, cell=cell, m=m, shared=shared) -> np.ndarray:
+            shared[i] = cell.common(i, mark, 0, m)
+            return distances(shared[i], cell.sizes[i], cell.sizes)
+
+        pivots = spread_pivots(m, max(config.pivots, math.isqrt(m)), 1 - radius, measure)
+        near = np.stack([linked(shared[i], cell.sizes[i], cell.sizes, percent) for i in pivots], axis=1)
+        far = np.stack([distances(shared[i], cell.sizes[i], cell.sizes) for i in pivots], axis=1)
+        for k, i in enumerate(pivots):
+            links.join(int(cell.members[i]), cell.members[near[:, k]])
+        inside = cell_windows(far, radius)
+        parts = [cell.members[inside[:, -1]]]
+        for k in range(len(pivots)):
+            mine = inside[:, k]
+            out = far[mine & ~near[:, k], k]
+            if len(out):  # else the whole cell is one ball
+                parts.append(cell.members[mine][may_leave(far[mine, k], near[mine, k], out.min(), radius)])
+        parts = [p for p in parts if len(p) > 1]
+        total, largest = sum(map(len, parts)), max(map(len, parts), default=0)
+        if len(pivots) * m + sum(len(p) ** 2 for p in parts) > config.shrink * m * m or total > config.growth * m:
+            compare(cell)
             continue
-        c = common(i)
-        near = linked(c, sizes[i], sizes, percent)
-        _union(parent, i, np.flatnonzero(near))
-        attached |= near
-        pivot[i] = True
-        if len(far) < 64:
-            far.append((1 - c / (sizes[i] + sizes - c)).astype(np.float32))
-    radius = 1 - percent / 100 + 1e-4  # a little wide: float distances only rule pairs out
-    roots = np.array([_find(parent, i) for i in range(m)])
-    rest = np.flatnonzero(~pivot)
-    if len(np.unique(roots[rest])) > 1:
-        distance = np.stack(far)
-        for i in rest.tolist():
-            roots = np.array([_find(parent, j) for j in range(m)])
-            other = rest[(roots[rest] != roots[i]) & (100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i]))]
-            if len(other) and (np.abs(distance[:, other] - distance[:, i : i + 1]).max(axis=0) <= radius).any():
-                _union(parent, i, np.flatnonzero(linked(common(i), sizes[i], sizes, percent)))
-    least: dict[int, int] = {}
-    roots = [_find(parent, i) for i in range(m)]
-    for i, r in enumerate(roots):
-        least[r] = min(least.get(r, ids[i]), ids[i])
-    found = [least[r] for r in roots]
-    out = [0] * m
-    for place, label in zip(order.tolist(), found, strict=True):
-        out[place] = label
+        if sizes_of_splits is not None:
+            sizes_of_splits.append((m, total, largest))
+        todo += parts
+    roots = links.roots()  # members are in the order of their ids, so a root is the least
+    out = [0] * len(ids)
+    for place, root in zip(order.tolist(), roots.tolist(), strict=True):
+        out[place] = int(ids[root])
     return out
 
 
@@ -240,7 +375,7 @@ def join_in_tasks(members: DataFrame, keys: list[str], config: JaccardConfig) ->
     def kernel(group: pa.Table) -> pa.Table:
         ids = group["doc_id"].to_pylist()
         sets = [np.frombuffer(x, np.uint64) for x in group["shingles"].to_pylist()]
-        labels = join_region(ids, sets, config.percent) if len(ids) > 1 else ids
+        labels = join_region(ids, sets, config) if len(ids) > 1 else ids
         pairs = {(b, a) for a, b in zip(ids, labels, strict=True) if a != b}
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
@@ -250,70 +385,116 @@ def join_in_tasks(members: DataFrame, keys: list[str], config: JaccardConfig) ->
 # -- splitting regions that are too large for a task
 
 
-def pivot_distances(members: DataFrame, config: JaccardConfig, level: int) -> DataFrame:
-    """members with `pivot` ids of their region, `near` (whether they link) and `far` (distances)."""
+def set_size() -> Column:
+    return (F.octet_length("shingles") / 8).cast("long")
+
+
+def weigh(members: DataFrame, config: JaccardConfig) -> DataFrame:
+    """(r, weight) of each region."""
+    return members.groupBy(F.col("region").alias("r")).agg(F.sum(F.greatest(set_size(), F.lit(config.least_weight))).alias("weight"))
+
+
+def choose_pivots(members: DataFrame, config: JaccardConfig, level: int) -> DataFrame:
+    """(r, pivot, set): pivots of each region, farthest-first among members taken by hash."""
     seeds = [F.min(F.struct(F.xxhash64(F.lit(level * 1000 + k), "doc_id").alias("h"), "doc_id")) for k in range(config.pivots)]
-    chosen = members.groupBy("region").agg(F.array_distinct(F.transform(F.array(*seeds), lambda x: x["doc_id"])).alias("ids"))
-    picks = chosen.select(F.col("region").alias("r"), F.explode("ids").alias("pivot"))
-    sets = members.join(picks, (F.col("region") == F.col("r")) & (F.col("doc_id") == F.col("pivot"))).groupBy("r").agg(F.collect_list(F.struct("pivot", "shingles")).alias("pivots"))
+    drawn = members.groupBy("region").agg(F.array_distinct(F.transform(F.array(*seeds), lambda x: x["doc_id"])).alias("ids"))
+    picks = drawn.select(F.col("region").alias("r"), F.explode("ids").alias("seed"))
+    sets = members.join(picks, (F.col("region") == F.col("r")) & (F.col("doc_id") == F.col("seed"))).select("r", "seed", F.col("shingles").alias("set")).dropDuplicates(["r", "seed"])
+
+    def choose(group: pa.Table) -> pa.Table:
+        held = [np.frombuffer(x, np.uint64) for x in group["set"].to_pylist()]
+        sizes = np.array([len(s) for s in held])
+
+        def measure(i: int) -> np.ndarray:
+            return distances(np.array([len(np.intersect1d(held[i], s, assume_unique=True)) for s in held]), sizes[i], sizes)
+
+        return group.take(spread_pivots(len(held), config.pivots, 1 - radius_of(config), measure)).rename_columns(["r", "pivot", "set"])
+
+    return sets.groupBy("r").applyInArrow(choose, "r long, pivot long, set binary")
+
+
+def measured_cells(members: DataFrame, config: JaccardConfig, level: int) -> DataFrame:
+    """members (region, doc_id, shingles, weight) with `cells`: for each cell that a member goes to
+    the pivot (null for the far ones), whether they link, and the distance.
+
+    A region's pivots are sent to as many salts as its weight needs tasks.
+    """
+    radius = radius_of(config)
+    tasks = F.ceil(F.col("weight") / F.lit(config.region_weight)).cast("int")
+    pivots = materialize(choose_pivots(members, config, level), f"jaccard-pivots-{level}")
+    held = pivots.groupBy("r").agg(F.collect_list(F.struct("pivot", "set")).alias("pivots"))
+    weights = members.select(F.col("region").alias("q"), "weight").distinct()
+    spread = held.join(weights, F.col("r") == F.col("q")).select("r", "pivots", F.explode(F.sequence(F.lit(0), tasks - 1)).alias("s"))
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("doc_id"), tasks).cast("int"))
 
     def run(batches):
         for batch in batches:
-            near, far, pivot = [], [], []
+            out = []
             for own, pivots in zip(batch.column("shingles").to_pylist(), batch.column("pivots").to_pylist(), strict=True):
                 s = np.frombuffer(own, np.uint64)
-                sizes = [len(p["shingles"]) // 8 for p in pivots]
-                c = [len(np.intersect1d(s, np.frombuffer(p["shingles"], np.uint64), assume_unique=True)) for p in pivots]
-                pivot.append([p["pivot"] for p in pivots])
-                near.append([bool(linked(x, len(s), n, config.percent)) for x, n in zip(c, sizes, strict=True)])
-                far.append([1 - x / (len(s) + n - x) for x, n in zip(c, sizes, strict=True)])
+                sizes = np.array([len(p["set"]) // 8 for p in pivots])
+                c = np.array([len(np.intersect1d(s, np.frombuffer(p["set"], np.uint64), assume_unique=True)) for p in pivots])
+                near, far = linked(c, len(s), sizes, config.percent), distances(c, len(s), sizes)
+                inside = cell_windows(far[None], radius)[0]
+                out.append([{"pivot": pivots[k]["pivot"], "near": bool(near[k]), "far": float(far[k])} for k in np.flatnonzero(inside[:-1] | near)] + [{"pivot": None, "near": False, "far": float(far.min())}] * bool(inside[-1]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("region"), batch.column("doc_id"), batch.column("shingles"), pa.array(pivot, pa.list_(pa.int64())), pa.array(near, pa.list_(pa.bool_())), pa.array(far, pa.list_(pa.float64()))],
-                names=["region", "doc_id", "shingles", "pivot", "near", "far"],
+                [batch.column("region"), batch.column("doc_id"), batch.column("shingles"), batch.column("weight"), pa.array(out, pa.list_(pa.struct([("pivot", pa.int64()), ("near", pa.bool_()), ("far", pa.float64())])))],
+                names=["region", "doc_id", "shingles", "weight", "cells"],
             )
 
-    joined = members.join(sets, F.col("region") == F.col("r")).select("region", "doc_id", "shingles", "pivots")
-    return joined.mapInArrow(run, "region long, doc_id long, shingles binary, pivot array<long>, near array<boolean>, far array<double>")
-
-
-def split_regions(members: DataFrame, config: JaccardConfig, level: int) -> tuple[DataFrame, DataFrame]:
-    """(links to pivots, members of the Voronoi cells that still need joining)."""
-    radius = 1 - config.percent / 100 + 1e-6
-    measured = materialize(pivot_distances(members, config, level), f"jaccard-pivots-{level}")
-    each = measured.select("region", "doc_id", "shingles", F.array_min("far").alias("nearest"), F.explode(F.arrays_zip("pivot", "near", "far")).alias("p"))
-    links = each.filter(F.col("p.near") & (F.col("p.pivot") != F.col("doc_id"))).select(F.least("p.pivot", "doc_id").alias("a"), F.greatest("p.pivot", "doc_id").alias("b"))
-    cells = each.filter(F.col("p.far") <= F.col("nearest") + 2 * radius).select(
-        F.xxhash64("region", "p.pivot", F.lit(level)).alias("region"), "doc_id", "shingles", F.col("p.near").alias("near"), F.col("p.far").alias("far")
-    )
-    outside = cells.filter(~F.col("near")).groupBy(F.col("region").alias("r")).agg(F.min("far").alias("edge"))
-    kept = cells.join(outside, F.col("region") == F.col("r")).filter(~F.col("near") | (F.col("far") >= F.col("edge") - radius)).select("region", "doc_id", "shingles")
-    return links, kept
+    joined = salted.join(spread, (F.col("region") == F.col("r")) & (F.col("salt") == F.col("s"))).select("region", "doc_id", "shingles", "weight", "pivots")
+    return joined.mapInArrow(run, "region long, doc_id long, shingles binary, weight long, cells array<struct<pivot: long, near: boolean, far: double>>")
+
+
+def split_regions(members: DataFrame, config: JaccardConfig, level: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links to pivots, members of the cells of regions that a split shrinks, members of the others)."""
+    radius = radius_of(config)
+    measured = materialize(measured_cells(members, config, level), f"jaccard-measured-{level}")
+    each = measured.select("region", "doc_id", "shingles", "weight", F.explode("cells").alias("c"))
+    links = each.filter(F.col("c.near") & (F.col("c.pivot") != F.col("doc_id"))).select(F.least("c.pivot", "doc_id").alias("a"), F.greatest("c.pivot", "doc_id").alias("b"))
+    keyed = each.select(F.col("region").alias("parent"), F.col("weight").alias("whole"), F.xxhash64("region", "c.pivot", F.lit(level)).alias("region"), "doc_id", "shingles", F.col("c.pivot").alias("pivot"), F.col("c.near").alias("near"), F.col("c.far").alias("far"))
+    edges = materialize(keyed.filter(~F.col("near")).groupBy(F.col("region").alias("e")).agg(F.min("far").alias("edge")), f"jaccard-edges-{level}")
+    stays = F.col("pivot").isNull() | ~F.col("near") | (F.col("far") >= F.col("edge") - F.lit(radius))
+    cells = materialize(keyed.join(edges, F.col("region") == F.col("e")).filter(stays).select("parent", "whole", "region", "doc_id", "shingles"), f"jaccard-split-{level}")
+    by_cell = cells.groupBy("parent", "whole", "region").agg(F.sum(F.greatest(set_size(), F.lit(config.least_weight))).alias("part"))
+    square = F.col("part").cast("double") * F.col("part")
+    by_parent = by_cell.groupBy(F.col("parent").alias("p")).agg(F.sum(square).alias("squares"), F.sum("part").alias("total"), F.first("whole").cast("double").alias("w"))
+    refused = materialize(by_parent.filter((F.col("squares") > F.lit(config.shrink) * F.col("w") * F.col("w")) | (F.col("total") > F.lit(config.growth) * F.col("w"))).select("p"), f"jaccard-refused-{level}")
+    made = cells.join(refused, F.col("parent") == F.col("p"), "left_anti").select("region", "doc_id", "shingles")
+    others = measured.join(refused, F.col("region") == F.col("p"), "left_semi").select("region", "doc_id", "shingles", "weight")
+    return links, made, others
+
+
+def join_by_sizes(members: DataFrame, config: JaccardConfig) -> DataFrame:
+    """Edges of regions that no pivots part: linked sets' sizes lie in one band or in neighbouring
+    ones, so bands are joined by twos, in pairs of blocks that fit a task."""
+    band = F.floor(F.log(set_size().cast("double")) / F.lit(np.log(100 / config.percent) + 1e-9)).cast("int")
+    blocks = F.greatest(F.lit(1), F.ceil(2 * F.col("weight") / F.lit(config.region_weight))).cast("int")
+    mine = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
+    pair = F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(o, mine).alias("x"), F.greatest(o, mine).alias("y"))))
+    banded = members.select("region", "doc_id", "shingles", "weight", F.explode(F.array(band, band + 1)).alias("band"))
+    held = materialize(banded.groupBy(F.col("region").alias("r"), F.col("band").alias("d")).agg(F.sum(F.greatest(set_size(), F.lit(config.least_weight))).alias("held")), "jaccard-bands")
+    placed = banded.drop("weight").join(held, (F.col("region") == F.col("r")) & (F.col("band") == F.col("d"))).withColumn("weight", F.col("held"))
+    tiles = placed.select("region", "band", "doc_id", "shingles", pair.alias("t")).select("region", "band", "t.x", "t.y", "doc_id", "shingles")
+    return join_in_tasks(tiles, ["region", "band", "x", "y"], config)
 
 
 def join_regions(members: DataFrame, config: JaccardConfig) -> DataFrame:
     """(a, b) edges that connect exactly the linked (region, doc_id, shingles) rows.
 
     Regions within the task bound are joined at once. Larger ones are split by pivots, level
-    by level; what is still too large at the last level is joined in pairs of blocks.
+    by level, as long as that shrinks them; the others are joined by sizes.
     """
     found: list[DataFrame] = []
-    for level in range(config.depth + 1):
-        weight = members.groupBy(F.col("region").alias("r")).agg((F.sum(F.octet_length("shingles")) / 8).cast("long").alias("weight"))
-        large = weight.filter(F.col("weight") > config.region_shingles)
+    level = 0
+    while True:
+        large = materialize(weigh(members, config).filter(F.col("weight") > config.region_weight), f"jaccard-large-{level}")
         found.append(join_in_tasks(members.join(large, F.col("region") == F.col("r"), "left_anti"), ["region"], config))
         if large.isEmpty():
             break
-        rest = members.join(large, F.col("region") == F.col("r")).select("region", "doc_id", "shingles", "weight")
-        if level == config.depth:
-            blocks = F.ceil(2 * F.col("weight") / F.lit(config.region_shingles)).cast("int")
-            mine = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-            pair = F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(o, mine).alias("x"), F.greatest(o, mine).alias("y"))))
-            tiles = rest.select("region", "doc_id", "shingles", pair.alias("t")).select("region", "t.x", "t.y", "doc_id", "shingles")
-            found.append(join_in_tasks(tiles, ["region", "x", "y"], config))
-            break
-        links, cells = split_regions(rest.drop("weight"), config, level)
-        found.append(links)
-        members = materialize(cells, f"jaccard-cells-{level}")
+        links, members, others = split_regions(members.join(large, F.col("region") == F.col("r")).select("region", "doc_id", "shingles", "weight"), config, level)
+        found += [links, join_by_sizes(others, config)]
+        level += 1
     return reduce(DataFrame.union, found)
 
 

@@ -1,12 +1,14 @@
 import random
+import time
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from loomspan.llm.jaccard import JaccardConfig, join_region, near_duplicates
+from loomspan.llm.jaccard import JaccardConfig, Links, candidate_edges, join_region, join_regions, near_duplicates, prefix_cells
 from loomspan.llm.text import words
+from loomspan.session import scratch
 
 
 def brute(pairs):
@@ -31,12 +33,12 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.integers(0, 10**6))
-def test_region_join_is_exact(seed):
+@settings(max_examples=80, deadline=None)
+@given(st.integers(0, 10**6), st.sampled_from([JaccardConfig(), JaccardConfig(small_cell=2, pivots=3), JaccardConfig(small_cell=3, pivots=8, shrink=0.95, growth=4.0)]))
+def test_region_join_is_exact(seed, config):
     rng = random.Random(seed)
     sets = []
-    for _ in range(rng.randint(2, 40)):
+    for _ in range(rng.randint(2, 70)):
         if sets and rng.random() < 0.8:
             s = set(rng.choice(sets))
             for _ in range(rng.randint(0, 5)):
@@ -46,11 +48,11 @@ def test_region_join_is_exact(seed):
             s = {rng.randrange(10**6) for _ in range(rng.randint(1, 40))}
         sets.append(s)
     ids = rng.sample(range(1000), len(sets))
-    got = join_region(ids, [np.array(sorted(s), np.uint64) for s in sets], 80)
+    got = join_region(ids, [np.array(sorted(s), np.uint64) for s in sets], config)
     assert dict(zip(ids, got, strict=True)) == brute(sorted(zip(ids, sets, strict=True)))
 
 
-@pytest.mark.parametrize("config", [JaccardConfig(bins=1 << 16), JaccardConfig(bins=1 << 14, small_cell=1, region_shingles=300, pivots=3, depth=2), JaccardConfig(bins=1 << 14, region_shingles=100, depth=0)])
+@pytest.mark.parametrize("config", [JaccardConfig(bins=1 << 16), JaccardConfig(bins=1 << 14, small_cell=1, region_weight=300, pivots=3), JaccardConfig(bins=1 << 14, small_cell=1, region_weight=2000, shrink=0.95), JaccardConfig(bins=1 << 14, region_weight=100, least_weight=1, growth=0.0)])
 def test_components_match_brute_force(spark, config):
     rng = random.Random(9)
     vocabulary = [f"w{i}" for i in range(300)]
@@ -76,3 +78,51 @@ def test_odd_rows(docs, rows, repeated, empty):
     got = near_duplicates(repeated, JaccardConfig(bins=1 << 14)).collect()
     assert len(got) == repeated.count()
     assert all(r["component_id"] == want.get(r["doc_id"]) for r in got)
+
+
+def families(members, size, rng, common=0):
+    """Sets in families with links, far from each other but for some shingles that all share."""
+    everyone = rng.choice(1 << 40, common, replace=False)
+    out = []
+    while len(out) < members:
+        own = rng.integers(1 << 41, 1 << 60, size)
+        for _ in range(int(rng.integers(1, 200))):
+            s = own.copy()
+            s[rng.integers(0, size, 2)] = rng.integers(1 << 41, 1 << 60, 2)
+            out.append(np.unique(np.append(s, everyone)).astype(np.uint64))
+    return out[:members]
+
+
+def test_splits_shrink():
+    """20,000 sets that share a passage: no split makes three times its members, and it takes under a minute."""
+    rng = np.random.default_rng(2)
+    sets = families(20_000, 40, rng, common=10)
+    began, splits = time.process_time(), []
+    got = join_region(list(range(len(sets))), sets, JaccardConfig(), splits)
+    assert time.process_time() - began < 60
+    assert splits and all(total <= 3 * m and largest < m for m, total, largest in splits)
+    assert 100 < len(set(got)) < 1000
+
+
+def test_large_regions_are_split_by_spark(spark):
+    """At the default bounds, a region of more than one task: the plan's splits give the same as one in memory."""
+    rng = np.random.default_rng(3)
+    sets = families(6000, 100, rng, common=25)
+    frame = spark.createDataFrame([(1, i, s.tobytes()) for i, s in enumerate(sets)], "region long, doc_id long, shingles binary").repartition(8)
+    with scratch(spark):
+        edges = join_regions(frame, JaccardConfig()).collect()
+    got = Links(len(sets))
+    for a, b in edges:
+        got.join(a, np.array([b]))
+    assert got.roots().tolist() == join_region(list(range(len(sets))), sets, JaccardConfig())
+
+
+def test_a_shingle_in_every_document(spark):
+    """A shingle that all documents have in their prefix comes to its cell once for each batch."""
+    rows = [(i, 3, [7, 1000 + i]) for i in range(500)]
+    frame = spark.createDataFrame(rows, "doc_id long, n long, prefix array<long>").coalesce(2)
+    cells = prefix_cells(frame, JaccardConfig()).collect()
+    assert sum(r["shingle"] == 7 for r in cells) == 2 and sum(r["tied"] is not None for r in cells) == 498
+    with scratch(spark):
+        got = candidate_edges(frame, JaccardConfig()).collect()
+    assert {b for _, b in got} == set(range(1, 500))
