@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspan.session import materialize
+from loomspan.session import discard, materialize
 
 
 def _neighbours_least(pairs: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     edges are harmless; null endpoints are dropped.
     """
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).filter(F.col("u").isNotNull() & F.col("v").isNotNull())
-    state = materialize(both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components")
+    first = state = materialize(both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components")
     nodes = state.select(F.col("u").alias("id")).union(state.select(F.col("v").alias("id"))).distinct()
     before = None
     for _ in range(max_rounds):
@@ -32,7 +32,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = _neighbours_least(pairs.union(swapped)).filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = _neighbours_least(large.filter(F.col("u") != F.col("v")))
         stars = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
-        state = materialize(stars.filter(F.col("u") != F.col("v")).distinct(), "components")
+        last, state = state, materialize(stars.filter(F.col("u") != F.col("v")).distinct(), "components")
+        if last is not first:  # its nodes are still to be read
+            discard(last)
         now = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

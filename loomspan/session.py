@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import os
+import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -27,25 +29,40 @@ def get_spark(app: str = "loomspan", cpus: str | int = "*", shuffle_partitions:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one where it is unset."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, as in tests, a
+    local session gets a folder of its own; on a cluster that is an error."""
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
     return configured or os.path.join(tempfile.gettempdir(), f"loomspan-{os.getuid()}")
 
 
-_scratch: list[list[str]] = []
+_local = threading.local()
 
 
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Within it, tables that materialize() writes are temporary: they are deleted at its end,
-    but for those written with keep=True. Nothing lazy that reads the others may leave it."""
-    _scratch.append([])
+    """Within it, tables that materialize() writes in the same thread are temporary: they are
+    deleted at its end, but for those written with keep=True. Nothing lazy that reads the
+    others may leave it."""
+    stack = _local.__dict__.setdefault("stack", [])
+    stack.append([])
     try:
         yield
     finally:
-        for path in _scratch.pop():
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        for path in stack.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of materialize() that nothing will read again."""
+    if path := table.__dict__.get("_stored_at"):
+        _delete(table.sparkSession, path)
 
 
 def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
@@ -56,7 +73,10 @@ def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if _scratch and not keep:
-        _scratch[-1].append(path)
+    stack = _local.__dict__.get("stack")
+    if stack and not keep:
+        stack[-1].append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
