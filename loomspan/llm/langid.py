@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class LangConfig:
     """`sample_docs` bounds the labelled documents that are fitted on (expected number,
-    drawn by hash of their id); `buckets` is a power of two."""
+    drawn by hash of their id), and `sample_chars` the length of each: longer ones are not
+    drawn. `buckets` is a power of two."""
 
     sample_docs: int = 4000
+    sample_chars: int = 20_000
     buckets: int = 1 << 15
     dim: int = 16
     orders: tuple[int, ...] = (2, 4)
@@ -160,13 +162,19 @@ def calibrate(model: LangModel, test: list[tuple[np.ndarray, np.ndarray, int]])
     return model
 
 
+def draw_limit(total: int, config: LangConfig) -> int:
+    """63-bit hashes up to this are drawn, of `total` labelled documents."""
+    return min((1 << 63) - 1, (1 << 63) * config.sample_docs // max(total, 1))
+
+
 def train(labelled: DataFrame, config: LangConfig = LangConfig()) -> LangModel:
     """Fit on labelled (doc_id, text, lang) rows with text and lang; at most about
-    `config.sample_docs` of them reach the driver, drawn by hash."""
-    rows = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    `config.sample_docs` of them reach the driver, drawn by hash. Repeated rows of one doc_id
+    are drawn together. Empty texts are fitted on like others; without any row all
+    predictions are `und`."""
+    rows = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= config.sample_chars))
     total = labelled.filter(F.col("lang").isNotNull()).count()
-    share = min(1.0, config.sample_docs / max(total, 1))
-    draw = F.pmod(F.xxhash64(F.lit(config.seed), "doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(config.seed), "doc_id"), 1) <= F.lit(draw_limit(total, config))
     sample = rows.filter(draw).select("doc_id", "text", "lang").toArrow().to_pylist()
     sample.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"], r["lang"], r["text"]))
     return fit([(r["text"], r["lang"]) for r in sample], config)

@@ -23,12 +23,15 @@ MARGINS = ("source", "lang", "topic")
 @dataclass(frozen=True)
 class MixConfig:
     """Targets are the margins' natural token shares to the power `temper` (1 keeps them, 0
-    evens them out), normalised. `budget` is the share of all tokens to keep in
-    expectation. `rounds` is the number of sweeps over the three margins."""
+    evens them out), normalised. `targets` gives a margin's shares outright, as (margin, value,
+    share) triples: its other values, and those that no document has, get nothing. `budget`
+    is the share of all tokens to keep in expectation. `rounds` is the number of sweeps over
+    the three margins; margin_errors() tells how far they came."""
 
     temper: tuple[float, float, float] = (0.7, 0.7, 0.9)
     budget: float = 0.5
     rounds: int = 8
+    targets: tuple[tuple[str, str | None, float], ...] = ()
 
 
 def token_count(text: Column) -> Column:
@@ -38,7 +41,7 @@ def token_count(text: Column) -> Column:
 
 
 def topic(text: Column) -> Column:
-    """The form of a whole text: `empty`, `list` (under 80 characters a line), `brief` (under
+    """The topic where documents have no column for it: the form of a whole text: `empty`, `list` (under 80 characters a line), `brief` (under
     1,500 characters) or `prose`."""
     chars = F.length(text)
     lines = chars - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
@@ -63,7 +66,12 @@ def rake(table: DataFrame, config: MixConfig) -> DataFrame:
     out = table.withColumn("one", F.lit(1)).withColumn("weight", F.col("tokens") / F.sum("tokens").over(everything))
     for margin, power in zip(MARGINS, config.temper, strict=True):
         natural = F.sum("weight").over(Window.partitionBy(margin))
-        out = out.withColumn("_t", F.when(natural > 0, F.pow(natural, F.lit(power))).otherwise(F.lit(0.0)))
+        wanted = F.pow(natural, F.lit(power))
+        if given := [(value, share) for name, value, share in config.targets if name == margin]:
+            wanted = F.lit(0.0)
+            for value, share in given:
+                wanted = F.when(F.col(margin).eqNullSafe(F.lit(value)), F.lit(float(share))).otherwise(wanted)
+        out = out.withColumn("_t", F.when(natural > 0, wanted).otherwise(F.lit(0.0)))
         first = F.row_number().over(Window.partitionBy(margin).orderBy(*MARGINS)) == 1
         out = out.withColumn("_f", F.when(first, F.col("_t")).otherwise(F.lit(0.0)))
         out = out.withColumn(f"target_{margin}", F.col("_t") / F.sum("_f").over(everything)).drop("_t", "_f")
@@ -74,6 +82,16 @@ def rake(table: DataFrame, config: MixConfig) -> DataFrame:
     return out.drop("one")
 
 
+def margin_errors(raked: DataFrame) -> DataFrame:
+    """(margin, value, target, reached, error) of each value of each margin after fitting."""
+    total = F.sum("weight").over(Window.partitionBy(F.lit(1)))
+    shares = raked.withColumn("weight", F.when(total > 0, F.col("weight") / total).otherwise(F.lit(0.0)))
+    parts = [
+        shares.groupBy(F.lit(m).alias("margin"), F.col(m).alias("value")).agg(F.max(f"target_{m}").alias("target"), F.sum("weight").alias("reached")) for m in MARGINS
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).withColumn("error", F.abs(F.col("reached") - F.col("target")))
+
+
 def calibrate(raked: DataFrame, budget: float) -> DataFrame:
     """Adds `probability`: min(1, scale * weight / natural share), with the scale at which the
     expected tokens are `budget` of all tokens.

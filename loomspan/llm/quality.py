@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspan.llm.text import WORD_BREAKS
+from loomspan.llm.text import WORD_BREAKS, WORD_PATTERN
+from loomspan.session import materialize
 
 #: Characters that count as symbols (fixed by the query's contract).
 SYMBOLS = "#*$%&|<>"
@@ -120,10 +121,11 @@ def document_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(lines: DataFrame, limits: LineLimits) -> DataFrame:
-    """(host, bad_line, line_docs): lines above the limits, by host."""
+def frequent_lines(docs: DataFrame, lines: DataFrame, limits: LineLimits) -> DataFrame:
+    """(host, bad_line, line_docs): lines above the limits, by host. A host's documents are its
+    distinct texts with a line that is not blank."""
     by_line = lines.groupBy("source", "line").agg(F.countDistinct("text_key").alias("line_docs")).filter(F.col("line_docs") >= limits.min_docs)
-    hosts = lines.groupBy(F.col("source").alias("host")).agg(F.countDistinct("text_key").alias("host_docs"))
+    hosts = docs.filter(F.col("text").rlike(WORD_PATTERN)).groupBy(F.col("source").alias("host")).agg(F.countDistinct(text_key(F.col("text"))).alias("host_docs"))
     return (
         by_line.join(hosts, F.col("source").eqNullSafe(F.col("host")))
         .filter(F.col("line_docs") > F.col("host_docs") * F.lit(limits.max_share))
@@ -133,8 +135,8 @@ def frequent_lines(lines: DataFrame, limits: LineLimits) -> DataFrame:
 
 def removed_words(docs: DataFrame, limits: LineLimits) -> DataFrame:
     """(host, lost_key, n_line_words): words on removed lines, for texts that have any."""
-    lines = document_lines(docs)
-    bad = frequent_lines(lines, limits)
+    lines = materialize(document_lines(docs), "quality-lines")
+    bad = frequent_lines(docs, lines, limits)
     return (
         lines.join(bad, F.col("source").eqNullSafe(F.col("host")) & (F.col("line") == F.col("bad_line")), "left_semi")
         .groupBy(F.col("source").alias("host"), F.col("text_key").alias("lost_key"))
@@ -171,8 +173,8 @@ def remove_rejected(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataF
     Columns stay as they are. A row is judged by its host and text, so repeated rows
     share a verdict and rows without a doc_id are judged like others.
     """
-    lines = document_lines(docs)
-    bad = frequent_lines(lines, limits)
+    lines = materialize(document_lines(docs), "quality-lines")
+    bad = frequent_lines(docs, lines, limits)
     cut = (
         lines.join(bad, F.col("source").eqNullSafe(F.col("host")) & (F.col("line") == F.col("bad_line")), "left_semi")
         .groupBy(F.col("source").alias("host"), F.col("text_key").alias("lost_key"))

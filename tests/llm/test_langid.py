@@ -30,3 +30,10 @@ def test_odd_texts(docs, empty, repeated):
     assert langid.predict(empty, model).count() == 0
     nothing = langid.train(empty)
     assert {r["lang_pred"] for r in langid.predict(docs, nothing).collect()} == {"und"}
+
+
+def test_the_draw_holds_at_any_size():
+    config = langid.LangConfig()
+    for total in (10, 10**6, 10**10, 10**13):
+        share = langid.draw_limit(total, config) / 2**63
+        assert abs(share * total - min(total, config.sample_docs)) < 1

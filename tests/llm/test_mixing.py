@@ -33,3 +33,15 @@ def test_token_count(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     got = [r[0] for r in df.select(mixing.token_count(F.col("text"))).collect()]
     assert got == [len((t or "").encode().split()) for t in texts]
+
+
+def test_given_targets_are_met(spark):
+    """Explicit shares of two margins, and how far the fitting is from them."""
+    kinds = ["a b c\n" * 5, "word " * 30, "words " * 400]
+    rows = [(i, text * (1 + i % 2), lang, source) for i, (lang, source, text) in enumerate((x, y, z) for x in ("en", "fr", None) for y in ("a", "b", None) for z in kinds)]
+    config = mixing.MixConfig(rounds=40, targets=(("source", "a", 0.5), ("source", None, 0.3), ("source", "b", 0.2), ("lang", "en", 1.0), ("lang", None, 1.0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    raked = mixing.rake(mixing.cells(mixing.label(docs)), config)
+    got = {(r["margin"], r["value"]): r for r in mixing.margin_errors(raked).collect()}
+    assert got["lang", "fr"]["target"] == 0 and got["lang", None]["target"] == 0.5 and got["source", "a"]["target"] == 0.5
+    assert all(r["error"] < 1e-3 for r in got.values())

@@ -20,6 +20,15 @@ def test_stages_in_order(docs, spark):
     assert {"doc_id", "ids", "n_tokens"} <= set(df.columns) and before > 0
 
 
+def test_near_duplicates_with_clashing_columns(docs, spark):
+    """Extra columns called like those that the stage uses itself, with repeated rows and without."""
+    odd = docs.select("*", *(docs["doc_id"].alias(c) for c in ("gone", "again", "id", "row", "first", "count", "component_id", "part", "block", "kind")))
+    for frame in (odd, odd.union(odd.limit(3))):
+        kept = materialize(corpus_pipeline.near_duplicates(spark, frame, ""), "test-odd")
+        assert kept.columns == odd.columns and kept.count() == kept.select("doc_id").distinct().count() < odd.count()
+        assert corpus_pipeline.repeated_passages(spark, kept, "").columns == odd.columns
+
+
 def test_stages_on_nothing(empty, spark):
     df = empty
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
