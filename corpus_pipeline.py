@@ -17,7 +17,8 @@ MIX = mixing.MixConfig(temper=(0.9, 0.9, 1.0), budget=0.8)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; lines above the limits leave those that stay."""
+    """Rejected documents go; lines above the limits leave those that stay. Null and empty texts
+    are rejected; repeated rows share a verdict; an empty table stays empty."""
     return quality.remove_rejected(docs)
 
 
@@ -26,30 +27,33 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows without a doc_id stay; of rows that repeat a doc_id one stays.
     """
-    found = jaccard.near_duplicates(docs)
-    losers = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
-    kept = docs.join(losers, F.col("doc_id") == F.col("gone"), "left_anti")
-    repeated = found.groupBy(F.col("doc_id").alias("again")).count().filter(F.col("again").isNotNull() & (F.col("count") > 1)).select("again")
-    if repeated.isEmpty():
-        return kept
-    first = F.row_number().over(Window.partitionBy("row.doc_id").orderBy("row.text")) == 1
-    several = kept.join(repeated, F.col("doc_id") == F.col("again"), "left_semi").select(F.struct("*").alias("row"))
-    one = several.withColumn("first", first).filter("first").select("row.*")
-    return kept.join(repeated, F.col("doc_id") == F.col("again"), "left_anti").union(one)
+    found = jaccard.near_duplicates(docs).select("doc_id", "component_id")
+    rows = docs.select(F.struct("*").alias("row"))  # whatever the columns are called
+    losers = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("id")).distinct()
+    kept = rows.join(losers, F.col("row.doc_id") == F.col("id"), "left_anti")
+    repeated = found.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id")).count().filter("count > 1").select("id")
+    if not repeated.isEmpty():
+        first = F.row_number().over(Window.partitionBy("row.doc_id").orderBy("row.text")) == 1
+        several = kept.join(repeated, F.col("row.doc_id") == F.col("id"), "left_semi").withColumn("first", first).filter("first").select("row")
+        kept = kept.join(repeated, F.col("row.doc_id") == F.col("id"), "left_anti").union(several)
+    return kept.select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that an earlier document has are cut."""
+    """Passages that an earlier document has are cut, and a text that is nothing else goes. Null and
+    empty texts stay; rows of one doc_id repeat nothing of each other."""
     return repeats.remove_repeats(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are sampled towards the target weights."""
+    """Documents are sampled towards the target weights. A null source or language is a value of
+    its own; texts without words stay by chance alone; repeated rows share their fate."""
     return mixing.sample(docs, MIX)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, lang, ids (binary, little-endian u32) and n_tokens."""
+    """doc_id, source, lang, ids (binary, little-endian u32) and n_tokens. A null text is empty,
+    and has no ids; repeated rows stay repeated."""
     import public_tokenizers
 
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=("doc_id", "source", "lang"))
