@@ -73,12 +73,14 @@ def most_frequent_share(seq: Column, letters: str = "acgt") -> Column:
 
 def soften_homopolymers(seq: Column, keep: int) -> Column:
     """Lower case for what goes beyond the first `keep` letters of a run of one base."""
+
+    def softened(base: str):
+        return lambda p: F.when(p.startswith(base) & (F.length(p) > keep), F.concat(F.substring(p, 1, keep), F.lower(F.substring(p, F.lit(keep + 1), F.length(p))))).otherwise(p)
+
     out = seq
     for base in "ACGT":
         pieces = F.regexp_extract_all(out, F.lit(f"({base}+|[^{base}]+)"), 1)
-        out = F.array_join(
-            F.transform(pieces, lambda p, b=base: F.when(p.startswith(b) & (F.length(p) > keep), F.concat(F.substring(p, 1, keep), F.lower(F.substring(p, F.lit(keep + 1), F.length(p))))).otherwise(p)), ""
-        )
+        out = F.array_join(F.transform(pieces, softened(base)), "")
     return out
 
 

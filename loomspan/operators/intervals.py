@@ -2,13 +2,17 @@
 
 Every operator takes frames with a list of key columns and integer `start` and
 `end` columns. Empty and reversed ranges (end <= start) and rows with a null
-bound are dropped first; a null key is a key of its own. All work is windows and
-aggregates over the key, so it stays inside code generation.
+bound are dropped first; a null key is a key of its own. All work is aggregates, windows
+and joins by key, so it stays inside code generation.
+
+Running values go along a key's axis in tiles: each tile is summed up, the tiles' sums are
+carried forward over the key, and a window within the tile does the rest. So a key that
+holds all rows, such as one long contig, spreads over its tiles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,13 +23,48 @@ def valid(df: DataFrame) -> DataFrame:
     return df.filter(F.col("end") > F.col("start"))
 
 
+#: Positions of a tile.
+TILE = 1 << 16
+
+
+def _tiled(df: DataFrame, pos: str) -> DataFrame:
+    return df.withColumn("_tile", F.floor(F.col(pos) / TILE))
+
+
+def _carried(df: DataFrame, keys: Sequence[str], sums: dict[str, tuple[Column, Callable[[Column], Column]]], ahead: dict[str, Column] | None = None) -> DataFrame:
+    """df with more columns for each row's tile. Of `sums`, name to (aggregate of a tile, how to
+    combine tiles), over the tiles before it; of `ahead`, aggregates of the next tile."""
+    order = Window.partitionBy(*keys).orderBy("_tile")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    ahead = ahead or {}
+    per = df.groupBy(*keys, "_tile").agg(*(a.alias(n) for n, (a, _) in sums.items()), *(a.alias(n) for n, a in ahead.items()))
+    known = per.select(
+        *(F.col(k).alias(f"_c{i}") for i, k in enumerate(keys)), F.col("_tile").alias("_ct"), *(f(F.col(n)).over(before).alias(n) for n, (_, f) in sums.items()), *(F.lead(n).over(order).alias(n) for n in ahead)
+    )
+    on = [F.col(k).eqNullSafe(F.col(f"_c{i}")) for i, k in enumerate(keys)] + [F.col("_tile") == F.col("_ct")]
+    return df.join(known, on).drop("_ct", *(f"_c{i}" for i in range(len(keys))))
+
+
+def _pieces(edges: DataFrame, keys: Sequence[str], deltas: Sequence[str]) -> DataFrame:
+    """(keys, start, end, running sums): pieces between consecutive positions of (keys, pos, deltas)
+    with one row for each position; the open one after a key's last position is left out."""
+    carried = _carried(_tiled(edges, "pos"), keys, {f"_b_{d}": (F.sum(d), F.sum) for d in deltas}, {"_next": F.min("pos")})
+    w = Window.partitionBy(*keys, "_tile").orderBy("pos")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    end = F.coalesce(F.lead("pos").over(w), F.col("_next"))
+    pieces = carried.select(*keys, F.col("pos").alias("start"), end.alias("end"), *((F.coalesce(f"_b_{d}", F.lit(0)) + F.sum(d).over(run)).alias(d) for d in deltas))
+    return pieces.filter(F.col("end").isNotNull())
+
+
 def islands(df: DataFrame, keys: Sequence[str], gap: int = 0) -> DataFrame:
     """Tag each range with the number of the merged run it falls in (`island`, from 1)."""
-    order = Window.partitionBy(*keys).orderBy("start", "end")
-    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    w = Window.partitionBy(*keys, "_tile").orderBy("start", "end")
+    reached = _carried(_tiled(valid(df), "start"), keys, {"_reach": (F.max("end"), F.max)})
+    before = F.greatest("_reach", F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)))
     fresh = F.when(before.isNull() | (F.col("start") > before + F.lit(gap)), 1).otherwise(0)
-    flagged = valid(df).withColumn("_fresh", fresh)
-    return flagged.withColumn("island", F.sum("_fresh").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_fresh")
+    counted = _carried(reached.withColumn("_fresh", fresh), keys, {"_islands": (F.sum("_fresh"), F.sum)})
+    number = F.coalesce("_islands", F.lit(0)) + F.sum("_fresh").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return counted.withColumn("island", number).drop("_fresh", "_tile", "_reach", "_islands")
 
 
 def merge(df: DataFrame, keys: Sequence[str], gap: int = 0) -> DataFrame:
@@ -47,11 +86,7 @@ def _sweep(df: DataFrame, keys: Sequence[str], weight: Column | None = None) ->
 
 def depth(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, start, end, depth): pieces between consecutive endpoints with the ranges over them; depth 0 left out."""
-    w = Window.partitionBy(*keys).orderBy("pos")
-    swept = _sweep(df, keys).select(
-        *keys, F.col("pos").alias("start"), F.lead("pos").over(w).alias("end"), F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("depth")
-    )
-    return swept.filter(F.col("end").isNotNull() & (F.col("depth") > 0))
+    return _pieces(_sweep(df, keys), keys, ["delta"]).withColumnRenamed("delta", "depth").filter(F.col("depth") > 0)
 
 
 def single_cover(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -73,10 +108,7 @@ def _two_sided(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
         )
     )
     summed = valid(both).select(*keys, edge.alias("e")).groupBy(*keys, F.col("e.pos").alias("pos")).agg(F.sum("e.da").alias("da"), F.sum("e.db").alias("db"))
-    w = Window.partitionBy(*keys).orderBy("pos")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    pieces = summed.select(*keys, F.col("pos").alias("start"), F.lead("pos").over(w).alias("end"), F.sum("da").over(run).alias("in_a"), F.sum("db").over(run).alias("in_b"))
-    return pieces.filter(F.col("end").isNotNull())
+    return _pieces(summed, keys, ["da", "db"]).withColumnsRenamed({"da": "in_a", "db": "in_b"})
 
 
 def subtract(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -110,9 +142,9 @@ def clamp(df: DataFrame, lengths: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def slice_spans(df: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
-    """Each range in chunks of `size`; a tail shorter than half a chunk joins the chunk before it."""
+    """Each range in chunks of `size`; a tail of up to half a chunk joins the chunk before it."""
     length = F.col("end") - F.col("start")
-    n = F.greatest(F.lit(1), F.floor(length / F.lit(size) + 0.5)).cast("int")
+    n = F.greatest(F.lit(1), F.floor((2 * length + size - 1) / F.lit(2 * size))).cast("int")
     each = valid(df).select(*keys, "start", "end", n.alias("n")).select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
     a = F.col("start") + F.col("i") * size
     return each.select(*keys, a.alias("start"), F.when(F.col("i") == F.col("n") - 1, F.col("end")).otherwise(a + size).alias("end"))
@@ -141,9 +173,8 @@ def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str], bin_width: int
     def bins(start: str, end: str) -> Column:
         return F.explode(F.sequence(F.floor(F.col(start) / bin_width), F.floor((F.col(end) - 1) / bin_width)))
 
-    marked = a.withColumn("_row", F.monotonically_increasing_id())
     right = valid(b).select(*(F.col(c).alias(f"b_{c}") for c in b.columns))
-    left = valid(marked).withColumn("_bin", bins("start", "end"))
+    left = valid(a).withColumn("_bin", bins("start", "end"))
     other = right.withColumn("_b_bin", bins("b_start", "b_end"))
     on = [F.col(k).eqNullSafe(F.col(f"b_{k}")) for k in keys] + [F.col("_bin") == F.col("_b_bin")]
     hit = left.join(other, on).filter((F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")))
@@ -151,13 +182,15 @@ def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str], bin_width: int
     overlap = F.least("end", "b_end") - F.greatest("start", "b_start")
     if how == "inner":
         return hit.select(*a.columns, *right.columns, overlap.alias("overlap"))
-    touched = hit.select(F.col("_row").alias("_hit")).distinct()
+    # Whether a range is touched depends on its key and bounds alone.
+    own = [*keys, "start", "end"]
+    touched = hit.select(*(F.col(c).alias(f"_t{i}") for i, c in enumerate(own))).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_t{i}")) for i, c in enumerate(own)]
     if how in ("left_semi", "left_anti"):
-        return marked.join(touched, F.col("_row") == F.col("_hit"), how).select(*a.columns)
+        return a.join(touched, same, how)
     if how == "left":
         pairs = hit.select(*a.columns, *right.columns, overlap.alias("overlap"))
-        alone = marked.join(touched, F.col("_row") == F.col("_hit"), "left_anti").select(*a.columns)
-        return pairs.unionByName(alone, allowMissingColumns=True)
+        return pairs.unionByName(a.join(touched, same, "left_anti"), allowMissingColumns=True)
     raise ValueError(f"unknown join kind {how!r}")
 
 
@@ -166,10 +199,14 @@ def as_of(points: DataFrame, ranges: DataFrame, keys: Sequence[str], value: str)
     null where that range has ended: one union and one window, no range join."""
     p = points.withColumn("_kind", F.lit(1)).withColumn("_end", F.lit(None).cast("long")).withColumn("_value", F.lit(None).cast(ranges.schema[value].dataType))
     r = ranges.select(*keys, F.col("start").alias("pos"), F.lit(0).alias("_kind"), F.col("end").cast("long").alias("_end"), F.col(value).alias("_value"))
-    w = Window.partitionBy(*keys).orderBy("pos", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.last(F.when(F.col("_kind") == 0, F.struct("_end", "_value")), ignorenulls=True).over(w)
-    both = p.unionByName(r, allowMissingColumns=True).withColumn("_last", last)
-    return both.filter(F.col("_kind") == 1).withColumn(value, F.when(F.col("pos") < F.col("_last._end"), F.col("_last._value"))).drop("_kind", "_end", "_value", "_last")
+    both = _tiled(p.unionByName(r, allowMissingColumns=True), "pos")
+    held = F.struct("_end", "_value")
+    newest = F.max_by(F.when(F.col("_kind") == 0, held), F.when(F.col("_kind") == 0, F.struct("pos", F.coalesce("_end", F.lit(0)))))
+    carried = _carried(both, keys, {"_held": (newest, lambda c: F.last(c, ignorenulls=True))})
+    w = Window.partitionBy(*keys, "_tile").orderBy("pos", "_kind", "_end").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.coalesce(F.last(F.when(F.col("_kind") == 0, held), ignorenulls=True).over(w), "_held")
+    found = carried.withColumn("_last", last).filter(F.col("_kind") == 1)
+    return found.withColumn(value, F.when(F.col("pos") < F.col("_last._end"), F.col("_last._value"))).drop("_kind", "_end", "_value", "_last", "_held", "_tile")
 
 
 def reciprocal_pairs(a: DataFrame, keys: Sequence[str], least: float, bin_width: int, id_col: str = "id") -> DataFrame:
@@ -198,11 +235,9 @@ def exclusions(baseline: DataFrame, phases: Sequence[tuple[str, DataFrame]], key
         edges = edges.unionByName(side)
     names = [f"d{i}" for i in range(len(layers))]
     summed = edges.groupBy(*keys, F.col("e.pos").alias("pos")).agg(*(F.sum(F.when(F.col("layer") == i, F.col("e.w")).otherwise(0)).alias(n) for i, n in enumerate(names)))
-    w = Window.partitionBy(*keys).orderBy("pos")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    pieces = summed.select(*keys, F.col("pos").alias("start"), F.lead("pos").over(w).alias("end"), *(F.sum(n).over(run).alias(n) for n in names))
+    pieces = _pieces(summed, keys, names)
     phase = F.lit(None).cast("string")
     for (name, _), n in reversed(list(zip(phases, names[1:], strict=True))):
         phase = F.when(F.col(n) == 0, F.lit(name)).otherwise(phase)
-    lost = pieces.filter(F.col("end").isNotNull() & (F.col("d0") > 0)).withColumn("phase", phase).filter(F.col("phase").isNotNull())
+    lost = pieces.filter(F.col("d0") > 0).withColumn("phase", phase).filter(F.col("phase").isNotNull())
     return merge(lost, [*keys, "phase"])

@@ -7,21 +7,27 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspan.session import materialize
+
 
 def closure(tree: DataFrame) -> DataFrame:
     """(ancestor, descendant, hops, dist) of every node with itself and all its ancestors.
 
-    A recursive query: one join for each level of the tree.
+    By doubling: ways of up to 2^k branches are joined with each other, so a tree of any depth
+    takes few rounds. The result is stored.
     """
-    spark = tree.sparkSession
-    view = f"tree_{abs(hash(tree)) % 10**12}"
-    tree.select("id", "parent", F.col("length").cast("double").alias("length")).createOrReplaceTempView(view)
-    return spark.sql(
-        f"""WITH RECURSIVE up(ancestor, descendant, hops, dist) AS (
-          SELECT id, id, 0, CAST(0 AS DOUBLE) FROM {view}
-          UNION ALL SELECT t.parent, up.descendant, up.hops + 1, up.dist + coalesce(t.length, 0D) FROM up JOIN {view} t ON up.ancestor = t.id WHERE t.parent IS NOT NULL)
-        SELECT * FROM up"""
-    )
+    nodes = tree.select("id", "parent", F.col("length").cast("double").alias("length"))
+    own = nodes.select(F.col("id").alias("ancestor"), F.col("id").alias("descendant"), F.lit(0).alias("hops"), F.lit(0.0).alias("dist"))
+    up = nodes.filter("parent IS NOT NULL").select(F.col("parent").alias("ancestor"), F.col("id").alias("descendant"), F.lit(1).alias("hops"), F.coalesce("length", F.lit(0.0)).alias("dist"))
+    known = up = materialize(up.join(nodes.select(F.col("id").alias("k")), F.col("ancestor") == F.col("k"), "left_semi"), "ways")
+    n = 1
+    while not up.isEmpty():
+        # `known` has all ways of 1 to n branches, `up` those of n: together they make n + 1 to 2n.
+        tops = up.select(F.col("ancestor").alias("top"), F.col("descendant").alias("via"), F.col("hops").alias("h"), F.col("dist").alias("d"))
+        longer = materialize(known.join(tops, F.col("ancestor") == F.col("via")).select(F.col("top").alias("ancestor"), "descendant", (F.col("hops") + F.col("h")).alias("hops"), (F.col("dist") + F.col("d")).alias("dist")), "ways")
+        n *= 2
+        known, up = known.unionByName(longer), longer.filter(F.col("hops") == F.lit(n))
+    return materialize(own.unionByName(known), "closure")
 
 
 def ancestors_in_common(tree: DataFrame, pairs: DataFrame) -> DataFrame:

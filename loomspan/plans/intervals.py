@@ -140,7 +140,7 @@ def i10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "i11_slice_region",
-    f"""WITH len AS ({LENGTHS}), n AS (SELECT contig, length, CAST(greatest(1, floor(length / 1000.0 + 0.5)) AS BIGINT) AS n FROM len), e AS (SELECT *, unnest(range(0, n)) AS i FROM n)
+    f"""WITH len AS ({LENGTHS}), n AS (SELECT contig, length, greatest(1, (2 * length + 999) // 2000) AS n FROM len), e AS (SELECT *, unnest(range(0, n)) AS i FROM n)
 SELECT contig, i * 1000 AS start, CASE WHEN i = n - 1 THEN length ELSE (i + 1) * 1000 END AS "end" FROM e""",
 )
 def i11(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -125,14 +125,9 @@ def w17(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steps.join(n.select(F.col("s_suppkey").alias("neighbour"), "k"), F.col("at") == F.col("k")).select("s_suppkey", "neighbour")
 
 
-@query("o7_order_by_distance", "SELECT p_partkey, row_number() OVER (ORDER BY p_size = 1 DESC, abs(p_retailprice - 1500), -p_size, p_partkey) AS place FROM part WHERE p_partkey <= 500")
-def o7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return placed_by_distance(table(spark, sf_dir, "part").filter("p_partkey <= 500"))
-
-
+@query("o7_order_by_distance", "SELECT p_partkey, row_number() OVER (ORDER BY p_size = 1 DESC, abs(p_retailprice - 1500), -p_size, p_partkey) AS place FROM part")
 @query("o7_order_by_distance_whole", "SELECT p_partkey, row_number() OVER (ORDER BY p_size = 1 DESC, abs(p_retailprice - 1500), -p_size, p_partkey) AS place FROM part")
-def o7_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """o7 over every part; the SQL of o7 itself keeps p_partkey <= 500."""
+def o7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed_by_distance(table(spark, sf_dir, "part"))
 
 

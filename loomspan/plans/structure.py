@@ -189,44 +189,30 @@ def k12(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- graphs
 
 
-def links(spark: SparkSession, sf_dir: str, only: str = "l_quantity >= 50 AND l_discount > 0.08") -> DataFrame:
-    """(a, b, score): parts and suppliers of items, by default rare, large ones; suppliers numbered below 0."""
-    return table(spark, sf_dir, "lineitem").filter(only).select(F.col("l_partkey").alias("a"), (-1 - F.col("l_orderkey") % 1000).alias("b"), F.col("l_extendedprice").alias("score"))
+def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(a, b, score): parts and suppliers of all items; suppliers numbered below 0."""
+    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), (-1 - F.col("l_orderkey") % 1000).alias("b"), F.col("l_extendedprice").alias("score"))
 
 
-def all_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return links(spark, sf_dir, "true")
-
-
-LINKS = "l AS (SELECT DISTINCT l_partkey AS a, -1 - l_orderkey % 1000 AS b FROM lineitem WHERE l_quantity >= 50 AND l_discount > 0.08), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l), r AS (SELECT a AS id, a AS c FROM e UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id)"
-
-
-@query("g6_connected_components", f"WITH RECURSIVE {LINKS} SELECT id, min(c) AS component FROM r GROUP BY 1")
+@query("g6_connected_components")
+@query("g6_connected_components_whole")
 def g6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.connected_components(links(spark, sf_dir))
 
 
-@query("g6_connected_components_whole")
-def g6_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """g6 over every item; the SQL of g6 itself keeps rare, large ones."""
-    return graph.connected_components(all_links(spark, sf_dir))
-
-
 @query("g8_greedy_break_up")
 def g8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = all_links(spark, sf_dir)
+    edges = links(spark, sf_dir)
     return graph.break_up_greedily(edges, graph.connected_components(edges), 10)
 
 
-@query("v1_node_degree", f"WITH RECURSIVE {LINKS} SELECT id, count(*) AS degree FROM (SELECT a AS id, b FROM e) GROUP BY 1")
-def v1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.degrees(links(spark, sf_dir))
+DEGREES = "WITH l AS (SELECT DISTINCT l_partkey AS a, -1 - l_orderkey % 1000 AS b FROM lineitem) SELECT id, count(*) AS degree FROM (SELECT a AS id FROM l UNION ALL SELECT b FROM l) GROUP BY 1"
 
 
-@query("v1_node_degree_whole", "WITH l AS (SELECT DISTINCT l_partkey AS a, -1 - l_orderkey % 1000 AS b FROM lineitem) SELECT id, count(*) AS degree FROM (SELECT a AS id FROM l UNION ALL SELECT b FROM l) GROUP BY 1")
-def v1_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """v1 over every item; the SQL of v1 itself keeps rare, large ones."""
-    return graph.degrees(all_links(spark, sf_dir))
+@query("v1_node_degree", DEGREES)
+@query("v1_node_degree_whole", DEGREES)
+def v1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.degrees(links(spark, sf_dir))
 
 
 @query("g18_hierarchy_levels", f"WITH RECURSIVE {TREE} SELECT descendant AS id, max(hops) AS level FROM up GROUP BY 1")

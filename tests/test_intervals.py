@@ -17,19 +17,11 @@ def spans(df):
     return sorted((r["start"], r["end"]) for r in df.collect())
 
 
-@pytest.mark.parametrize(
-    ("given", "want"),
-    [([(5, 10), (0, 3), (2, 6)], [(0, 10)]), ([(0, 3), (3, 6)], [(0, 6)]), ([(0, 3), (4, 6)], [(0, 3), (4, 6)]), ([(5, 5)], []), ([(0, 9), (1, 2), (3, 4), (9, 9)], [(0, 9)])],
-)
-def test_merge(spark, given, want):
-    assert spans(iv.merge(frame(spark, given), K)) == want
-
-
-def test_subtract_and_intersect(spark):
-    a, b = frame(spark, [(0, 10), (20, 30)]), frame(spark, [(5, 25)])
-    assert spans(iv.subtract(a, b, K)) == [(0, 5), (25, 30)]
-    assert spans(iv.intersect(a, b, K)) == [(5, 10), (20, 25)]
-    assert spans(iv.subtract(frame(spark, [(0, 100)]), frame(spark, [(0, 10), (90, 100)]), K)) == [(10, 90)]
+def test_merge(spark):
+    """Touching ranges join; those a gap apart only if it is allowed."""
+    given = frame(spark, [(40, 47), (11, 18), (18, 19), (21, 22), (33, 33), (60, 52)])
+    assert spans(iv.merge(given, K)) == [(11, 19), (21, 22), (40, 47)]
+    assert spans(iv.merge(given, K, gap=2)) == [(11, 22), (40, 47)]
 
 
 def brute(a, b):
@@ -77,5 +69,47 @@ def test_as_of_and_slices(spark):
     points = spark.createDataFrame([("a", p) for p in (0, 4, 5, 11, 12)] + [("b", 1)], "k string, pos long")
     got = {(r["k"], r["pos"]): r["label"] for r in iv.as_of(points, ranges, K, "label").collect()}
     assert got == {("a", 0): "x", ("a", 4): "x", ("a", 5): None, ("a", 11): "y", ("a", 12): None, ("b", 1): None}
-    assert spans(iv.slice_spans(frame(spark, [(0, 25)]), K, 10)) == [(0, 10), (10, 25)] or spans(iv.slice_spans(frame(spark, [(0, 25)]), K, 10)) == [(0, 10), (10, 20), (20, 25)]
+    assert spans(iv.slice_spans(frame(spark, [(0, 25)]), K, 10)) == [(0, 10), (10, 25)]
+    assert spans(iv.slice_spans(frame(spark, [(0, 26)]), K, 10)) == [(0, 10), (10, 20), (20, 26)]
+    assert spans(iv.slice_spans(frame(spark, [(3, 7)]), K, 10)) == [(3, 7)]
     assert spans(iv.fragments(frame(spark, [(0, 5)]), K, 4, 2)) == [(0, 4), (2, 5), (4, 5)]
+
+
+def test_running_values_cross_tiles(spark, monkeypatch):
+    """Tiles of a few positions give what one tile gives, for ranges longer than many tiles."""
+    rng = random.Random(8)
+    make = lambda: [(rng.choice("ab"), s, s + rng.choice([1, 3, 40])) for s in (rng.randrange(200) for _ in range(60))]
+    a, b = (spark.createDataFrame(make(), SCHEMA) for _ in range(2))
+    points = spark.createDataFrame([(k, p) for k in "abc" for p in range(0, 260, 3)], "k string, pos long")
+    valued = b.withColumn("v", F.col("start") * 10 + F.col("end"))
+
+    def everything():
+        yield iv.merge(a, K), iv.merge(a, K, gap=2), iv.depth(a, K), iv.subtract(a, b, K), iv.intersect(a, b, K), iv.islands(a, K)
+        yield (iv.exclusions(a, [("x", b), ("y", iv.intersect(a, b, K))], K), iv.as_of(points, valued.groupBy("k", "start").agg(F.max("end").alias("end"), F.max("v").alias("v")), K, "v"))
+
+    def run():
+        return [sorted(tuple(map(str, sorted(r.asDict().items()))) for r in df.collect()) for group in everything() for df in group]
+
+    want = run()
+    monkeypatch.setattr(iv, "TILE", 4)
+    assert run() == want
+
+
+def test_one_key_spreads_over_tasks(spark):
+    """All rows have one key; no task of the window reads a tenth of them."""
+    df = spark.range(40_000).select(F.lit("a").alias("k"), (F.col("id") * 400).alias("start"), (F.col("id") * 400 + 300).alias("end"))
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = iv.depth(df, K).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in got) == 40_000 and max(r["count"] for r in got) < 4000
+
+
+def test_left_join_keeps_repeated_rows(spark):
+    a = frame(spark, [(0, 5), (0, 5), (9, 12), (3, 3), (9, 12)])
+    got = iv.overlap_join(a, frame(spark, [(4, 6)]), K, 2, how="left").collect()
+    assert sorted((r["start"], r["b_start"] or -1) for r in got) == [(0, 4), (0, 4), (3, -1), (9, -1), (9, -1)]
+    assert iv.overlap_join(a, frame(spark, [(4, 6)]), K, 2, how="left_anti").count() == 3
