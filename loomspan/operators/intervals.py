@@ -7,7 +7,8 @@ and joins by key, so it stays inside code generation.
 
 Running values go along a key's axis in tiles: each tile is summed up, the tiles' sums are
 carried forward over the key, and a window within the tile does the rest. So a key that
-holds all rows, such as one long contig, spreads over its tiles.
+holds all rows, such as one long contig, spreads over its tiles; of ranges that are merged,
+only each tile's runs go through one window of their key.
 """
 
 from __future__ import annotations
@@ -58,23 +59,23 @@ def _pieces(edges: DataFrame, keys: Sequence[str], deltas: Sequence[str]) -> Dat
 
 def islands(df: DataFrame, keys: Sequence[str], gap: int = 0) -> DataFrame:
     """Tag each range with the number of the merged run it falls in (`island`, from 1)."""
-    w = Window.partitionBy(*keys, "_tile").orderBy("start", "end")
-    reached = _carried(_tiled(valid(df), "start"), keys, {"_reach": (F.max("end"), F.max)})
-    before = F.greatest("_reach", F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    order = Window.partitionBy(*keys).orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.when(before.isNull() | (F.col("start") > before + F.lit(gap)), 1).otherwise(0)
-    counted = _carried(reached.withColumn("_fresh", fresh), keys, {"_islands": (F.sum("_fresh"), F.sum)})
-    number = F.coalesce("_islands", F.lit(0)) + F.sum("_fresh").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return counted.withColumn("island", number).drop("_fresh", "_tile", "_reach", "_islands")
+    flagged = valid(df).withColumn("_fresh", fresh)
+    return flagged.withColumn("island", F.sum("_fresh").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_fresh")
 
 
 def merge(df: DataFrame, keys: Sequence[str], gap: int = 0) -> DataFrame:
-    """Union of the ranges of a key; touching ranges join, as do those at most `gap` apart."""
-    return (
-        islands(df.select(*keys, "start", "end"), keys, gap)
-        .groupBy(*keys, "island")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .drop("island")
-    )
+    """Union of the ranges of a key; touching ranges join, as do those at most `gap` apart.
+
+    Ranges are merged within tiles first, so only a tile's runs go along the whole key.
+    """
+
+    def merged(ranges: DataFrame, by: list[str]) -> DataFrame:
+        return islands(ranges, by, gap).groupBy(*by, "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
+
+    return merged(merged(_tiled(df.select(*keys, "start", "end"), "start"), [*keys, "_tile"]).drop("_tile"), list(keys))
 
 
 def _sweep(df: DataFrame, keys: Sequence[str], weight: Column | None = None) -> DataFrame:
