@@ -51,10 +51,11 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in stack.pop():
-            _delete(spark, path)
+            remove(spark, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder wherever Spark's paths lead."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
@@ -62,7 +63,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 def discard(table: DataFrame) -> None:
     """Delete a table of materialize() that nothing will read again."""
     if path := table.__dict__.get("_stored_at"):
-        _delete(table.sparkSession, path)
+        remove(table.sparkSession, path)
 
 
 def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:

@@ -21,15 +21,26 @@ def lines(spark: SparkSession, path: Path) -> DataFrame:
 
 
 def numbered(spark: SparkSession, path: Path) -> DataFrame:
-    """(file, line, value) with lines numbered from 0 in each file, in the order they stand.
+    """(file, block, line, value) with lines numbered from 0 in each file, in the order they stand.
 
-    For formats whose header lines rule what follows. Each file is read by one task, as a
-    line's number depends on all before it; give many files to use many tasks.
+    For formats whose header lines rule what follows. Lines are numbered within the blocks that
+    Spark's reader deals files into, and blocks' sizes are summed up, so a long file uses many tasks.
     """
-    return (
-        spark.read.text(path, wholetext=True)
-        .select(F.input_file_name().alias("file"), F.posexplode(F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")).alias("line", "value"))
-    )
+    meta = F.col("_metadata")
+    rows = spark.read.text(path).select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("_at"), "value")
+    before = Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(F.col("file").alias("f"), F.col("block").alias("b")).agg(F.count("*").alias("n"))
+    offsets = sizes.select("f", "b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
+    within = F.row_number().over(Window.partitionBy("file", "block").orderBy("_at")) - 1
+    placed = rows.withColumn("_within", within).join(offsets, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
+    return placed.select("file", "block", (F.col("_offset") + F.col("_within")).alias("line"), "value")
+
+
+def first_lines(spark: SparkSession, path: Path) -> DataFrame:
+    """(file, value): the first line of each file."""
+    meta = F.col("_metadata")
+    rows = spark.read.text(path).select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("_at"), "value")
+    return rows.filter("block = 0").groupBy("file").agg(F.min_by("value", "_at").alias("value"))
 
 
 def _integer(value: Column, what: str) -> Column:
@@ -78,8 +89,7 @@ def read_fai(spark: SparkSession, path: Path) -> DataFrame:
 def read_table(spark: SparkSession, path: Path, schema: str, comment: str | None = "#", header: list[str] | None = None) -> DataFrame:
     """A tab-separated table; with `header`, each file's first line must be exactly that."""
     if header is not None:
-        first = numbered(spark, path).filter("line = 0").select("file", "value")
-        wrong = first.filter(F.regexp_replace("value", "^#", "") != "\t".join(header)).first()
+        wrong = first_lines(spark, path).filter(F.regexp_replace("value", "^#", "") != "\t".join(header)).first()
         if wrong is not None:
             raise ValueError(f"{wrong['file']} has the header {wrong['value']!r}")
     options = {"comment": comment} if comment else {}
@@ -88,18 +98,20 @@ def read_table(spark: SparkSession, path: Path, schema: str, comment: str | None
 
 
 def read_wig(spark: SparkSession, path: Path) -> DataFrame:
-    """(contig, pos, score) of fixedStep blocks; pos from 0."""
-    rows = numbered(spark, path)
-    head = F.when(F.col("value").startswith("fixedStep"), F.col("line"))
-    w = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-
-    def part(name: str) -> Column:
-        return F.last(F.when(F.col("value").startswith("fixedStep"), F.regexp_extract("value", rf"\b{name}=(\S+)", 1)), ignorenulls=True).over(w)
-
-    marked = rows.select("*", F.max(head).over(w).alias("head"), part("chrom").alias("contig"), part("start").alias("start"), part("step").alias("step"))
-    step = F.coalesce(F.nullif(F.col("step"), F.lit("")).cast("long"), F.lit(1).cast("long"))
-    pos = F.col("start").cast("long") - 1 + step * (F.col("line") - F.col("head") - 1)
-    return marked.filter(F.col("head").isNotNull() & (F.col("line") > F.col("head")) & F.col("value").rlike(r"^\s*[-+0-9.]")).select("contig", pos.alias("pos"), F.trim("value").cast("double").alias("score"))
+    """(contig, pos, score) of fixedStep blocks; pos from 0. The header that rules a line is sought in
+    its own block of the file, then among the blocks before."""
+    value = F.col("value")
+    part = lambda name: F.nullif(F.regexp_extract(value, rf"\b{name}=(\S+)", 1), F.lit(""))
+    head = F.struct("line", part("chrom").alias("contig"), part("start").cast("long").alias("start"), F.coalesce(part("step").cast("long"), F.lit(1).cast("long")).alias("step"))
+    rows = numbered(spark, path).withColumn("head", F.when(value.startswith("fixedStep"), head))
+    last = rows.groupBy(F.col("file").alias("f"), F.col("block").alias("b")).agg(F.max_by("head", F.when(F.col("head").isNotNull(), F.col("line"))).alias("last"))
+    before = Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("f", "b", F.last("last", ignorenulls=True).over(before).alias("carried"))
+    w = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    own = rows.withColumn("own", F.last("head", ignorenulls=True).over(w))
+    ruled = own.join(carried, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))).withColumn("h", F.coalesce("own", "carried"))
+    pos = F.col("h.start") - 1 + F.col("h.step") * (F.col("line") - F.col("h.line") - 1)
+    return ruled.filter(F.col("head").isNull() & F.col("h").isNotNull() & value.rlike(r"^\s*[-+0-9.]")).select("h.contig", pos.alias("pos"), F.trim("value").cast("double").alias("score"))
 
 
 GENEPRED = "name string, contig string, strand string, tx_start long, tx_end long, cds_start long, cds_end long, exons int, exon_starts string, exon_ends string"
@@ -112,6 +124,19 @@ def read_genepred(spark: SparkSession, path: Path) -> DataFrame:
     return df.select(*[c.split()[0] for c in GENEPRED.split(", ")[:7]], F.zip_with(*numbers, lambda a, b: F.struct(a.alias("start"), b.alias("end"))).alias("exons"))
 
 
+def read_genes(spark: SparkSession, path: str) -> DataFrame:
+    """(name, contig, strand, start, end) of a gene annotation, by the path's extension: `.gff`, `.gff3`
+    and `.gtf` give their gene features, a browser's dump `.txt` drops its bin column, all else is genePred."""
+    kind = re.sub(r"(\.gz|\.bz2)?/?$", "", path.lower()).rpartition(".")[2]
+    if kind in ("gff", "gff3", "gtf"):
+        names = F.coalesce(*(F.try_element_at("attributes", F.lit(k)) for k in ("gene_id", "ID", "Name")))
+        return read_gff(spark, path).filter("feature = 'gene'").select(names.alias("name"), "contig", "strand", "start", "end")
+    if kind == "txt":
+        dump = spark.read.csv(path, sep="\t", schema="bin int, " + GENEPRED)
+        return dump.select("name", "contig", "strand", F.col("tx_start").alias("start"), F.col("tx_end").alias("end"))
+    return read_genepred(spark, path).select("name", "contig", "strand", F.col("tx_start").alias("start"), F.col("tx_end").alias("end"))
+
+
 def read_gff(spark: SparkSession, path: Path) -> DataFrame:
     """GFF3 or GTF features with their attributes as a map; start from 0."""
     parts = F.split("value", "\t")
@@ -138,14 +163,19 @@ def read_gaf(spark: SparkSession, path: Path) -> DataFrame:
     return read_paf(spark, path).withColumnRenamed("target", "path")
 
 
-def read_vcf(spark: SparkSession, path: Path) -> DataFrame:
+def read_vcf(spark: SparkSession, path: Path, sample_names: list[str] | None = None) -> DataFrame:
     """(file, contig, pos, id, ref, alts, qual, filter, info, genotypes): pos from 0, info as a map,
-    genotypes as a map from sample to its GT text."""
+    genotypes as a map from sample to its GT text. Samples are named by each file's own header, or,
+    for parts without one, by `sample_names`."""
     rows = spark.read.text(path).select(F.input_file_name().alias("file"), "value")
     samples = rows.filter(F.col("value").startswith("#CHROM")).select(F.col("file").alias("f"), F.slice(F.split("value", "\t"), 10, 1_000_000).alias("samples"))
     parts = F.split("value", "\t")
     at = lambda i: F.nullif(F.get(parts, F.lit(i)), F.lit("."))
-    body = rows.filter(~F.col("value").startswith("#") & (F.size(parts) >= 8)).join(samples, F.col("file") == F.col("f"), "left")
+    body = rows.filter(~F.col("value").startswith("#") & (F.size(parts) >= 8))
+    if sample_names is None:
+        body = body.join(samples, F.col("file") == F.col("f"), "left")
+    else:
+        body = body.withColumn("samples", F.array(*(F.lit(n) for n in sample_names)))
     gt = F.array_position(F.split(F.coalesce(at(8), F.lit("")), ":"), "GT")
     calls = F.transform(F.slice(parts, 10, 1_000_000), lambda c: F.get(F.split(c, ":"), (gt - 1).cast("int")))
     return body.select(

@@ -40,14 +40,17 @@ def write_paf(df: DataFrame, path: str) -> None:
     _write(df, F.concat_ws("\t", *cols), path)
 
 
-def write_wig(df: DataFrame, path: str) -> None:
-    """(contig, pos, score) as fixedStep blocks, a new one wherever positions are not consecutive."""
+def write_wig(df: DataFrame, path: str, tile: int = 1 << 16) -> None:
+    """(contig, pos, score) as fixedStep blocks, a new one wherever positions are not consecutive
+    and at each tile's begin. A tile is never parted, so each file's first line is a header."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy("contig").orderBy("pos")
+    tiled = df.withColumn("_tile", F.floor(F.col("pos") / tile))
+    w = Window.partitionBy("contig", "_tile").orderBy("pos")
     fresh = F.coalesce(F.lag("pos").over(w) != F.col("pos") - 1, F.lit(True))
     head = F.concat(F.lit("fixedStep chrom="), "contig", F.lit(" start="), (F.col("pos") + 1).cast("string"), F.lit(" step=1\n"))
-    _write(df.withColumn("_fresh", fresh).orderBy("contig", "pos"), F.concat(F.when(F.col("_fresh"), head).otherwise(""), F.col("score").cast("string")), path)
+    ordered = tiled.withColumn("_fresh", fresh).repartitionByRange("contig", "_tile").sortWithinPartitions("contig", "pos")
+    _write(ordered, F.concat(F.when(F.col("_fresh"), head).otherwise(""), F.col("score").cast("string")), path)
 
 
 def write_vcf(df: DataFrame, path: str, samples: Sequence[str]) -> None:
