@@ -223,3 +223,16 @@ def parse_size(text: str) -> int:
     if unit and unit not in UNITS:
         raise ValueError(f"unknown unit in {text!r}")
     return int(float(number) * UNITS.get(unit, 1))
+
+
+def long_gap_scores(scores: Mapping[str, float], open_factor: float, extend_factor: float) -> dict[str, float]:
+    """Scores with a second gap penalty, open_factor dearer to open and extend_factor cheaper to extend.
+
+    Keys are pairs of bases, `open` and `extend`; `open2` and `extend2` are added. Penalties are scaled
+    by extend_factor; where the extension is too small to be divided by it, so are the pairs' scores.
+    """
+    if open_factor <= 1 or extend_factor < 1:
+        raise ValueError("a long gap needs open_factor > 1 and extend_factor >= 1")
+    small = scores["extend"] < extend_factor
+    out = {k: v * extend_factor if small or k in ("open", "extend") else v for k, v in scores.items()}
+    return out | {"open2": out["open"] * open_factor, "extend2": max(1, int(out["extend"] / extend_factor))}

@@ -161,6 +161,34 @@ def select_primary(df: DataFrame, max_gap: int, min_chain_score: float) -> DataF
     return first.withColumn("tag", F.when(weak, "S").otherwise("P")).withColumn("level", F.when(weak, 2).otherwise(F.col("level")))
 
 
+def filter_levels(df: DataFrame, max_level: int | None = None, min_chain_score: float | None = None, invert: bool = False) -> DataFrame:
+    """Rows of tile levels up to max_level and chains of at least min_chain_score, or all others."""
+    keep = F.lit(True)
+    if max_level is not None:
+        keep = keep & F.coalesce(F.col("level") <= max_level, F.lit(False))
+    if min_chain_score is not None:
+        keep = keep & F.coalesce(F.col("chain_score") >= min_chain_score, F.lit(False))
+    return df.filter(~keep if invert else keep)
+
+
+def split_by_query(df: DataFrame, size: int) -> DataFrame:
+    """df with `part`: a query of more than `size` rows is a part of its own, the rest are dealt by hash
+    into as many parts as hold about `size` rows each."""
+    counts = df.groupBy(F.col("query").alias("_q")).agg(F.count("*").alias("_n"))
+    rest = counts.filter(F.col("_n") <= size).agg(F.greatest(F.lit(1), F.ceil(F.sum("_n") / size)).alias("_parts"))
+    shared = F.concat(F.lit("rest-"), F.pmod(F.xxhash64("query"), F.coalesce("_parts", F.lit(1))))
+    dealt = df.join(counts, F.col("query").eqNullSafe(F.col("_q"))).crossJoin(rest)
+    return dealt.withColumn("part", F.when(F.col("_n") > size, F.concat(F.lit("query-"), "query")).otherwise(shared)).drop("_q", "_n", "_parts")
+
+
+def select_primary_by_side(df: DataFrame, outgroups: Sequence[str], max_gap: int, min_chain_score: float) -> DataFrame:
+    """select_primary() of rows among ingroups and of rows that touch an outgroup apart, so that neither
+    takes the other's first level; adds `outgroup`."""
+    touches = F.col("query").isin(*outgroups) | F.col("target").isin(*outgroups)
+    inner = select_primary(df.filter(~touches), max_gap, min_chain_score).withColumn("outgroup", F.lit(False))
+    return inner.unionByName(select_primary(df.filter(touches), max_gap, min_chain_score).withColumn("outgroup", F.lit(True)))
+
+
 def consistency_cut(df: DataFrame, keys: Sequence[str], order: str, left: str, right: str) -> DataFrame:
     """(keys, cut, score): where to change from the left to the right alignment.
 

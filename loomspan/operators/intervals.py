@@ -46,7 +46,7 @@ def _carried(df: DataFrame, keys: Sequence[str], sums: dict[str, tuple[Column, C
     return df.join(known, on).drop("_ct", *(f"_c{i}" for i in range(len(keys))))
 
 
-def _pieces(edges: DataFrame, keys: Sequence[str], deltas: Sequence[str]) -> DataFrame:
+def pieces(edges: DataFrame, keys: Sequence[str], deltas: Sequence[str]) -> DataFrame:
     """(keys, start, end, running sums): pieces between consecutive positions of (keys, pos, deltas)
     with one row for each position; the open one after a key's last position is left out."""
     carried = _carried(_tiled(edges, "pos"), keys, {f"_b_{d}": (F.sum(d), F.sum) for d in deltas}, {"_next": F.min("pos")})
@@ -57,6 +57,15 @@ def _pieces(edges: DataFrame, keys: Sequence[str], deltas: Sequence[str]) -> Dat
     return pieces.filter(F.col("end").isNotNull())
 
 
+def with_next(df: DataFrame, keys: Sequence[str], pos: str, columns: Sequence[str]) -> DataFrame:
+    """df with `next`, a struct of pos and the columns of the row that follows along the key, or null.
+    Rows of one position stand in the order of the columns."""
+    held = F.struct(pos, *columns)
+    carried = _carried(_tiled(df, pos), keys, {}, {"_ahead": F.min(held)})
+    w = Window.partitionBy(*keys, "_tile").orderBy(pos, *columns)
+    return carried.withColumn("next", F.coalesce(F.lead(held).over(w), "_ahead")).drop("_ahead", "_tile")
+
+
 def islands(df: DataFrame, keys: Sequence[str], gap: int = 0) -> DataFrame:
     """Tag each range with the number of the merged run it falls in (`island`, from 1)."""
     order = Window.partitionBy(*keys).orderBy("start", "end")
@@ -87,7 +96,7 @@ def _sweep(df: DataFrame, keys: Sequence[str], weight: Column | None = None) ->
 
 def depth(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, start, end, depth): pieces between consecutive endpoints with the ranges over them; depth 0 left out."""
-    return _pieces(_sweep(df, keys), keys, ["delta"]).withColumnRenamed("delta", "depth").filter(F.col("depth") > 0)
+    return pieces(_sweep(df, keys), keys, ["delta"]).withColumnRenamed("delta", "depth").filter(F.col("depth") > 0)
 
 
 def single_cover(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -109,7 +118,7 @@ def _two_sided(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
         )
     )
     summed = valid(both).select(*keys, edge.alias("e")).groupBy(*keys, F.col("e.pos").alias("pos")).agg(F.sum("e.da").alias("da"), F.sum("e.db").alias("db"))
-    return _pieces(summed, keys, ["da", "db"]).withColumnsRenamed({"da": "in_a", "db": "in_b"})
+    return pieces(summed, keys, ["da", "db"]).withColumnsRenamed({"da": "in_a", "db": "in_b"})
 
 
 def subtract(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -219,6 +228,15 @@ def reciprocal_pairs(a: DataFrame, keys: Sequence[str], least: float, bin_width:
     )
 
 
+def cluster(a: DataFrame, keys: Sequence[str], least: float, bin_width: int, id_col: str = "id") -> DataFrame:
+    """a with `site`, the least id of the ranges that it covers reciprocally, directly or by way of others."""
+    from loomspan.operators.graph import connected_components
+
+    pairs = reciprocal_pairs(a, keys, least, bin_width, id_col).select(F.col("left_id").alias("a"), F.col("right_id").alias("b"))
+    sites = connected_components(pairs).select(F.col("id").alias("_id"), F.col("component").alias("_site"))
+    return a.join(sites, F.col(id_col) == F.col("_id"), "left").withColumn("site", F.coalesce("_site", id_col)).drop("_id", "_site")
+
+
 def exclusions(baseline: DataFrame, phases: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:
     """(keys, phase, start, end): what each phase lost of what the phase before it still had.
 
@@ -236,7 +254,7 @@ def exclusions(baseline: DataFrame, phases: Sequence[tuple[str, DataFrame]], key
         edges = edges.unionByName(side)
     names = [f"d{i}" for i in range(len(layers))]
     summed = edges.groupBy(*keys, F.col("e.pos").alias("pos")).agg(*(F.sum(F.when(F.col("layer") == i, F.col("e.w")).otherwise(0)).alias(n) for i, n in enumerate(names)))
-    pieces = _pieces(summed, keys, names)
+    pieces = pieces(summed, keys, names)
     phase = F.lit(None).cast("string")
     for (name, _), n in reversed(list(zip(phases, names[1:], strict=True))):
         phase = F.when(F.col(n) == 0, F.lit(name)).otherwise(phase)

@@ -157,6 +157,33 @@ def binned(value: Column, edges: Sequence[float], labels: Sequence[str], include
     return out
 
 
+def rename_uniquely(df: DataFrame, name: str, rounds: int = 60) -> DataFrame:
+    """(name, alias): letters and digits of each distinct name, with a counter where that is taken.
+
+    Of names with one cleaned form the least has it bare, the next ones with 1, 2, ...; where such
+    an alias is another name's, the later one's counter is raised by its form's number of names
+    until all differ. Counted names never move the bare ones.
+    """
+    from loomspan.session import materialize
+
+    forms = Window.partitionBy("form")
+    named = df.select(F.col(name).alias("name")).filter("name IS NOT NULL").distinct().select("name", F.regexp_replace("name", "[^A-Za-z0-9]", "").alias("form"))
+    state = named.select("name", "form", (F.row_number().over(forms.orderBy("name")) - 1).cast("long").alias("k"), F.count("*").over(forms).alias("step"))
+    alias = F.when(F.col("k") == 0, F.col("form")).otherwise(F.concat("form", F.col("k").cast("string")))
+    for _ in range(rounds):
+        ranked = state.withColumn("alias", alias)
+        state = materialize(ranked.withColumn("place", F.row_number().over(Window.partitionBy("alias").orderBy(F.col("k") > 0, "k", "name"))), "aliases")
+        if state.filter("place > 1").isEmpty():
+            return state.select("name", "alias")
+        state = state.select("name", "form", F.when(F.col("place") > 1, F.col("k") + F.col("step")).otherwise(F.col("k")).alias("k"), "step")
+    raise RuntimeError(f"names did not settle in {rounds} rounds")
+
+
+def chunked(df: DataFrame, order: Sequence[Column], size: int) -> DataFrame:
+    """df with `chunk` and `row`: rows in this order, `size` to a chunk, so that chunks and rows put it back."""
+    return numbered(df, order, "row").withColumn("chunk", F.floor((F.col("row") - 1) / size))
+
+
 def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """df with each row's place from 1 in a total order, as column `name`.
 

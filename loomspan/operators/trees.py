@@ -76,6 +76,76 @@ def prune(tree: DataFrame, with_data: DataFrame, default_length: float = 1.0) ->
     return tree.join(kept, F.col("id") == F.col("k"), "left_semi").withColumn("length", F.coalesce("length", F.when(F.col("parent").isNotNull(), F.lit(default_length))))
 
 
+def spanning(tree: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The part of the tree between the chosen nodes (id) and their nearest common ancestor, its root."""
+    named = chosen.select(F.col("id").alias("leaf")).distinct()
+    up = closure(tree)
+    below = up.join(named, F.col("descendant") == F.col("leaf")).groupBy(F.col("ancestor").alias("k")).agg(F.count("*").alias("n"))
+    total = named.agg(F.count("*").alias("total"))
+    counted = below.crossJoin(total)
+    depth = up.groupBy(F.col("descendant").alias("d")).agg(F.max("hops").alias("depth"))
+    top = counted.filter("n = total").join(depth, F.col("k") == F.col("d")).agg(F.max_by("k", "depth").alias("top"))
+    inside = counted.crossJoin(top).filter((F.col("n") < F.col("total")) | (F.col("k") == F.col("top"))).select("k", "top")
+    own = F.col("id") != F.col("top")
+    return tree.join(inside, F.col("id") == F.col("k")).select("id", F.when(own, F.col("parent")).alias("parent"), F.when(own, F.col("length")).alias("length"))
+
+
+def outgroup_candidates(tree: DataFrame, candidates: DataFrame, max_height: float | None = None) -> DataFrame:
+    """(node, outgroup, dist): for each inner node but the root, candidates (id) that are neither above nor
+    below it, nearest paths first; with max_height, only those whose subtree is no higher."""
+    up = closure(tree)
+    inner = tree.filter("parent IS NOT NULL").select(F.col("id").alias("node")).join(tree.select(F.col("parent").alias("p")).distinct(), F.col("node") == F.col("p"), "left_semi")
+    allowed = candidates.select(F.col("id").alias("outgroup"))
+    if max_height is not None:
+        low = heights(tree).filter(F.coalesce("height", F.lit(0.0)) <= max_height).select(F.col("id").alias("h"))
+        allowed = allowed.join(low, F.col("outgroup") == F.col("h"), "left_semi")
+    pairs = ancestors_in_common(tree, inner.join(allowed, F.col("node") != F.col("outgroup")).select(F.col("node").alias("a"), F.col("outgroup").alias("b")))
+    off = pairs.filter((F.col("lca") != F.col("a")) & (F.col("lca") != F.col("b")))
+    return off.select(F.col("a").alias("node"), F.col("b").alias("outgroup"), "dist")
+
+
+def assign_outgroups(tree: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """(node, outgroup, dist, rank): up to k outgroups of each inner node, taken nearest first over all pairs.
+
+    A node is made from its children and its outgroups; a pair is passed over if it would make a
+    node wait for itself. The choice depends on all before it, so the pairs, of which there are as
+    many as nodes times candidates, are gone through in the driver: a tree is small.
+    """
+    spark = tree.sparkSession
+    needs: dict[str, set[str]] = {}
+    for r in tree.filter("parent IS NOT NULL").select("id", "parent").toLocalIterator():
+        needs.setdefault(r["parent"], set()).add(r["id"])
+
+    def waits_for(x: str, y: str) -> bool:
+        seen, todo = set(), [x]
+        while todo:
+            n = todo.pop()
+            if n == y:
+                return True
+            if n not in seen:
+                seen.add(n)
+                todo.extend(needs.get(n, ()))
+        return False
+
+    taken: dict[str, int] = {}
+    rows = []
+    for r in outgroup_candidates(tree, candidates).orderBy(F.round("dist", 12), "node", "outgroup").toLocalIterator():
+        node, other = r["node"], r["outgroup"]
+        if taken.get(node, 0) < k and not waits_for(other, node):
+            needs.setdefault(node, set()).add(other)
+            taken[node] = taken.get(node, 0) + 1
+            rows.append((node, other, r["dist"], taken[node]))
+    return spark.createDataFrame(rows, "node string, outgroup string, dist double, rank int")
+
+
+def insert_on_branch(tree: DataFrame, child: str, name: str, share: float) -> DataFrame:
+    """The tree with a node `name` on the branch above `child`, this share of its length from the child."""
+    at = F.col("id") == child
+    fresh = tree.filter(at).select(F.lit(name).alias("id"), "parent", (F.col("length") * (1 - share)).alias("length"))
+    moved = tree.select("id", F.when(at, F.lit(name)).otherwise(F.col("parent")).alias("parent"), F.when(at, F.col("length") * share).otherwise(F.col("length")).alias("length"))
+    return moved.unionByName(fresh)
+
+
 def parse_newick(text: str) -> list[tuple[str, str | None, float | None]]:
     """(name, parent, length) rows of a Newick tree; unnamed nodes are numbered `n0`, `n1`, ..."""
     rows: list[list] = []

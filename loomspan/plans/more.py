@@ -20,9 +20,9 @@ def j3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rel.lookup(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), c, ["o_custkey"], {"segment": "-"}).drop("o_custkey")
 
 
-@query("j8_never_covered", "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R') AND p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_discount > 0.09)")
+@query("j8_never_covered", "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 47) AND p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45 AND l_returnflag = 'R')")
 def j8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R' OR l_discount > 0.09").select("l_partkey")
+    seen = table(spark, sf_dir, "lineitem").filter("l_quantity > 47 OR l_quantity > 45 AND l_returnflag = 'R'").select("l_partkey")
     return table(spark, sf_dir, "part").select("p_partkey").join(seen, F.col("p_partkey") == F.col("l_partkey"), "left_anti")
 
 
