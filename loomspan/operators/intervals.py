@@ -53,8 +53,8 @@ def pieces(edges: DataFrame, keys: Sequence[str], deltas: Sequence[str]) -> Data
     w = Window.partitionBy(*keys, "_tile").orderBy("pos")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     end = F.coalesce(F.lead("pos").over(w), F.col("_next"))
-    pieces = carried.select(*keys, F.col("pos").alias("start"), end.alias("end"), *((F.coalesce(f"_b_{d}", F.lit(0)) + F.sum(d).over(run)).alias(d) for d in deltas))
-    return pieces.filter(F.col("end").isNotNull())
+    cut = carried.select(*keys, F.col("pos").alias("start"), end.alias("end"), *((F.coalesce(f"_b_{d}", F.lit(0)) + F.sum(d).over(run)).alias(d) for d in deltas))
+    return cut.filter(F.col("end").isNotNull())
 
 
 def with_next(df: DataFrame, keys: Sequence[str], pos: str, columns: Sequence[str]) -> DataFrame:
@@ -254,9 +254,9 @@ def exclusions(baseline: DataFrame, phases: Sequence[tuple[str, DataFrame]], key
         edges = edges.unionByName(side)
     names = [f"d{i}" for i in range(len(layers))]
     summed = edges.groupBy(*keys, F.col("e.pos").alias("pos")).agg(*(F.sum(F.when(F.col("layer") == i, F.col("e.w")).otherwise(0)).alias(n) for i, n in enumerate(names)))
-    pieces = pieces(summed, keys, names)
+    parts = pieces(summed, keys, names)
     phase = F.lit(None).cast("string")
     for (name, _), n in reversed(list(zip(phases, names[1:], strict=True))):
         phase = F.when(F.col(n) == 0, F.lit(name)).otherwise(phase)
-    lost = pieces.filter(F.col("d0") > 0).withColumn("phase", phase).filter(F.col("phase").isNotNull())
+    lost = parts.filter(F.col("d0") > 0).withColumn("phase", phase).filter(F.col("phase").isNotNull())
     return merge(lost, [*keys, "phase"])
