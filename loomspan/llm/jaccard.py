@@ -58,6 +58,9 @@ class JaccardConfig:
 
 BIN_BLOCK = 1 << 14
 
+#: A task adds its shingles up once it holds so many, and works on so many rows of a batch at once.
+HELD_SHINGLES, HELD_ROWS = 1 << 18, 1_000
+
 
 def linked(common, a, b, percent: int):
     """Whether sets of sizes a and b with `common` shared elements link; integers only."""
@@ -69,14 +72,21 @@ def linked(common, a, b, percent: int):
 
 def bin_counts(docs: DataFrame, config: JaccardConfig) -> np.ndarray:
     """How many documents' shingles fall in each hash bin: `config.bins` numbers, whatever
-    the input. Tasks add theirs up first; blocks of bins are summed in two levels."""
+    the input. Tasks add theirs up first, and hold the shingles of some texts only; blocks of
+    bins are summed in two levels."""
 
     def local(batches):
         total = np.zeros(config.bins, np.int64)
+        held, n = [], 0
         for batch in batches:
-            held = [shingle_set(t, config.size) for t in batch.column(0).to_pylist()]
-            if held:
-                total += np.bincount((np.concatenate(held) & np.uint64(config.bins - 1)).astype(np.int64), minlength=config.bins)
+            for text in batch.column(0):
+                held.append(shingle_set(text.as_py(), config.size))
+                n += len(held[-1])
+                if n >= HELD_SHINGLES:
+                    total += np.bincount((np.concatenate(held) & np.uint64(config.bins - 1)).astype(np.int64), minlength=config.bins)
+                    held, n = [], 0
+        if held:
+            total += np.bincount((np.concatenate(held) & np.uint64(config.bins - 1)).astype(np.int64), minlength=config.bins)
         blocks = range(0, config.bins, BIN_BLOCK)
         small = total.astype(np.uint32) if total.max() < 1 << 32 else total
         kind = np.uint16 if total.max() < 1 << 16 else small.dtype
@@ -122,10 +132,10 @@ def signatures(docs: DataFrame, order: np.ndarray, config: JaccardConfig) -> Dat
     def run(batches):
         rank = shipped.value
         mask = np.uint64(config.bins - 1)
-        for batch in batches:
+        for batch in (whole.slice(i, HELD_ROWS) for whole in batches for i in range(0, whole.num_rows, HELD_ROWS)):
             n, s1, s2, prefix = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingle_set(text, config.size)
+            for text in batch.column(1):
+                s = shingle_set(text.as_py(), config.size)
                 n.append(len(s))
                 s1.append(int(np.add.reduce(s).view(np.int64)))
                 s2.append(int(np.bitwise_xor.reduce(s * np.uint64(0x9E3779B97F4A7C15) ^ (s >> np.uint64(29))).view(np.int64)) if len(s) else 0)
@@ -146,13 +156,14 @@ def signatures(docs: DataFrame, order: np.ndarray, config: JaccardConfig) -> Dat
 def prefix_cells(firsts: DataFrame, config: JaccardConfig) -> DataFrame:
     """(shingle, doc_id, n, tied): each prefix shingle's documents, and edges of one cell.
 
-    A batch with more than `small_cell` documents of a shingle ties them to the least of
-    them at once (`tied`), and sends that one alone, with a null n: so a very frequent
-    shingle comes to its cell once for each batch.
+    A slice of a batch with more than `small_cell` documents of a shingle ties them to the least
+    of them at once (`tied`), and sends that one alone, with a null n: so a very frequent
+    shingle comes to its cell once for each slice.
     """
+    rows = 4 * HELD_ROWS
 
     def run(batches):
-        for batch in batches:
+        for batch in (whole.slice(i, rows) for whole in batches for i in range(0, whole.num_rows, rows)):
             ids, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             prefix = batch.column(2)
             per = np.diff(prefix.offsets.to_numpy())
