@@ -66,3 +66,13 @@ def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
     if len(h) < size:  # tagged with its length, so it can't equal a longer one
         return window_hashes(np.append(h, np.uint64(len(h))), len(h) + 1)
     return np.unique(window_hashes(h, size))
+
+#: The 256 remainders of CRC-32 as a DuckDB list `t` of one row, and the sum of a string by it.
+CRC_TABLE_SQL = "crc_table AS (SELECT list(list_reduce([CAST(n AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t FROM range(256) x(n))"
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB's expression of the unsigned CRC-32 of a string's UTF-8, where crc_table is joined."""
+    h = f"hex(encode({text}))"
+    octets = f"list_transform(range(0, length({h}) // 2), lambda i: CAST('0x' || substr({h}, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))"
+    return f"xor(list_reduce([4294967295] || {octets}, lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1])), 4294967295)"
