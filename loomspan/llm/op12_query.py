@@ -21,8 +21,8 @@ c AS MATERIALIZED (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS v
 e AS (SELECT a.word, b.word AS near FROM c a JOIN c b ON a.i = b.i AND a.v = b.v AND a.word <> b.word UNION SELECT c.word, w.word FROM c JOIN w ON c.v = w.word UNION SELECT w.word, c.word FROM c JOIN w ON c.v = w.word),
 f AS (SELECT e.word, w.word AS near, w.n, row_number() OVER (PARTITION BY e.word ORDER BY w.n DESC, w.word) AS k, count(*) OVER (PARTITION BY e.word) AS n_near FROM e JOIN w ON e.near = w.word),
 g AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN f.n >= {CONFIG.ratio} * w.n THEN near END AS form, CASE WHEN f.n >= {CONFIG.ratio} * w.n THEN f.n END AS form_n FROM w LEFT JOIN f ON f.word = w.word AND k = 1),
-t AS (SELECT word, word AS at FROM g UNION ALL SELECT t.word, g.form FROM t JOIN g ON t.at = g.word WHERE g.form IS NOT NULL)
-SELECT g.word, form, at AS root, n, n_near, form_n FROM g JOIN t ON t.word = g.word WHERE at IN (SELECT word FROM g WHERE form IS NULL)
+t AS (SELECT word, word AS last FROM g UNION ALL SELECT t.word, g.form FROM t JOIN g ON t.last = g.word WHERE g.form IS NOT NULL)
+SELECT g.word, form, last AS root, n, n_near, form_n FROM g JOIN t ON t.word = g.word WHERE last IN (SELECT word FROM g WHERE form IS NULL)
 """
 
 
