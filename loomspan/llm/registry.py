@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 #: One module for each query; each has NAME, query(spark, sf_dir) and, where SQL can express it, SQL.
-MODULES = ["op01_query", "op02_query", "op03_query", "op04_query", "op05_query", "op06_query", "op07_query", "op08_query", "op09_query", "op10_query", "op11_query", "op12_query"]
+MODULES = ["op01_query", "op02_query", "op03_query", "op04_query", "op05_query", "op06_query", "op07_query", "op08_query", "op09_query", "op10_query", "op11_query", "op12_query", "op13_query"]
 
 
 def _all():
