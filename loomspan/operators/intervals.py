@@ -7,8 +7,8 @@ and joins by key, so it stays inside code generation.
 
 Running values go along a key's axis in tiles: each tile is summed up, the tiles' sums are
 carried forward over the key, and a window within the tile does the rest. So a key that
-holds all rows, such as one long contig, spreads over its tiles; of ranges that are merged,
-only each tile's runs go through one window of their key.
+holds all rows, such as one long contig, spreads over its tiles; one row for each tile goes
+through a window of its key.
 """
 
 from __future__ import annotations
@@ -29,32 +29,42 @@ TILE = 1 << 16
 
 
 def _tiled(df: DataFrame, pos: str) -> DataFrame:
-    return df.withColumn("_tile", F.floor(F.col(pos) / TILE))
+    # The filter stands before the input is used twice, so that both uses have one exchange.
+    tiled = df.withColumn("_tile", F.floor(F.col(pos) / TILE))
+    return tiled.filter(F.col("_tile").isNotNull())
 
 
-def _carried(df: DataFrame, keys: Sequence[str], sums: dict[str, tuple[Column, Callable[[Column], Column]]], ahead: dict[str, Column] | None = None) -> DataFrame:
-    """df with more columns for each row's tile. Of `sums`, name to (aggregate of a tile, how to
-    combine tiles), over the tiles before it; of `ahead`, aggregates of the next tile."""
+def _carried(df: DataFrame, keys: Sequence[str], sums: dict[str, tuple[Column, Callable[[Column], Column]]], ahead: dict[str, Column] | None = None, whole: dict[str, Column] | None = None) -> DataFrame:
+    """Rows of df (`_carry` false) and one more for each tile (`_carry` true), dealt by keys and tile.
+
+    The tile's row has the columns of `sums`, name to (aggregate of a tile, how to combine tiles), over
+    the tiles before it; those of `ahead`, aggregates of the next tile; and those of `whole`,
+    maxima over all tiles of an aggregate. It is the first in _in_tile().
+    """
     order = Window.partitionBy(*keys).orderBy("_tile")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    ahead = ahead or {}
-    per = df.groupBy(*keys, "_tile").agg(*(a.alias(n) for n, (a, _) in sums.items()), *(a.alias(n) for n, a in ahead.items()))
+    every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ahead, whole = ahead or {}, whole or {}
+    per = df.groupBy(*keys, "_tile").agg(*(a.alias(n) for n, (a, _) in sums.items()), *(a.alias(n) for n, a in (ahead | whole).items()))
     known = per.select(
-        *(F.col(k).alias(f"_c{i}") for i, k in enumerate(keys)), F.col("_tile").alias("_ct"), *(f(F.col(n)).over(before).alias(n) for n, (_, f) in sums.items()), *(F.lead(n).over(order).alias(n) for n in ahead)
+        *keys, "_tile", *(f(F.col(n)).over(before).alias(n) for n, (_, f) in sums.items()), *(F.lead(n).over(order).alias(n) for n in ahead), *(F.max(n).over(every).alias(n) for n in whole), F.lit(True).alias("_carry")
     )
-    on = [F.col(k).eqNullSafe(F.col(f"_c{i}")) for i, k in enumerate(keys)] + [F.col("_tile") == F.col("_ct")]
-    return df.join(known, on).drop("_ct", *(f"_c{i}" for i in range(len(keys))))
+    return df.withColumn("_carry", F.lit(False)).unionByName(known, allowMissingColumns=True).repartition(*keys, "_tile")
+
+
+def _in_tile(keys: Sequence[str], *order: str):
+    return Window.partitionBy(*keys, "_tile").orderBy(F.col("_carry").desc(), *order)
 
 
 def pieces(edges: DataFrame, keys: Sequence[str], deltas: Sequence[str]) -> DataFrame:
     """(keys, start, end, running sums): pieces between consecutive positions of (keys, pos, deltas)
     with one row for each position; the open one after a key's last position is left out."""
     carried = _carried(_tiled(edges, "pos"), keys, {f"_b_{d}": (F.sum(d), F.sum) for d in deltas}, {"_next": F.min("pos")})
-    w = Window.partitionBy(*keys, "_tile").orderBy("pos")
+    w = _in_tile(keys, "pos")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    end = F.coalesce(F.lead("pos").over(w), F.col("_next"))
-    cut = carried.select(*keys, F.col("pos").alias("start"), end.alias("end"), *((F.coalesce(f"_b_{d}", F.lit(0)) + F.sum(d).over(run)).alias(d) for d in deltas))
-    return cut.filter(F.col("end").isNotNull())
+    end = F.coalesce(F.lead("pos").over(w), F.max("_next").over(run))
+    cut = carried.select("_carry", *keys, F.col("pos").alias("start"), end.alias("end"), *(F.sum(F.coalesce(d, f"_b_{d}", F.lit(0))).over(run).alias(d) for d in deltas))
+    return cut.filter(~F.col("_carry") & F.col("end").isNotNull()).drop("_carry")
 
 
 def with_next(df: DataFrame, keys: Sequence[str], pos: str, columns: Sequence[str]) -> DataFrame:
@@ -62,29 +72,42 @@ def with_next(df: DataFrame, keys: Sequence[str], pos: str, columns: Sequence[st
     Rows of one position stand in the order of the columns."""
     held = F.struct(pos, *columns)
     carried = _carried(_tiled(df, pos), keys, {}, {"_ahead": F.min(held)})
-    w = Window.partitionBy(*keys, "_tile").orderBy(pos, *columns)
-    return carried.withColumn("next", F.coalesce(F.lead(held).over(w), "_ahead")).drop("_ahead", "_tile")
+    w = _in_tile(keys, pos, *columns)
+    ahead = F.first("_ahead").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return carried.withColumn("next", F.coalesce(F.lead(held).over(w), ahead)).filter(~F.col("_carry")).drop("_carry", "_ahead", "_tile")
+
+
+def _opened(df: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
+    """df with the largest end before each row along its key (`_before`), that of the whole key (`_last`), and
+    whether the row opens a run (`_fresh`, 1 or 0); tiles stay."""
+    carried = _carried(_tiled(valid(df), "start"), keys, {"_held": (F.max("end"), F.max)}, whole={"_most": F.max("end")})
+    w = _in_tile(keys, "start", "end")
+    upto = w.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.max(F.coalesce("end", "_held")).over(upto)
+    found = carried.withColumn("_before", before).withColumn("_last", F.max("_most").over(upto)).filter(~F.col("_carry")).drop("_carry", "_held", "_most")
+    return found.withColumn("_fresh", F.when(F.col("_before").isNull() | (F.col("start") > F.col("_before") + F.lit(gap)), 1).otherwise(0))
 
 
 def islands(df: DataFrame, keys: Sequence[str], gap: int = 0) -> DataFrame:
     """Tag each range with the number of the merged run it falls in (`island`, from 1)."""
-    order = Window.partitionBy(*keys).orderBy("start", "end")
-    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(before.isNull() | (F.col("start") > before + F.lit(gap)), 1).otherwise(0)
-    flagged = valid(df).withColumn("_fresh", fresh)
-    return flagged.withColumn("island", F.sum("_fresh").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_fresh")
+    opened = _opened(df, keys, gap).drop("_before", "_last")
+    carried = _carried(opened, keys, {"_runs": (F.sum("_fresh"), F.sum)})
+    run = _in_tile(keys, "start", "end").rowsBetween(Window.unboundedPreceding, 0)
+    return carried.withColumn("island", F.sum(F.coalesce("_fresh", "_runs", F.lit(0))).over(run)).filter(~F.col("_carry")).drop("_carry", "_fresh", "_runs", "_tile")
 
 
 def merge(df: DataFrame, keys: Sequence[str], gap: int = 0) -> DataFrame:
     """Union of the ranges of a key; touching ranges join, as do those at most `gap` apart.
 
-    Ranges are merged within tiles first, so only a tile's runs go along the whole key.
+    Only ranges that open a run are left after a running maximum of ends; a run ends at that maximum
+    before the next one opens. Both go in tiles, so disjoint ranges of one key spread, too.
     """
-
-    def merged(ranges: DataFrame, by: list[str]) -> DataFrame:
-        return islands(ranges, by, gap).groupBy(*by, "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
-
-    return merged(merged(_tiled(df.select(*keys, "start", "end"), "start"), [*keys, "_tile"]).drop("_tile"), list(keys))
+    opened = _opened(df.select(*keys, "start", "end"), keys, gap).filter("_fresh = 1").select(*keys, "start", "_before", "_last", "_tile")
+    carried = _carried(opened, keys, {}, {"_ahead": F.min("_before")}, {"_whole": F.max("_last")})
+    w = _in_tile(keys, "start")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    end = F.coalesce(F.lead("_before").over(w), F.max("_ahead").over(upto), F.greatest("_last", F.max("_whole").over(upto)))
+    return carried.select("_carry", *keys, "start", end.alias("end")).filter(~F.col("_carry")).drop("_carry")
 
 
 def _sweep(df: DataFrame, keys: Sequence[str], weight: Column | None = None) -> DataFrame:
@@ -127,8 +150,9 @@ def subtract(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def intersect(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Parts that both a and b cover, cut where a merged run of either begins or ends."""
-    return merge(_two_sided(merge(a, keys), merge(b, keys), keys).filter((F.col("in_a") > 0) & (F.col("in_b") > 0)), keys)
+    """Parts that both a and b cover, merged. As touching ranges join, a cut where a merged run of either
+    begins or ends is always the end of a part."""
+    return merge(_two_sided(a, b, keys).filter((F.col("in_a") > 0) & (F.col("in_b") > 0)), keys)
 
 
 def complement(df: DataFrame, lengths: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -213,10 +237,10 @@ def as_of(points: DataFrame, ranges: DataFrame, keys: Sequence[str], value: str)
     held = F.struct("_end", "_value")
     newest = F.max_by(F.when(F.col("_kind") == 0, held), F.when(F.col("_kind") == 0, F.struct("pos", F.coalesce("_end", F.lit(0)))))
     carried = _carried(both, keys, {"_held": (newest, lambda c: F.last(c, ignorenulls=True))})
-    w = Window.partitionBy(*keys, "_tile").orderBy("pos", "_kind", "_end").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.coalesce(F.last(F.when(F.col("_kind") == 0, held), ignorenulls=True).over(w), "_held")
+    w = _in_tile(keys, "pos", "_kind", "_end").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.last(F.when(F.col("_carry"), F.col("_held")).when(F.col("_kind") == 0, held), ignorenulls=True).over(w)
     found = carried.withColumn("_last", last).filter(F.col("_kind") == 1)
-    return found.withColumn(value, F.when(F.col("pos") < F.col("_last._end"), F.col("_last._value"))).drop("_kind", "_end", "_value", "_last", "_held", "_tile")
+    return found.withColumn(value, F.when(F.col("pos") < F.col("_last._end"), F.col("_last._value"))).drop("_carry", "_kind", "_end", "_value", "_last", "_held", "_tile")
 
 
 def reciprocal_pairs(a: DataFrame, keys: Sequence[str], least: float, bin_width: int, id_col: str = "id") -> DataFrame:

@@ -95,13 +95,16 @@ def test_running_values_cross_tiles(spark, monkeypatch):
     assert run() == want
 
 
-def test_one_key_spreads_over_tasks(spark):
-    """All rows have one key; no task of the window reads a tenth of them."""
-    df = spark.range(40_000).select(F.lit("a").alias("k"), (F.col("id") * 400).alias("start"), (F.col("id") * 400 + 300).alias("end"))
+@pytest.mark.parametrize("key", ["a", None])
+@pytest.mark.parametrize("operator", [lambda df: iv.depth(df, K), lambda df: iv.merge(df, K)], ids=["depth", "merge"])
+def test_one_key_spreads_over_tasks(spark, key, operator):
+    """All rows, disjoint ranges, have one key, a constant or from data; no task of the window reads a tenth of them."""
+    k = F.lit(key) if key else F.concat(F.lit("a"), F.floor(F.col("id") / 1_000_000))
+    df = spark.range(40_000).select(k.alias("k"), (F.col("id") * 400).alias("start"), (F.col("id") * 400 + 300).alias("end"))
     spark.conf.set("spark.sql.shuffle.partitions", "64")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = iv.depth(df, K).groupBy(F.spark_partition_id().alias("task")).count().collect()
+        got = operator(df).groupBy(F.spark_partition_id().alias("task")).count().collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
