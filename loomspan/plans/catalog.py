@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from loomspan.plans import blocks, files, intervals, more, relational, scalar, structure, windows  # noqa: F401
+    from loomspan.plans import blocks, files, intervals, more, nested, relational, scalar, structure, windows  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
