@@ -67,6 +67,13 @@ def pieces(edges: DataFrame, keys: Sequence[str], deltas: Sequence[str]) -> Data
     return cut.filter(~F.col("_carry") & F.col("end").isNotNull()).drop("_carry")
 
 
+def running_sum(df: DataFrame, keys: Sequence[str], pos: str, value: str, name: str) -> DataFrame:
+    """df with the sum of `value` over the rows before each along the key, as `name`; positions are unique in a key."""
+    carried = _carried(_tiled(df, pos), keys, {"_upto": (F.sum(value), F.sum)})
+    before = F.sum(F.coalesce(value, "_upto", F.lit(0))).over(_in_tile(keys, pos).rowsBetween(Window.unboundedPreceding, -1))
+    return carried.withColumn(name, before).filter(~F.col("_carry")).drop("_carry", "_upto", "_tile")
+
+
 def with_next(df: DataFrame, keys: Sequence[str], pos: str, columns: Sequence[str]) -> DataFrame:
     """df with `next`, a struct of pos and the columns of the row that follows along the key, or null.
     Rows of one position stand in the order of the columns."""

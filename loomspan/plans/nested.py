@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomspan.operators import nested
+from loomspan.operators import graphpaths, nested
+from loomspan.operators import intervals as iv
 from loomspan.plans.catalog import query, table
 
 # -- traversals: an order's items are the reference's steps; some are lost, replaced, turned or doubled in the alternative
@@ -84,3 +85,57 @@ def f23(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), texts.alias("alleles"), F.row_number().over(order).alias("k"), F.lag("event_id").over(order).alias("before"))
     sites = rows.select("id", F.when(F.col("k") % 7 != 1, F.col("before")).alias("parent"), "alleles")
     return nested.nested_consistency(sites).select("id", F.coalesce("parent", F.lit(-1)).alias("parent"), "top", "consistent")
+
+
+# -- graph coordinates: a customer's orders are pieces of the customer's sequence; an order's items walk over some of them
+
+NODES = """nd AS (SELECT CAST(o_orderkey AS VARCHAR) AS node, 'c' || o_custkey AS name, o_orderkey % 9 + 1 AS length, sum(o_orderkey % 9 + 1) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - (o_orderkey % 9 + 1) AS start FROM orders)"""
+READS = """k AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS back FROM orders),
+rd AS (SELECT o_custkey AS id, list(CASE WHEN o_custkey % 3 = 0 THEN '<' ELSE '>' END || o_orderkey ORDER BY CASE WHEN o_custkey % 3 = 0 THEN back ELSE k END) FILTER (k % 6 > 0) AS path, CAST(1 AS BIGINT) AS path_start, CAST(count(*) AS BIGINT) AS path_end FROM k GROUP BY 1)"""
+
+
+def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(node, name, start, length)."""
+    length = F.col("o_orderkey") % 9 + 1
+    pieces = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("node"), F.concat(F.lit("c"), "o_custkey").alias("name"), "o_orderkey", length.alias("length"))
+    return iv.running_sum(pieces, ["name"], "o_orderkey", "length", "start").select("node", "name", "start", "length")
+
+
+def graph_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, path, path_start, path_end): a customer's nodes but for every sixth, a third of the customers backwards."""
+    k = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", k.alias("k"))
+    back = F.col("o_custkey") % 3 == 0
+    step = F.struct(F.when(back, -F.col("k")).otherwise(F.col("k")).alias("at"), F.concat(F.when(back, "<").otherwise(">"), "o_orderkey").alias("step"))
+    held = rows.groupBy(F.col("o_custkey").alias("id")).agg(F.array_sort(F.collect_list(F.when(F.col("k") % 6 > 0, step))).alias("s"), F.count("*").alias("path_end"))
+    return held.select("id", F.transform("s", lambda x: x["step"]).alias("path"), F.lit(1).cast("long").alias("path_start"), "path_end")
+
+
+@query(
+    "c11_stable_coordinates",
+    f"""WITH {NODES}, {READS}, s AS (SELECT id, unnest(path) AS step, generate_subscripts(path, 1) AS at_ FROM rd), j AS (SELECT s.*, left(step, 1) AS way, name, start, start + length AS e FROM s JOIN nd ON nd.node = substr(step, 2)),
+f AS (SELECT *, CASE WHEN lag(name) OVER w = name AND (CASE WHEN way = '>' THEN lag(e) OVER w = start ELSE lag(start) OVER w = e END) THEN 0 ELSE 1 END AS fresh FROM j WINDOW w AS (PARTITION BY id ORDER BY at_)),
+r AS (SELECT *, sum(fresh) OVER (PARTITION BY id ORDER BY at_) AS run FROM f), g AS (SELECT id, run, way || name || ':' || min(start) || '-' || max(e) AS t FROM r GROUP BY id, run, way, name)
+SELECT id, string_agg(t, '' ORDER BY run) AS path, any_value(path_start) AS path_start, any_value(path_end) AS path_end FROM g JOIN rd USING (id) GROUP BY 1""",
+)
+def c11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Walks over nodes as intervals of the customers' sequences."""
+    return graphpaths.to_stable(graph_reads(spark, sf_dir), graph_nodes(spark, sf_dir)).withColumn("path", F.array_join("path", ""))
+
+
+@query("c11_there_and_back", f"WITH {READS} SELECT id, array_to_string(path, '') AS path, path_start, path_end FROM rd WHERE len(path) > 0")
+def c11_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """To stable coordinates and back: the nodes that were walked."""
+    pieces = graph_nodes(spark, sf_dir)
+    return graphpaths.to_unstable(graphpaths.to_stable(graph_reads(spark, sf_dir), pieces), pieces).withColumn("path", F.array_join("path", ""))
+
+
+@query(
+    "c11_overlap_filter",
+    """WITH a AS (SELECT o_orderkey AS id, o_custkey AS q, CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS s, CAST(o_orderdate AS DATE) - DATE '1970-01-01' + o_orderkey % 97 + 1 AS e FROM orders)
+SELECT id, CAST(s AS BIGINT) AS start, CAST(e AS BIGINT) AS "end" FROM a WHERE NOT EXISTS (SELECT 1 FROM a b WHERE b.q = a.q AND b.id <> a.id AND least(a.e, b.e) - greatest(a.s, b.s) > 2 AND least(a.e, b.e) - greatest(a.s, b.s) >= 0.25 * least(a.e - a.s, b.e - b.s) AND a.e - a.s < 2.0 * (b.e - b.s))""",
+)
+def c11_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day, k = F.unix_date(F.to_date("o_orderdate")).cast("long"), F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(k.alias("id"), F.col("o_custkey").alias("query"), day.alias("start"), (day + k % 97 + 1).alias("end"))
+    return graphpaths.drop_overlapped(rows, ratio=2.0, min_share=0.25, min_overlap=2).select("id", "start", "end")
