@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loomspan.operators import intervals as iv
 from loomspan.operators import trees
 from loomspan.operators.graph import connected_components
-from loomspan.session import materialize
+from loomspan.session import materialize, scratch
 
 #: Positions of a bin in joins of ranges.
 BIN = 1 << 16
@@ -29,26 +29,51 @@ def both_ways(matches: DataFrame) -> DataFrame:
     return iv.valid(ahead.unionByName(back))
 
 
-def cut_points(matches: DataFrame, max_rounds: int = 200) -> DataFrame:
+MAP = ("seq", "start", "end", "other", "other_start", "strand", "level")
+
+
+def _composed(pairs: DataFrame) -> DataFrame:
+    """Maps that do what two maps of one level, `a` and then `b`, do, where something is left of them."""
+    a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
+    lo, hi = F.greatest(a("other_start"), b("start")), F.least(a("other_start") + a("end") - a("start"), b("end"))
+    start = a("start") + F.when(a("strand") == "+", lo - a("other_start")).otherwise(a("other_start") + a("end") - a("start") - hi)
+    other = b("other_start") + F.when(b("strand") == "+", lo - b("start")).otherwise(b("end") - hi)
+    strand = F.when(a("strand") == b("strand"), "+").otherwise("-")
+    both = pairs.filter((hi - lo > 1) & (a("level") == b("level"))).select(a("seq").alias("seq"), start.alias("start"), (start + hi - lo).alias("end"), b("other").alias("other"), other.alias("other_start"), strand.alias("strand"), (a("level") + 1).alias("level"))
+    return both.filter((F.col("seq") != F.col("other")) | (F.col("start") != F.col("other_start")) | (F.col("strand") == "-")).distinct()
+
+
+def cut_points(matches: DataFrame, direct: int = 4) -> DataFrame:
     """(seq, pos): ends of matches, and all points that matches carry over from others, until nothing is new.
 
-    Each round carries over only the points that the round before found.
+    Each round carries over only the points that the round before found. Points still new after `direct`
+    rounds run along a chain of matches, such as a tandem repeat aligned to itself with a shift: then
+    the matches that led to a point one after the other are composed, and in the next rounds the
+    compositions of one level with each other. So the way made in a round doubles, and the
+    rounds are about the logarithm of the longest chain.
     """
-    sides = both_ways(matches)
-    inner = sides.withColumn("start", F.col("start") + 1)
-    ends = sides.select("seq", F.explode(F.array("start", "end")).alias("pos")).distinct()
-    known = fresh = materialize(ends, "cuts")
-    for _ in range(max_rounds):
-        at = fresh.select("seq", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"))
-        hit = iv.overlap_join(at, inner, ["seq"], BIN)
-        ahead = F.col("b_other_start") + F.col("start") - F.col("b_start") + 1
-        back = F.col("b_other_start") + F.col("b_end") - F.col("start")
-        moved = hit.select(F.col("b_other").alias("seq"), F.when(F.col("b_strand") == "+", ahead).otherwise(back).alias("pos")).distinct()
-        fresh = materialize(moved.join(known, ["seq", "pos"], "left_anti"), "cuts")
-        if fresh.isEmpty():
-            return known
-        known = known.unionByName(fresh)
-    raise RuntimeError(f"cut points did not settle in {max_rounds} rounds")
+    with scratch(matches.sparkSession):
+        maps = both_ways(matches).withColumn("level", F.lit(0)).select(*MAP)
+        ends = maps.select("seq", F.explode(F.array("start", "end")).alias("pos")).distinct()
+        known = fresh = materialize(ends.withColumn("via", F.lit(None).cast(maps.select(F.struct(*MAP).alias("m")).schema["m"].dataType)), "cuts")
+        rounds = 0
+        while True:
+            at = fresh.select("seq", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), "via")
+            inner = maps.withColumn("m", F.struct(*MAP)).withColumn("start", F.col("start") + 1)
+            hit = iv.overlap_join(at, inner, ["seq"], BIN)
+            ahead = F.col("b_other_start") + F.col("start") - F.col("b_start") + 1
+            back = F.col("b_other_start") + F.col("b_end") - F.col("start")
+            moved = hit.select(F.col("b_other").alias("seq"), F.when(F.col("b_strand") == "+", ahead).otherwise(back).alias("pos"), F.struct(F.col("b_m").alias("b"), F.col("via").alias("a")).alias("way"))
+            found = moved.join(known.select("seq", "pos"), ["seq", "pos"], "left_anti").groupBy("seq", "pos").agg(F.min("way").alias("way"))
+            new = materialize(found.select("seq", "pos", F.col("way.b").alias("via"), F.col("way.a").alias("before")), "cuts")
+            if new.isEmpty():
+                return materialize(known.select("seq", "pos"), "cuts", keep=True)
+            rounds += 1
+            if rounds >= direct:
+                more = _composed(new.select(F.col("before").alias("a"), F.col("via").alias("b")).filter("a IS NOT NULL").distinct())
+                maps = materialize(maps.unionByName(more).distinct(), "cut-maps")
+            fresh = new.drop("before")
+            known = known.unionByName(fresh)
 
 
 def segments(matches: DataFrame) -> DataFrame:

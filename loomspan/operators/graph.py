@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspan.session import discard, materialize
+from loomspan.session import discard, materialize, scratch
 
 
 def _neighbours_least(pairs: DataFrame) -> DataFrame:
@@ -91,3 +91,57 @@ def drop_stubs(edges: DataFrame, rounds: int) -> DataFrame:
         stub = degrees(left).filter("degree = 1").select("id")
         left = materialize(left.join(stub, F.col("a") == F.col("id"), "left_anti").join(stub, F.col("b") == F.col("id"), "left_anti"), "stubs")
     return left
+
+
+def isolated(edges: DataFrame, special: DataFrame) -> DataFrame:
+    """edges (a, b, rank; ranks unique) with `state`, taken by rank: `joined` joins two components, `within` lies in one,
+    `bridge` would join two with a special node (id) each, and is not taken.
+
+    The joining edges are a least spanning forest where all special nodes count as joined beforehand:
+    so it is found by rounds in which every component takes its first edge, not one edge after the
+    other, and each round at least halves the components. An edge outside the forest is a bridge if
+    its ends lie in different components of the forest.
+    """
+    with scratch(edges.sparkSession):
+        rows = materialize(edges.select("a", "b", "rank"), "forest-edges")
+        # Special nodes begin as one component, named =.
+        ends = rows.select(F.col("a").alias("id")).union(rows.select(F.col("b"))).distinct()
+        first_of = special.select(F.col("id").alias("_s")).distinct()
+        name = F.when(F.col("_s").isNotNull(), F.lit("=")).otherwise(F.concat(F.lit("+"), F.col("id").cast("string")))
+        state = materialize(ends.join(first_of, F.col("id") == F.col("_s"), "left").select("id", name.alias("c")), "forest-state")
+        forest = None
+        while True:
+            at = lambda n, end: state.select(F.col("id").alias(f"_{end}"), F.col("c").alias(n))  # noqa: E731, B023
+            apart = rows.join(at("ca", "a"), F.col("a") == F.col("_a")).join(at("cb", "b"), F.col("b") == F.col("_b")).filter("ca <> cb").select("ca", "cb", "rank")
+            first = apart.select(F.explode(F.array(F.struct(F.col("ca").alias("c"), "ca", "cb", "rank"), F.struct(F.col("cb").alias("c"), "ca", "cb", "rank"))).alias("e")).groupBy("e.c").agg(F.min(F.struct("e.rank", "e.ca", "e.cb")).alias("m"))
+            taken = materialize(first.select("m.rank", "m.ca", "m.cb").distinct(), "forest-taken")
+            if taken.isEmpty():
+                break
+            ranks = taken.select("rank")
+            forest = ranks if forest is None else forest.union(ranks)
+            merged = connected_components(taken.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("id").alias("_c"), "component")
+            state = materialize(state.join(merged, F.col("c") == F.col("_c"), "left").select("id", F.coalesce("component", "c").alias("c")), "forest-state")
+        joined = rows.join(forest.select(F.col("rank").alias("_r")), F.col("rank") == F.col("_r"), "left_semi") if forest is not None else rows.filter("false")
+        parts = materialize(connected_components(joined), "forest-parts")
+        side = lambda n, end: parts.select(F.col("id").alias(f"_{end}"), F.col("component").alias(n))
+        placed = rows.join(side("pa", "a"), F.col("a") == F.col("_a"), "left").join(side("pb", "b"), F.col("b") == F.col("_b"), "left")
+        marks = joined.select(F.col("rank").alias("_r")).withColumn("_j", F.lit(True))
+        within = F.coalesce("pa", "a") == F.coalesce("pb", "b")
+        states = placed.join(marks, F.col("rank") == F.col("_r"), "left").select("a", "b", "rank", F.when(F.col("_j"), "joined").when(within, "within").otherwise("bridge").alias("state"))
+        return materialize(states, "forest", keep=True)
+
+
+def cycle_free(matches: DataFrame, special: DataFrame) -> DataFrame:
+    """matches (rank, a_thread, a_segment, b_thread, b_segment) with `state`, taken by rank.
+
+    `bridge`: the threads' components have a special thread (id) each, and are not the same. `cycle`: both
+    segments' blocks hold a segment of a special thread. Neither is taken. `joined` segments were
+    apart before, those `within` a block were not. Segments' names are unique over all threads.
+    """
+    threads = isolated(matches.select(F.col("a_thread").alias("a"), F.col("b_thread").alias("b"), "rank"), special)
+    bridges = materialize(threads.filter("state = 'bridge'").select(F.col("rank").alias("_r")), "bridges")
+    left = matches.join(bridges, F.col("rank") == F.col("_r"), "left_anti")
+    sides = matches.select(F.col("a_thread").alias("t"), F.col("a_segment").alias("s")).union(matches.select("b_thread", "b_segment"))
+    marked = sides.join(special.select(F.col("id").alias("_s")), F.col("t") == F.col("_s"), "left_semi").select(F.col("s").alias("id")).distinct()
+    cuts = isolated(left.select(F.col("a_segment").alias("a"), F.col("b_segment").alias("b"), "rank"), marked).select(F.col("rank").alias("_r"), F.when(F.col("state") == "bridge", "cycle").otherwise(F.col("state")).alias("_state"))
+    return matches.join(cuts, F.col("rank") == F.col("_r"), "left").select(*matches.columns, F.coalesce("_state", F.lit("bridge")).alias("state"))

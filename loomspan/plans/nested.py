@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomspan.operators import graphpaths, nested
+from loomspan.operators import ancestral, graph, graphpaths, nested
 from loomspan.operators import intervals as iv
 from loomspan.plans.catalog import query, table
+from loomspan.plans.structure import tree
 
 # -- traversals: an order's items are the reference's steps; some are lost, replaced, turned or doubled in the alternative
 
@@ -139,3 +140,72 @@ def c11_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     day, k = F.unix_date(F.to_date("o_orderdate")).cast("long"), F.col("o_orderkey")
     rows = table(spark, sf_dir, "orders").select(k.alias("id"), F.col("o_custkey").alias("query"), day.alias("start"), (day + k % 97 + 1).alias("end"))
     return graphpaths.drop_overlapped(rows, ratio=2.0, min_share=0.25, min_overlap=2).select("id", "start", "end")
+
+
+# -- ancestors: items are letters at a part's places, seen in suppliers, the leaves of the tree
+
+OBSERVED = "obs AS (SELECT l_partkey AS block, CAST(l_linenumber AS BIGINT) AS pos, l_suppkey, substr('ACGTacgtNn', CAST((l_orderkey + l_suppkey) % 10 + 1 AS BIGINT), 1) AS letter FROM lineitem)"
+
+
+def _sent(logs: list[str], length: str) -> str:
+    """SQL for the log likelihoods p0 to p3 at the other end of a branch."""
+    most = f"greatest({', '.join(logs)})"
+    same = f"(0.25 + 0.75 * exp(-4.0::DOUBLE / 3.0 * ({length})))"
+    other = f"((1 - {same}) / 3)"
+    total = " + ".join(f"exp({x} - {most})" for x in logs)
+    return ", ".join(f"ln(greatest({other} * ({total}) + ({same} - {other}) * exp({x} - {most}), 1e-30)) AS p{k}" for k, x in enumerate(logs))
+
+
+OWN = [f"CASE WHEN upper(letter) = '{c}' THEN 0.0::DOUBLE WHEN upper(letter) IN ('A', 'C', 'G', 'T') THEN ln(1e-30) ELSE 0.0 END" for c in "ACGT"]
+SUMS = ", ".join(f"sum(p{k}) AS p{k}" for k in range(4))
+LOGS = [f"p{k}" for k in range(4)]
+
+
+@query(
+    "g17_ancestral_letters",
+    f"""WITH {OBSERVED}, o AS (SELECT *, s_suppkey % 7 / 10 AS ls, n_nationkey, n_nationkey / 100 AS ln_, n_regionkey FROM obs JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey),
+l AS (SELECT block, pos, n_nationkey, n_regionkey, ln_, {_sent(OWN, 'ls')} FROM o), n AS (SELECT block, pos, n_nationkey, n_regionkey, ln_, {SUMS} FROM l GROUP BY ALL),
+r AS (SELECT block, pos, n_regionkey, {SUMS} FROM (SELECT block, pos, n_regionkey, {_sent(LOGS, 'ln_')} FROM n) GROUP BY ALL),
+w AS (SELECT block, pos, {SUMS} FROM (SELECT block, pos, {_sent(LOGS, 'n_regionkey / 10 + 0.5')} FROM r) GROUP BY ALL),
+b AS (SELECT block, pos, least({', '.join(f"(-round(p{k} - greatest(p0, p1, p2, p3), 6), '{c}')" for k, c in enumerate('ACGT'))})[2] AS c FROM w),
+m AS (SELECT block, pos, count(*) AS n, count(*) FILTER (letter = upper(letter)) AS up, count(*) FILTER (upper(letter) = 'N') AS unknown FROM obs GROUP BY ALL)
+SELECT block, pos, 'world' AS id, CASE WHEN up <= n // 2 THEN lower(CASE WHEN unknown = n THEN 'N' ELSE c END) WHEN unknown = n THEN 'N' ELSE c END AS letter FROM b JOIN m USING (block, pos)""",
+)
+def g17(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The letters at the root, from those of all suppliers."""
+    items = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    letter = F.substring(F.lit("ACGTacgtNn"), ((F.col("l_orderkey") + F.col("l_suppkey")) % 10 + 1).cast("int"), F.lit(1))
+    observed = items.select(F.col("l_partkey").alias("block"), F.col("l_linenumber").cast("long").alias("pos"), F.col("s_name").alias("event"), letter.alias("letter"))
+    return ancestral.ancestral_letters(observed, tree(spark, sf_dir)).filter("id = 'world'")
+
+
+@query(
+    "g16_nested_coordinates",
+    """WITH l AS (SELECT o_custkey, l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS k, CAST(l_quantity AS BIGINT) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+p AS (SELECT *, sum(n) OVER (PARTITION BY o_custkey ORDER BY l_orderkey, k) AS e FROM l)
+SELECT 'l' || l_orderkey || '_' || k AS id, CAST(e - n AS BIGINT) AS start, CAST(e AS BIGINT) AS "end" FROM p UNION ALL SELECT 'o' || l_orderkey, CAST(min(e - n) AS BIGINT), CAST(max(e) AS BIGINT) FROM p GROUP BY l_orderkey UNION ALL SELECT 'c' || o_custkey, CAST(0 AS BIGINT), CAST(max(e) AS BIGINT) FROM p GROUP BY o_custkey""",
+)
+def g16(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items within orders within customers, each laid out on its customer's axis."""
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")).cast("long")
+    items = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).withColumn("k", place)
+    order, customer, none = F.concat(F.lit("o"), "l_orderkey"), F.concat(F.lit("c"), "o_custkey"), F.lit(None).cast("string")
+    leaves = items.select(F.concat(F.lit("l"), "l_orderkey", F.lit("_"), "k").alias("id"), order.alias("parent"), F.col("k").alias("place"), F.col("l_quantity").cast("long").alias("length"))
+    middle = items.select(order, customer, F.col("l_orderkey"), F.lit(None).cast("long")).distinct()
+    top = items.select(customer, none, F.lit(0).cast("long"), F.lit(None).cast("long")).distinct()
+    return ancestral.nested_coordinates(leaves.union(middle).union(top))
+
+
+def thread_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rank, a_thread, a_segment, b_thread, b_segment): an order aligns a quarter of its customer with one of a clerk's."""
+    k, c = F.col("o_orderkey"), F.concat(F.lit("c"), "o_custkey")
+    other = F.when(k % 5 == 0, F.concat(F.lit("c"), F.col("o_custkey") % 97 + 1)).otherwise(F.concat(F.lit("t"), k * 31 % 4001))
+    segment = lambda t, n: F.concat(t, F.lit("/"), (k % n).cast("string"))
+    return table(spark, sf_dir, "orders").select(k.alias("rank"), c.alias("a_thread"), segment(c, 4).alias("a_segment"), other.alias("b_thread"), segment(other, 3).alias("b_segment"))
+
+
+@query("f15_cycle_free_threads")
+def f15(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches in order of their orders; every tenth customer is a thread that stays apart and free of cycles."""
+    special = table(spark, sf_dir, "customer").filter("c_custkey % 10 = 0").select(F.concat(F.lit("c"), "c_custkey").alias("id"))
+    return graph.cycle_free(thread_matches(spark, sf_dir), special).select("rank", "state")

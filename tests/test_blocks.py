@@ -188,3 +188,37 @@ def test_long_gap_scores():
     assert got == {"AA": 40, "AC": -20, "open": 160, "extend": 8, "open2": 480, "extend2": 2}
     with pytest.raises(ValueError, match="long gap"):
         bases.long_gap_scores({"open": 1, "extend": 1}, 1, 1)
+
+
+def carried_points(matches):
+    """All cut points, one carry after the other."""
+    sides = [(a, i, n, b, j, s) for a, i, b, j, n, s in matches] + [(b, j, n, a, i, s) for a, i, b, j, n, s in matches]
+    todo = {(a, p) for a, i, n, *_ in sides for p in (i, i + n)}
+    known = set()
+    while todo:
+        seq, p = todo.pop()
+        known.add((seq, p))
+        for a, i, n, b, j, s in sides:
+            if a == seq and i < p < i + n:
+                q = (b, j + p - i if s == "+" else j + i + n - p)
+                if q not in known:
+                    todo.add(q)
+    return known
+
+
+@pytest.mark.parametrize(
+    "matches",
+    [
+        [("a", 0, "a", 7, 9993, "+")],
+        [("a", 0, "b", 0, 2000, "+"), ("a", 0, "b", 7, 2000, "+")],
+        [("a", 0, "b", 0, 900, "+"), ("b", 5, "c", 0, 800, "-"), ("c", 0, "a", 11, 700, "-")],
+    ],
+    ids=["tandem repeat", "shifted copies", "round three sequences"],
+)
+def test_cut_points_of_repeats_settle(spark, monkeypatch, matches):
+    rounds = []
+    plain = blocks.materialize
+    monkeypatch.setattr(blocks, "materialize", lambda df, name, keep=False: (rounds.append(name), plain(df, name, keep))[1])
+    got = {(r["seq"], r["pos"]) for r in blocks.cut_points(spark.createDataFrame(matches, MATCH)).collect()}
+    assert got == carried_points(matches)
+    assert rounds.count("cuts") < 30
