@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspan.operators import intervals as iv
+from loomspan.operators.relational import follow_parents
 from loomspan.session import discard, materialize, scratch
 
 
@@ -145,3 +147,56 @@ def cycle_free(matches: DataFrame, special: DataFrame) -> DataFrame:
     marked = sides.join(special.select(F.col("id").alias("_s")), F.col("t") == F.col("_s"), "left_semi").select(F.col("s").alias("id")).distinct()
     cuts = isolated(left.select(F.col("a_segment").alias("a"), F.col("b_segment").alias("b"), "rank"), marked).select(F.col("rank").alias("_r"), F.when(F.col("state") == "bridge", "cycle").otherwise(F.col("state")).alias("_state"))
     return matches.join(cuts, F.col("rank") == F.col("_r"), "left").select(*matches.columns, F.coalesce("_state", F.lit("bridge")).alias("state"))
+
+
+def euler_tour(forest: DataFrame) -> DataFrame:
+    """forest (a, b, rank; ranks unique) walked round: (tour, left, rank, source, target) of each edge in both directions,
+    `left` being the arcs that follow in the component's tour.
+
+    An arc is followed by the next arc out of its target, by rank, and the last of them by the first.
+    The circle is opened at the least node, and arcs are counted by pointer doubling, so a long path
+    takes no more rounds than a bush.
+    """
+    arc = lambda source, target, way: F.struct(F.col(source).alias("source"), F.col(target).alias("target"), F.lit(way).alias("way"))
+    arcs = forest.select("rank", F.explode(F.array(arc("a", "b", 0), arc("b", "a", 1))).alias("x")).select("rank", "x.source", "x.target", (F.col("rank") * 2 + F.col("x.way")).alias("arc"), (F.col("rank") * 2 + 1 - F.col("x.way")).alias("back"))
+    firsts = arcs.groupBy(F.col("source").alias("_v")).agg(F.min_by("arc", "rank").alias("first"))
+    # with_next goes in tiles of ranks: a node of very many edges spreads.
+    after = iv.with_next(arcs.select("source", "rank", "arc", "back"), ["source"], "rank", ["arc"]).join(firsts, F.col("source") == F.col("_v"))
+    after = after.select(F.col("back").alias("arc"), F.coalesce("next.arc", "first").alias("following"), F.col("source").alias("at"), "first")
+    roots = connected_components(forest).groupBy("component").agg(F.lit(1).alias("_one")).select(F.col("component").alias("_root"))
+    opened = after.join(roots, F.col("at") == F.col("_root"), "left").select("arc", F.when(~(F.col("_root").isNotNull() & (F.col("following") == F.col("first"))), F.col("following")).alias("following"))
+    found = follow_parents(opened, "arc", "following").select(F.col("id").alias("_a"), F.col("top").alias("tour"), F.col("hops").alias("left"))
+    return arcs.join(found, F.col("arc") == F.col("_a")).select("tour", "left", "rank", "source", "target")
+
+
+def edge_cuts(edges: DataFrame) -> DataFrame:
+    """edges (a, b, rank; ranks unique, several between two nodes allowed) with `bridge`, whether their removal parts a
+    component, and `cut`, the least rank of the edges any two of which part one together (their own,
+    if there is none; null for a bridge).
+
+    Edges outside a spanning forest get random 128-bit labels. That of a forest edge is the exclusive or of the
+    labels at the nodes below it, a difference of two running ones along the tour: labels of edges within
+    cancel. So it is 0 where no other edge crosses, and equal for edges that the same edges cross;
+    wrongly so by chance only, once in 2^128 pairs.
+    """
+    with scratch(edges.sparkSession):
+        none = edges.filter("false").select(F.col("a").alias("id"))
+        states = isolated(edges, none)
+        label = [F.xxhash64("rank", F.lit(k)) for k in (1, 2)]
+        other = materialize(states.filter("state <> 'joined'").select("a", "b", "rank", label[0].alias("x"), label[1].alias("y")), "cut-labels")
+        forest = materialize(states.filter("state = 'joined'").select("a", "b", "rank"), "cut-forest")
+        at = other.select(F.explode(F.array("a", "b")).alias("_v"), "x", "y").groupBy("_v").agg(F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+        tour = materialize(euler_tour(forest), "cut-tour")
+        enters = tour.groupBy(F.col("rank").alias("_r")).agg(F.max("left").alias("enter"), F.min("left").alias("exit"))
+        marked = tour.join(enters, F.col("rank") == F.col("_r")).withColumn("down", F.col("left") == F.col("enter")).join(at, F.col("down") & (F.col("target") == F.col("_v")), "left")
+        run = marked.select("tour", (-F.col("left")).alias("pos"), "rank", "down", F.coalesce("x", F.lit(0)).alias("x"), F.coalesce("y", F.lit(0)).alias("y"))
+        sums = iv.running(run, ["tour"], "pos", {"x": F.bit_xor, "y": F.bit_xor})
+        # Before the arc down, and up to the arc back: what lies between is the subtree.
+        ends = lambda c: F.bit_xor(F.when(F.col("down"), F.col(f"_before_{c}")).otherwise(F.col(f"_before_{c}").bitwiseXOR(F.col(c))))
+        inner = sums.groupBy("rank").agg(ends("x").alias("x"), ends("y").alias("y")).join(forest, "rank").select("a", "b", "rank", "x", "y")
+        # An edge from a node to itself is crossed by nothing and crosses nothing.
+        labelled = materialize(inner.union(other.select("a", "b", "rank", "x", "y")), "cut-edges")
+        classes = labelled.filter("a <> b").groupBy(F.col("x").alias("_x"), F.col("y").alias("_y")).agg(F.min("rank").alias("cut"))
+        bridge = (F.col("x") == 0) & (F.col("y") == 0)
+        named = labelled.join(classes, (F.col("a") != F.col("b")) & (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y")), "left")
+        return materialize(named.select("a", "b", "rank", bridge.alias("bridge"), F.when(~bridge, F.coalesce("cut", "rank")).alias("cut")), "cuts-of-edges", keep=True)

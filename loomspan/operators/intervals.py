@@ -67,11 +67,18 @@ def pieces(edges: DataFrame, keys: Sequence[str], deltas: Sequence[str]) -> Data
     return cut.filter(~F.col("_carry") & F.col("end").isNotNull()).drop("_carry")
 
 
+def running(df: DataFrame, keys: Sequence[str], pos: str, values: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """df with `_before_` and the name of each of `values`, column to associative aggregate: that aggregate over the
+    rows before each along the key, or null. Positions are unique in a key."""
+    carried = _carried(_tiled(df, pos), keys, {f"_upto_{c}": (f(F.col(c)), f) for c, f in values.items()})
+    upto = _in_tile(keys, pos).rowsBetween(Window.unboundedPreceding, -1)
+    before = {f"_before_{c}": f(F.coalesce(c, f"_upto_{c}")).over(upto) for c, f in values.items()}
+    return carried.withColumns(before).filter(~F.col("_carry")).drop("_carry", "_tile", *(f"_upto_{c}" for c in values))
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], pos: str, value: str, name: str) -> DataFrame:
     """df with the sum of `value` over the rows before each along the key, as `name`; positions are unique in a key."""
-    carried = _carried(_tiled(df, pos), keys, {"_upto": (F.sum(value), F.sum)})
-    before = F.sum(F.coalesce(value, "_upto", F.lit(0))).over(_in_tile(keys, pos).rowsBetween(Window.unboundedPreceding, -1))
-    return carried.withColumn(name, before).filter(~F.col("_carry")).drop("_carry", "_upto", "_tile")
+    return running(df, keys, pos, {value: F.sum}).withColumn(name, F.coalesce(f"_before_{value}", F.lit(0))).drop(f"_before_{value}")
 
 
 def with_next(df: DataFrame, keys: Sequence[str], pos: str, columns: Sequence[str]) -> DataFrame:
