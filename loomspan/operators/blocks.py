@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from loomspan.operators import intervals as iv
 from loomspan.operators import trees
-from loomspan.operators.graph import connected_components
-from loomspan.session import materialize, scratch
+from loomspan.operators.graph import connected_components, edge_cuts
+from loomspan.operators.relational import numbered
+from loomspan.session import discard, materialize, scratch
 
 #: Positions of a bin in joins of ranges.
 BIN = 1 << 16
@@ -192,6 +193,92 @@ def recoverable(blocks: DataFrame, max_length: int) -> DataFrame:
     return short.select("block")
 
 
+def drop_recoverable(blocks: DataFrame, max_length: int) -> DataFrame:
+    """Blocks left when no chain shorter than max_length is recoverable().
+
+    Removals change what faces whom, so after each round all chains are judged again. Of recoverable
+    chains side by side one goes in a round, the least by a hash, so that each leaves its anchors
+    standing and the rounds stay few.
+    """
+    left = blocks
+    while True:
+        named = chains(left)
+        found = materialize(recoverable(left, max_length).join(named, "block").select("block", "chain"), "recoverable")
+        if found.isEmpty():
+            return left
+        labelled = left.join(named.select("block", "chain"), "block").select(F.col("chain").alias("block"), "seq", "start", "end", "strand")
+        order = lambda c: F.struct(F.xxhash64(c), F.col(c))
+        beside = adjacencies(labelled).filter("left <> right").select(F.explode(F.array(F.struct(F.col("left").alias("x"), F.col("right").alias("y")), F.struct(F.col("right").alias("x"), F.col("left").alias("y")))).alias("e")).select("e.*").distinct()
+        cand = found.select(F.col("chain").alias("_c")).distinct()
+        both = beside.join(cand, F.col("x") == F.col("_c"), "left_semi").join(cand, F.col("y") == F.col("_c"), "left_semi")
+        later = both.filter(order("x") > order("y")).select(F.col("x").alias("_x")).distinct()
+        gone = found.join(later, F.col("chain") == F.col("_x"), "left_anti").select("block")
+        before, left = left, materialize(left.join(gone, "block", "left_anti"), "melted")
+        if before is not blocks:
+            discard(before)
+
+
+# -- rounds of alignment
+
+
+def gaps(blocks: DataFrame, extents: DataFrame) -> DataFrame:
+    """(seq, start, end, label): what lies between blocks along sequences of known extents (seq, start, end). The label is
+    the group of the block ends that face it; a sequence without blocks is a group of its own."""
+    group = adjacency_groups(blocks).select(F.col("end").alias("_e"), "group")
+    left, right = F.when(F.col("strand") == "+", "L").otherwise("R"), F.when(F.col("strand") == "+", "R").otherwise("L")
+    follow = iv.with_next(blocks, ["seq"], "start", ["end", "block", "strand"])
+    known = extents.select(F.col("seq").alias("_s"), F.col("start").alias("lo"), F.col("end").alias("hi"))
+    behind = follow.join(known, F.col("seq") == F.col("_s")).select("seq", F.col("end").alias("start"), F.coalesce("next.start", "hi").alias("end"), F.concat_ws("/", "block", right).alias("face"))
+    first = blocks.groupBy("seq").agg(F.min("start").alias("end"), F.min_by(F.concat_ws("/", "block", left), "start").alias("face")).join(known, F.col("seq") == F.col("_s")).select("seq", F.col("lo").alias("start"), "end", "face")
+    bare = extents.join(blocks.select(F.col("seq").alias("_b")).distinct(), F.col("seq") == F.col("_b"), "left_anti").select("seq", "start", "end", F.concat(F.lit("/"), "seq").alias("face"))
+    every = iv.valid(behind.unionByName(first).unionByName(bare))
+    return every.join(group, F.col("face") == F.col("_e"), "left").select("seq", "start", "end", F.coalesce("group", "face").alias("label"))
+
+
+def anneal_rounds(matches: DataFrame, lengths: Sequence[int], min_degree: int = 2) -> DataFrame:
+    """Blocks after a round for each least chain length: matches are annealed, then shorter chains melt.
+
+    From the second round on, matches are taken only where both their sides lie in gaps of one group,
+    and their blocks are added to those that stand. So what melted away can come back between
+    anchors, while nothing joins places that the anchors keep apart.
+    """
+    sides = both_ways(matches)
+    extents = materialize(sides.groupBy("seq").agg(F.min("start").alias("start"), F.max("end").alias("end")), "extents")
+    left = None
+    for least in lengths:
+        if left is None:
+            grown = anneal(matches)
+        else:
+            inner = materialize(within_components(matches, gaps(left, extents)).drop("a_label", "z_label"), "gap-matches")
+            grown = left.unionByName(anneal(inner))
+        left = materialize(melt(materialize(grown, "annealed"), least, min_degree), "melted")
+    return left
+
+
+# -- structure
+
+
+def nested_blocks(blocks: DataFrame) -> DataFrame:
+    """(block, left, right, bridge, chain): blocks as edges between the groups of their ends. A block is a bridge if nothing
+    else joins what it joins; the others are in chains, any two blocks of which part the graph together.
+
+    Ends that a sequence begins or ends with lie in one group, `*`, with whatever those ends face elsewhere.
+    A chain is named after its first block.
+    """
+    near = adjacencies(blocks).select(F.concat_ws("/", "left", "left_side").alias("a"), F.concat_ws("/", "right", "right_side").alias("b"))
+    side = lambda strand: F.when(F.col("strand") == strand, "L").otherwise("R")
+    outer = blocks.groupBy("seq").agg(F.min_by(F.concat_ws("/", "block", side("+")), "start").alias("first"), F.max_by(F.concat_ws("/", "block", side("-")), "start").alias("last"))
+    stubs = outer.select(F.lit("*").alias("a"), F.explode(F.array("first", "last")).alias("b"))
+    groups = materialize(connected_components(near.union(stubs)).select(F.col("id").alias("_e"), "component"), "groups")
+    at = lambda s: groups.select(F.col("_e").alias(f"_{s}"), F.col("component").alias(s))
+    own = blocks.select("block").distinct()
+    placed = own.join(at("left"), F.concat(F.col("block"), F.lit("/L")) == F.col("_left")).join(at("right"), F.concat(F.col("block"), F.lit("/R")) == F.col("_right")).select("block", "left", "right")
+    numbers = materialize(numbered(placed, [F.col("block")], "rank"), "block-edges")
+    cuts = edge_cuts(numbers.select(F.col("left").alias("a"), F.col("right").alias("b"), "rank")).select(F.col("rank").alias("_r"), "bridge", "cut")
+    names = numbers.select(F.col("rank").alias("_n"), F.col("block").alias("chain"))
+    return numbers.join(cuts, F.col("rank") == F.col("_r")).join(names, F.col("cut") == F.col("_n"), "left").select("block", "left", "right", "bridge", "chain")
+
+
 # -- filters
 
 

@@ -100,6 +100,24 @@ def g4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.recoverable(threads(spark, sf_dir), 50)
 
 
+@query("g4_no_chain_recoverable")
+def g4_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks left when recoverable chains are removed until there is none."""
+    return blocks.drop_recoverable(threads(spark, sf_dir), 50).select("block", "seq", "start")
+
+
+@query("g5_annealing_rounds")
+def g5_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders' matches annealed and melted by a schedule of least chain lengths."""
+    return blocks.anneal_rounds(matches(spark, sf_dir), [12, 3]).select("seq", "start", "end")
+
+
+@query("g9_nested_blocks")
+def g9_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks as bridges and in chains of the graph of their ends' groups."""
+    return blocks.nested_blocks(threads(spark, sf_dir))
+
+
 @query("g15_thread_strings", "SELECT o_custkey AS id, string_agg(t, '' ORDER BY o_orderkey) AS text FROM (SELECT o_custkey, o_orderkey, string_agg(l_returnflag || l_linestatus, '' ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag || l_linestatus) AS t FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2) GROUP BY 1")
 def g15(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strings of lines, joined to orders', joined to customers'."""

@@ -66,8 +66,8 @@ def discard(table: DataFrame) -> None:
         remove(table.sparkSession, path)
 
 
-def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back.
+def materialize(df: DataFrame, name: str, keep: bool = False, **options: str) -> DataFrame:
+    """Write df as Parquet, by Spark's writer options if any, in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs a re-read, not a recomputation
     of everything before it.
@@ -77,7 +77,7 @@ def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     stack = _local.__dict__.get("stack")
     if stack and not keep:
         stack[-1].append(path)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._stored_at = path
     return stored

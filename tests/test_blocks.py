@@ -222,3 +222,58 @@ def test_cut_points_of_repeats_settle(spark, monkeypatch, matches):
     got = {(r["seq"], r["pos"]) for r in blocks.cut_points(spark.createDataFrame(matches, MATCH)).collect()}
     assert got == carried_points(matches)
     assert rounds.count("cuts") < 30
+
+
+def plain_rounds(spark, matches, lengths):
+    """The same schedule, each step by positions: (seq, pos) to the class of aligned positions that is left."""
+    at = {}
+    seqs = {(s, i + k) for a, i, b, j, n, _ in matches for s, x in ((a, i), (b, j)) for k in range(n) for i in [x]}
+    left = None
+    for least in lengths:
+        if left is None:
+            allowed = matches
+            frame = blocks.anneal(spark.createDataFrame(allowed, MATCH))
+        else:
+            extents = {s: (min(p for t, p in seqs if t == s), max(p for t, p in seqs if t == s) + 1) for s, _ in seqs}
+            found = blocks.gaps(spark.createDataFrame(left, BLOCK), spark.createDataFrame([(s, *e) for s, e in extents.items()], "seq string, start long, end long")).collect()
+            label = {(r["seq"], p): r["label"] for r in found for p in range(r["start"], r["end"])}
+            covered = {(s, p) for _, s, a, e, _ in left for p in range(a, e)}
+            assert set(label) == {(s, p) for s, (lo, hi) in extents.items() for p in range(lo, hi)} - covered
+            single = [(a, i + k, b, j + (k if t == "+" else n - 1 - k), 1, t) for a, i, b, j, n, t in matches for k in range(n)]
+            allowed = [m for m in single if label.get((m[0], m[1]), 1) == label.get((m[2], m[3]), 2)]
+            frame = blocks.anneal(spark.createDataFrame(allowed, MATCH)).union(spark.createDataFrame(left, BLOCK))
+        left = [tuple(r) for r in blocks.melt(frame, least, 2).select("block", "seq", "start", "end", "strand").collect()]
+    for b, s, a, e, _ in left:
+        at |= {(s, p): b for p in range(a, e)}
+    return at
+
+
+def test_annealing_rounds(spark):
+    rng = random.Random(12)
+    matches = [("a", 0, "b", 0, 12, "+"), ("a", 20, "b", 22, 12, "+")] + [(rng.choice("ab"), rng.randrange(30), rng.choice("bc"), rng.randrange(30), rng.randrange(1, 5), "+") for _ in range(6)]
+    got = [tuple(r) for r in blocks.anneal_rounds(spark.createDataFrame(matches, MATCH), [6, 1]).select("seq", "start", "end").collect()]
+    places = [(s, p) for s, a, e in got for p in range(a, e)]
+    assert len(places) == len(set(places)) and set(places) == set(plain_rounds(spark, matches, [6, 1]))
+    assert set(places) >= {(r["seq"], p) for r in blocks.melt(blocks.anneal(spark.createDataFrame(matches, MATCH)), 6).collect() for p in range(r["start"], r["end"])}
+
+
+def test_no_chain_stays_recoverable(spark):
+    """m and n, side by side in one place and apart in others, may not go both at once; after that all are judged again."""
+    inner = [("l", 8), ("m", 2), ("n", 3), ("r", 8)]
+    rows = [(b, s, k * 10, k * 10 + n, "+") for s in "pq" for k, (b, n) in enumerate(inner)]
+    rows += [("l", "o", 0, 8, "+"), ("o", "o", 20, 24, "+"), ("r", "v", 5, 13, "+"), ("o", "v", 0, 4, "+")]
+    rows += [("l", "w", 0, 8, "+"), ("n", "w", 10, 13, "+"), ("r", "w", 20, 28, "+")]
+    df = spark.createDataFrame(rows, BLOCK)
+    assert blocks.recoverable(df, 5).count() > 0
+    left = blocks.drop_recoverable(df, 5)
+    kept = {r["block"] for r in left.collect()}
+    assert blocks.recoverable(left, 5).count() == 0 and {"l", "r", "o"} <= kept and kept != {"l", "m", "n", "r", "o"}
+
+
+def test_nested_blocks(spark):
+    """k leads from the outside to m and back by r: a chain of the outer ring. u and v, each in one thread between the
+    same ends, hang in one group of that chain. h hangs by itself, between the outside and nothing else."""
+    rows = [(b, s, 10 * k, 10 * k + 5, "+") for s, way in (("s", "kumr"), ("t", "kvmr"), ("w", "kumr")) for k, b in enumerate(way)]
+    got = {r["block"]: (r["bridge"], r["chain"]) for r in blocks.nested_blocks(spark.createDataFrame(rows, BLOCK)).collect()}
+    # A ring through *: k, then u or v side by side, then m and r.
+    assert got == {"k": (False, "k"), "m": (False, "k"), "r": (False, "k"), "u": (False, "u"), "v": (False, "v")}
