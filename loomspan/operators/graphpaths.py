@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspan.operators import intervals as iv
+from loomspan.operators.relational import numbered
 from loomspan.session import discard, materialize
 
 #: Positions of a bin in joins of ranges.
@@ -121,3 +122,48 @@ def drop_jumps(alignments: DataFrame, max_deletion: int, rounds: int = 1000) ->
         if not changed:
             return left
     raise RuntimeError(f"jumps did not settle in {rounds} rounds")
+
+
+def join_ids(lines: DataFrame) -> DataFrame:
+    """lines (file, n, text) of several GFA files as those of one graph: segments are named s1, s2, ... over all files, in
+    order of files and of the numbers in their names, and every reference follows.
+
+    References stand in S, L, C, P and W lines; other lines stay. A reference to a segment that its file
+    does not have fails the job.
+    """
+    tok = F.split("text", "\t")
+    kind = tok[0]
+    name = lambda k: F.get("tok", F.lit(k))
+    rows = lines.select("file", "n", tok.alias("tok"), kind.alias("kind"))
+    number = F.regexp_extract("name", r"(\d+)$", 1)
+    segments = rows.filter("kind = 'S'").select("file", name(1).alias("name")).distinct()
+    ids = numbered(segments, [F.col("file"), F.length(number), number, F.col("name")], "new").select(F.col("file").alias("_f"), F.col("name").alias("_name"), F.concat(F.lit("s"), F.col("new").cast("string")).alias("_new"))
+    steps = F.split(name(2), ",")
+    used = (
+        F.when(F.col("kind") == "S", F.array(name(1)))
+        .when(F.col("kind").isin("L", "C"), F.array(name(1), name(3)))
+        .when(F.col("kind") == "P", F.transform(steps, lambda s: F.substring(s, F.lit(1), F.length(s) - 1)))
+        .when(F.col("kind") == "W", F.regexp_extract_all(name(6), F.lit("[<>]([^<>]+)"), F.lit(1)))
+    )
+    refs = rows.select("file", "n", F.posexplode(used).alias("at", "name"))
+    known = refs.join(ids, (F.col("file") == F.col("_f")) & (F.col("name") == F.col("_name")), "left")
+    found = F.coalesce("_new", F.raise_error(F.concat(F.lit("no segment "), F.col("name"), F.lit(" in "), F.col("file").cast("string"))).cast("string"))
+    held = known.groupBy(F.col("file").alias("_lf"), F.col("n").alias("_ln")).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", found.alias("new")))), lambda x: x["new"]).alias("new"))
+    joined = rows.join(held, (F.col("file") == F.col("_lf")) & (F.col("n") == F.col("_ln")), "left")
+    new = lambda k: F.get("new", F.lit(k))
+    signs = F.regexp_extract_all(name(6), F.lit("([<>])[^<>]+"), F.lit(1))
+    put = lambda values: F.transform("tok", lambda t, i: _chosen(i, values, t))
+    text = (
+        F.when(F.col("kind") == "S", F.array_join(put({1: new(0)}), "\t"))
+        .when(F.col("kind").isin("L", "C"), F.array_join(put({1: new(0), 3: new(1)}), "\t"))
+        .when(F.col("kind") == "P", F.array_join(put({2: F.array_join(F.zip_with("new", steps, lambda a, s: F.concat(a, F.right(s, F.lit(1)))), ",")}), "\t"))
+        .when(F.col("kind") == "W", F.array_join(put({6: F.array_join(F.zip_with(signs, "new", lambda w, a: F.concat(w, a)), "")}), "\t"))
+        .otherwise(F.array_join("tok", "\t"))
+    )
+    return joined.select("file", "n", text.alias("text"))
+
+
+def _chosen(i: Column, values: dict[int, Column], otherwise: Column) -> Column:
+    for k, v in values.items():
+        otherwise = F.when(i == k, v).otherwise(otherwise)
+    return otherwise

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomspan.operators import ancestral, graph, graphpaths, nested
+from loomspan.operators import ancestral, ends, graph, graphpaths, nested
 from loomspan.operators import intervals as iv
 from loomspan.plans.catalog import query, table
 from loomspan.plans.structure import tree
@@ -209,3 +209,95 @@ def f15(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matches in order of their orders; every tenth customer is a thread that stays apart and free of cycles."""
     special = table(spark, sf_dir, "customer").filter("c_custkey % 10 = 0").select(F.concat(F.lit("c"), "c_custkey").alias("id"))
     return graph.cycle_free(thread_matches(spark, sf_dir), special).select("rank", "state")
+
+
+# -- files of a graph: each nation's customers are segments s1, s2, ..., so all files' names clash
+
+GFA = r"""c AS (SELECT c_nationkey AS file, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS k, count(*) OVER (PARTITION BY c_nationkey) AS m FROM customer)"""
+
+
+def gfa_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, n, text): segments, links to the next one and back, a path and a walk over all of them, and a header."""
+    place = Window.partitionBy("c_nationkey").orderBy("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("file"), F.row_number().over(place).cast("long").alias("k"), F.lead("c_custkey").over(place).isNotNull().alias("more"))
+    s = lambda d: F.concat(F.lit("s"), (F.col("k") + d).cast("string"))
+    tabs = lambda *parts: F.concat_ws("\t", *(F.lit(p) if isinstance(p, str) else p for p in parts))
+    segments = rows.select("file", F.col("k").alias("n"), tabs("S", s(0), "ACGT").alias("text"))
+    links = rows.filter("more").select("file", (F.col("k") + 100_000_000).alias("n"), tabs("L", s(0), "+", s(1), "-", "0M").alias("text"))
+    whole = rows.groupBy("file").agg(F.array_sort(F.collect_list("k")).alias("ks"))
+    joined = lambda f, by: F.array_join(F.transform("ks", lambda k: f(k.cast("string"))), by)
+    path = whole.select("file", F.lit(200_000_000).cast("long"), tabs("P", "p", joined(lambda k: F.concat(F.lit("s"), k, F.lit("+")), ","), "*"))
+    walk = whole.select("file", F.lit(300_000_000).cast("long"), tabs("W", "x", "0", "c", "0", "9", joined(lambda k: F.concat(F.lit("<s"), k), "")))
+    head = whole.select("file", F.lit(0).cast("long"), F.lit("H\tVN:Z:1.1"))
+    return segments.union(links).union(path).union(walk).union(head)
+
+
+@query(
+    "v3_joined_ids",
+    rf"""WITH {GFA}, d AS (SELECT file, k, m, row_number() OVER (ORDER BY file, k) AS g FROM c), t AS (SELECT 's' || g AS s, * FROM d)
+SELECT file, k AS n, 'S' || chr(9) || s || chr(9) || 'ACGT' AS text FROM t UNION ALL SELECT file, k + 100000000, 'L' || chr(9) || s || chr(9) || '+' || chr(9) || 's' || (g + 1) || chr(9) || '-' || chr(9) || '0M' FROM t WHERE k < m
+UNION ALL SELECT file, 200000000, 'P' || chr(9) || 'p' || chr(9) || string_agg(s || '+', ',' ORDER BY k) || chr(9) || '*' FROM t GROUP BY file
+UNION ALL SELECT file, 300000000, 'W' || chr(9) || 'x' || chr(9) || '0' || chr(9) || 'c' || chr(9) || '0' || chr(9) || '9' || chr(9) || string_agg('<' || s, '' ORDER BY k) FROM t GROUP BY file
+UNION ALL SELECT DISTINCT file, 0, 'H' || chr(9) || 'VN:Z:1.1' FROM t""",
+)
+def v3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graphpaths.join_ids(gfa_lines(spark, sf_dir))
+
+
+# -- ends
+
+CAPS = """a AS (SELECT o_custkey AS flower, CASE WHEN o_custkey % 3 = 0 THEN 'hub' ELSE 'e' || o_orderkey % 5 END AS x, 'f' || o_orderkey % 4 AS y, o_orderkey % 90 AS length FROM orders),
+caps AS (SELECT flower, x AS "end", y AS other, length FROM a UNION ALL SELECT flower, y, x, length FROM a)"""
+
+
+@query(
+    "c16_ends_to_align",
+    f"""WITH {CAPS}, n AS (SELECT flower, "end", count(*) AS k FROM caps GROUP BY ALL), t AS (SELECT flower, sum(k) AS total, arg_min("end", (-k, "end")) AS top, max(k) AS most FROM n GROUP BY 1), m AS (SELECT flower, max(length) AS longest FROM caps GROUP BY 1),
+g AS (SELECT t.flower, top FROM t JOIN m USING (flower) WHERE most * 2 >= total AND longest <= 80 AND NOT EXISTS (SELECT 1 FROM caps c WHERE c.flower = t.flower AND ((c."end" <> top AND c.other <> top) OR c."end" = c.other)))
+SELECT n.flower, n."end", g.top IS NOT NULL AS dominant FROM n LEFT JOIN g USING (flower) WHERE g.top IS NULL OR g.top = n."end\"""",
+)
+def c16(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the customers have an end that takes part in all their adjacencies."""
+    c, k = F.col("o_custkey"), F.col("o_orderkey")
+    x = F.when(c % 3 == 0, "hub").otherwise(F.concat(F.lit("e"), (k % 5).cast("string")))
+    rows = table(spark, sf_dir, "orders").select(c.alias("flower"), x.alias("x"), F.concat(F.lit("f"), (k % 4).cast("string")).alias("y"), (k % 90).alias("length"))
+    both = rows.select("flower", F.col("x").alias("end"), F.col("y").alias("other"), "length").unionByName(rows.select("flower", F.col("y").alias("end"), F.col("x").alias("other"), "length"))
+    return ends.ends_to_align(both, 40)
+
+
+@query(
+    "c17_rescued_segments",
+    """WITH d AS (SELECT DISTINCT o_custkey AS seq, CAST(o_orderdate AS DATE) - DATE '1970-01-01' + 15 + i AS p FROM (SELECT *, unnest(range(o_orderkey % 23)) AS i FROM orders WHERE o_orderkey % 3 = 0)),
+s AS (SELECT o_custkey AS seq, min(CAST(o_orderdate AS DATE) - DATE '1970-01-01') AS s0, max(CAST(o_orderdate AS DATE) - DATE '1970-01-01') + 1 AS e0 FROM orders GROUP BY 1), w AS (SELECT seq, unnest(range(s0, e0, 30)) AS s, e0 FROM s), g AS (SELECT seq, s, least(s + 30, e0) AS e FROM w)
+SELECT g.seq, CAST(s AS BIGINT) AS start, CAST(e AS BIGINT) AS "end", count(*) AS covered FROM g JOIN d ON d.seq = g.seq AND p >= s AND p < e WHERE e - s >= 10 GROUP BY g.seq, s, e HAVING count(*) / (e - s) > 0.4""",
+)
+def c17(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of customers' axes of which the masks cover more than two fifths."""
+    day = F.unix_date(F.to_date("o_orderdate")).cast("long")
+    whole = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("seq")).agg(F.min(day).alias("start"), (F.max(day) + 1).alias("end"))
+    months = iv.fragments(whole, ["seq"], 30, 30)
+    k = F.col("o_orderkey")
+    beds = table(spark, sf_dir, "orders").filter(k % 3 == 0).select(F.col("o_custkey").alias("seq"), (day + 15).alias("start"), (day + 15 + k % 23).alias("end"))
+    return ends.rescued(months, beds, ["seq"], 10, 0.4)
+
+
+@query(
+    "g14_broken_references",
+    """WITH RECURSIVE fl AS (SELECT n_nationkey + 10 AS id, n_regionkey AS parent, n_nationkey * 10 AS bases, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * 7 END AS chain, true AS leaf FROM nation UNION ALL SELECT r_regionkey, 99, r_regionkey * 60, CASE WHEN r_regionkey % 3 = 1 THEN 100 END, false FROM region UNION ALL SELECT 99, NULL, 1000, NULL, false),
+says AS (SELECT id, parent, CASE WHEN parent IS NULL THEN NULL WHEN bases > 150 THEN true WHEN chain >= 80 THEN false END AS s FROM fl), walk AS (SELECT id, id AS at_, s, parent FROM says UNION ALL SELECT w.id, y.id, y.s, y.parent FROM walk w JOIN says y ON y.id = w.parent WHERE w.s IS NULL),
+br AS (SELECT id, coalesce(bool_or(s), true) AS breakable FROM walk GROUP BY 1), o AS (SELECT o_orderstatus || o_custkey % 20 AS ref, o_orderkey AS place, o_custkey % 50 AS node, c_nationkey + 10 AS flower FROM orders JOIN customer ON c_custkey = o_custkey),
+sup AS (SELECT least(l_suppkey % 50, l_partkey % 50) AS a, greatest(l_suppkey % 50, l_partkey % 50) AS b, count(*) AS n FROM lineitem WHERE l_quantity > 25 GROUP BY 1, 2), x AS (SELECT *, lead(node) OVER (PARTITION BY ref ORDER BY place) AS nn FROM o),
+c AS (SELECT x.ref, x.place, x.node, x.flower, CASE WHEN nn IS NOT NULL AND breakable AND coalesce(n, 0) < (SELECT count(*) FROM lineitem WHERE l_quantity > 25) // 1275 THEN 1 ELSE 0 END AS cut FROM x JOIN br ON br.id = flower LEFT JOIN sup ON a = least(node, nn) AND b = greatest(node, nn))
+SELECT ref, place, node, flower, CAST(sum(cut) OVER (PARTITION BY ref ORDER BY place) - cut AS BIGINT) AS piece FROM c""",
+)
+def g14(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References of orders, cut where fewer items than the mean put two customers' numbers side by side."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    key, r, none = F.col("n_nationkey").cast("long"), F.col("r_regionkey").cast("long"), F.lit(None).cast("long")
+    flowers = nation.select((key + 10).alias("id"), F.col("n_regionkey").cast("long").alias("parent"), (key * 10).alias("bases"), F.when(key % 2 == 0, key * 7).alias("chain_bases"), F.lit(True).alias("leaf"))
+    flowers = flowers.union(region.select(r, F.lit(99).cast("long"), r * 60, F.when(r % 3 == 1, F.lit(100).cast("long")), F.lit(False))).union(spark.range(99, 100).select("id", none, F.lit(1000).cast("long"), none, F.lit(False)))
+    items = table(spark, sf_dir, "lineitem").filter("l_quantity > 25")
+    support = items.groupBy((F.col("l_suppkey") % 50).alias("a"), (F.col("l_partkey") % 50).alias("b")).agg(F.count("*").alias("n"))
+    order = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    order = order.select(F.concat("o_orderstatus", (F.col("o_custkey") % 20).cast("string")).alias("ref"), F.col("o_orderkey").alias("place"), (F.col("o_custkey") % 50).alias("node"), (F.col("c_nationkey") + 10).cast("long").alias("flower"))
+    return ends.break_adjacencies(order, support, flowers, items.count() // 1275, 150, 80)
