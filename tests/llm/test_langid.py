@@ -1,4 +1,10 @@
+import math
+import os
 import random
+import unicodedata
+import zlib
+
+import pytest
 
 from loomspan.llm import langid
 
@@ -37,3 +43,45 @@ def test_the_draw_holds_at_any_size():
     for total in (10, 10**6, 10**10, 10**13):
         share = langid.draw_limit(total, config) / 2**63
         assert abs(share * total - min(total, config.sample_docs)) < 1
+
+
+def plain_prediction(text, model):
+    """(language, probability) by loops over n-grams, their buckets and the model's numbers."""
+    if not text or not any(unicodedata.category(c).startswith("L") for c in text):
+        return "und", 0.0
+    raw = [32, *(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in text.encode()), 32]
+    total, n_grams = [0.0] * len(model.langs), 0
+    for n in model.config.orders:
+        for i in range(len(raw) - n + 1):
+            gram = raw[i : i + n]
+            if 32 in gram[1:-1] or gram[0] == gram[-1] == 32:
+                continue
+            h = n * 0x9E3779B1 % 2**32
+            for b in gram:
+                h = (h ^ b) * 0x01000193 % 2**32
+            h ^= h >> 15
+            n_grams += 1
+            for k, x in enumerate(model.table[h % model.config.buckets]):
+                total[k] += float(x)
+    z = [(t / n_grams + float(b)) / model.temperature for t, b in zip(total, model.bias, strict=True)]
+    e = [math.exp(x - max(z)) for x in z]
+    best = max(range(len(e)), key=e.__getitem__)
+    return model.langs[best], e[best] / sum(e)
+
+
+def test_predictions_by_plain_loops(spark, docs, rows):
+    model = langid.train(spark.createDataFrame(texts(200, 3), "doc_id long, text string, lang string"))
+    given = {r[0]: r[1] for r in rows}
+    for r in langid.predict(docs, model).collect():
+        lang, score = plain_prediction(given[r["doc_id"]], model)
+        assert r["lang_pred"] == lang and abs(r["score"] - score) < 1e-3
+        assert r["accepted"] == (r["score"] >= model.threshold and lang != "und")
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="no tables here")
+def test_the_query_holds_out_by_crc32(spark):
+    from loomspan.llm import op02_query
+
+    got = op02_query.query(spark, "/root/testdata/sf0.001").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    assert len(got) == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
