@@ -183,7 +183,18 @@ def t9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trees.prune(tree(spark, sf_dir), rich).select("id", F.coalesce("parent", F.lit("-")).alias("parent"), F.round(F.coalesce("length", F.lit(0.0)), 9).alias("length"))
 
 
-@query("k12_newick", None)
+def _inside(level: str, of: str, name: str, label: str) -> str:
+    """SQL of a level's texts, those of the level below in brackets before each."""
+    return f"{level} AS (SELECT {name} AS id, coalesce('(' || (SELECT string_agg(t, ',' ORDER BY x.id, t) FROM {of} x WHERE x.parent = {name}) || ')', '') || {label} AS t"
+
+
+@query(
+    "k12_newick",
+    f"""WITH s AS (SELECT s_name AS id, s_name || ':' || CAST(s_suppkey % 7 / 10 AS VARCHAR) AS t, n_name AS parent FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+{_inside('n', 's', 'n_name', "n_name || ':' || CAST(n_nationkey / 100 AS VARCHAR)")}, r_name AS parent FROM nation JOIN region ON n_regionkey = r_regionkey),
+{_inside('r', 'n', 'r_name', "r_name || ':' || CAST(r_regionkey / 10 + 0.5 AS VARCHAR)")}, 'world' AS parent FROM region)
+SELECT 'world' AS id, '(' || string_agg(t, ',' ORDER BY id, t) || ')world;' AS newick FROM r""",
+)
 def k12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trees.write_newick(tree(spark, sf_dir))
 
@@ -196,8 +207,15 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), (-1 - F.col("l_orderkey") % 1000).alias("b"), F.col("l_extendedprice").alias("score"))
 
 
-@query("g6_connected_components")
-@query("g6_connected_components_whole")
+def _labels(rounds: int) -> str:
+    """SQL of the least node around each node, taken over and over; the parts of this graph are a few links wide."""
+    steps = ["e AS MATERIALIZED (SELECT DISTINCT l_partkey AS a, -1 - l_orderkey % 1000 AS b FROM lineitem)", "x AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e UNION SELECT a, a FROM e UNION SELECT b, b FROM e)", "m0 AS MATERIALIZED (SELECT a AS id, min(b) AS m FROM x GROUP BY 1)"]
+    steps += [f"m{k} AS MATERIALIZED (SELECT x.a AS id, min(y.m) AS m FROM x JOIN m{k - 1} y ON y.id = x.b GROUP BY 1)" for k in range(1, rounds + 1)]
+    return "WITH " + ", ".join(steps) + f" SELECT id, m AS component FROM m{rounds}"
+
+
+@query("g6_connected_components", _labels(12))
+@query("g6_connected_components_whole", _labels(12))
 def g6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.connected_components(links(spark, sf_dir))
 

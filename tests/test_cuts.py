@@ -1,5 +1,6 @@
 """Bridges, pairs of edges that part a graph, and nested blocks, against removal of each edge."""
 
+import os
 import random
 
 import pytest
@@ -55,3 +56,43 @@ def test_a_long_path_a_star_and_a_ring(spark):
     ring = [(f"r{k}", f"r{(k + 1) % 40}", 2000 + k) for k in range(40)]
     got = {r["rank"]: (r.bridge, r.cut) for r in graph.edge_cuts(spark.createDataFrame(path + star + ring, EDGES)).collect()}
     assert all(got[e[2]] == (True, None) for e in path + star) and all(got[e[2]] == (False, 2000) for e in ring)
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="no tables here")
+def test_the_query_of_nested_blocks(spark):
+    """The graph of the query's blocks by plain walks: ends in groups, blocks as edges, each removed in turn."""
+    from loomspan.plans import blocks, catalog
+
+    sf = "/root/testdata/sf0.001"
+    rows = sorted(tuple(r) for r in blocks.threads(spark, sf).select("seq", "start", "block", "strand").collect())
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    before, facing = None, {"+": ("L", "R"), "-": ("R", "L")}
+    for seq, _, block, strand in rows:
+        enter, leave = ((block, side) for side in facing[strand])
+        if before is None or before[0] != seq:
+            parent[root(enter)] = root("*")
+            if before:
+                parent[root(before[1])] = root("*")
+        else:
+            parent[root(before[1])] = root(enter)
+        before = (seq, leave)
+    parent[root(before[1])] = root("*")
+    names = sorted({r[2] for r in rows})
+    edges = [(root((b, "L")), root((b, "R")), b) for b in names]
+    nodes = {x for a, b, _ in edges for x in (a, b)}
+    whole = components(nodes, edges)
+    bridges = {e[2] for e in edges if components(nodes, [f for f in edges if f is not e]) > whole}
+    got = catalog.queries()["g9_nested_blocks"](spark, sf).collect()
+    assert {r["block"] for r in got} == set(names) and {r["block"] for r in got if r["bridge"]} == bridges
+    groups = {}
+    for r in got:
+        groups.setdefault(r["left"], set()).add(root((r["block"], "L")))
+        groups.setdefault(r["right"], set()).add(root((r["block"], "R")))
+    assert all(len(v) == 1 for v in groups.values()) and len(groups) == len(nodes)

@@ -76,3 +76,14 @@ def test_must_match(spark):
     a, b = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(1, "x")], "k int, v string")
     with pytest.raises(Exception, match="no match"):
         relational.require_match(a, b, ["k"], "thing").collect()
+
+
+def test_sides_choose_their_own_first_level(spark):
+    """a and b lie on the same bases of q; o, an outgroup's, lies there too. Together the best one of three is
+    left, apart the best of a and b, and o."""
+    row = lambda i, target, matches: (i, "q", 1000, 100, 200, "+", target, 5000, 10 * i, 10 * i + 100, matches, 100, float(matches))
+    schema = "id long, query string, qlen long, qstart long, qend long, strand string, target string, tlen long, tstart long, tend long, matches long, block long, score double"
+    df = spark.createDataFrame([row(1, "a", 90), row(2, "b", 80), row(3, "o", 95)], schema)
+    together = {r["id"] for r in al.select_primary(df, 100, 0.0).collect()}
+    apart = {(r["id"], r["outgroup"]) for r in al.select_primary_by_side(df, ["o"], 100, 0.0).collect()}
+    assert together == {3} and apart == {(1, False), (3, True)}
