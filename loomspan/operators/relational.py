@@ -179,6 +179,26 @@ def rename_uniquely(df: DataFrame, name: str, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"names did not settle in {rounds} rounds")
 
 
+def placeholder_names(df: DataFrame, name: str, prefix: str = "g") -> DataFrame:
+    """(name, alias) of each distinct name: those of letters, digits and underscores stay, with a letter or digit among
+    them; the others become the prefix and a number, counted in order of names past numbers that are taken.
+
+    The k-th of them gets k plus the taken numbers with at most k free ones below, an as-of search.
+    """
+    from loomspan.operators import intervals as iv
+
+    far = (1 << 62) - 1
+    names = df.select(F.col(name).alias("name")).filter("name IS NOT NULL").distinct()
+    plain = F.col("name").rlike(r"^[\p{L}\p{N}_]*[\p{L}\p{N}][\p{L}\p{N}_]*$")
+    odd = numbered(names.filter(~plain), [F.col("name")], "place").select(F.lit(0).alias("all"), "name", (F.col("place") - 1).alias("pos"))
+    number = F.regexp_extract("name", f"^{prefix}(0|[1-9][0-9]{{0,17}})$", 1)
+    taken = numbered(names.select(number.alias("t")).filter("t <> ''").select(F.col("t").cast("long").alias("t")), [F.col("t")], "rank")
+    passed = taken.groupBy((F.col("t") - F.col("rank") + 1).alias("start")).agg(F.max("rank").alias("passed")).select(F.lit(0).alias("all"), "start", F.lit(far).alias("end"), "passed")
+    found = iv.as_of(odd, passed, ["all"], "passed")
+    aliases = found.select("name", F.concat(F.lit(prefix), (F.col("pos") + F.coalesce("passed", F.lit(0))).cast("string")).alias("alias"))
+    return names.filter(plain).select("name", F.col("name").alias("alias")).unionByName(aliases)
+
+
 def chunked(df: DataFrame, order: Sequence[Column], size: int) -> DataFrame:
     """df with `chunk` and `row`: rows in this order, `size` to a chunk, so that chunks and rows put it back."""
     return numbered(df, order, "row").withColumn("chunk", F.floor((F.col("row") - 1) / size))

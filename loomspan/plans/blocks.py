@@ -267,6 +267,21 @@ def p24(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aliases.select(F.regexp_replace("name", "-e$", "").alias("name"), "alias")
 
 
+GENOMES = "SELECT DISTINCT CASE p_partkey % 4 WHEN 0 THEN 'g' || p_partkey % 50 WHEN 1 THEN replace(p_brand, '#', '_') || p_size ELSE p_brand || '.' || p_partkey END AS name FROM part"
+
+
+@query(
+    "p24_placeholder_names",
+    f"""WITH n AS ({GENOMES}), o AS (SELECT name, row_number() OVER (ORDER BY name) AS k FROM n WHERE name LIKE '%#%'), f AS (SELECT i, row_number() OVER (ORDER BY i) AS k FROM range((SELECT count(*) FROM n)) r(i) WHERE 'g' || i NOT IN (FROM n))
+SELECT name, name AS alias FROM n WHERE name NOT LIKE '%#%' UNION ALL SELECT name, 'g' || i FROM o JOIN f USING (k)""",
+)
+def p24_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with other signs than letters, digits and underscores, past the placeholders that are names themselves."""
+    key = F.col("p_partkey")
+    name = F.when(key % 4 == 0, F.concat(F.lit("g"), key % 50)).when(key % 4 == 1, F.concat(F.replace("p_brand", F.lit("#"), F.lit("_")), "p_size")).otherwise(F.concat("p_brand", F.lit("."), key))
+    return rel.placeholder_names(table(spark, sf_dir, "part").select(name.alias("name")), "name")
+
+
 @query("v8_sorted_chunks", "SELECT l_orderkey, l_linenumber, l_partkey, (row_number() OVER (ORDER BY l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice) - 1) // 1000 AS chunk FROM lineitem")
 def v8(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.col(c) for c in ("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")]

@@ -79,6 +79,19 @@ def c10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return al.to_matches(rows, F.lit("3M2X2I4=3D1M")).select(F.col("query").alias("id"), "qpos", "tpos", "length")
 
 
+@query(
+    "c10_runs_of_own_cigars",
+    f"{ALN}, r AS (SELECT *, unnest(CASE WHEN block < 8 THEN [{{q: 0, t: 0, n: block}}] ELSE [{{q: 0, t: 0, n: 3}}, {{q: 5, t: 3, n: 1}}, {{q: 6, t: 6, n: block - 6}}] END) AS r FROM aln)"
+    " SELECT id, CAST(CASE WHEN strand = '+' THEN qstart + r.q ELSE qend - r.q - r.n END AS BIGINT) AS qpos, CAST(tstart + r.t AS BIGINT) AS tpos, CAST(r.n AS BIGINT) AS length FROM r",
+)
+def c10_own(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each alignment by a CIGAR of its own length."""
+    n = F.col("block")
+    cigar = F.when(n < 8, F.concat(n.cast("string"), F.lit("M"))).otherwise(F.concat(F.lit("3M2I1=2D"), (n - 6).cast("string"), F.lit("X")))
+    rows = alignments(spark, sf_dir).withColumn("query", F.col("id")).withColumn("cigar", cigar)
+    return al.to_matches(rows, F.col("cigar")).select(F.col("query").alias("id"), "qpos", "tpos", "length")
+
+
 @query("c1_collinear_chains")
 def c1(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = alignments(spark, sf_dir).withColumn("score", F.coalesce("score", F.lit(1.0)))

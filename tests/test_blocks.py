@@ -277,3 +277,17 @@ def test_nested_blocks(spark):
     got = {r["block"]: (r["bridge"], r["chain"]) for r in blocks.nested_blocks(spark.createDataFrame(rows, BLOCK)).collect()}
     # A ring through *: k, then u or v side by side, then m and r.
     assert got == {"k": (False, "k"), "m": (False, "k"), "r": (False, "k"), "u": (False, "u"), "v": (False, "v")}
+
+
+def test_placeholder_names(spark):
+    given = ["a_1", "x.y", "g0", "g2", "g3", "b-c", "é9", "_", "g007", "z z", "g1x", "q?", "g6"]
+    got = {r["name"]: r["alias"] for r in rel.placeholder_names(spark.createDataFrame([(n,) for n in [*given, "x.y"]] + [(None,)], "n string"), "n").collect()}
+    want, counter = {}, 0
+    for name in sorted(given):
+        if name.replace("_", "").isalnum():
+            want[name] = name
+            continue
+        while f"g{counter}" in given:
+            counter += 1
+        want[name], counter = f"g{counter}", counter + 1
+    assert got == want
