@@ -12,6 +12,7 @@ from loomspan.operators import relational as rel
 from loomspan.plans.catalog import query, table
 from loomspan.plans.intervals import SPANS
 from loomspan.plans.structure import ALN, TREE, alignments, tree
+from loomspan.sources import sinks
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +101,24 @@ def g4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.recoverable(threads(spark, sf_dir), 50)
 
 
+@query(
+    "k2_segment_lines",
+    f"""WITH t AS ({THREADS}), sq AS (SELECT 'c' || o_custkey AS seq, CASE WHEN o_custkey % 3 = 0 THEN 'ref' ELSE 'e' || o_custkey % 3 END AS event, max(o_orderkey) * 100 + 20 AS length FROM orders GROUP BY o_custkey),
+g AS (SELECT seq, coalesce(lag("end") OVER (PARTITION BY seq ORDER BY start), 0) AS start, start AS e FROM t UNION ALL SELECT seq, length - 10, length FROM sq),
+a AS (SELECT block, seq, start, "end" AS e, strand FROM t UNION ALL SELECT NULL, seq, start, e, '+' FROM g WHERE e > start), x AS (SELECT a.*, event, CASE WHEN event = 'ref' THEN 0 ELSE 1 END AS above FROM a JOIN sq USING (seq)),
+b AS (SELECT *, row_number() OVER (ORDER BY seq, start) AS number FROM x WHERE above = 0), f AS (SELECT block, arg_min(number, (seq, start)) AS number, arg_min(strand, (seq, start)) AS way FROM b WHERE block IS NOT NULL GROUP BY 1)
+SELECT CAST(CASE WHEN event = 'ref' THEN 0 ELSE 1 END AS INTEGER) AS above, event, seq, CAST(-1 AS BIGINT) AS start, concat_ws(chr(9), 's', chr(39) || event || chr(39), chr(39) || seq || chr(39), CASE WHEN event = 'ref' THEN 1 ELSE 0 END) AS text FROM sq
+UNION ALL SELECT above, event, seq, start, concat_ws(chr(9), 'a', number, start, e - start) FROM b
+UNION ALL SELECT above, event, seq, start, concat_ws(chr(9), 'a', start, e - start, f.number, CASE WHEN f.way = strand THEN 1 WHEN f.way IS NOT NULL THEN 0 END) FROM x LEFT JOIN f USING (block) WHERE above = 1""",
+)
+def k2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as sequences, every third of the reference; their blocks as bottom and top segments."""
+    c = F.col("o_custkey")
+    event = F.when(c % 3 == 0, "ref").otherwise(F.concat(F.lit("e"), c % 3))
+    sequences = table(spark, sf_dir, "orders").groupBy("o_custkey").agg((F.max("o_orderkey") * 100 + 20).alias("length")).select(F.concat(F.lit("c"), c).alias("seq"), event.alias("event"), "length")
+    return sinks.segment_lines(threads(spark, sf_dir), sequences, "ref")
+
+
 @query("g4_no_chain_recoverable")
 def g4_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks left when recoverable chains are removed until there is none."""

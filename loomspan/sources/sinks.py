@@ -71,6 +71,39 @@ def write_gfa(nodes: DataFrame, edges: DataFrame, path: str) -> None:
     _write(s.unionByName(e).orderBy("k", "o", "value"), F.col("value"), path)
 
 
+def segment_lines(blocks: DataFrame, sequences: DataFrame, reference: str) -> DataFrame:
+    """Lines of aligned genomes, one above the others: (above, event, seq, start, text), to be written in this order.
+
+    blocks is (block, seq, start, end, strand), sequences (seq, event, length). A header of each sequence stands at start -1:
+    its event, its name, and 1 for the reference's. Bottom segments, the reference's and what lies between
+    them, have a number, counted in the order of the lines, start and length. Top segments have start, length,
+    and, if the reference is in their block, the number of its first segment there and 1 if both have one strand.
+    """
+    from loomspan.operators import intervals as iv
+    from loomspan.operators.relational import numbered
+
+    known = sequences.filter("length > 0").select(F.col("seq").alias("_s"), "event", "length")
+    own = blocks.join(known.select("_s"), F.col("seq") == F.col("_s"), "left_semi").select("block", "seq", "start", "end", "strand")
+    gaps = iv.complement(own, known.select(F.col("_s").alias("seq"), "length"), ["seq"]).select(F.lit(None).cast("string").alias("block"), "seq", "start", "end", F.lit("+").alias("strand"))
+    every = own.unionByName(gaps).join(known.select("_s", "event"), F.col("seq") == F.col("_s")).drop("_s").withColumn("above", (F.col("event") != reference).cast("int"))
+    bottom = numbered(every.filter("above = 0"), [F.col("seq"), F.col("start")], "number")
+    first = bottom.filter("block IS NOT NULL").groupBy(F.col("block").alias("_b")).agg(F.min_by(F.struct("number", F.col("strand").alias("way")), F.struct("seq", "start")).alias("under"))
+    top = every.filter("above = 1").join(first, F.col("block") == F.col("_b"), "left")
+    order = ["above", "event", "seq", "start"]
+    line = lambda *parts: F.concat_ws("\t", *(p.cast("string") for p in parts)).alias("text")
+    size = F.col("end") - F.col("start")
+    same = F.when(F.col("under").isNotNull(), (F.col("strand") == F.col("under.way")).cast("int"))
+    quoted = lambda c: F.concat(F.lit("'"), c, F.lit("'"))
+    above = (F.col("event") != reference).cast("int")
+    heads = sequences.filter("length > 0").select(above.alias("above"), "event", "seq", F.lit(-1).cast("long").alias("start"), line(F.lit("s"), quoted("event"), quoted("seq"), 1 - above))
+    return heads.union(bottom.select(*order, line(F.lit("a"), F.col("number"), F.col("start"), size))).union(top.select(*order, line(F.lit("a"), F.col("start"), size, F.col("under.number"), same)))
+
+
+def write_segments(blocks: DataFrame, sequences: DataFrame, reference: str, path: str) -> None:
+    """segment_lines() as text, the reference's first."""
+    _write(segment_lines(blocks, sequences, reference).orderBy("above", "event", "seq", "start"), F.col("text"), path)
+
+
 def write_summary(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """A small report as one tab-separated file with a header."""
     df.select(*columns).coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True)

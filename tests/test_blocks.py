@@ -291,3 +291,17 @@ def test_placeholder_names(spark):
             counter += 1
         want[name], counter = f"g{counter}", counter + 1
     assert got == want
+
+
+def test_segment_lines_are_written_in_order(spark, tmp_path):
+    from loomspan.sources import sinks
+
+    rows = [("x", "r", 2, 6, "-"), ("x", "q", 0, 4, "+"), ("y", "q", 4, 7, "+"), ("x", "p", 5, 9, "-")]
+    sequences = spark.createDataFrame([("p", "leaf", 9), ("q", "leaf", 8), ("r", "anc", 9), ("none", "anc", 0)], "seq string, event string, length long")
+    sinks.write_segments(spark.createDataFrame(rows, BLOCK), sequences, "anc", str(tmp_path / "out"))
+    files = sorted((tmp_path / "out").glob("part-*"))
+    assert "".join(f.read_text() for f in files).splitlines() == [
+        "s\t'anc'\t'r'\t1", "a\t1\t0\t2", "a\t2\t2\t4", "a\t3\t6\t3",
+        "s\t'leaf'\t'p'\t0", "a\t0\t5", "a\t5\t4\t2\t1",
+        "s\t'leaf'\t'q'\t0", "a\t0\t4\t2\t0", "a\t4\t3", "a\t7\t1",
+    ]
