@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import os
 import re
@@ -54,10 +55,29 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
+#: Stored tables that are still there: path to (file system, the path there).
+_stored: dict[str, tuple] = {}
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder wherever Spark's paths lead."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    files, where = _stored.pop(path, None) or _files(spark, path)
+    files.delete(where, True)
+
+
+@atexit.register
+def remove_stored() -> None:
+    """Delete all tables of materialize() that are still there. It runs when the process ends, as results
+    are read from them until then; a process that is killed leaves its tables."""
+    for path in list(_stored):
+        files, where = _stored.pop(path)
+        with contextlib.suppress(Exception):  # the session's JVM may have ended
+            files.delete(where, True)
 
 
 def discard(table: DataFrame) -> None:
@@ -77,6 +97,7 @@ def materialize(df: DataFrame, name: str, keep: bool = False, **options: str) ->
     stack = _local.__dict__.get("stack")
     if stack and not keep:
         stack[-1].append(path)
+    _stored[path] = _files(spark, path)
     df.write.mode("overwrite").options(**options).parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._stored_at = path

@@ -20,7 +20,7 @@ def db():
 
 
 def rows(frame):
-    return sorted(tuple("" if v is None or v != v else round(float(v), 6) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v) for v in r) for r in frame)
+    return sorted((tuple("" if v is None or v != v else round(float(v), 6) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v) for v in r) for r in frame), key=str)
 
 
 RELATIONAL = sorted(n for n in __spark_entry__.oracle_sql() if not n.startswith("op"))
