@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def rows(found):
-    return sorted(tuple("" if v is None or v != v else round(float(v), 6) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v) for v in r) for r in found)
+    return sorted((tuple("" if v is None or v != v else round(float(v), 6) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v) for v in r) for r in found), key=str)
 
 
 def test_registered():
