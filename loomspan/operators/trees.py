@@ -48,9 +48,10 @@ def heights(tree: DataFrame) -> DataFrame:
     return up.groupBy(F.col("ancestor").alias("id")).agg(F.max(F.when(F.col("leaf").isNotNull(), F.col("dist"))).alias("height"), F.count("leaf").alias("leaves"), F.sum(inner).alias("branch_length"))
 
 
-def multiplicities(tree: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(id, paths): for each node's branch, the chosen leaves (id) below it."""
-    return closure(tree).join(chosen.select(F.col("id").alias("leaf")), F.col("descendant") == F.col("leaf")).groupBy(F.col("ancestor").alias("id")).agg(F.count("*").alias("paths"))
+def multiplicities(tree: DataFrame, chosen: DataFrame, up: DataFrame | None = None) -> DataFrame:
+    """(id, paths): for each node's branch, the chosen leaves (id) below it; `up` is the tree's closure, if there is one."""
+    up = closure(tree) if up is None else up
+    return up.join(chosen.select(F.col("id").alias("leaf")), F.col("descendant") == F.col("leaf")).groupBy(F.col("ancestor").alias("id")).agg(F.count("*").alias("paths"))
 
 
 def event_weights(tree: DataFrame, chosen: DataFrame, reference, phi: float) -> DataFrame:
@@ -59,8 +60,8 @@ def event_weights(tree: DataFrame, chosen: DataFrame, reference, phi: float) ->
     d is the length of a branch and s the chosen leaves that share it, so related leaves
     share one weight. A leaf at no distance weighs 1.
     """
-    shared = multiplicities(tree, chosen).withColumnRenamed("id", "branch")
     up = closure(tree)
+    shared = multiplicities(tree, chosen, up).withColumnRenamed("id", "branch")
     top = up.filter(F.col("descendant") == F.lit(reference)).select(F.col("ancestor").alias("on_way"))
     below = up.join(top, F.col("ancestor") == F.col("on_way"), "left_anti")
     branches = tree.select(F.col("id").alias("branch"), F.coalesce("length", F.lit(0.0)).alias("length"))
