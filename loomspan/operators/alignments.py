@@ -88,6 +88,25 @@ def to_matches(df: DataFrame, cigar: Column) -> DataFrame:
     return each.select("query", "target", qpos.alias("qpos"), (F.col("tstart") + F.col("r.t")).alias("tpos"), F.col("r.n").alias("length"), "strand")
 
 
+#: Positions of the tiles between which groups of alignments are parted.
+PART = 1 << 16
+
+
+def _parted(df: DataFrame, keys: Sequence[str], start: str, end: str, gap: int) -> DataFrame:
+    """df with `_part`: rows of different parts of a key are more than gap apart.
+
+    A part ends before a tile whose first row starts beyond all that came before. Only each
+    tile's bounds go through the window of a key.
+    """
+    tile = F.floor(F.col(start) / PART)
+    bounds = df.groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), tile.alias("_t")).agg(F.min(start).alias("_lo"), F.max(F.greatest(start, end)).alias("_hi"))
+    w = Window.partitionBy(*(f"_k{i}" for i in range(len(keys)))).orderBy("_t")
+    fresh = F.coalesce(F.col("_lo") > F.max("_hi").over(w.rowsBetween(Window.unboundedPreceding, -1)) + gap, F.lit(True))
+    parts = bounds.withColumn("_fresh", fresh.cast("int")).withColumn("_part", F.sum("_fresh").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_lo", "_hi", "_fresh")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return df.join(parts, [*same, tile.eqNullSafe(F.col("_t"))]).select(*df.columns, "_part")
+
+
 def chain(df: DataFrame, max_gap: int, gap_open: float = 0.0, gap_extend: float = 0.0) -> DataFrame:
     """Adds `chain_id` and `chain_score`: the best collinear chain that ends in each row's chain.
 
@@ -95,25 +114,31 @@ def chain(df: DataFrame, max_gap: int, gap_open: float = 0.0, gap_extend: float
     and leave at most max_gap in each. A chain's score is its rows' `score` less the gaps'
     cost. Each row continues its best predecessor; rows of one tree of continuations
     that lead to its best end share a chain. Ties go to the earlier row.
+
+    Rows further apart in the target than max_gap never meet: a group is one part of the target, not all
+    rows of a pair, and a row looks back no further than max_gap and the longest row.
     """
 
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["tstart", "qstart", "id"], kind="stable").reset_index(drop=True)
         n = len(pdf)
+        reach = max_gap + int(np.nan_to_num((pdf["tend"] - pdf["tstart"]).max()))
         t0, t1, q0, q1, w = (pdf[c].to_numpy() for c in ("tstart", "tend", "qstart", "qend", "score"))
         if n and pdf["strand"].iloc[0] == "-":  # going forward in the target is going back in the query
             top = int(pdf["qlen"].iloc[0])
             q0, q1 = top - q1, top - q0
         total, before = w.astype(float).copy(), np.full(n, -1)
+        lows = np.searchsorted(t0, t0 - reach)
         for i in range(n):
-            gt, gq = t0[i] - t1[:i], q0[i] - q1[:i]
+            lo = lows[i]
+            gt, gq = t0[i] - t1[lo:i], q0[i] - q1[lo:i]
             ok = (gt >= 0) & (gq >= 0) & (gt <= max_gap) & (gq <= max_gap)
             if ok.any():
                 gap = gt + gq
-                gain = np.where(ok, total[:i] - np.where(gap > 0, gap_open + gap_extend * gap, 0.0), -np.inf)
+                gain = np.where(ok, total[lo:i] - np.where(gap > 0, gap_open + gap_extend * gap, 0.0), -np.inf)
                 j = int(gain.argmax())
                 if gain[j] > 0:
-                    total[i], before[i] = w[i] + gain[j], j
+                    total[i], before[i] = w[i] + gain[j], lo + j
         label, score = np.full(n, -1, dtype=np.int64), np.zeros(n)
         for i in sorted(range(n), key=lambda k: (-total[k], k)):
             k = i
@@ -123,14 +148,15 @@ def chain(df: DataFrame, max_gap: int, gap_open: float = 0.0, gap_extend: float
         return pdf.assign(chain_id=label, chain_score=score)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.groupBy("query", "target", "strand").applyInPandas(best, f"{schema}, chain_id long, chain_score double")
+    parted = _parted(df, ["query", "target", "strand"], "tstart", "tend", max_gap)
+    return parted.groupBy("query", "target", "strand", "_part").applyInPandas(lambda pdf: best(pdf.drop(columns="_part")), f"{schema}, chain_id long, chain_score double")
 
 
 def tile(df: DataFrame) -> DataFrame:
     """Adds `level`: 1 plus the deepest cover of a row's query range by better rows.
 
     Rows are taken best first (score, then id); a row's level is one more than the greatest
-    number of better rows over any of its positions.
+    number of better rows over any of its positions. A group is one part of the query.
     """
 
     def levels(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -146,7 +172,8 @@ def tile(df: DataFrame) -> DataFrame:
         return pdf.assign(level=out)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.groupBy("query").applyInPandas(levels, f"{schema}, level long")
+    parted = _parted(df, ["query"], "qstart", "qend", 0)
+    return parted.groupBy("query", "_part").applyInPandas(lambda pdf: levels(pdf.drop(columns="_part")), f"{schema}, level long")
 
 
 def select_primary(df: DataFrame, max_gap: int, min_chain_score: float) -> DataFrame:

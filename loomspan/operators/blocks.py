@@ -112,7 +112,7 @@ def within_components(matches: DataFrame, labels: DataFrame) -> DataFrame:
 
     def cut(df: DataFrame, one: str, two: str) -> DataFrame:
         df = df.withColumns({"seq": F.col(f"{one}_seq"), "start": F.col(f"{one}_start"), "end": F.col(f"{one}_start") + F.col("length")})
-        hit = iv.overlap_join(df, labels, ["seq"], BIN)
+        hit = iv.overlap_join(df, labels, ["seq"], BIN, wide_width=BIN << 8)
         lo, hi = F.greatest("start", "b_start"), F.least("end", "b_end")
         moved = F.col(f"{two}_start") + F.when(F.col("strand") == "+", lo - F.col("start")).otherwise(F.col("end") - hi)
         kept = [c for c in df.columns if c not in ("seq", "start", "end", "length", f"{one}_start", f"{two}_start")]
@@ -282,6 +282,32 @@ def nested_blocks(blocks: DataFrame) -> DataFrame:
 # -- filters
 
 
+def attach_threads(blocks: DataFrame, threads: DataFrame, min_length: int, min_new: float) -> DataFrame:
+    """(seq, component, attach, aligned, known): threads that are to hang from the root, by component.
+
+    threads is (seq, component, length, attached), blocks (block, seq, start, end). A component's threads are taken
+    attached ones first, then by length and name; those shorter than min_length are passed over, but for
+    the first one. `aligned` is a thread's bases in blocks and `known` those in blocks
+    with a thread taken before it; one not yet attached is to be attached if the rest is at least the share
+    min_new of them, or if nothing comes before it.
+
+    Whether a thread is taken depends on its component's first one alone, so a block's first taken thread is
+    a minimum, and nothing is done one thread after another.
+    """
+    order = [F.col("component"), F.col("attached").desc(), F.col("length").desc(), F.col("seq")]
+    placed = numbered(threads.select("seq", "component", "length", "attached"), order, "_k")
+    first = placed.groupBy(F.col("component").alias("_c")).agg(F.min("_k").alias("_first"))
+    placed = placed.join(first, F.col("component").eqNullSafe(F.col("_c"))).drop("_c")
+    taken = F.col("attached") | (F.col("_k") == F.col("_first")) | (F.col("length") >= min_length)
+    held = blocks.select("block", F.col("seq").alias("_s"), (F.col("end") - F.col("start")).alias("_n")).join(placed.select("seq", "_k", taken.alias("_taken")), F.col("_s") == F.col("seq"))
+    seen = held.filter("_taken").groupBy(F.col("block").alias("_b")).agg(F.min("_k").alias("_by"))
+    sums = held.join(seen, F.col("block") == F.col("_b")).groupBy(F.col("seq").alias("_s")).agg(F.sum("_n").alias("aligned"), F.sum(F.when(F.col("_by") < F.col("_k"), F.col("_n"))).alias("known"))
+    zero = F.lit(0).cast("long")
+    found = placed.join(sums, F.col("seq") == F.col("_s"), "left").withColumns({"aligned": F.coalesce("aligned", zero), "known": F.coalesce("known", zero)})
+    new = F.col("aligned") - F.col("known") >= F.lit(min_new) * F.col("aligned")
+    return found.select("seq", "component", (~F.col("attached") & taken & ((F.col("_k") == F.col("_first")) | new)).alias("attach"), "aligned", "known")
+
+
 def tree_coverage(members: DataFrame, tree: DataFrame) -> DataFrame:
     """(block, coverage) of (block, event) members: the branches between a block's events and their nearest
     common ancestor, as a share of all branches."""

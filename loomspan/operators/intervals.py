@@ -210,23 +210,40 @@ def widen(df: DataFrame, keys: Sequence[str], flank: int, lengths: DataFrame, mi
     return merge(clamp(wide, lengths, keys), keys)
 
 
-def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str], bin_width: int, how: str = "inner") -> DataFrame:
+def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str], bin_width: int, how: str = "inner", wide_width: int | None = None) -> DataFrame:
     """Pairs of overlapping ranges: columns of a, those of b with prefix `b_`, and `overlap`.
 
     Both sides are dealt into bins of the axis and joined on (keys, bin), so a key with very
     many ranges spreads over its bins; a pair is kept in the first bin it shares.
     `how` is `inner`, `left`, `left_semi` or `left_anti`. Null-bounded ranges match nothing.
+
+    Where ranges may be as long as a contig, wide_width has those longer than 16 bins dealt into bins of
+    that width. There are four kinds of bins then: of narrow ranges, of wide ones, and of wide ones of
+    either side with narrow ones of the other. So narrow ranges never meet in wide bins.
     """
+    widths = [bin_width] if wide_width is None else [bin_width, wide_width, wide_width, wide_width]
+    kinds = len(widths)
+
+    def bins(start: str, end: str, as_narrow: int, as_wide: int) -> Column:
+        def of(kind: int) -> Column:
+            first, last = F.floor(F.col(start) / widths[kind]), F.floor((F.col(end) - 1) / widths[kind])
+            return F.sequence(first * kinds + kind, last * kinds + kind, F.lit(kinds).cast("long"))
 
-    def bins(start: str, end: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(start) / bin_width), F.floor((F.col(end) - 1) / bin_width)))
+        if kinds == 1:
+            return F.explode(of(0))
+        wide = F.col(end) - F.col(start) > bin_width * 16
+        return F.explode(F.when(wide, F.concat(of(as_wide), of(3))).otherwise(F.concat(of(0), of(as_narrow))))
 
     right = valid(b).select(*(F.col(c).alias(f"b_{c}") for c in b.columns))
-    left = valid(a).withColumn("_bin", bins("start", "end"))
-    other = right.withColumn("_b_bin", bins("b_start", "b_end"))
+    left = valid(a).withColumn("_bin", bins("start", "end", 1, 2))
+    other = right.withColumn("_b_bin", bins("b_start", "b_end", 2, 1))
     on = [F.col(k).eqNullSafe(F.col(f"b_{k}")) for k in keys] + [F.col("_bin") == F.col("_b_bin")]
     hit = left.join(other, on).filter((F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")))
-    hit = hit.filter(F.col("_bin") == F.floor(F.greatest("start", "b_start") / bin_width))
+    first = F.floor(F.greatest("start", "b_start") / bin_width)
+    if kinds > 1:
+        kind = F.pmod("_bin", F.lit(kinds))
+        first = F.when(kind == 0, first * kinds).otherwise(F.floor(F.greatest("start", "b_start") / wide_width) * kinds + kind)
+    hit = hit.filter(F.col("_bin") == first)
     overlap = F.least("end", "b_end") - F.greatest("start", "b_start")
     if how == "inner":
         return hit.select(*a.columns, *right.columns, overlap.alias("overlap"))
@@ -266,6 +283,27 @@ def reciprocal_pairs(a: DataFrame, keys: Sequence[str], least: float, bin_width:
     )
 
 
+def insertion_pairs(a: DataFrame, keys: Sequence[str], distance: int, least: float, bin_width: int, id_col: str = "id") -> DataFrame:
+    """(left_id, right_id) of insertions (id, keys, start, size) at most `distance` apart, of which the
+    smaller has at least this share of the larger one's size."""
+    near = a.select(id_col, *keys, "size", "start", (F.col("start") + distance + 1).alias("end"))
+    hit = overlap_join(near, near, keys, bin_width)
+    alike = F.least("size", "b_size") >= F.lit(least) * F.greatest("size", "b_size")
+    return hit.filter((F.col(id_col) < F.col(f"b_{id_col}")) & alike).select(F.col(id_col).alias("left_id"), F.col(f"b_{id_col}").alias("right_id"))
+
+
+def variant_sites(variants: DataFrame, keys: Sequence[str], least: float, distance: int, bin_width: int) -> DataFrame:
+    """variants (id, keys, kind, start, end, size) with `site`, the least id of those they are the same as, directly
+    or by way of others: insertions (`INS`) by distance and size, other kinds by mutual cover among themselves."""
+    from loomspan.operators.graph import connected_components
+
+    inserted = F.coalesce(F.col("kind") == "INS", F.lit(False))
+    pairs = insertion_pairs(variants.filter(inserted), keys, distance, least, bin_width)
+    pairs = pairs.unionByName(reciprocal_pairs(variants.filter(~inserted), [*keys, "kind"], least, bin_width).drop("overlap"))
+    sites = connected_components(pairs.select(F.col("left_id").alias("a"), F.col("right_id").alias("b"))).select(F.col("id").alias("_id"), F.col("component").alias("_site"))
+    return variants.join(sites, F.col("id") == F.col("_id"), "left").withColumn("site", F.coalesce("_site", "id")).drop("_id", "_site")
+
+
 def cluster(a: DataFrame, keys: Sequence[str], least: float, bin_width: int, id_col: str = "id") -> DataFrame:
     """a with `site`, the least id of the ranges that it covers reciprocally, directly or by way of others."""
     from loomspan.operators.graph import connected_components

@@ -71,22 +71,26 @@ def follow_parents(links: DataFrame, child: str, parent: str, rounds: int = 40)
     raise ValueError("parent links have a cycle")
 
 
-def lower_median(value: Column) -> Column:
-    """The lesser of the two middle values."""
-    return F.element_at(F.sort_array(F.collect_list(value)), F.floor((F.count(value) + 1) / 2).cast("int"))
+def lower_median(column: str) -> Column:
+    """The lesser of the two middle values: counted by distinct value, never gathered as a list."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}`)")
 
 
-def upper_median(value: Column) -> Column:
+def upper_median(column: str) -> Column:
     """The greater of the two middle values."""
-    return F.element_at(F.sort_array(F.collect_list(value)), (F.floor(F.count(value) / 2) + 1).cast("int"))
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}` DESC)")
 
 
 def n50(df: DataFrame, keys: Sequence[str], length: str) -> DataFrame:
-    """(keys, n, total, n50): the first length, longest first, at which half the total is reached."""
+    """(keys, n, total, n50): the first length, longest first, at which half the total is reached.
+
+    Rows are counted by length first, so a key's window holds one row for each distinct length.
+    """
     by = Window.partitionBy(*keys)
-    w = by.orderBy(F.col(length).desc()).rangeBetween(Window.unboundedPreceding, 0)
-    run = df.select(*keys, F.col(length).alias("_l"), F.sum(length).over(w).alias("_run"), F.sum(length).over(by).alias("_total"))
-    return run.groupBy(*keys).agg(F.count("*").alias("n"), F.max("_total").alias("total"), F.max(F.when(F.col("_run") >= F.floor(F.col("_total") / 2), F.col("_l"))).alias("n50"))
+    w = by.orderBy(F.col("_l").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    counted = df.groupBy(*keys, F.col(length).alias("_l")).agg(F.count("*").alias("_n"), F.sum(length).alias("_sum"))
+    run = counted.select(*keys, "_l", "_n", F.sum("_sum").over(w).alias("_run"), F.sum("_sum").over(by).alias("_total"))
+    return run.groupBy(*keys).agg(F.sum("_n").alias("n"), F.max("_total").alias("total"), F.max(F.when(F.col("_run") >= F.floor(F.col("_total") / 2), F.col("_l"))).alias("n50"))
 
 
 def share_of(value: Column, keys: Sequence[str]) -> Column:
@@ -110,9 +114,12 @@ def fill_forward(value: Column, keys: Sequence[str], order: Sequence[str]) -> Co
     return F.last(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
 
 
-def distinct_count_over(value: Column, keys: Sequence[str]) -> Column:
-    """Distinct values of the row's group, on each row."""
-    return F.size(F.collect_set(value).over(Window.partitionBy(*keys)))
+def with_distinct_count(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
+    """df with the number of distinct non-null values of the row's group, as `name`: (keys, value) are
+    counted once and joined back, so no group is held at once."""
+    counts = df.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col(column).alias("_v")).groupBy(*(f"_k{i}" for i in range(len(keys)))).agg(F.countDistinct("_v").cast("int").alias(name))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return df.join(counts, same).drop(*(f"_k{i}" for i in range(len(keys))))
 
 
 def top_or_other(df: DataFrame, label: str, n: int, other: str = "other") -> DataFrame:

@@ -153,6 +153,21 @@ def g15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.substring("id", 2, 30).cast("long").alias("id"), "text")
 
 
+@query(
+    "g11_attached_threads",
+    f"""WITH t AS ({THREADS}), th AS (SELECT 'c' || o_custkey AS seq, o_custkey // 3 AS component, max(o_orderkey) * 100 + 20 AS length, o_custkey % 7 = 0 AS attached FROM orders GROUP BY o_custkey),
+n AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY attached DESC, length DESC, seq) AS k FROM th), w AS (SELECT *, attached OR k = 1 OR length >= 100000 AS taken FROM n),
+f AS (SELECT block, min(k) AS first FROM t JOIN w USING (seq) WHERE taken GROUP BY 1), s AS (SELECT seq, count(*) * 10 AS aligned, count(*) FILTER (first < k) * 10 AS known FROM t JOIN w USING (seq) JOIN f USING (block) GROUP BY 1)
+SELECT seq, component, NOT attached AND taken AND (k = 1 OR coalesce(aligned, 0) - coalesce(known, 0) >= 0.3 * coalesce(aligned, 0)) AS attach, coalesce(aligned, 0) AS aligned, coalesce(known, 0) AS known FROM w LEFT JOIN s USING (seq)""",
+)
+def g11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threads of three customers as a component, every seventh customer attached before."""
+    c = F.col("o_custkey")
+    own = table(spark, sf_dir, "orders").groupBy("o_custkey").agg((F.max("o_orderkey") * 100 + 20).alias("length"))
+    own = own.select(F.concat(F.lit("c"), c).alias("seq"), F.floor(c / 3).alias("component"), "length", (c % 7 == 0).alias("attached"))
+    return blocks.attach_threads(threads(spark, sf_dir), own, 100_000, 0.3)
+
+
 # -- filters of blocks
 
 MEMBERS = "SELECT l_partkey AS block, s_name AS event FROM lineitem JOIN supplier ON s_suppkey = l_suppkey"
@@ -204,25 +219,25 @@ def edited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Aligned bases of the target one by one, with their query positions and whether they match.
 BASES = f"""e AS ({EDITED}), b AS (SELECT *, unnest(range(a + c + d + z)) AS t FROM e), q AS (SELECT id, target, strand, tstart, a, ins, c, d, z, tstart + t AS pos, CASE WHEN t < a THEN t WHEN t < a + c THEN t + ins ELSE t + ins - d END AS q, t < a OR t >= a + c + d AS same, t BETWEEN a + c AND a + c + d - 1 AS gone, t FROM b)"""
-CLIPPED = "min(CASE WHEN strand = '+' THEN q ELSE a + ins + c + z - q - 1 END) AS qstart, max(CASE WHEN strand = '+' THEN q ELSE a + ins + c + z - q - 1 END) + 1 AS qend, min(pos) AS tstart, max(pos) + 1 AS tend, count(*) FILTER (same) AS matches, max(pos) + 1 - min(pos) + CASE WHEN min(t) < a AND max(t) >= a THEN ins ELSE 0 END AS block"
+CLIPPED = "min(CASE WHEN strand = '+' THEN q ELSE a + ins + c + z - q - 1 END) AS qstart, max(CASE WHEN strand = '+' THEN q ELSE a + ins + c + z - q - 1 END) + 1 AS qend, min(pos) AS tstart, max(pos) + 1 AS tend, count(*) FILTER (same) AS matches, max(pos) + 1 - min(pos) + CASE WHEN min(t) < a AND max(t) >= a THEN ins ELSE 0 END AS block, concat(nullif(count(*) FILTER (t < a), 0) || '=', CASE WHEN min(t) < a AND max(t) >= a THEN ins || 'I' END, nullif(count(*) FILTER (t >= a AND t < a + c), 0) || 'X', CASE WHEN min(t) < a + c AND max(t) >= a + c + d THEN d || 'D' END, nullif(count(*) FILTER (t >= a + c + d), 0) || 'M') AS cigar"
 
 
 @query(
     "j15_clipped_to_single_cover",
     f"""WITH {BASES}, depth AS (SELECT target, pos, count(*) AS k FROM q GROUP BY 1, 2), ends AS (SELECT DISTINCT target, tstart AS pos FROM e UNION SELECT target, tstart + a + c + d + z FROM e),
 one AS (SELECT d.target, d.pos, d.pos - row_number() OVER (PARTITION BY d.target ORDER BY d.pos) + 1000000 * (SELECT count(*) FROM ends x WHERE x.target = d.target AND x.pos <= d.pos) AS run FROM depth d WHERE k = 1), reg AS (SELECT target, min(pos) AS lo, max(pos) + 1 AS hi FROM one GROUP BY target, run)
-SELECT id, lo AS region_start, hi AS region_end, {CLIPPED} FROM q JOIN reg ON q.target = reg.target AND pos >= lo AND pos < hi WHERE NOT gone GROUP BY id, lo, hi, a, ins""",
+SELECT id, lo AS region_start, hi AS region_end, {CLIPPED} FROM q JOIN reg ON q.target = reg.target AND pos >= lo AND pos < hi WHERE NOT gone GROUP BY id, lo, hi, a, ins, c, d""",
 )
 def j15(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignments cut to the regions that one alignment alone covers."""
     rows = edited(spark, sf_dir)
     alone = iv.single_cover(rows.select("target", F.col("tstart").alias("start"), F.col("tend").alias("end")), ["target"])
-    return clipping.clip_to_regions(rows, alone).drop("cigar")
+    return clipping.clip_to_regions(rows, alone)
 
 
-@query("i19_trimmed_ends", f"WITH {BASES} SELECT id, {CLIPPED} FROM q WHERE NOT gone AND t >= floor((a + c + d + z) * 0.25) AND t < a + c + d + z - floor((a + c + d + z) * 0.25) GROUP BY id, a, ins")
+@query("i19_trimmed_ends", f"WITH {BASES} SELECT id, {CLIPPED} FROM q WHERE NOT gone AND t >= floor((a + c + d + z) * 0.25) AND t < a + c + d + z - floor((a + c + d + z) * 0.25) GROUP BY id, a, ins, c, d")
 def i19(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clipping.trim_ends(edited(spark, sf_dir), 0.25).drop("cigar")
+    return clipping.trim_ends(edited(spark, sf_dir), 0.25)
 
 
 @query("f19_first_levels", f"{ALN}, s AS (SELECT id, query, qstart, qend, coalesce(score, 1.0) AS score FROM aln), p AS (SELECT a.id, b.d, count(*) AS k FROM s a JOIN (SELECT query, id, score, unnest(range(qstart, qend)) AS d FROM s) b ON a.query = b.query AND b.d >= a.qstart AND b.d < a.qend AND (b.score > a.score OR b.score = a.score AND b.id < a.id) GROUP BY 1, 2), l AS (SELECT s.id, 1 + coalesce(max(p.k), 0) AS level FROM s LEFT JOIN p USING (id) GROUP BY s.id) SELECT id FROM l WHERE level > 2")
@@ -319,3 +334,21 @@ def v11(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("contig"), day.alias("start"), (day + F.col("o_orderkey") % 60).alias("end")).filter("end - start >= 20")
     found = iv.cluster(spans, ["contig"], 0.5, 64)
     return found.groupBy("site").agg(F.count("*").alias("variants"), F.min("start").alias("start"), F.max("end").alias("end"))
+
+
+INSERTED = "SELECT o_orderkey AS id, o_custkey AS contig, CASE o_orderkey % 3 WHEN 0 THEN 'INS' WHEN 1 THEN 'DEL' ELSE 'INV' END AS kind, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS start, 30 + o_orderkey * 7 % 400 AS size FROM orders"
+
+
+@query(
+    "v11_sites_by_kind",
+    f"""WITH RECURSIVE v AS (SELECT *, start + CASE kind WHEN 'INS' THEN 1 ELSE size END AS e FROM ({INSERTED})),
+p AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON a.contig = b.contig AND a.kind = b.kind AND a.id <> b.id AND CASE a.kind WHEN 'INS' THEN abs(a.start - b.start) <= 100 AND least(a.size, b.size) >= 0.6 * greatest(a.size, b.size) ELSE least(a.e, b.e) > greatest(a.start, b.start) AND least(a.e, b.e) - greatest(a.start, b.start) >= 0.6 * greatest(a.size, b.size) END),
+r AS (SELECT id AS x, id AS y FROM v UNION SELECT r.x, p.b FROM r JOIN p ON r.y = p.a), c AS (SELECT x AS id, min(y) AS site FROM r GROUP BY 1) SELECT site, kind, count(*) AS variants, CAST(max(size) AS BIGINT) AS size FROM v JOIN c USING (id) GROUP BY 1, 2""",
+)
+def v11_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insertions at most 100 apart and alike in size, deletions and inversions by mutual cover, as sites."""
+    k, day = F.col("o_orderkey"), F.unix_date(F.to_date("o_orderdate")).cast("long")
+    kind = F.when(k % 3 == 0, "INS").when(k % 3 == 1, "DEL").otherwise("INV")
+    rows = table(spark, sf_dir, "orders").select(k.alias("id"), F.col("o_custkey").alias("contig"), kind.alias("kind"), day.alias("start"), (30 + k * 7 % 400).alias("size"))
+    rows = rows.withColumn("end", F.col("start") + F.when(F.col("kind") == "INS", 1).otherwise(F.col("size")))
+    return iv.variant_sites(rows, ["contig"], 0.6, 100, 256).groupBy("site", "kind").agg(F.count("*").alias("variants"), F.max("size").alias("size"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.operators import intervals as iv
+from loomspan.operators import relational as rel
 from loomspan.plans.catalog import query, table
 
 
@@ -226,7 +227,7 @@ def i16(spark: SparkSession, sf_dir: str) -> DataFrame:
     lost = iv.exclusions(baseline, phases, KEY).groupBy(event).agg(F.sum(F.col("end") - F.col("start")).alias("lost"))
     given = iv.merge(baseline, KEY).groupBy(event).agg(F.sum(F.col("end") - F.col("start")).alias("input_bp"))
     both = given.join(lost, "event", "left").withColumn("lost", F.coalesce("lost", F.lit(0).cast("long")))
-    upper = both.agg(F.sort_array(F.collect_list("lost")).alias("all")).select(F.element_at("all", (F.floor(F.size("all") / 2) + 1).cast("int")).alias("upper"))
+    upper = both.agg(rel.upper_median("lost").alias("upper"))
     return both.join(F.broadcast(upper)).select(
         "event", "input_bp", "lost", (F.col("lost") > 0.05 * F.col("input_bp")).alias("dropped"), ((F.col("lost") > 3 * F.col("upper")) & (F.col("lost") > 0.1 * F.col("input_bp"))).alias("outlier")
     )

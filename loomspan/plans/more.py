@@ -108,7 +108,7 @@ def a26(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("w12_distinct_on_rows", "SELECT o_orderkey, n FROM orders JOIN (SELECT o_custkey, CAST(count(DISTINCT o_orderpriority) AS INTEGER) AS n FROM orders GROUP BY 1) USING (o_custkey)")
 def w12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select("o_orderkey", rel.distinct_count_over(F.col("o_orderpriority"), ["o_custkey"]).alias("n"))
+    return rel.with_distinct_count(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), ["o_custkey"], "o_orderpriority", "n").select("o_orderkey", "n")
 
 
 @query("w16_duplicate_runs", "SELECT l_partkey, l_suppkey, arg_max(l_returnflag, (l_quantity, l_orderkey, l_linenumber)) AS chosen, count(*) AS n FROM lineitem GROUP BY 1, 2")
@@ -120,7 +120,7 @@ def w16(spark: SparkSession, sf_dir: str) -> DataFrame:
 def w17(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two that follow each row on a circle."""
     m = table(spark, sf_dir, "supplier").count()
-    n = table(spark, sf_dir, "supplier").select("s_suppkey", (F.row_number().over(Window.orderBy("s_suppkey")) - 1).alias("k"))
+    n = rel.numbered(table(spark, sf_dir, "supplier").select("s_suppkey"), [F.col("s_suppkey")], "place").select("s_suppkey", (F.col("place") - 1).alias("k"))
     steps = n.select("s_suppkey", F.explode(F.array(*(((F.col("k") + i) % m).alias("at") for i in (1, 2)))).alias("at"))
     return steps.join(n.select(F.col("s_suppkey").alias("neighbour"), "k"), F.col("at") == F.col("k")).select("s_suppkey", "neighbour")
 

@@ -172,12 +172,12 @@ def a8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a9_lower_median", "SELECT l_suppkey, list_sort(list(l_quantity))[(count(*) + 1) // 2] AS lower FROM lineitem GROUP BY 1")
 def a9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(rel.lower_median(F.col("l_quantity")).alias("lower"))
+    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(rel.lower_median("l_quantity").alias("lower"))
 
 
 @query("a10_upper_median", "SELECT l_suppkey, list_sort(list(l_quantity))[count(*) // 2 + 1] AS upper FROM lineitem GROUP BY 1")
 def a10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(rel.upper_median(F.col("l_quantity")).alias("upper"))
+    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(rel.upper_median("l_quantity").alias("upper"))
 
 
 @query(
@@ -195,7 +195,7 @@ def a11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a12(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("degree"), F.max("l_quantity").cast("long").alias("length"))
     d = F.col("degree")
-    return blocks.agg(F.count("*").alias("blocks"), F.sum(F.col("length") * d).alias("aligned"), F.min(d).alias("least"), F.round(F.avg(d), 6).alias("mean"), rel.lower_median(d).alias("median"), F.max(d).alias("most"))
+    return blocks.agg(F.count("*").alias("blocks"), F.sum(F.col("length") * d).alias("aligned"), F.min(d).alias("least"), F.round(F.avg(d), 6).alias("mean"), rel.lower_median("degree").alias("median"), F.max(d).alias("most"))
 
 
 @query("a14_event_reason_tally", "SELECT user_id, event_type, count(*) AS intervals, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS bp FROM events GROUP BY 1, 2")
@@ -266,7 +266,7 @@ def w9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("w11_groups_with_several", "SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderstatus) > 1)")
 def w11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").withColumn("k", rel.distinct_count_over(F.col("o_orderstatus"), ["o_custkey"])).filter("k > 1").select("o_orderkey")
+    return rel.with_distinct_count(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_custkey"], "o_orderstatus", "k").filter("k > 1").select("o_orderkey")
 
 
 @query("w13_share_of_maximum", "SELECT p_partkey, round(p_size / max(p_size) OVER (), 9) AS ratio FROM part")

@@ -305,3 +305,36 @@ def test_segment_lines_are_written_in_order(spark, tmp_path):
         "s\t'leaf'\t'p'\t0", "a\t0\t5", "a\t5\t4\t2\t1",
         "s\t'leaf'\t'q'\t0", "a\t0\t4\t2\t0", "a\t4\t3", "a\t7\t1",
     ]
+
+
+def walked(segments, threads, min_length, min_new):
+    """Threads of each component one after another, with the blocks that were met before."""
+    out = {}
+    for component in {t[1] for t in threads}:
+        seen, any_before = {}, False
+        own = sorted((t for t in threads if t[1] == component), key=lambda t: (not t[3], -t[2], t[0]))
+        for seq, _, length, attached in own:
+            mine = [(b, e - a) for b, s, a, e in segments if s == seq]
+            out[seq] = False
+            if any_before and length < min_length and not attached:
+                continue
+            known = sum(n for b, n in mine if b in seen)
+            seen.update((b, seq) for b, _ in mine)
+            total = sum(n for _, n in mine)
+            out[seq] = not attached and (not any_before or total - known >= min_new * total)
+            any_before = True
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_threads_attached_as_in_a_walk(spark, seed):
+    rng = random.Random(seed)
+    threads = [(f"t{i}", i % 4, rng.choice([30, 60, 90]), rng.random() < 0.2) for i in range(20)]
+    segments = [(f"b{i % 4}.{rng.randrange(7)}", f"t{i}", 10 * k, 10 * k + 1 + i % 4) for i in range(20) for k in range(rng.randrange(6))]
+    found = blocks.attach_threads(spark.createDataFrame(segments, "block string, seq string, start long, end long"), spark.createDataFrame(threads, "seq string, component long, length long, attached boolean"), 60, 0.5)
+    assert {r["seq"]: r["attach"] for r in found.collect()} == walked(segments, threads, 60, 0.5)
+
+
+def test_no_threads_to_attach(spark):
+    none = spark.createDataFrame([], "seq string, component long, length long, attached boolean")
+    assert blocks.attach_threads(spark.createDataFrame([], BLOCK), none, 1, 0.1).collect() == []

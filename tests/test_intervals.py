@@ -116,3 +116,35 @@ def test_left_join_keeps_repeated_rows(spark):
     got = iv.overlap_join(a, frame(spark, [(4, 6)]), K, 2, how="left").collect()
     assert sorted((r["start"], r["b_start"] or -1) for r in got) == [(0, 4), (0, 4), (3, -1), (9, -1), (9, -1)]
     assert iv.overlap_join(a, frame(spark, [(4, 6)]), K, 2, how="left_anti").count() == 3
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_wide_bins_find_the_same_pairs(spark, how):
+    """Ranges of a few positions and of whole axes on both sides."""
+    rng = random.Random(5)
+    some = lambda n: [(a, a + rng.choice([0, 1, 3, 20, 70, 900])) for a in (rng.randrange(-50, 1000) for _ in range(n))]
+    a, b = frame(spark, some(60)), frame(spark, some(40))
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    narrow = rows(iv.overlap_join(a, b, K, 4, how))
+    assert narrow == rows(iv.overlap_join(a, b, K, 4, how, wide_width=256)) and len(narrow) > 3
+
+
+def test_variant_sites(spark):
+    """Insertions join by distance and size, others by cover within their kind; a null kind is one more."""
+    rng = random.Random(9)
+    given = [(i, rng.choice("ab"), rng.choice(["INS", "INS", "DEL", "INV"]), rng.randrange(400), rng.randrange(30, 90)) for i in range(60)]
+    rows = [(i, k, kind, s, s + (1 if kind == "INS" else n), n) for i, k, kind, s, n in given]
+    parent = list(range(60))
+
+    def root(i):
+        return i if parent[i] == i else root(parent[i])
+
+    for i, k, kind, s, e, n in rows:
+        for j, k2, kind2, s2, e2, n2 in rows[:i]:
+            cover = min(e, e2) - max(s, s2)
+            alike = abs(s - s2) <= 20 and min(n, n2) >= 0.8 * max(n, n2) if kind == "INS" else cover >= 0.8 * max(n, n2)
+            if k == k2 and kind == kind2 and alike:
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    df = spark.createDataFrame(rows, "id long, k string, kind string, start long, end long, size long")
+    assert {r["id"]: r["site"] for r in iv.variant_sites(df, K, 0.8, 20, 16).collect()} == {i: root(i) for i in range(60)}

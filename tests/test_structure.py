@@ -87,3 +87,42 @@ def test_sides_choose_their_own_first_level(spark):
     together = {r["id"] for r in al.select_primary(df, 100, 0.0).collect()}
     apart = {(r["id"], r["outgroup"]) for r in al.select_primary_by_side(df, ["o"], 100, 0.0).collect()}
     assert together == {3} and apart == {(1, False), (3, True)}
+
+
+def plain_chains(rows, max_gap):
+    """Every row against every earlier one: id -> (chain, score)."""
+    out = {}
+    for key in {(r["query"], r["target"], r["strand"]) for r in rows}:
+        own = sorted((r for r in rows if (r["query"], r["target"], r["strand"]) == key), key=lambda r: (r["tstart"], r["qstart"], r["id"]))
+        at = [(r["tstart"], r["tend"], *((r["qstart"], r["qend"]) if key[2] == "+" else (r["qlen"] - r["qend"], r["qlen"] - r["qstart"]))) for r in own]
+        total, before = [r["score"] for r in own], [None] * len(own)
+        for i in range(len(own)):
+            gains = [(total[j], -j) for j in range(i) if 0 <= at[i][0] - at[j][1] <= max_gap and 0 <= at[i][2] - at[j][3] <= max_gap]
+            if gains:
+                total[i], before[i] = total[i] + max(gains)[0], -max(gains)[1]
+        for i in sorted(range(len(own)), key=lambda k: (-total[k], k)):
+            k = i
+            while k is not None and own[k]["id"] not in out:
+                out[own[k]["id"]] = (own[i]["id"], total[i])
+                k = before[k]
+    return out
+
+
+def plain_levels(rows):
+    return {r["id"]: 1 + max((sum(o["qstart"] <= p < o["qend"] for o in rows if o["query"] == r["query"] and (-o["score"], o["id"]) < (-r["score"], r["id"])) for p in range(r["qstart"], r["qend"])), default=0) for r in rows}
+
+
+def test_chains_and_levels_in_parts(spark, monkeypatch):
+    """Keys whose rows part into many groups, with clusters, empty ranges and a column of a clashing name."""
+    monkeypatch.setattr(al, "PART", 16)
+    rng, rows = random.Random(3), []
+    for i in range(150):
+        q, t, n = rng.randrange(6) * 200 + rng.randrange(40), rng.randrange(5) * 300 + rng.randrange(60), rng.randrange(12)
+        rows.append({"id": i, "query": rng.choice("ab"), "qlen": 2000, "qstart": q, "qend": q + n, "strand": rng.choice("++-"), "target": "t", "tstart": t, "tend": t + n, "score": float(rng.randrange(1, 9)), "start": i})
+    df = spark.createDataFrame(rows, "id long, query string, qlen long, qstart long, qend long, strand string, target string, tstart long, tend long, score double, start long")
+    got = al.chain(df, 25)
+    assert got.columns == [*df.columns, "chain_id", "chain_score"]
+    assert {r["id"]: (r["chain_id"], r["chain_score"]) for r in got.collect()} == plain_chains(rows, 25)
+    assert {r["id"]: r["level"] for r in al.tile(df).collect()} == plain_levels(rows)
+    parts = al._parted(df, ["query"], "qstart", "qend", 0)
+    assert parts.select("query", "_part").distinct().count() > 6
