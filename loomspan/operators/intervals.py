@@ -336,3 +336,40 @@ def exclusions(baseline: DataFrame, phases: Sequence[tuple[str, DataFrame]], key
         phase = F.when(F.col(n) == 0, F.lit(name)).otherwise(phase)
     lost = parts.filter(F.col("d0") > 0).withColumn("phase", phase).filter(F.col("phase").isNotNull())
     return merge(lost, [*keys, "phase"])
+
+
+def survival(inputs: DataFrame, phases: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:
+    """inputs (keys, length, ...) with `<phase>_bp` and `<phase>_frags` of each phase (name, ranges): what of each
+    input is left, and in how many pieces. One sweep merges the ranges of all phases; ranges
+    are cut to their input, and those of unknown inputs do not count."""
+    tagged = [df.select(*keys, "start", "end", F.lit(name).alias("_phase")) for name, df in phases]
+    every = tagged[0]
+    for df in tagged[1:]:
+        every = every.union(df)
+    sizes = inputs.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("length").alias("_len"))
+    within = every.join(sizes, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    cut = within.select(*keys, "_phase", F.greatest("start", F.lit(0)).alias("start"), F.least("end", "_len").alias("end"))
+    merged = merge(cut, [*keys, "_phase"])
+    of = lambda name, value: F.when(F.col("_phase") == name, value)
+    sums = [c for name, _ in phases for c in (F.sum(of(name, F.col("end") - F.col("start"))).alias(f"{name}_bp"), F.count(of(name, F.lit(1))).alias(f"{name}_frags"))]
+    found = merged.groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))).agg(*sums)
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    names = [f"{name}_{what}" for name, _ in phases for what in ("bp", "frags")]
+    return inputs.join(found, same, "left").select(*inputs.columns, *(F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in names))
+
+
+def survival_by(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """(groups, contigs, input_bp, ...): the rows of survival() summed up by groups."""
+    names = [c for c in rows.columns if c.endswith(("_bp", "_frags")) and c not in groups]
+    return rows.groupBy(*groups).agg(F.count("*").alias("contigs"), F.sum("length").alias("input_bp"), *(F.sum(n).alias(n) for n in names))
+
+
+def signal_blocks(signal: DataFrame, lo: int, hi: int) -> DataFrame:
+    """(contig, start, values): the scores of signal (contig, pos, score) from lo up to before hi, as runs of consecutive
+    positions; a run that the bounds cut starts at its first position within them.
+
+    Runs end at the tiles of the axis, too, so that no run is longer than one.
+    """
+    kept = signal.filter((F.col("pos") >= lo) & (F.col("pos") < hi)).select("contig", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), "score")
+    runs = islands(kept, ["contig"]).groupBy("contig", "island", F.floor(F.col("start") / TILE)).agg(F.min("start").alias("start"), F.array_sort(F.collect_list(F.struct("start", "score"))).alias("_s"))
+    return runs.select("contig", "start", F.col("_s.score").alias("values"))

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspan.operators import intervals as iv
 from loomspan.plans.catalog import query, table
 from loomspan.plans.intervals import MASKS, SPANS, masks, order_spans
 from loomspan.plans.structure import ALN, alignments
@@ -94,6 +95,17 @@ def s9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark, "s9.wig", lambda p: sinks.write_wig(rows, p), lambda p: formats.read_wig(spark, p))
 
 
+@query(
+    "i17_clipped_blocks",
+    "WITH s AS (SELECT CAST(o_custkey AS VARCHAR) AS contig, o_orderkey * 3 + k AS pos, CAST(o_orderkey % 100 AS DOUBLE) / 4 + k AS score FROM orders, (VALUES (0), (1)) v(k)), r AS (SELECT *, pos - row_number() OVER (PARTITION BY contig ORDER BY pos) AS run FROM s WHERE pos >= 1001 AND pos < 4000) SELECT contig, min(pos) AS start, CAST(count(*) AS INTEGER) AS size, arg_min(score, pos) AS first, sum(score) AS total FROM r GROUP BY contig, run",
+)
+def i17_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A signal read from its blocks, clipped, and put into blocks again."""
+    found = iv.signal_blocks(s9(spark, sf_dir), 1001, 4000)
+    total = F.aggregate("values", F.lit(0.0), lambda a, x: a + x)
+    return found.select("contig", "start", F.size("values").alias("size"), F.element_at("values", 1).alias("first"), total.alias("total"))
+
+
 GENES = "SELECT 'g' || p_partkey AS name, 'chr' || p_size AS contig, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand, p_partkey * 10 AS start, p_partkey * 10 + p_size AS \"end\" FROM part"
 
 

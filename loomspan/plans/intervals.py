@@ -304,3 +304,26 @@ def j20(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("contig"), (day + F.col("o_orderkey") % 90).alias("pos"))
     labelled = iv.merge(order_spans(spark, sf_dir), KEY).withColumn("label", F.col("start"))
     return iv.as_of(points, labelled, KEY, "label").select("id", "contig", "pos", F.coalesce("label", F.lit(-1).cast("long")).alias("label"))
+
+
+SURVIVAL = f"""{PHASES}, days AS (SELECT 'full' AS phase, * FROM p1 UNION ALL SELECT 'clip', * FROM p2 UNION ALL SELECT 'filter', * FROM p3), len AS ({LENGTHS}), c AS (SELECT phase, contig, d FROM days JOIN len USING (contig) WHERE d >= 0 AND d < length),
+r AS (SELECT phase, contig, count(*) AS n FROM (SELECT *, d - row_number() OVER (PARTITION BY phase, contig ORDER BY d) AS run FROM c) GROUP BY phase, contig, run),
+s AS (SELECT contig, max(length) AS length, {", ".join(f"CAST(coalesce(sum(n) FILTER (phase = '{p}'), 0) AS BIGINT) AS {p}_bp, count(*) FILTER (phase = '{p}') AS {p}_frags" for p in ("full", "clip", "filter"))} FROM len LEFT JOIN r USING (contig) GROUP BY contig)"""
+
+
+@query("k6_survival_by_contig", f"{SURVIVAL} SELECT * FROM s")
+def k6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of each input is left after each phase, and in how many pieces."""
+    return iv.survival(lengths(spark, sf_dir), _phase_frames(spark, sf_dir)[1], KEY)
+
+
+@query("k6_survival_by_chromosome", f"{SURVIVAL} SELECT contig % 7 AS chromosome, contig % 25 AS genome, count(*) AS contigs, CAST(sum(length) AS BIGINT) AS input_bp, {', '.join(f'CAST(sum({p}_{w}) AS BIGINT) AS {p}_{w}' for p in ('full', 'clip', 'filter') for w in ('bp', 'frags'))} FROM s GROUP BY 1, 2")
+def k6_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by chromosome and genome, written as a report and read back."""
+    from loomspan.plans.files import round_trip
+    from loomspan.sources import formats, sinks
+
+    rows = k6(spark, sf_dir).withColumns({"chromosome": F.col("contig") % 7, "genome": F.col("contig") % 25})
+    report = iv.survival_by(rows, ["chromosome", "genome"])
+    schema = ", ".join(f"{c} long" for c in report.columns)
+    return round_trip(spark, "k6.tsv", lambda p: sinks.write_summary(report, p, report.columns), lambda p: formats.read_table(spark, p, schema, comment=None, header=report.columns))

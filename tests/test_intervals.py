@@ -148,3 +148,23 @@ def test_variant_sites(spark):
                 parent[y] = x
     df = spark.createDataFrame(rows, "id long, k string, kind string, start long, end long, size long")
     assert {r["id"]: r["site"] for r in iv.variant_sites(df, K, 0.8, 20, 16).collect()} == {i: root(i) for i in range(60)}
+
+
+def test_survival_counts_bases_and_pieces(spark):
+    rng = random.Random(2)
+    some = lambda: [(rng.choice("abz"), a, a + rng.randrange(-2, 9)) for a in (rng.randrange(-5, 60) for _ in range(15))]
+    sizes, phases = {"a": 50, "b": 40, "c": 7}, {"first": some(), "second": some(), "none": []}
+    got = iv.survival(spark.createDataFrame(list(sizes.items()), "k string, length long"), [(n, spark.createDataFrame(r, SCHEMA)) for n, r in phases.items()], K)
+    for r in got.collect():
+        for n, ranges in phases.items():
+            held = {p for k, a, b in ranges if k == r["k"] for p in range(max(a, 0), min(b, sizes[k]))}
+            assert (r[f"{n}_bp"], r[f"{n}_frags"]) == (len(held), len([p for p in held if p - 1 not in held]))
+    total = iv.survival_by(got.withColumn("g", F.lit(1)), ["g"]).first()
+    assert (total["contigs"], total["input_bp"], total["none_bp"]) == (3, 97, 0)
+
+
+def test_signal_blocks_start_within_the_bounds(spark):
+    signal = spark.createDataFrame([("a", p, float(p)) for p in (1, 2, 3, 5, 6, 9)] + [("b", 3, 0.5), ("b", None, 1.0)], "contig string, pos long, score double")
+    got = sorted((r["contig"], r["start"], r["values"]) for r in iv.signal_blocks(signal, 2, 6).collect())
+    assert got == [("a", 2, [2.0, 3.0]), ("a", 5, [5.0]), ("b", 3, [0.5])]
+    assert iv.signal_blocks(signal, 4, 4).collect() == []
