@@ -72,12 +72,12 @@ def follow_parents(links: DataFrame, child: str, parent: str, rounds: int = 40)
 
 
 def lower_median(column: str) -> Column:
-    """The lesser of the two middle values: counted by distinct value, never gathered as a list."""
+    """The lesser of the two middle values, as a double: counted by distinct value, never gathered as a list."""
     return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}`)")
 
 
 def upper_median(column: str) -> Column:
-    """The greater of the two middle values."""
+    """The greater of the two middle values, as a double."""
     return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}` DESC)")
 
 

@@ -195,7 +195,7 @@ def a11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a12(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("degree"), F.max("l_quantity").cast("long").alias("length"))
     d = F.col("degree")
-    return blocks.agg(F.count("*").alias("blocks"), F.sum(F.col("length") * d).alias("aligned"), F.min(d).alias("least"), F.round(F.avg(d), 6).alias("mean"), rel.lower_median("degree").alias("median"), F.max(d).alias("most"))
+    return blocks.agg(F.count("*").alias("blocks"), F.sum(F.col("length") * d).alias("aligned"), F.min(d).alias("least"), F.round(F.avg(d), 6).alias("mean"), rel.lower_median("degree").cast("long").alias("median"), F.max(d).alias("most"))
 
 
 @query("a14_event_reason_tally", "SELECT user_id, event_type, count(*) AS intervals, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS bp FROM events GROUP BY 1, 2")
