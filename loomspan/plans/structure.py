@@ -235,8 +235,7 @@ def g6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("g8_greedy_break_up")
 def g8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = links(spark, sf_dir)
-    return graph.break_up_greedily(edges, graph.connected_components(edges), 10)
+    return graph.break_up_greedily(links(spark, sf_dir), None, 10)
 
 
 DEGREES = "WITH l AS (SELECT DISTINCT l_partkey AS a, -1 - l_orderkey % 1000 AS b FROM lineitem) SELECT id, count(*) AS degree FROM (SELECT a AS id FROM l UNION ALL SELECT b FROM l) GROUP BY 1"
