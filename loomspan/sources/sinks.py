@@ -20,10 +20,11 @@ def write_fasta(df: DataFrame, path: str, width: int = 80, order: Sequence[Colum
 
 
 def write_bed(df: DataFrame, path: str, columns: Sequence[str] = ("contig", "start", "end"), by: Sequence[str] = ()) -> None:
-    """Tab-separated rows, sorted by contig and start; one folder for each value of `by`."""
+    """Tab-separated rows, sorted by contig and start; one folder for each value of `by`,
+    whose files follow each other in that order, so that a folder of very many rows spreads."""
     row = F.concat_ws("\t", *(F.col(c).cast("string") for c in columns))
     if by:
-        sorted_rows = df.repartition(*by).sortWithinPartitions(*by, "contig", "start", "end")
+        sorted_rows = df.repartitionByRange(*by, "contig", "start", "end").sortWithinPartitions(*by, "contig", "start", "end")
         sorted_rows.select(*by, row.alias("value")).write.mode("overwrite").partitionBy(*by).text(path)
     else:
         _write(df.orderBy("contig", "start", "end"), row, path)
