@@ -6,6 +6,7 @@ matches, block, mapq) and any optional columns. Coordinates are half-open from 0
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Sequence
 
 import numpy as np
@@ -107,6 +108,83 @@ def _parted(df: DataFrame, keys: Sequence[str], start: str, end: str, gap: int)
     return df.join(parts, [*same, tile.eqNullSafe(F.col("_t"))]).select(*df.columns, "_part")
 
 
+def _best_before(t0: np.ndarray, t1: np.ndarray, q0: np.ndarray, q1: np.ndarray, w: np.ndarray, max_gap: int, gap_open: float, gap_extend: float) -> tuple[np.ndarray, list[int]]:
+    """(total, before) of rows in order of t0: each row's score with that of its best predecessor, and that one's place, or -1.
+
+    Of the rows that may precede, those of one query end compete: a row that ends later in the target and
+    is no worse rules out the ones before it. So a row looks at one candidate for each query end
+    within max_gap, however many rows there are. Rows without a bound or a score precede none.
+    """
+    n = len(t0)
+    ends = np.unique(q1)
+    column = np.searchsorted(ends, q1).tolist()
+    lo, hi = np.searchsorted(ends, q0 - max_gap, "left").tolist(), np.searchsorted(ends, q0, "right").tolist()
+    offers, seeks = (~np.isnan(t1 + q1 + w)).tolist(), (~np.isnan(t0 + q0)).tolist()
+    by_end = [j for j in np.argsort(t1, kind="stable").tolist() if offers[j]]
+    starts, stops, q_starts, q_stops, scores, reach = t0.tolist(), t1.tolist(), q0.tolist(), q1.tolist(), w.tolist(), (t0 - max_gap).tolist()
+    live: list[deque[int]] = [deque() for _ in ends]
+    most = np.full(len(ends), -np.inf)
+    total, before, value = scores[:], [-1] * n, [0.0] * n
+    adjoining: dict[tuple, int] = {}
+    # Values that differ by rounding alone are told apart by their gains.
+    slack = 1e-12 * (np.nansum(np.abs(w)) + gap_extend * (np.abs(np.nan_to_num([t1, q1])).max(initial=0) + max_gap)) if gap_extend else 0.0
+
+    def rules_out(a: int, b: int) -> bool:
+        if not gap_extend or stops[a] == stops[b]:
+            return total[a] > total[b] or (total[a] == total[b] and a < b)
+        return value[a] > value[b] + slack
+
+    def show(c: int) -> None:
+        most[c] = max(value[j] for j in live[c]) if live[c] else -np.inf
+
+    def put(j: int) -> None:
+        value[j] = total[j] + gap_extend * (stops[j] + q_stops[j])
+        held, later = live[column[j]], []
+        while held and stops[held[-1]] > stops[j]:  # rows of no length come out of turn
+            later.append(held.pop())
+        if not (later and rules_out(later[-1], j)) and not (held and stops[held[-1]] == stops[j] and rules_out(held[-1], j)):
+            while held and rules_out(j, held[-1]):
+                held.pop()
+            held.append(j)
+        held.extend(reversed(later))
+        show(column[j])
+        place = (stops[j], q_stops[j])
+        if gap_open and ((k := adjoining.get(place)) is None or total[j] > total[k] or (total[j] == total[k] and j < k)):
+            adjoining[place] = j
+
+    def gain(j: int, i: int) -> float:
+        gap = starts[i] - stops[j] + q_starts[i] - q_stops[j]
+        return total[j] - (gap_open + gap_extend * gap if gap > 0 else 0.0)
+
+    come = gone = 0
+    for i in range(n):
+        if seeks[i]:
+            while come < len(by_end) and stops[by_end[come]] <= starts[i]:
+                if stops[by_end[come]] > starts[by_end[come]]:
+                    put(by_end[come])
+                come += 1
+            while gone < len(by_end) and stops[by_end[gone]] < reach[i]:
+                j = by_end[gone]
+                adjoining.pop((stops[j], q_stops[j]), None)
+                held = live[column[j]]
+                if held and stops[held[0]] < reach[i]:
+                    while held and stops[held[0]] < reach[i]:
+                        held.popleft()
+                    show(column[j])
+                gone += 1
+            near = most[lo[i] : hi[i]]
+            found = [adjoining[place]] if (place := (starts[i], q_starts[i])) in adjoining else []
+            if len(near) and (top := near.max()) > -np.inf:
+                found += [j for c in np.flatnonzero(near >= top - slack).tolist() for j in live[lo[i] + c] if value[j] >= top - slack]
+            if found:
+                more, j = max((gain(j, i), -j) for j in found)
+                if more > 0:
+                    total[i], before[i] = scores[i] + more, -j
+            if offers[i] and reach[i] <= stops[i] <= starts[i]:
+                put(i)
+    return np.array(total), before
+
+
 def chain(df: DataFrame, max_gap: int, gap_open: float = 0.0, gap_extend: float = 0.0) -> DataFrame:
     """Adds `chain_id` and `chain_score`: the best collinear chain that ends in each row's chain.
 
@@ -116,34 +194,21 @@ def chain(df: DataFrame, max_gap: int, gap_open: float = 0.0, gap_extend: float
     that lead to its best end share a chain. Ties go to the earlier row.
 
     Rows further apart in the target than max_gap never meet: a group is one part of the target, not all
-    rows of a pair, and a row looks back no further than max_gap and the longest row.
+    rows of a pair. Within it a row looks at one candidate for each query end within max_gap (_best_before).
     """
 
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["tstart", "qstart", "id"], kind="stable").reset_index(drop=True)
-        n = len(pdf)
-        reach = max_gap + int(np.nan_to_num((pdf["tend"] - pdf["tstart"]).max()))
         t0, t1, q0, q1, w = (pdf[c].to_numpy() for c in ("tstart", "tend", "qstart", "qend", "score"))
-        if n and pdf["strand"].iloc[0] == "-":  # going forward in the target is going back in the query
+        if len(pdf) and pdf["strand"].iloc[0] == "-":  # going forward in the target is going back in the query
             top = int(pdf["qlen"].iloc[0])
             q0, q1 = top - q1, top - q0
-        total, before = w.astype(float).copy(), np.full(n, -1)
-        lows = np.searchsorted(t0, t0 - reach)
-        for i in range(n):
-            lo = lows[i]
-            gt, gq = t0[i] - t1[lo:i], q0[i] - q1[lo:i]
-            ok = (gt >= 0) & (gq >= 0) & (gt <= max_gap) & (gq <= max_gap)
-            if ok.any():
-                gap = gt + gq
-                gain = np.where(ok, total[lo:i] - np.where(gap > 0, gap_open + gap_extend * gap, 0.0), -np.inf)
-                j = int(gain.argmax())
-                if gain[j] > 0:
-                    total[i], before[i] = w[i] + gain[j], lo + j
-        label, score = np.full(n, -1, dtype=np.int64), np.zeros(n)
-        for i in sorted(range(n), key=lambda k: (-total[k], k)):
+        total, before = _best_before(t0, t1, q0, q1, w.astype(float), max_gap, gap_open, gap_extend)
+        label, score, ids = np.full(len(pdf), -1, dtype=np.int64), np.zeros(len(pdf)), pdf["id"].to_numpy()
+        for i in np.argsort(-total, kind="stable").tolist():
             k = i
             while k >= 0 and label[k] < 0:
-                label[k], score[k] = pdf["id"].iloc[i], total[i]
+                label[k], score[k] = ids[i], total[i]
                 k = before[k]
         return pdf.assign(chain_id=label, chain_score=score)
 

@@ -2,9 +2,58 @@
 
 from __future__ import annotations
 
+import time
+
+import numpy as np
+import pytest
+
+from loomspan.operators import alignments as al
 from loomspan.sources import sinks
 
 
+def _plain(t0, t1, q0, q1, w, max_gap, gap_open, gap_extend):
+    """Each row's best predecessor by looking at all rows before it."""
+    total, before = w.copy(), [-1] * len(w)
+    for i in range(len(w)):
+        gt, gq = t0[i] - t1[:i], q0[i] - q1[:i]
+        ok = (gt >= 0) & (gq >= 0) & (gt <= max_gap) & (gq <= max_gap)
+        if ok.any():
+            gap = gt + gq
+            gain = np.where(ok, total[:i] - np.where(gap > 0, gap_open + gap_extend * gap, 0.0), -np.inf)
+            j = int(gain.argmax())
+            if gain[j] > 0:
+                total[i], before[i] = w[i] + gain[j], j
+    return total, before
+
+
+def _rows(rng, n, span, least):
+    t0, q0 = np.sort(rng.integers(0, span, n)), rng.integers(0, span, n)
+    return t0, t0 + rng.integers(least, 8, n), q0, q0 + rng.integers(least, 8, n), rng.integers(-2, 9, n) / 2
+
+
+@pytest.mark.parametrize("costs", [(0.0, 0.0), (1.0, 0.1), (0.5, 0.0), (2.0, 0.5)])
+def test_best_predecessors_are_those_of_a_plain_walk(costs):
+    rng = np.random.default_rng(5)
+    for _ in range(120):
+        rows = _rows(rng, int(rng.integers(1, 60)), int(rng.choice([10, 30, 200])), int(rng.choice([1, 0, -4])))
+        gap = int(rng.choice([0, 3, 10, 50]))
+        total, before = al._best_before(*rows, gap, *costs)
+        plain, ways = _plain(*rows, gap, *costs)
+        assert np.array_equal(total, plain) and before == ways
+
+
+def test_chains_do_not_grow_with_the_square_of_rows_in_reach():
+    rng = np.random.default_rng(6)
+
+    def seconds(n):
+        rows = _rows(rng, n, 900, 1)
+        begin = time.process_time()
+        al._best_before(*rows, 400, 1.0, 0.1)
+        return time.process_time() - begin
+
+    assert seconds(32_000) < 24 * seconds(4_000)
+
+
 def test_a_bed_folder_is_written_by_several_tasks(spark, tmp_path):
     rows = spark.range(4000).selectExpr("concat('c', id % 7) AS contig", "id AS start", "id + 5 AS end", "'full' AS phase")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
