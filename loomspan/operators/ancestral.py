@@ -97,12 +97,27 @@ def nested_coordinates(records: DataFrame) -> DataFrame:
     The length of a record with others inside is theirs. Earlier ones are summed in tiles of places, so a
     record that holds very many spreads. Places of one parent's records are unique.
     """
-    up = trees.closure(records.select("id", "parent", F.lit(1.0).alias("d")).withColumnRenamed("d", "length"))
-    inner = records.filter("parent IS NOT NULL").select(F.col("parent").alias("_p")).distinct()
-    leaves = records.join(inner, F.col("id") == F.col("_p"), "left_anti").select(F.col("id").alias("leaf"), "length")
-    sizes = up.join(leaves, F.col("descendant") == F.col("leaf")).groupBy(F.col("ancestor").alias("_s")).agg(F.sum("length").cast("long").alias("size"))
-    sized = materialize(records.select("id", "parent", "place").join(sizes, F.col("id") == F.col("_s")).drop("_s"), "nested-sizes")
-    offsets = iv.running_sum(sized.filter("parent IS NOT NULL"), ["parent"], "place", "size", "offset").select(F.col("id").alias("_o"), F.coalesce("offset", F.lit(0)).alias("offset"))
-    starts = up.join(offsets, F.col("ancestor") == F.col("_o")).groupBy(F.col("descendant").alias("_d")).agg(F.sum("offset").cast("long").alias("start"))
-    placed = sized.join(starts, F.col("id") == F.col("_d"), "left").withColumn("start", F.coalesce("start", F.lit(0).cast("long")))
-    return placed.select("id", "start", (F.col("start") + F.col("size")).alias("end"))
+    zero = F.lit(0).cast("long")
+    sized: list[DataFrame] = []
+    for here in reversed(trees.by_level(records.select("id", "parent", "place", "length"))):
+        size = F.col("length")
+        if sized:
+            inside = sized[-1].groupBy(F.col("parent").alias("_p")).agg(F.sum("size").alias("_inside"))
+            here = here.join(inside, F.col("id") == F.col("_p"), "left")
+            size = F.when(F.col("_p").isNull(), size).otherwise(F.col("_inside"))
+        here = here.select("id", "parent", "place", size.cast("long").alias("size"))
+        sized.append(materialize(here, "nested-sizes") if sized else here)
+    result, above = None, None
+    for here in reversed(sized):
+        # Records around which there is none, or that have no place, are not laid out among others.
+        among = F.col("parent").isNotNull() & F.col("place").isNotNull()
+        placed = iv.running_sum(here.filter(among), ["parent"], "place", "size", "start").select("id", "parent", "size", F.col("start").cast("long").alias("start"))
+        placed = placed.unionByName(here.filter(~among).select("id", "parent", "size", zero.alias("start")))
+        if above is not None:
+            placed = placed.join(above, F.col("parent") == F.col("_u")).withColumn("start", F.col("start") + F.col("_start"))
+        placed = placed.select("id", "start", "size")
+        if here is not sized[0]:
+            placed = materialize(placed, "nested-places")
+        above = placed.select(F.col("id").alias("_u"), F.col("start").alias("_start"))
+        result = placed if result is None else result.unionByName(placed)
+    return result.select("id", "start", (F.col("start") + F.col("size")).alias("end"))
