@@ -82,11 +82,14 @@ def segment_lines(blocks: DataFrame, sequences: DataFrame, reference: str) -> Da
     """
     from loomspan.operators import intervals as iv
     from loomspan.operators.relational import numbered
+    from loomspan.session import materialize
 
     known = sequences.filter("length > 0").select(F.col("seq").alias("_s"), "event", "length")
     own = blocks.join(known.select("_s"), F.col("seq") == F.col("_s"), "left_semi").select("block", "seq", "start", "end", "strand")
     gaps = iv.complement(own, known.select(F.col("_s").alias("seq"), "length"), ["seq"]).select(F.lit(None).cast("string").alias("block"), "seq", "start", "end", F.lit("+").alias("strand"))
+    # Stored, as bottom and top are made of it, and the numbers look at it twice.
     every = own.unionByName(gaps).join(known.select("_s", "event"), F.col("seq") == F.col("_s")).drop("_s").withColumn("above", (F.col("event") != reference).cast("int"))
+    every = materialize(every, "segment-rows")
     bottom = numbered(every.filter("above = 0"), [F.col("seq"), F.col("start")], "number")
     first = bottom.filter("block IS NOT NULL").groupBy(F.col("block").alias("_b")).agg(F.min_by(F.struct("number", F.col("strand").alias("way")), F.struct("seq", "start")).alias("under"))
     top = every.filter("above = 1").join(first, F.col("block") == F.col("_b"), "left")

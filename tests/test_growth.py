@@ -81,3 +81,20 @@ def test_nested_records_need_no_pairs_of_ancestors(spark, monkeypatch):
     assert found == {"r": (0, 14), "a": (0, 5), "z": (0, 2), "y": (2, 5), "b": (5, 9), "x": (5, 9), "e": (9, 14), "o": (0, 7), "p": (7, 8), "s": (0, 9)}
     texts = rows.selectExpr("id", "parent", "place", "IF(length IS NULL, NULL, id) AS text")
     assert {tuple(r) for r in blocks.thread_strings(texts).collect()} == {("r", "zyxe"), ("o", "o"), ("p", "p"), ("s", "s")}
+
+
+def test_segment_lines_look_at_blocks_twice(spark):
+    """Once for the blocks and once for what lies between them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for row in rows:
+            seen.add(1)
+            yield row
+
+    kind = "block string, seq string, start long, end long, strand string"
+    rows = [("x", "r", 2, 6, "-"), ("x", "q", 0, 4, "+"), ("y", "q", 4, 7, "+")]
+    counted = spark.createDataFrame(spark.sparkContext.parallelize(rows, 1).mapPartitions(count), kind)
+    sequences = spark.createDataFrame([("q", "leaf", 8), ("r", "anc", 9)], "seq string, event string, length long")
+    assert sinks.segment_lines(counted, sequences, "anc").count() == 8
+    assert seen.value <= 2 * len(rows)
