@@ -37,6 +37,17 @@ def test_parts_encode_alike():
     assert any(50256 in tokenizer.encode(t, add_special_tokens=False).ids for t in texts)
 
 
+def test_memory_counts_what_a_part_takes():
+    """Short parts take far more than their characters: 2,000 of them overrun 200,000 bytes."""
+    tokenizer = Tokenizer.from_file(PATH)
+    encoder = tokenfile.PartEncoder(tokenizer, memory=200_000)
+    for k in range(5):
+        text = " ".join(f"w{i}" for i in range(2000 * k, 2000 * k + 2000))
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder.known) <= 2001
+
+
 def test_long_and_special_texts(spark):
     """The library's own ids, also of an added token's string and of texts of many MB."""
     tokenizer = Tokenizer.from_file(PATH)
