@@ -67,11 +67,11 @@ def pieces(edges: DataFrame, keys: Sequence[str], deltas: Sequence[str]) -> Data
     return cut.filter(~F.col("_carry") & F.col("end").isNotNull()).drop("_carry")
 
 
-def running(df: DataFrame, keys: Sequence[str], pos: str, values: dict[str, Callable[[Column], Column]]) -> DataFrame:
+def running(df: DataFrame, keys: Sequence[str], pos: str, values: dict[str, Callable[[Column], Column]], order: Sequence[str] = ()) -> DataFrame:
     """df with `_before_` and the name of each of `values`, column to associative aggregate: that aggregate over the
-    rows before each along the key, or null. Positions are unique in a key."""
+    rows before each along the key, or null. Positions, or those with the columns of `order`, are unique in a key."""
     carried = _carried(_tiled(df, pos), keys, {f"_upto_{c}": (f(F.col(c)), f) for c, f in values.items()})
-    upto = _in_tile(keys, pos).rowsBetween(Window.unboundedPreceding, -1)
+    upto = _in_tile(keys, pos, *order).rowsBetween(Window.unboundedPreceding, -1)
     before = {f"_before_{c}": f(F.coalesce(c, f"_upto_{c}")).over(upto) for c, f in values.items()}
     return carried.withColumns(before).filter(~F.col("_carry")).drop("_carry", "_tile", *(f"_upto_{c}" for c in values))
 
