@@ -37,6 +37,21 @@ def test_parts_encode_alike():
     assert any(50256 in tokenizer.encode(t, add_special_tokens=False).ids for t in texts)
 
 
+def test_cuts_stand_only_where_the_library_parts():
+    """Of every character below U+10000 and some above: no cut behind white space or before a mark; all those of common blocks."""
+    every = [chr(c) for c in [*range(0x3400), *range(0x4DC0, 0x4E80), *range(0xD7A0, 0xD800), *range(0xE000, 0x10000), 0x1F600, 0xE0001] if c < 0xD800 or c > 0xDFFF]
+    tokenizer = Tokenizer.from_file(PATH)
+    for first in range(0, len(every), 4096):
+        some = [f"x{c} y{c}.{c}" for c in every[first : first + 4096]]
+        ids, per = tokenfile.PartEncoder(tokenizer).encode(pa.array(some))
+        expected = [e.ids for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(per)[:-1])] == expected
+    at = lambda text: tokenfile.cuts(np.frombuffer(text.encode(), np.uint8)).tolist()
+    assert not any(at(f"{c} y") for c in every if c.isspace() or c < "!")
+    assert all(at(f"{c} y") == [len(c.encode())] for c in "aZ9.-~éñßжλ\u05d0”…–€→中한😀")
+    assert all(at(f"{c}.") == [len(c.encode())] for c in "aZ9éñßɏ") and not any(at(f"{c}.") for c in "×÷.'ɐж ")
+
+
 def test_memory_counts_what_a_part_takes():
     """Short parts take far more than their characters: 2,000 of them overrun 200,000 bytes."""
     tokenizer = Tokenizer.from_file(PATH)
