@@ -313,13 +313,9 @@ def cluster(a: DataFrame, keys: Sequence[str], least: float, bin_width: int, id_
     return a.join(sites, F.col(id_col) == F.col("_id"), "left").withColumn("site", F.coalesce("_site", id_col)).drop("_id", "_site")
 
 
-def exclusions(baseline: DataFrame, phases: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:
-    """(keys, phase, start, end): what each phase lost of what the phase before it still had.
-
-    `baseline` is what went in; `phases` are (name, covered ranges) in order. Every lost base
-    is charged to the first phase that lacks it, so losses and what the last phase kept
-    add up to the input. A phase's ranges outside those of the phase before count for nothing.
-    """
+def charged(baseline: DataFrame, phases: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:
+    """(keys, start, end, phase): pieces of what went in, `baseline`, each with the first of the `phases` (name, covered
+    ranges) that lacks it, or null. Pieces of a key are disjoint, and one ends wherever any range does."""
     layers = [("", baseline), *phases]
     sides = [
         valid(df).select(*keys, F.explode(F.array(F.struct(F.col("start").alias("pos"), F.lit(1).alias("w")), F.struct(F.col("end").alias("pos"), F.lit(-1).alias("w")))).alias("e"), F.lit(i).alias("layer"))
@@ -334,8 +330,17 @@ def exclusions(baseline: DataFrame, phases: Sequence[tuple[str, DataFrame]], key
     phase = F.lit(None).cast("string")
     for (name, _), n in reversed(list(zip(phases, names[1:], strict=True))):
         phase = F.when(F.col(n) == 0, F.lit(name)).otherwise(phase)
-    lost = parts.filter(F.col("d0") > 0).withColumn("phase", phase).filter(F.col("phase").isNotNull())
-    return merge(lost, [*keys, "phase"])
+    return parts.filter(F.col("d0") > 0).select(*keys, "start", "end", phase.alias("phase"))
+
+
+def exclusions(baseline: DataFrame, phases: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:
+    """(keys, phase, start, end): what each phase lost of what the phase before it still had.
+
+    `baseline` is what went in; `phases` are (name, covered ranges) in order. Every lost base
+    is charged to the first phase that lacks it, so losses and what the last phase kept
+    add up to the input. A phase's ranges outside those of the phase before count for nothing.
+    """
+    return merge(charged(baseline, phases, keys).filter(F.col("phase").isNotNull()), [*keys, "phase"])
 
 
 def survival(inputs: DataFrame, phases: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:

@@ -224,9 +224,9 @@ def i16(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that lost much of their input, or far more than the upper median of all."""
     baseline, phases = _phase_frames(spark, sf_dir)
     event = (F.col("contig") % 25).alias("event")
-    lost = iv.exclusions(baseline, phases, KEY).groupBy(event).agg(F.sum(F.col("end") - F.col("start")).alias("lost"))
-    given = iv.merge(baseline, KEY).groupBy(event).agg(F.sum(F.col("end") - F.col("start")).alias("input_bp"))
-    both = given.join(lost, "event", "left").withColumn("lost", F.coalesce("lost", F.lit(0).cast("long")))
+    # Sums of bases need no merged runs: those of the disjoint pieces of one sweep are the same.
+    bases, none = F.col("end") - F.col("start"), F.lit(0).cast("long")
+    both = iv.charged(baseline, phases, KEY).groupBy(event).agg(F.sum(bases).alias("input_bp"), F.sum(F.when(F.col("phase").isNotNull(), bases).otherwise(none)).alias("lost"))
     upper = both.agg(rel.upper_median("lost").alias("upper"))
     return both.join(F.broadcast(upper)).select(
         "event", "input_bp", "lost", (F.col("lost") > 0.05 * F.col("input_bp")).alias("dropped"), ((F.col("lost") > 3 * F.col("upper")) & (F.col("lost") > 0.1 * F.col("input_bp"))).alias("outlier")

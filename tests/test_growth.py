@@ -9,6 +9,8 @@ import pytest
 
 from loomspan.operators import alignments as al
 from loomspan.operators import ancestral, blocks, trees
+from loomspan.operators import intervals as iv
+from loomspan.plans import catalog
 from loomspan.sources import sinks
 
 
@@ -98,3 +100,12 @@ def test_segment_lines_look_at_blocks_twice(spark):
     sequences = spark.createDataFrame([("q", "leaf", 8), ("r", "anc", 9)], "seq string, event string, length long")
     assert sinks.segment_lines(counted, sequences, "anc").count() == 8
     assert seen.value <= 2 * len(rows)
+
+
+def test_outliers_need_no_merged_runs(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    lost = catalog.queries()["a16_exclusion_summary"](spark, sf).filter("event <> 'TOTAL' AND reason = 'TOTAL'")
+    expected = {int(r["event"]): r["bp"] for r in lost.collect()}
+    monkeypatch.setattr(iv, "merge", None)
+    got = {r["event"]: r["lost"] for r in catalog.queries()["i16_outliers"](spark, sf).collect()}
+    assert {k: v for k, v in got.items() if v} == expected
