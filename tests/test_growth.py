@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from loomspan.operators import alignments as al
-from loomspan.operators import ancestral, blocks, trees
+from loomspan.operators import ancestral, blocks, graph, trees
 from loomspan.operators import intervals as iv
 from loomspan.plans import catalog
 from loomspan.sources import sinks
@@ -118,3 +118,19 @@ def test_coverage_joins_no_members_by_branch(spark):
     assert {r["block"]: r["coverage"] for r in found.collect()} == {1: 0.5, 2: 0.7, 3: 0.0}
     above = found._jdf.queryExecution().optimizedPlan().toString().split("count(1) AS k")[0]
     assert not [line for line in above.splitlines() if "Join" in line and "branch" in line]
+
+
+def test_a_forest_carries_on_edges_between_components_alone(spark, monkeypatch):
+    seen, store = [], graph.materialize
+
+    def kept(df, name, **options):
+        table = store(df, name, **options)
+        if name == "forest-apart":
+            seen.append(table.count())
+        return table
+
+    monkeypatch.setattr(graph, "materialize", kept)
+    edges = [(f"n{k}", f"n{(k + 1) % 60}", 7 * k % 61 + 100 * copy) for k in range(60) for copy in range(4)] + [("n1", "n1", 999)]
+    states = graph.isolated(spark.createDataFrame(edges, "a string, b string, rank long"), spark.createDataFrame([], "id string"))
+    assert {r["state"]: r["count"] for r in states.groupBy("state").count().collect()} == {"joined": 59, "within": 182}
+    assert seen[0] == 60 and seen[-1] == 0 and all(b <= a / 2 for a, b in zip(seen, seen[1:], strict=False))
