@@ -1,12 +1,15 @@
 import random
 import time
+import zlib
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from loomspan.llm.jaccard import JaccardConfig, Links, candidate_edges, join_region, join_regions, near_duplicates, prefix_cells
+from loomspan.llm.jaccard import JaccardConfig, Links, candidate_edges, from_planes, join_region, join_regions, near_duplicates, planes, prefix_cells, shared_cells
+from loomspan.llm.sketch import parted
 from loomspan.llm.text import words
 from loomspan.session import scratch
 
@@ -126,3 +129,42 @@ def test_a_shingle_in_every_document(spark):
     with scratch(spark):
         got = candidate_edges(frame, JaccardConfig()).collect()
     assert {b for _, b in got} == set(range(1, 500))
+
+
+def test_prefix_rows_travel_in_blocks(spark):
+    """Cells of two documents come back as they were, and a row takes less than half of its four numbers."""
+    rng = np.random.default_rng(4)
+    shared = rng.integers(-(1 << 63), 1 << 63, 500)
+    rows = [(i * 7, 90, [int(x) for x in np.append(rng.integers(-(1 << 63), 1 << 63, 90), shared[i % 500])]) for i in range(1000)]
+    frame = spark.createDataFrame(rows, "doc_id long, n long, prefix array<long>").coalesce(1)
+    for parts in (1, 7):
+        got = sorted((r["least"], r["doc_id"], r["n"], r["tied"], r["large"]) for r in shared_cells(frame, JaccardConfig(), parts).collect())
+        assert got == sorted((i % 500 * 7, i * 7, 90, None, False) for i in range(1000))
+    for x in (shared, np.arange(9), np.array([], np.int64)):
+        assert from_planes(planes(x)).view(np.int64).tolist() == x.tolist()
+    packed = zlib.compress(planes(np.array([r[0] for r in rows for _ in range(91)])))
+    assert len(packed) < 3 * 91_000
+
+
+def test_rows_without_a_partner_stay(spark):
+    """No row with a partner is among those that stay, whatever the bitmap holds; most others are."""
+    rows = spark.range(20_000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("v"))
+    keys = spark.range(0, 40_000, 10).select(F.col("id").alias("q"))
+    may, stay = parted(rows, [F.col("k")], keys, [F.col("q")])
+    assert may.columns == stay.columns == ["k", "v"] and may.count() + stay.count() == 20_000
+    assert stay.filter("k % 10 = 0").count() == 0 and stay.count() > 17_000
+    nothing = parted(rows, [F.col("v")], keys.filter("q < 0"), [F.col("q")])
+    assert nothing[0].count() == 0 and nothing[1].count() == 20_000
+
+
+def test_texts_of_no_region_are_not_dealt(spark, tmp_path):
+    """2,000 texts of which 4 are in regions: the join's tables are far smaller than the texts."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(60))) for i in range(2000)]
+    rows += [(5000, rows[0][1] + " end"), (5001, rows[1][1] + " end"), (5002, rows[2][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    regions = spark.createDataFrame([(i, 0) for i in (0, 5000, 1, 5001)], "id long, region long")
+    near, far = parted(df, [F.col("doc_id")], regions, [F.col("id")])
+    assert {0, 1, 5000, 5001} <= {r["doc_id"] for r in near.collect()} and near.count() < 20 and far.count() > 1980
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(df, JaccardConfig(bins=1 << 14)).collect()}
+    assert {i for i, c in got.items() if i != c} == {5000, 5001, 5002} and got[5002] == 2
