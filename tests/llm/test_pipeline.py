@@ -1,5 +1,6 @@
 import corpus_pipeline
 from loomspan.llm import bpe
+from loomspan.llm.sketch import parted
 from loomspan.session import materialize
 
 
@@ -42,3 +43,15 @@ def test_last_stage_encodes_what_is_left(docs, spark):
     encoding = bpe.load_encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     row = corpus_pipeline.tokens(spark, docs.filter("doc_id = 7"), "").first()
     assert bpe.decode(encoding, __import__("numpy").frombuffer(row["ids"], "<u4")) == b"one two three"
+
+
+def test_only_rows_that_may_go_are_dealt(spark, monkeypatch):
+    """Of 1,000 documents with 20 near copies all but the copies, and a few more, stay where they are."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(40)), "en", "a") for i in range(1000)]
+    rows += [(2000 + i, rows[i][1] + " end", "en", "a") for i in range(20)]
+    parts = []
+    monkeypatch.setattr(corpus_pipeline, "parted", lambda *a: parts.append(parted(*a)) or parts[-1])
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(1000))
+    (near, far) = parts[0]
+    assert 20 <= near.count() < 30 and near.count() + far.count() == 1020
