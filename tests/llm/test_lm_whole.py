@@ -81,3 +81,9 @@ def test_query_predicts_words_of_all_classes(spark, monkeypatch):
     monkeypatch.setattr(lm, "score", lambda docs, training, config=lm.LmConfig(): seen.append(config) or score(docs, training, config))
     op03_query.query(spark, "/root/testdata/sf0.001").count()
     assert seen[0].deep
+
+
+def test_trainers_of_one_partition_are_kept_apart():
+    batch = lambda who, texts: pa.RecordBatch.from_arrays([pa.array(who, pa.int32()), pa.array(texts)], names=["trainer", "text"])
+    got = [(k, t.to_pylist()) for k, t in lm.by_trainer([batch([0, 0, 2], ["a", None, "c"]), batch([], pa.array([], pa.string())), batch([2, 5], ["d", "e"])])]
+    assert got == [(0, ["a", None]), (2, ["c"]), (2, ["d"]), (5, ["e"])]
